@@ -1,0 +1,6 @@
+"""Queries of the repertoire operators and the SQL that must give the same rows."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict = {}

@@ -6,12 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphlake.llm import bpe, chat, media, mixing, pii
+from lymphlake.llm import bpe, chat, langid, media, minhash, mixing, pii
 from lymphlake.plans.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_byte_rnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs, langid.learned(docs))
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -20,6 +25,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     same = "</s>[INST] ok [/INST]"
@@ -36,9 +45,23 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_mix(docs, size="_n").select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_media_columns, op5_byte_bpe, op7_chat_format, op9_pii, op10_fair_mix)}
+QUERIES = {f.__name__: f for f in (op1_byte_rnn, op3_media_columns, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op9_pii, op10_fair_mix)}
 
 ORACLES = {
+    # all pairs that share a shingle, exact set sizes, then smallest reachable ids
+    "op6_near_duplicates": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE [array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)] END) AS sh FROM w),
+u AS MATERIALIZED (SELECT DISTINCT doc_id, hash(sh) AS sh FROM s),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM u GROUP BY doc_id),
+e AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM u x JOIN u y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL) p
+      JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reach)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
+""",
     "op10_fair_mix": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphlake.llm import bpe, chat, langid, media, minhash, mixing, pii
+from lymphlake.llm import bpe, chat, kneser_ney, langid, media, minhash, mixing, pii
 from lymphlake.plans.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -36,6 +36,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_trees(chat.linear_tree(given.unionByName(extra))))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_held_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -45,7 +49,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_mix(docs, size="_n").select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_rnn, op3_media_columns, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op9_pii, op10_fair_mix)}
+QUERIES = {f.__name__: f for f in (op1_byte_rnn, op3_media_columns, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op8_kneser_ney, op9_pii, op10_fair_mix)}
 
 ORACLES = {
     # all pairs that share a shingle, exact set sizes, then smallest reachable ids

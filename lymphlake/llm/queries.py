@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphlake.llm import ann, bpe, chat, kneser_ney, langid, media, minhash, mixing, pii
+from lymphlake.llm import ann, bpe, chat, kneser_ney, langid, media, minhash, mixing, pii, urlfilter
 from lymphlake.plans.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,10 @@ def op1_byte_rnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learned(docs))
 
 
+def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -53,7 +57,7 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_mix(docs, size="_n").select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_rnn, op3_media_columns, op4_graph_search, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op8_kneser_ney, op9_pii, op10_fair_mix)}
+QUERIES = {f.__name__: f for f in (op1_byte_rnn, op2_host_trust, op3_media_columns, op4_graph_search, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op8_kneser_ney, op9_pii, op10_fair_mix)}
 
 ORACLES = {
     # all pairs that share a shingle, exact set sizes, then smallest reachable ids

@@ -22,9 +22,11 @@ WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 3
 HASHES = BANDS * ROWS
 #: Signature values per comparison step, and the chance to drop a pair that does reach the threshold.
-STEP, MISS = 16, 1e-7
+STEP, MISS = 16, 1e-6
 #: Members of a bucket that one task compares with so many others at a time.
-CHUNK = 256
+CHUNK = 1024
+#: Pairs that are compared at a time.
+TOGETHER = 1 << 15
 _SEED = np.random.default_rng(20240607)
 _A = (_SEED.integers(1, 2**31, HASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
 _B = _SEED.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -97,7 +99,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("doc_id"),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                pa.array([_digest(s) for s in sets], pa.binary()),
                 pa.array(sketch, pa.binary()),
             ],
             names=["doc_id", "n_shingles", "class", "sketch"],
@@ -148,7 +150,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(ROWS):
             key = _mixed(key + sketch[:, :, i])
         node = pa.array(batch.column("class")).take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), node], names=["bucket", "node"])
+        band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(band), node], names=["bucket", "band", "node"])
 
 
 def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,44 +161,103 @@ def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).take(pa.array(keep))
 
 
-def _chunk_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components that survive, from rows sorted by (bucket, lo, hi); one chunk pair is held at a time."""
+def overlaps(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of every set of ``first`` with every set of ``second`` (positions in ``sets``).
+
+    Values that only one set holds are left out; the others make the columns
+    of 0/1 matrices, block by block, whose product counts the shared ones.
+    """
+    used = np.concatenate([first, second])
+    sizes = [len(sets[i]) for i in used]
+    values, column, count = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    keep = count[column] > 1
+    row, column = np.repeat(np.arange(len(used)), sizes)[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(first), len(second)), np.float32)
+    for start in range(0, int(number[-1]) + 1 if len(number) else 0, 2048):
+        a, b = np.searchsorted(column, [start, start + 2048])
+        matrix = np.zeros((len(used), 2048), np.float32)
+        matrix[row[a:b], column[a:b] - start] = 1
+        total += matrix[: len(first)] @ matrix[len(first) :].T
+    return total.astype(np.int64)
+
+
+def _chunk_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links across components, from rows sorted by (bucket, lo, hi); one chunk pair is held at a time.
+
+    Pairs that the signatures leave are counted on their sets (32 bits a
+    shingle; 64 bits confirm later). Components that are linked count as one
+    from then on, so at most one link less than there are components is
+    emitted. A pair that shares several bands is looked at in the first only.
+    """
     held: list[tuple] = []
     last = None
 
-    def pairs() -> pa.RecordBatch | None:
+    def links() -> pa.RecordBatch | None:
         sketch = np.frombuffer(b"".join(r[3] for r in held), np.uint32).reshape(-1, HASHES)
+        sets = [np.frombuffer(r[4], np.uint32) for r in held]
+        sizes = np.array([len(x) for x in sets])
         chunk = np.array([r[2] for r in held])
-        component = np.unique(np.array([r[1] for r in held], object).astype("S32"), return_inverse=True)[1]
-        first, second = np.flatnonzero(chunk == last[1]), np.flatnonzero(chunk == last[2])
-        i, j = (x.ravel() for x in np.meshgrid(first, second, indexing="ij"))
-        keep = component[i] != component[j]
-        if last[1] == last[2]:
-            keep &= i < j
-        i, j = i[keep], j[keep]
-        found = survivors(sketch[i], sketch[j]) if len(i) else []
-        if not len(found):
+        number: dict[bytes, int] = {}
+        component = np.array([number.setdefault(r[1], len(number)) for r in held])
+        band, lo, hi = last[1:]
+        first, second = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
+        out = []
+        rows = max(1, TOGETHER // max(1, len(second)))
+        for start in range(0, len(first), rows):
+            i, j = (x.ravel() for x in np.meshgrid(first[start : start + rows], second, indexing="ij"))
+            keep = (component[i] != component[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= PERCENT * np.maximum(sizes[i], sizes[j]))
+            if lo == hi:
+                keep &= i < j
+            i, j = i[keep], j[keep]
+            left = survivors(sketch[i], sketch[j]) if len(i) else np.empty(0, np.int64)
+            i, j = i[left], j[left]
+            if not len(i):
+                continue
+            mine = (sketch[i] == sketch[j]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+            i, j = i[mine], j[mine]
+            if not len(i):
+                continue
+            ui, vi = np.unique(i, return_inverse=True)
+            uj, vj = np.unique(j, return_inverse=True)
+            shared = overlaps(sets, ui, uj)[vi, vj]
+            linked = 100 * shared >= PERCENT * (sizes[i] + sizes[j] - shared)
+            for x, y in zip(i[linked], j[linked], strict=True):
+                if component[x] != component[y]:
+                    component[component == component[y]] = component[x]
+                    out.append(sorted((held[x][0], held[y][0])))
+        if not out:
             return None
-        ends = [sorted((held[x][0], held[y][0])) for x, y in zip(i[found], j[found], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends], pa.binary()), pa.array([e[1] for e in ends], pa.binary())], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.binary()), pa.array([e[1] for e in out], pa.binary())], names=["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "node", "component", "chunk", "sketch")]
-        for bucket, lo, hi, *row in zip(*columns, strict=True):
-            if last != (bucket, lo, hi):
-                if held and (out := pairs()) is not None:
+        columns = [batch.column(c).to_pylist() for c in ("bucket", "band", "lo", "hi", "node", "component", "chunk", "sketch", "short")]
+        for bucket, band, lo, hi, *row in zip(*columns, strict=True):
+            if last != (bucket, band, lo, hi):
+                if held and (out := links()) is not None:
                     yield out
-                held, last = [], (bucket, lo, hi)
-            row[1] = hashlib.blake2b(row[1], digest_size=16).hexdigest().encode()
+                held, last = [], (bucket, band, lo, hi)
             held.append(tuple(row))
-    if held and (out := pairs()) is not None:
+    if held and (out := links()) is not None:
         yield out
 
 
-def _needed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of the wanted classes; rows that share an id with them but not their set are left out."""
     for batch in pieces(batches, "text"):
         sets = [shingles(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["class", "shingles"])
+        want = batch.column("class").to_pylist()
+        keep = [i for i, s in enumerate(sets) if _digest(s) == want[i]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([want[i] for i in keep], pa.binary()), pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64())), pa.array([(sets[i] >> np.uint64(32)).astype(np.uint32).tobytes() for i in keep], pa.binary())],
+            names=["class", "shingles", "short"],
+        )
+
+
+def _digest(shingle_set: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingle_set.tobytes(), digest_size=16).digest() if len(shingle_set) else None
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -217,15 +279,9 @@ def components(edges: DataFrame) -> DataFrame:
         label = fresh.select("node", "label")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold; sets are made only for classes in a pair."""
-    nodes = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).distinct()
-    needed = written(nodes.join(classes.select("class", "first_id"), F.col("n") == F.col("class")).select("class", F.col("first_id").alias("need")), f"{name}-needed")
-    texts = docs.join(needed, F.col("doc_id").eqNullSafe(F.col("need"))).select("class", "text")
-    # rows that share an id may differ; only those of the class count
-    made = texts.mapInArrow(_needed_sets, "class binary, shingles array<long>")
-    sets = written(made, f"{name}-sets")
-    one, two = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
+def _confirmed(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold."""
+    one, two = (sets.select(F.col("class").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
     both = F.size(F.array_intersect("x", "y"))
     held = pairs.join(one, "a").join(two, "b")
     return written(held.where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b").distinct(), f"{name}-links")
@@ -235,11 +291,11 @@ def link(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document.
 
     Needs ``doc_id, text``. Equal sets form one class, and the work is on
-    classes. Every bucket of a band first links its members to its smallest
-    member; candidates are pruned by the posterior similarity of their
+    classes. Every bucket of a band first links its members to its hub, the
+    member that shares most buckets with others; candidates are pruned by the posterior similarity of their
     signatures (16 values a step) and the rest confirmed on full sets. Then
     only buckets that still hold several components matter: their members are
-    compared across components in chunks of about 256, all of them, so no
+    compared across components in chunks of about 1,024, all of them, so no
     bucket is capped and no pair within a component is ever made.
 
     Null and empty texts: 0 shingles, a component of their own, kept. Repeated
@@ -251,26 +307,33 @@ def link(docs: DataFrame) -> DataFrame:
     sketched = written(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, class binary, sketch binary"), "near-sketch")
     classes = written(sketched.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch")), "near-classes")
 
-    keys = classes.select("class", "sketch").mapInArrow(_bands, "bucket long, node binary")
-    shared = written(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where(F.col("n") > 1).select(F.col("bucket").alias("k"), "n", "pivot"), "near-buckets")
+    keys = classes.select("class", "sketch").mapInArrow(_bands, "bucket long, band int, node binary")
+    shared = written(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.col("bucket").alias("k"), "n"), "near-buckets")
     members = written(keys.join(shared, F.col("bucket") == F.col("k")).drop("k"), "near-members")
-    sketches = classes.select(F.col("class").alias("c"), "sketch")
-
-    stars = members.where(F.col("node") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    # a text that others were copied from meets most members: its weight is largest
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    sketches = written(weights.join(classes, F.col("node") == F.col("class")).select(F.col("node").alias("c"), "weight", "first_id", "sketch"), "near-open")
+    wanted = sketches.select(F.col("c").alias("class"), F.col("first_id").alias("_want"))
+    sets = written(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_want"))).select("class", "text").mapInArrow(_sets, "class binary, shingles array<long>, short binary"), "near-sets")
+    weighed = members.join(sketches.select("c", "weight"), F.col("node") == F.col("c"))
+    hubs = written(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("hub")).select(F.col("bucket").alias("k"), "hub"), "near-hubs")
+
+    stars = members.join(hubs, F.col("bucket") == F.col("k")).where(F.col("node") != F.col("hub")).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     stars = _with(_with(stars, sketches, "a", "sa"), sketches, "b", "sb")
-    links = _confirmed(written(stars.mapInArrow(_pruned, "a binary, b binary"), "near-stars"), classes, docs, "near-first")
+    links = _confirmed(written(stars.mapInArrow(_pruned, "a binary, b binary"), "near-stars"), sets, "near-first")
     found = components(links).select(F.col("node").alias("c"), "component")
 
-    placed = written(members.where(F.col("n") > 2).join(found, F.col("node") == F.col("c"), "left").select("bucket", "n", "node", F.coalesce("component", "node").alias("component")), "near-placed")
+    placed = written(members.where(F.col("n") > 2).join(found, F.col("node") == F.col("c"), "left").select("bucket", "band", "n", "node", F.coalesce("component", "node").alias("component")), "near-placed")
     mixed = written(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") != F.col("high")).select(F.col("bucket").alias("k")), "near-mixed")
     open_ = placed.join(mixed, F.col("bucket") == F.col("k"), "left_semi")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     dealt = open_.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = dealt.select("bucket", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "node", "component", "chunk")
-    dealt = _with(dealt, sketches, "node", "sketch").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    across = written(dealt.mapInArrow(_chunk_pairs, "a binary, b binary").distinct(), "near-across")
+    dealt = dealt.select("bucket", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "node", "component", "chunk")
+    dealt = _with(dealt, sketches, "node", "sketch").join(sets.select(F.col("class").alias("c"), "short"), F.col("node") == F.col("c")).drop("c")
+    dealt = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    across = written(dealt.mapInArrow(_chunk_links, "a binary, b binary").distinct(), "near-across")
     if across.take(1):
-        links = links.unionByName(_confirmed(across, classes, docs, "near-second"))
+        links = links.unionByName(_confirmed(across, sets, "near-second"))
         found = components(links).select(F.col("node").alias("c"), "component")
 
     grouped = classes.select("class", "first_id").join(found, F.col("class") == F.col("c"), "left").select("class", "first_id", F.coalesce("component", "class").alias("component"))

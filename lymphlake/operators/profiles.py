@@ -13,7 +13,8 @@ def build_profiles(residues: DataFrame, least: int = 300, mask: int = 0) -> Data
 
     ``residues`` has ``vgene, prof, read_id, pos, aa, germ_aa``. Gaps and X do
     not count; ``freq`` is the share of mutated residues, null where fewer
-    than ``least`` are left or the position is masked; ``profile`` the shares
+    than ``least`` are left or the position is masked (both are rounded to five
+    digits, halves up); ``profile`` the shares
     of the 20 amino acids among the mutated. Counts per residue come first, so
     only at most 20 rows a position are shuffled again.
     """
@@ -25,8 +26,8 @@ def build_profiles(residues: DataFrame, least: int = 300, mask: int = 0) -> Data
         F.sum(mutated).alias("mutated"),
         *[F.sum(F.when(F.col("aa") == a, mutated).otherwise(0)).alias(f"_{a}") for a in AMINO_ACIDS],
     )
-    shares = F.array(*[F.when(F.col("mutated") > 0, F.round(F.col(f"_{a}") / F.col("mutated"), 5)).otherwise(0.0) for a in AMINO_ACIDS])
-    freq = F.when((F.col("pos") > mask) & (F.col("depth") >= least), F.round(F.col("mutated") / F.col("depth"), 5))
+    shares = F.array(*[F.when(F.col("mutated") > 0, F.round(F.col(f"_{a}") / F.col("mutated") + 1e-9, 5)).otherwise(0.0) for a in AMINO_ACIDS])
+    freq = F.when((F.col("pos") > mask) & (F.col("depth") >= least), F.round(F.col("mutated") / F.col("depth") + 1e-9, 5))
     return out.select("vgene", "prof", "pos", "germ", freq.alias("freq"), shares.alias("profile"))
 
 

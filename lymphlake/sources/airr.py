@@ -71,7 +71,7 @@ def subject_chains(master: DataFrame, subject: str) -> DataFrame:
     its amino acids stand in the translation, times three.
     """
     rows = master.where(F.col("subject") == subject)
-    at = F.locate(F.col("l_cdr3_aa"), F.col("l_aa"))
+    at = F.position(F.col("l_cdr3_aa"), F.col("l_aa"))
     light = F.when(at > 0, F.substr("l_nt", (at - 1) * 3 + 1, F.length("l_cdr3_aa") * 3))
     chains = F.array(
         F.struct(F.concat("name", F.lit("_H")).alias("sequence_id"), F.col("name").alias("cell_id"), F.lit("IGH").alias("locus"), F.col("h_v").alias("v_call"), F.col("h_cdr3_nt").alias("junction")),

@@ -19,7 +19,7 @@ IUPAC = {"A": "A", "C": "C", "G": "G", "T": "[UT]", "U": "[UT]", "M": "[AC]", "R
 def codons(seq: Column) -> Column:
     """Array of whole codons; a partial one at the end is dropped."""
     n = F.floor(F.length(seq) / 3).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(seq, i * 3 + 1, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(seq, i * 3 + 1, F.lit(3)))).when(n == 0, F.array().cast("array<string>"))
 
 
 def _lookup() -> Column:

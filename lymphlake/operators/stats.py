@@ -112,7 +112,7 @@ def posterior_summary(log: DataFrame, burn_in: float = 10.0, mass: float = 0.95)
     n = log.count()
     skip = int(n * burn_in / 100)
     rows = log.withColumn("_n", F.row_number().over(Window.orderBy("sample"))).where(F.col("_n") > skip)
-    k = max(1, int(round((n - skip) * mass)))
+    k = max(1, int((n - skip) * mass + 0.5))
     by_rate = Window.orderBy("rate", "sample")
     spans = rows.withColumn("_end", F.lead("rate", k - 1).over(by_rate))
     best = spans.where(F.col("_end").isNotNull()).agg(F.min(F.struct(F.round(F.col("_end") - F.col("rate"), 12).alias("w"), F.col("rate").alias("lo"), F.col("_end").alias("hi"))).alias("s"))

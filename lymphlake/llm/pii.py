@@ -81,7 +81,9 @@ _NAME = "|".join(DIGIT_NAMES)
 _SPELLED = re.compile(rf"(?i)(?<![a-z])(?:{_NAME})(?:[\x20,-]+(?:{_NAME}|[0-9]))*(?![a-z])")
 _NAMES = re.compile(rf"(?i){_NAME}|[0-9]")
 _BRACKETED = re.compile(r"(?i)\x20*[\[({<]\x20*(at|dot|@|\.|punkt|point|punto)\x20*[\])}>]\x20*")
-_WORDED = re.compile(r"(?i)(?<![a-z0-9_%+.-])[a-z0-9_%+-]++(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]++)*\x20at\x20[a-z0-9-]++(?:\.[a-z0-9-]++)*(?:\x20dot\x20[a-z0-9-]++(?:\.[a-z0-9-]++)*)+")
+# Ends of a worded domain that are taken for one.
+_ENDS = "com|net|org|edu|gov|info|biz|io|co|eu|us|uk|de|fr|es|it|nl|ch|at|ru|jp|cn|in|br"
+_WORDED = re.compile(rf"(?i)(?<![a-z0-9_%+.-])[a-z0-9_%+-]++(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]++)*\x20at\x20[a-z0-9-]++(?:(?:\.|\x20dot\x20)[a-z0-9-]++)*\x20dot\x20(?:{_ENDS})(?![a-z0-9-])")
 _WORD_AT = re.compile(r"(?i)\x20(at|dot)\x20")
 _PLUS = re.compile(r"(?i)(?:\+|(?<![a-z])plus)\x20*$")
 _SEPARATORS = str.maketrans(",-", "  ")

@@ -71,20 +71,27 @@ def find(text: str) -> list[tuple[int, int, str]]:
 
 # Look-alike letters of other scripts, and names of digits.
 HOMOGLYPHS = dict(zip("аАеЕоОрРсСхХуУіІјЈѕЅһԁԛԝВМНКТЗαΑοΟρΡΕΗΙΚΜΝΤΥΧΖΒνᴏ", "aAeEoOpPcCxXyYiIjJsShdqwBMHKT3aAoOpPEHIKMNTYXZBvo", strict=True))
-DIGIT_NAMES = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+_NAMED_DIGITS = (
+    "zero oh one two three four five six seven eight nine",
+    "null - eins zwei drei vier fünf sechs sieben acht neun",
+    "zéro - un deux trois quatre cinq six sept huit neuf",
+    "cero - uno dos tres cuatro cinco seis siete ocho nueve",
+)
+DIGIT_NAMES = {name: str(max(0, i - 1)) for line in _NAMED_DIGITS for i, name in enumerate(line.split()) if name != "-"}
 # Rules instead of tables: full-width ASCII, and the decimal digits of other scripts.
 _TRANSLATE = {ord(a): b for a, b in HOMOGLYPHS.items()} | {0xFF00 + i: chr(0x20 + i) for i in range(1, 95)}
 _TRANSLATE |= {base + i: str(i) for base in (0x0660, 0x06F0, 0x0966, 0x09E6) for i in range(10)}
 _ODD = re.compile("[" + "".join(map(chr, _TRANSLATE)) + "​‌‍⁠﻿­]")
 
-_NAME = "|".join(DIGIT_NAMES)
-_SPELLED = re.compile(rf"(?i)(?<![a-z])(?:{_NAME})(?:[\x20,-]+(?:{_NAME}|[0-9]))*(?![a-z])")
+_NAME = "|".join(sorted(DIGIT_NAMES, key=len, reverse=True))
+_SPELLED = re.compile(rf"(?i)(?<!\w)(?:{_NAME})(?:[\x20,-]+(?:{_NAME}|[0-9]))*(?!\w)")
 _NAMES = re.compile(rf"(?i){_NAME}|[0-9]")
 _BRACKETED = re.compile(r"(?i)\x20*[\[({<]\x20*(at|dot|@|\.|punkt|point|punto)\x20*[\])}>]\x20*")
 # Ends of a worded domain that are taken for one.
 _ENDS = "com|net|org|edu|gov|info|biz|io|co|eu|us|uk|de|fr|es|it|nl|ch|at|ru|jp|cn|in|br"
 _WORDED = re.compile(rf"(?i)(?<![a-z0-9_%+.-])[a-z0-9_%+-]++(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]++)*\x20at\x20[a-z0-9-]++(?:(?:\.|\x20dot\x20)[a-z0-9-]++)*\x20dot\x20(?:{_ENDS})(?![a-z0-9-])")
 _WORD_AT = re.compile(r"(?i)\x20(at|dot)\x20")
+_DIGIT_DOT = re.compile(r"(?i)(?<=[0-9])\x20dot\x20(?=[0-9])")
 _PLUS = re.compile(r"(?i)(?:\+|(?<![a-z])plus)\x20*$")
 _SEPARATORS = str.maketrans(",-", "  ")
 
@@ -116,6 +123,8 @@ def _replacements(text: str) -> list[tuple[int, int, str]]:
                     found.append((x.start(), after, DIGIT_NAMES.get(x[0].lower(), x[0])))
         for m in _BRACKETED.finditer(plain):
             found.append((m.start(), m.end(), "@" if m[1].lower() in ("at", "@") else "."))
+        for m in _DIGIT_DOT.finditer(plain):
+            found.append((m.start(), m.end(), "."))
         for m in _WORDED.finditer(plain):
             for x in _WORD_AT.finditer(plain, m.start(), m.end()):
                 found.append((x.start(), x.end(), "@" if x[1].lower() == "at" else "."))

@@ -236,6 +236,9 @@ def test_plain_spans_equal_the_patterns(spark, sf):
     [
         ("mail john at example dot com now", "john at example dot com"),
         ("ann dot lee at mail dot example dot org.", "ann dot lee at mail dot example dot org"),
+        ("from 42 dot 144 dot 35 dot 254 again", "42 dot 144 dot 35 dot 254"),
+        ("bei 10[.]2(.)3[dot]4 x", "10[.]2(.)3[dot]4"),
+        ("plus eins neun acht acht fünf fünf fünf zwei vier null", "plus eins neun acht acht fünf fünf fünf zwei vier null"),
         ("joe (at) mail [dot] example.com hi", "joe (at) mail [dot] example.com"),
         ("call + one two three four five six seven eight nine zero ok", "+ one two three four five six seven eight nine zero"),
         ("jоhn@exаmple.com x", "jоhn@exаmple.com"),

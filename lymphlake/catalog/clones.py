@@ -215,3 +215,11 @@ def length_order_clustering(spark, d):
     t = view(spark, d, "rearrangements")
     order = [(-F.length("junction")).alias("a"), F.col("timepoint").alias("b"), F.col("sequence_id").alias("c")]
     return C.cluster_blocks(t, [gene_of(F.col("v_call")), gene_of(F.col("j_call"))], "sequence_id", "junction", order, 0.9, band=2)
+
+
+@query()
+def abundance_clustering(spark, d):
+    """Dereplicated reads clustered at 99 % within a V gene and length, most abundant first: rows only; the invariants are tested."""
+    t = view(spark, d, "rearrangements")
+    order = [(-F.col("duplicate_count")).alias("a"), F.col("sequence_id").alias("b")]
+    return C.cluster_blocks(t, [gene_of(F.col("v_call")), F.length("junction")], "sequence_id", "junction", order, 0.99)

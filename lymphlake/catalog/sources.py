@@ -138,3 +138,25 @@ def antibody_sieve(spark, d):
     t = view(spark, d, "rearrangements").where("locus = 'IGH'").groupBy(F.col("junction").alias("seq")).agg(F.min("sequence_id").alias("id"))
     natives = t.orderBy("seq").limit(3).select(F.concat(F.lit("native"), "id").alias("id"), "seq")
     return sieve(t.select("id", "seq"), natives, ("germline", "TGT" + "ACGT" * 7), batch=60, rounds=4)
+
+
+@query()
+def germline_assignment(spark, d):
+    """Seed votes and alignment of reads cut from alleles: rows only; that the source allele wins is tested."""
+    from lymphlake.operators.align import germline_hits
+
+    g = view(spark, d, "germline").select("allele", "seq")
+    u = view(spark, d, "umi_reads").withColumn("n", F.pmod(F.xxhash64("umi", "cell"), F.lit(189)))
+    alleles = g.withColumn("n", F.pmod(F.xxhash64("allele"), F.lit(189))).dropDuplicates(["n"])
+    reads = u.join(alleles, "n").select(F.concat(F.lit("r"), "event_id").alias("id"), F.concat(F.substring("umi", 1, 5), F.substr(alleles["seq"], F.lit(6), F.lit(50))).alias("seq"))
+    return germline_hits(reads, g)
+
+
+@query("umi_reads", sql="SELECT n, count(*) AS reads, sum(e) / count(*) AS mean_error FROM (SELECT length(seq) AS n, length(seq) * pow(10, -(1 + event_id % 20) / 10.0) AS e FROM umi_reads) GROUP BY n")
+def length_and_error(spark, d):
+    """Reads per length and their mean expected errors."""
+    from lymphlake.functions.seq import phred
+
+    q = F.repeat(F.char(34 + F.col("event_id") % 20), F.length("seq"))
+    errors = F.aggregate(phred(q), F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), -x / 10.0))
+    return view(spark, d, "umi_reads").groupBy(F.length("seq").cast("long").alias("n")).agg(F.count(F.lit(1)).alias("reads"), (F.sum(errors) / F.count(F.lit(1))).alias("mean_error"))

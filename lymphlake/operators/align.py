@@ -74,6 +74,57 @@ def aligned(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.mapInArrow(run, schema)
 
 
+HIT_SCHEMA = "qid string, sid string, identity double, alignment int, mismatches int, gaps int, qstart int, qend int, sstart int, send int, score double, strand string"
+
+
+def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 10, least: float = 20.0) -> DataFrame:
+    """Hits of each read in a germline library, best first: the columns of a hit table and ``hit_rank``.
+
+    ``reads`` has ``id, seq``, ``germline`` ``allele, seq``. Alleles that share
+    most k-mers on a diagonal are aligned with the read (its reverse
+    complement on the minus strand); a score is a match more and three less
+    for a mismatch or gap; hits under ``least`` are dropped. Subject ends come
+    in falling order on the minus strand; query ends refer to the read as given.
+    """
+    from pyspark.sql import Window
+
+    from lymphlake.functions.seq import revcomp
+    from lymphlake.operators.hits import seed_votes
+
+    votes = seed_votes(reads, germline, k, keep)
+    rows = votes.join(reads.select(F.col("id").alias("_i"), F.upper("seq").alias("read")), F.col("id") == F.col("_i")).join(germline.select(F.col("allele").alias("_a"), F.upper("seq").alias("gene")), F.col("allele") == F.col("_a"))
+    rows = rows.select("id", "allele", "strand", F.when(F.col("strand") == "plus", F.col("read")).otherwise(revcomp(F.col("read"))).alias("read"), "gene")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, allele, strand, read, gene in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                a, b = (np.frombuffer(x.encode(), np.uint8) for x in align_pair(read, gene))
+                both = np.flatnonzero((a != 45) & (b != 45))
+                if not len(both):
+                    continue
+                part = slice(both[0], both[-1] + 1)
+                same, gap = a[part] == b[part], (a[part] == 45) | (b[part] == 45)
+                # the best stretch: a match counts 1, anything else -3
+                gain = np.cumsum(np.where(same, 1, -3))
+                low = np.minimum.accumulate(np.concatenate([[0], gain[:-1]]))
+                end = int((gain - low).argmax())
+                begin = int(np.concatenate([[0], gain[:-1]])[: end + 1].argmin())
+                s = slice(part.start + begin, part.start + end + 1)
+                n, gaps, matches = end + 1 - begin, int(gap[begin : end + 1].sum()), int(same[begin : end + 1].sum())
+                q0, s0 = int((a[: s.start] != 45).sum()) + 1, int((b[: s.start] != 45).sum()) + 1
+                q1, s1 = int((a[: s.stop] != 45).sum()), int((b[: s.stop] != 45).sum())
+                if strand == "minus":
+                    q0, q1, s0, s1 = len(read) - q1 + 1, len(read) - q0 + 1, s1, s0
+                out.append((name, allele, 100.0 * matches / n, n, n - matches - gaps, gaps, q0, q1, s0, s1, float((gain - low)[end]), strand))
+            kinds = (pa.string(), pa.string(), pa.float64(), *[pa.int32()] * 7, pa.float64(), pa.string())
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in HIT_SCHEMA.split(", ")])
+
+    rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("identity"), "sid"))
+    return rows.mapInArrow(run, HIT_SCHEMA).where(F.col("score") >= least).withColumn("hit_rank", rank)
+
+
 def identity_divergence(reads: DataFrame, germline: DataFrame, antibodies: DataFrame) -> DataFrame:
     """``sequence_id, referent, identity, coverage``: each read against its germline and every known antibody.
 

@@ -1 +1 @@
-"""Part of the engine; see the README for the map of modules."""
+"""Running results over growing folders of rearrangements."""

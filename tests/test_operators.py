@@ -165,3 +165,29 @@ def test_merge_pairs(spark):
     pairs = spark.createDataFrame([("x", a[:15]), ("y", "A" * 15)], "id string, seq1 string").withColumn("seq2", F.reverse(F.translate(F.lit(a[5:]), "ACGT", "TGCA")))
     got = {r["id"]: r["merged"] for r in barcodes.merge_pairs(pairs, least_length=10, least_overlap=8, most_diffs=0).collect()}
     assert got == {"x": a, "y": None}
+
+
+def test_running_clones_follow_the_batch(spark, sf, tmp_path):
+    from lymphlake.streaming.clones import rearrangement_stream, running_clones
+
+    t = view(spark, sf, "rearrangements")
+    t.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = running_clones(rearrangement_stream(spark, str(tmp_path / "in"), t.schema))
+    q = stream.writeStream.format("memory").queryName("running").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    want = {(r["v_gene"], r["j_gene"], r["junction"]): (r["clone_count"], r["abundance"]) for r in QUERIES["clone_ranking"](spark, sf).collect()}
+    got = {(r["v_gene"], r["j_gene"], r["junction"]): (r["clone_count"], r["abundance"]) for r in spark.table("running").collect()}
+    assert got == want
+
+
+def test_germline_hits_find_the_source(spark, sf):
+    g = view(spark, sf, "germline").select("allele", "seq")
+    reads = g.where("allele like '%*01'").select(F.col("allele").alias("id"), F.concat(F.lit("ACGTACG"), F.substr("seq", F.lit(4))).alias("seq"))
+    top = align.germline_hits(reads, g).where("hit_rank = 1").collect()
+    assert len(top) == reads.count()
+    for r in top:
+        assert r["sid"] == r["qid"] and r["strand"] == "plus" and r["identity"] == 100.0
+        assert r["qstart"] - r["sstart"] == 4 and r["qstart"] <= 8

@@ -160,8 +160,7 @@ def replicate_overlap(spark, d):
 
 @query(
     "rearrangements", ctes_more="w AS (SELECT junction, coalesce(sum(duplicate_count) FILTER (source_repertoire = 'src0'), 0) AS a, coalesce(sum(duplicate_count) FILTER (source_repertoire = 'src1'), 0) AS b, coalesce(sum(duplicate_count) FILTER (source_repertoire = 'src2'), 0) AS c FROM rearrangements GROUP BY junction)",
-    sql="SELECT 'src0' AS a, 'src1' AS b, corr(a, b) AS r FROM w UNION ALL SELECT 'src0', 'src2', corr(a, c) FROM w UNION ALL SELECT 'src1', 'src2', corr(b, c) FROM w",
-)
+    sql="SELECT 'src0' AS a, 'src1' AS b, corr(a, b) AS r FROM w UNION ALL SELECT 'src0', 'src2', corr(a, c) FROM w UNION ALL SELECT 'src1', 'src2', corr(b, c) FROM w", rounded=("r",))
 def replicate_correlation(spark, d):
     return L.replicate_correlation(view(spark, d, "rearrangements"), ["src0", "src1", "src2"])
 

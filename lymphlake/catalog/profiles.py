@@ -28,18 +28,18 @@ def substitution_profile(spark, d):
 _RARITY = _LONG + ", r AS (SELECT vgene, pos, aa, avg(1 - freq * p) AS mean, stddev_pop(1 - freq * p) AS std FROM l WHERE freq IS NOT NULL AND aa <> germ GROUP BY ALL)"
 
 
-@query("aligned_residues", ctes_more=_RARITY, sql="SELECT * FROM r")
+@query("aligned_residues", ctes_more=_RARITY, sql="SELECT * FROM r", rounded=("mean", "std"), digits=7)
 def rarity(spark, d):
     return P.rarity(_profiles(spark, d))
 
 
-@query("aligned_residues", ctes_more=_LONG, sql="SELECT vgene, pos, avg(freq) AS freq, aa, coalesce(avg(p) FILTER (freq IS NOT NULL), 0) AS p FROM l GROUP BY vgene, pos, aa")
+@query("aligned_residues", ctes_more=_LONG, sql="SELECT vgene, pos, avg(freq) AS freq, aa, coalesce(avg(p) FILTER (freq IS NOT NULL), 0) AS p FROM l GROUP BY vgene, pos, aa", rounded=("freq", "p"))
 def average_profile(spark, d):
     rows = P.average_profile(_profiles(spark, d)).select("vgene", "pos", "freq", F.posexplode("profile").alias("i", "p"))
     return rows.select("vgene", "pos", "freq", F.substr(F.lit(AMINO_ACIDS), F.col("i") + 1, F.lit(1)).alias("aa"), "p")
 
 
-@query("aligned_residues", ctes_more=_LONG, sql="SELECT vgene, sum(freq * e) / sum(freq) AS entropy FROM (SELECT vgene, prof, pos, freq, -sum(CASE WHEN p > 0 THEN p * log2(p) ELSE 0 END) AS e FROM l WHERE freq IS NOT NULL GROUP BY ALL) GROUP BY vgene")
+@query("aligned_residues", ctes_more=_LONG, sql="SELECT vgene, sum(freq * e) / sum(freq) AS entropy FROM (SELECT vgene, prof, pos, freq, -sum(CASE WHEN p > 0 THEN p * log2(p) ELSE 0 END) AS e FROM l WHERE freq IS NOT NULL GROUP BY ALL) GROUP BY vgene", rounded=("entropy",))
 def profile_entropy(spark, d):
     return P.entropy(_profiles(spark, d))
 
@@ -53,13 +53,13 @@ _JSD = (
 )
 
 
-@query("aligned_residues", ctes_more=_JSD, sql="SELECT * FROM d")
+@query("aligned_residues", ctes_more=_JSD, sql="SELECT * FROM d", rounded=("jsd",))
 def profile_comparison(spark, d):
     p = _profiles(spark, d)
     return P.compare_profiles(p, p)
 
 
-@query("aligned_residues", ctes_more=_JSD, sql="SELECT v1, max(CASE WHEN v2 = v1 AND v2 = 'IGHV1' THEN 0 WHEN v2 = 'IGHV1' THEN jsd END) AS \"IGHV1\", max(CASE WHEN v2 = v1 AND v2 = 'IGHV2' THEN 0 WHEN v2 = 'IGHV2' THEN jsd END) AS \"IGHV2\" FROM d GROUP BY v1")
+@query("aligned_residues", ctes_more=_JSD, sql="SELECT v1, max(CASE WHEN v2 = v1 AND v2 = 'IGHV1' THEN 0 WHEN v2 = 'IGHV1' THEN jsd END) AS \"IGHV1\", max(CASE WHEN v2 = v1 AND v2 = 'IGHV2' THEN 0 WHEN v2 = 'IGHV2' THEN jsd END) AS \"IGHV2\" FROM d GROUP BY v1", rounded=("IGHV1", "IGHV2"))
 def jsd_matrix(spark, d):
     return P.jsd_matrix(_profiles(spark, d), ["IGHV1", "IGHV2"])
 

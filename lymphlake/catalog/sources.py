@@ -152,7 +152,7 @@ def germline_assignment(spark, d):
     return germline_hits(reads, g)
 
 
-@query("umi_reads", sql="SELECT n, count(*) AS reads, sum(e) / count(*) AS mean_error FROM (SELECT length(seq) AS n, length(seq) * pow(10, -(1 + event_id % 20) / 10.0) AS e FROM umi_reads) GROUP BY n")
+@query("umi_reads", sql="SELECT n, count(*) AS reads, sum(e) / count(*) AS mean_error FROM (SELECT length(seq) AS n, length(seq) * pow(10, -(1 + event_id % 20) / 10.0) AS e FROM umi_reads) GROUP BY n", rounded=("mean_error",))
 def length_and_error(spark, d):
     """Reads per length and their mean expected errors."""
     from lymphlake.functions.seq import phred

@@ -19,8 +19,7 @@ def divergence_histogram(spark, d):
 
 @query(
     "rearrangements", ctes_more="b AS (SELECT CAST(floor((log10(t) + 1e-9) / 0.2) AS BIGINT) AS b, count(*) AS n FROM (SELECT sum(duplicate_count) AS t FROM rearrangements GROUP BY junction) GROUP BY 1)",
-    sql="SELECT CAST(s * 0.2 AS DOUBLE) AS bin, coalesce(n, 0) AS n FROM (SELECT unnest(range((SELECT min(b) FROM b), (SELECT max(b) + 1 FROM b))) AS s) LEFT JOIN b ON b = s",
-)
+    sql="SELECT CAST(s * 0.2 AS DOUBLE) AS bin, coalesce(n, 0) AS n FROM (SELECT unnest(range((SELECT min(b) FROM b), (SELECT max(b) + 1 FROM b))) AS s) LEFT JOIN b ON b = s", rounded=("bin",))
 def log_size_histogram(spark, d):
     sizes = view(spark, d, "rearrangements").groupBy("junction").agg(F.sum("duplicate_count").alias("t"))
     return T.log_histogram(sizes, F.col("t"))
@@ -70,14 +69,13 @@ def longitudinal_facets(spark, d):
 @query(
     "iddiv", ctes_more="w AS (SELECT germ_div AS x, identity AS y, count(*) AS w FROM iddiv WHERE germ_div BETWEEN 0 AND 60 AND identity BETWEEN 40 AND 100 GROUP BY ALL)",
     sql="""SELECT gx.i AS gx, gy.i AS gy, sum(w * exp(-(pow((x - gx.i * 2.5) / 0.25, 2) + pow((y - 40 - gy.i * 2.5) / 0.25, 2)) / 2)) / ((SELECT sum(w) FROM w) * 2 * pi() * 0.0625) AS density
-      FROM w JOIN (SELECT unnest(range(0, 25)) AS i) gx ON abs(x - gx.i * 2.5) <= 4 JOIN (SELECT unnest(range(0, 25)) AS i) gy ON abs(y - 40 - gy.i * 2.5) <= 4 GROUP BY ALL""",
-)
+      FROM w JOIN (SELECT unnest(range(0, 25)) AS i) gx ON abs(x - gx.i * 2.5) <= 4 JOIN (SELECT unnest(range(0, 25)) AS i) gy ON abs(y - 40 - gy.i * 2.5) <= 4 GROUP BY ALL""", rounded=("density",))
 def kernel_density(spark, d):
     return T.kernel_density(view(spark, d, "iddiv"))
 
 
 @query("mcmc_log", ctes_more="o AS (SELECT rate, sample FROM (SELECT *, row_number() OVER (ORDER BY sample) AS i, count(*) OVER () AS n FROM mcmc_log) WHERE i > CAST(floor(n * 0.1) AS BIGINT)), s AS (SELECT rate AS lo, lead(rate, CAST(round((SELECT count(*) FROM o) * 0.95) AS INT) - 1) OVER (ORDER BY rate, sample) AS hi FROM o)",
-    sql="SELECT (SELECT count(*) FROM o) AS n, (SELECT avg(rate) FROM o) AS mean, (SELECT median(rate) FROM o) AS median, (SELECT stddev_samp(rate) / sqrt(count(*)) FROM o) AS se, lo AS hpd_low, hi AS hpd_high FROM s WHERE hi IS NOT NULL ORDER BY round(hi - lo, 12), lo LIMIT 1")
+    sql="SELECT (SELECT count(*) FROM o) AS n, (SELECT avg(rate) FROM o) AS mean, (SELECT median(rate) FROM o) AS median, (SELECT stddev_samp(rate) / sqrt(count(*)) FROM o) AS se, lo AS hpd_low, hi AS hpd_high FROM s WHERE hi IS NOT NULL ORDER BY round(hi - lo, 12), lo LIMIT 1", rounded=("mean", "median", "se", "hpd_low", "hpd_high"))
 def posterior_summary(spark, d):
     return T.posterior_summary(view(spark, d, "mcmc_log"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lymphlake.functions.seq import gene_of
+from lymphlake.plans.tables import written
 
 
 def dereplicate(reads: DataFrame, id_column: str = "id", seq_column: str = "seq", size_column: str = "size", least: int = 1) -> DataFrame:
@@ -139,8 +140,10 @@ def numbered(clones: DataFrame, size: str = "clone_count", centroid: str = "cent
 
     The rank is over clones, not rows; it is taken in two steps, so that the
     global order needs no single task: counts of each size come first, and
-    within a size the rank runs in that size's own partition.
+    within a size the rank runs in that size's own partition. The clones are
+    written first, so that the reads are aggregated once.
     """
+    clones = written(clones, "clones")
     sizes = clones.groupBy(F.col(size).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_size")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("_size", before.alias("_before"))

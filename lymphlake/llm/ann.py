@@ -201,8 +201,8 @@ def search(index: DataFrame, queries: DataFrame, id_column: str, vector_column:
                 yield _search_block(cell, k, beam, degree)
 
     # the number of pairs is shards times blocks of queries, stated work of a search
-    shards = index.select("shard").distinct()
-    pairs = packed.select("block").join(shards, how="cross").repartition("shard", "block")
+    last = index.agg(F.max("shard")).first()[0]
+    pairs = packed.select("block", F.explode(F.sequence(F.lit(0), F.lit(last or 0))).alias("shard")).repartition("shard", "block")
     work = pairs.join(index, "shard").join(packed, "block").drop("block", "shard")
     hits = work.mapInArrow(run, HIT_SCHEMA)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("vec_id")))

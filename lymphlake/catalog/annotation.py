@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from lymphlake.catalog.registry import query
 from lymphlake.catalog.scalars import _translated
-from lymphlake.functions import seq as S
 from lymphlake.operators import annotate, hits as H, rules as R
 from lymphlake.plans.views import view
 

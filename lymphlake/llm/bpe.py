@@ -19,7 +19,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Upper widths of the length buckets; longer pieces use a heap of pairs.
 WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 #: Rows of one matrix, and pieces that a worker remembers before it starts anew.
-MATRIX_ROWS, REMEMBERED = 1 << 14, 300_000
+MATRIX_ROWS, REMEMBERED = 1 << 14, 150_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -85,6 +85,7 @@ class Codec:
         for token, rank in self.vocabulary.items():
             self.tokens[rank] = token
         self.numerals = [str(i) for i in range(len(self.tokens))]
+        self.ints = list(range(len(self.tokens)))  # one object an id, shared by all remembered pieces
         self.table = PairTable(self.vocabulary)
         self.bytes = np.array([self.vocabulary[bytes([i])] for i in range(256)], np.int32)
         self.split = regex.compile(pattern).findall
@@ -109,7 +110,7 @@ class Codec:
             if done.any():
                 ended, ends = ids[done], (ids[done] >= 0).sum(axis=1)
                 for o, line, end in zip(owner[done].tolist(), ended.tolist(), ends.tolist(), strict=True):
-                    out[o] = tuple(line[:end])
+                    out[o] = tuple(map(self.ints.__getitem__, line[:end]))
                 keep = ~done
                 ids, ranks, owner, at, best = ids[keep], ranks[keep], owner[keep], at[keep], best[keep]
                 row = np.arange(len(owner))

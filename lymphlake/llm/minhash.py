@@ -54,7 +54,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    if len(_words) > 400_000:
+    if len(_words) > 150_000:
         _words.clear()
     h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     n = len(h)

@@ -15,8 +15,8 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Restart probability is 1 - DAMPING; ITERATIONS leave less than DAMPING^ITERATIONS of the mass to settle.
-DAMPING, ITERATIONS = 0.85, 12
+#: A walk goes on with probability DAMPING; ITERATIONS steps leave out at most DAMPING^ITERATIONS of the walks.
+DAMPING, ITERATIONS = 0.85, 16
 #: A host is blocked when its distrust exceeds this multiple of its trust, and the uniform share times LEAST.
 RATIO, LEAST = 1.0, 0.5
 
@@ -81,26 +81,28 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
     """Personalised PageRank: ``host, rank`` over ``edges (src, dst, weight)`` from ``seeds (host, mass)``.
 
-    Seed masses are scaled to 1. What stands on hosts without links out
-    returns to the seeds. Each iteration joins the ranks with the edges and
-    sums by target before the shuffle; every fourth is written to the shared
-    folder. Hosts that nothing reaches are not listed. No seed, no row.
+    Walks start at the seeds, follow edges by weight with probability
+    ``damping`` and are counted at every host; the counts, scaled to 1, are the
+    ranks of a surfer who returns to the seeds at the end of each walk, also
+    where no link leads on. ``iterations`` steps leave out at most
+    damping^iterations of the walks. Each step joins the counts with the edges
+    once and sums by target before the shuffle; every fourth is written to the
+    shared folder. Hosts that nothing reaches are not listed. No seed, no row.
     """
     whole = seeds.agg(F.sum("mass")).first()[0]
     if not whole:
         return seeds.select("host", F.col("mass").cast("double").alias("rank")).limit(0)
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
-    steps = written(edges.join(out.withColumnRenamed("src", "s"), F.col("src") == F.col("s")).select("src", "dst", (F.col("weight") / F.col("out")).alias("share")), "host-steps")
-    start = written(seeds.groupBy("host").agg((F.sum("mass") / whole).alias("mass")), "host-seeds")
-    rank = start.select("host", F.col("mass").alias("rank"))
+    steps = written(edges.join(out.withColumnRenamed("src", "s"), F.col("src") == F.col("s")).select("src", "dst", (damping * F.col("weight") / F.col("out")).alias("share")), "host-steps")
+    start = written(seeds.groupBy("host").agg((F.sum("mass") / whole).alias("rank")), "host-seeds")
+    rank = start
     for i in range(iterations):
-        moved = rank.join(steps, F.col("host") == F.col("src")).groupBy("dst").agg((F.sum(F.col("rank") * F.col("share")) * damping).alias("rank"))
-        kept = moved.agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("kept"))
-        again = start.join(kept, how="cross").select("host", (F.col("mass") * (1 - F.col("kept"))).alias("rank"))
-        rank = moved.select(F.col("dst").alias("host"), "rank").unionByName(again).groupBy("host").agg(F.sum("rank").alias("rank"))
+        moved = rank.join(steps, F.col("host") == F.col("src")).select(F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
+        rank = moved.unionByName(start).groupBy("host").agg(F.sum("rank").alias("rank"))
         if i % 4 == 3 or i + 1 == iterations:
             rank = written(rank, "host-rank")
-    return rank
+    total = rank.agg(F.sum("rank")).first()[0]
+    return rank.select("host", (F.col("rank") / total).alias("rank"))
 
 
 def judge(pages: DataFrame, rules=RULES, damping: float = DAMPING, iterations: int = ITERATIONS, ratio: float = RATIO, least: float = LEAST) -> DataFrame:

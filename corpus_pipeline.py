@@ -39,8 +39,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with their number; ids decode to the text."""
-    ids = bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    """Token ids of every text, with their number; workers decode them and compare with the text."""
+    ids = bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, ["doc_id", "lang", "source"], decoded=False)
     return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

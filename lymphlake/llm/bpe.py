@@ -197,24 +197,33 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, columns: list[str] | None = None, decoded: bool = True) -> DataFrame:
     """``docs`` with ``ids array<int>`` and ``decoded binary``, the round trip of the whole text.
 
     ``path`` must be readable by every worker (vocabularies are installed
-    files, never copied). Null text counts as empty: no ids, no bytes. Input
-    columns named ``ids`` or ``decoded`` are replaced. Special tokens do not
-    exist: their strings are ordinary text. Memory per worker is bounded by
-    pieces of batches and a vocabulary of remembered pieces.
+    files, never copied). ``columns`` names the input columns that stay (all).
+    Without ``decoded`` the bytes do not leave the worker: it decodes the ids
+    and fails if they do not give the text back. Null text counts as empty: no
+    ids, no bytes. Input columns named ``ids`` or ``decoded`` are replaced.
+    Special tokens do not exist: their strings are ordinary text. Memory per
+    worker is bounded by pieces of batches and a vocabulary of remembered pieces.
     """
-    kept = [c for c in docs.columns if c not in ("ids", "decoded")]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = source.selectExpr("*", "cast(null as array<int>) ids", "cast(null as binary) decoded").schema
+    added = ["ids", "decoded"] if decoded else ["ids"]
+    kept = [c for c in (docs.columns if columns is None else columns) if c not in added]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if "text" in kept else ["text"]))
+    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).selectExpr("*", "cast(null as array<int>) ids", *(["cast(null as binary) decoded"] if decoded else [])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in pieces(batches, "text", 2 << 20):
-            ids = list(own.encode([t or "" for t in batch.column("text").to_pylist()]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(map(own.decode, ids), pa.binary(), size=len(ids))], names=[*kept, "ids", "decoded"])
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            ids = list(own.encode(texts))
+            more = [pa.array(ids, pa.list_(pa.int32()))]
+            if decoded:
+                more.append(pa.array(map(own.decode, ids), pa.binary(), size=len(ids)))
+            elif any(own.decode(i) != t.encode("utf-8", "surrogatepass") for i, t in zip(ids, texts, strict=True)):
+                raise ValueError("decoded ids differ from the text")
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *more], names=[*kept, *added])
 
     return source.mapInArrow(run, schema)
 

@@ -149,6 +149,8 @@ def test_bpe_query_odd_rows(spark, vocabulary):
         assert got[doc]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
     rows = bpe.encode(odd(spark), *vocabulary).collect()
     assert len(rows) == len(ODD) and all(bytes(r["decoded"]).decode() == (r["text"] or "") for r in rows)
+    few = bpe.encode(odd(spark), *vocabulary, columns=["doc_id"], decoded=False)
+    assert few.columns == ["doc_id", "ids"] and sorted(map(str, (r["ids"] for r in few.collect()))) == sorted(map(str, (r["ids"] for r in rows)))
     assert bpe.digests(odd(spark).limit(0), *vocabulary).count() == 0
 
 

@@ -99,11 +99,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("key"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) for s in sets], pa.binary()),
                 pa.array(sketch, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "class", "sketch"],
+            names=["doc_id", "key", "n_shingles", "class", "sketch"],
         )
 
 
@@ -285,9 +286,26 @@ def link(docs: DataFrame) -> DataFrame:
     of null ids only has a null component_id and ``kept`` true. An empty table
     gives an empty result.
     """
+    id_: Column = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return _grouped(docs).select("doc_id", "n_shingles", id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"))
+
+
+def _key(text: Column) -> Column:
+    """What tells the rows of one id apart: 128 bits of the text, null for null."""
+    return F.unhex(F.md5(text.cast("string")))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, key, n_shingles, class`` of every row and, null without shingles, its component's ``component_id`` and ``best``.
+
+    ``best`` is the smallest (no id, doc_id, key) of the component's rows; it
+    is found by class and then by component, so a large group is summed before
+    each shuffle.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = written(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, class binary, sketch binary"), "near-sketch")
-    classes = written(sketched.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch")), "near-classes")
+    sketched = written(docs.select("doc_id", "text", _key(F.col("text")).alias("key")).mapInArrow(_sketch, "doc_id long, key binary, n_shingles long, class binary, sketch binary"), "near-sketch")
+    best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    classes = written(sketched.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first_id"), F.min(best).alias("best"), F.first("sketch").alias("sketch")), "near-classes")
 
     keys = classes.select("class", "sketch").mapInArrow(_bands, "bucket long, band int, node binary")
     shared = written(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.col("bucket").alias("k"), "n"), "near-buckets")
@@ -318,11 +336,10 @@ def link(docs: DataFrame) -> DataFrame:
         links = links.unionByName(_confirmed(across, sets, "near-second"))
         found = components(links).select(F.col("node").alias("c"), "component")
 
-    grouped = classes.select("class", "first_id").join(found, F.col("class") == F.col("c"), "left").select("class", "first_id", F.coalesce("component", "class").alias("component"))
-    smallest = written(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")).withColumnRenamed("component", "g"), "near-groups")
-    of_class = written(grouped.join(smallest, F.col("component") == F.col("g")).select(F.col("class").alias("c"), "component_id"), "near-ids")
-    id_: Column = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return sketched.join(of_class, F.col("class") == F.col("c"), "left").select("doc_id", "n_shingles", id_.alias("component_id"), F.col("doc_id").eqNullSafe(id_).alias("kept"))
+    grouped = classes.select("class", "first_id", "best").join(found, F.col("class") == F.col("c"), "left").select("class", "first_id", "best", F.coalesce("component", "class").alias("component"))
+    smallest = written(grouped.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("best").alias("best")).withColumnRenamed("component", "g"), "near-groups")
+    of_class = written(grouped.drop("best").join(smallest, F.col("component") == F.col("g")).select(F.col("class").alias("c"), "component_id", "best"), "near-ids")
+    return sketched.join(of_class, F.col("class") == F.col("c"), "left").select("doc_id", "key", "n_shingles", "class", "component_id", "best")
 
 
 def _with(left: DataFrame, sketches: DataFrame, key: str, name: str) -> DataFrame:
@@ -332,7 +349,16 @@ def _with(left: DataFrame, sketches: DataFrame, key: str, name: str) -> DataFram
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without those that are not the first of their near-duplicate group; all columns stay.
 
-    A row whose id is null is kept only if its whole group has no id.
+    Each row is judged by its id and text: of a group stays the row of the
+    smallest id, of equal ids the one of the smallest text digest. Rows without
+    id come after those with one; of a group without any id one row stays.
+    Rows that repeat both id and text are one document and stay or go together.
     """
-    gone = written(link(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    first = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))
+    gone = written(_grouped(docs).where(F.col("class").isNotNull() & ~first).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct(), "near-gone")
+    kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (_key(F.col("text")) == F.col("_key")), "left_anti")
+    # null is no id: its repeated texts are copies, of which the row of the smallest hash stays
+    lone = F.col("doc_id").cast("long").isNull() & F.coalesce(F.col("text").cast("string").rlike(r"\S"), F.lit(False))
+    order = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    once = kept.where(lone).groupBy(_key(F.col("text")).alias("_key")).agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*")
+    return kept.where(~lone).unionByName(once)

@@ -229,6 +229,19 @@ def test_near_duplicates_odd_rows(spark):
     assert minhash.keep_first(odd(spark)).count() == len(ODD)
 
 
+def test_keep_first_judges_rows(spark):
+    """Null and repeated ids: a row goes only for a copy of its own text."""
+    copied, other, lone, near = "a b c d e f g h", "one two three four five six", "this text has no copy at all", " ".join(map(str, range(40)))
+    rows = [
+        (3, copied, "first"), (None, copied, "null copy"), (None, lone, "null unique"), (None, " ", "no words"), (None, " ", "no words"),
+        (7, copied, "copy"), (7, "the seventh text is its own", "unique"),
+        (None, other, "x"), (None, other.upper(), "x"), (None, other, "x"),
+        (9, near, "9"), (9, near + " 40", "9"),
+    ]
+    got = [(r["doc_id"], r["note"]) for r in minhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, note string")).collect()]
+    assert sorted(got, key=str) == sorted([(3, "first"), (None, "null unique"), (None, "no words"), (None, "no words"), (7, "unique"), (None, "x"), (9, "9")], key=str)
+
+
 # -- op7 --------------------------------------------------------------------
 
 

@@ -86,27 +86,63 @@ _ODD = re.compile("[" + "".join(map(chr, _TRANSLATE)) + "​‌‍⁠﻿­]")
 _NAME = "|".join(sorted(DIGIT_NAMES, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?i)(?<!\w)(?:{_NAME})(?:[\x20,-]+(?:{_NAME}|[0-9]))*(?!\w)")
 _NAMES = re.compile(rf"(?i){_NAME}|[0-9]")
-_BRACKETED = re.compile(r"(?i)\x20*[\[({<]\x20*(at|dot|@|\.|punkt|point|punto)\x20*[\])}>]\x20*")
-# Ends of a worded domain that are taken for one.
-_ENDS = "com|net|org|edu|gov|info|biz|io|co|eu|us|uk|de|fr|es|it|nl|ch|at|ru|jp|cn|in|br"
-_WORDED = re.compile(rf"(?i)(?<![a-z0-9_%+.-])[a-z0-9_%+-]++(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]++)*\x20at\x20[a-z0-9-]++(?:(?:\.|\x20dot\x20)[a-z0-9-]++)*\x20dot\x20(?:{_ENDS})(?![a-z0-9-])")
-_WORD_AT = re.compile(r"(?i)\x20(at|dot)\x20")
+# A bracket may have any number of spaces inside; those around it are found from its ends, in linear time.
+_BRACKETED = re.compile(r"(?i)[\[({<]\x20*+(at|dot|@|\.|punkt|point|punto)\x20*+[\])}>]\x20*+")
+_SIGN = re.compile(r"(?i)@|\x20at\x20")
+_WORDED_DOMAIN = re.compile(r"(?i)[a-z0-9-]++(?:(?:\.|\x20dot\x20)[a-z0-9-]++)+")
+_WORD_DOT = re.compile(r"(?i)\x20dot\x20")
+_SEPARATOR = re.compile(r"(?i)\.|\x20dot\x20")
+_END = re.compile(r"(?i)[a-z]{2,24}")
+#: A local part that prose does not put before "at": two worded parts, a joint, or a letter with a digit after it.
+_ADDRESS_LIKE = re.compile(r"(?i)\x20dot\x20|[a-z0-9][_+%][a-z0-9]|[a-z]{2}\.[a-z]{2}|[a-z][0-9]")
+# Fixed values, for "word at word dot end" and "word at host.end" without any other sign of an address, which prose
+# can say too: ends that are taken for one (any of two letters besides), and words that prose has before "dot" and "at".
+_ENDS = frozenset("com net org edu gov info biz io co eu us uk de fr es it nl ch at ru jp cn in br".split())
+_MORE_ENDS = frozenset(
+    "academy agency app art bank bio blog business cafe cat center city cloud club codes company consulting design dev digital education email energy expert family "
+    "finance fitness foundation fun fund games global group guru health host house inc institute int international jobs law legal life link live llc ltd mail marketing "
+    "media mil mobi money museum name network news ngo ninja online page partners photo photography post press pro pub restaurant school science services shop site "
+    "social software solutions space store studio systems tax team tech technology tel today tools top training travel university video vip web website wiki work works "
+    "world wtf xyz zone aero asia coop travel berlin hamburg koeln london paris tokyo wien zuerich".split()
+)
+_NO_END = frozenset("an go he if oh ok of on or up we".split())
+_PROSE_HOST = frozenset("a an the this that these those my your his her its our their each every any some no one which what home work".split())
+_PROSE_LOCAL = frozenset(
+    "about account are arrived article articles at available be been blog bought by call check code contact data details developed docs documentation download email find "
+    "found from go guide her here him homepage hosted hosting information is it join learn letters listed live located look looked looking looks mail me meet more new "
+    "news now online order out page pages posted prices products profile project published read register see seen shop shopping sign site sold source start stay store "
+    "them there they today tools try up us use version videos view visit was website we were work worked working works write you".split()
+)
 _DIGIT_DOT = re.compile(r"(?i)(?<=[0-9])\x20dot\x20(?=[0-9])")
 _PLUS = re.compile(r"(?i)(?:\+|(?<![a-z])plus)\x20*$")
 _SEPARATORS = str.maketrans(",-", "  ")
 
 
 def _hinted(text: str) -> bool:
-    """Whether a text can hold a worded disguise at all: cheap substring searches."""
+    """Whether a text can hold spelled digits, brackets or worded dots at all: cheap searches."""
     low = text.lower()
-    if " dot " in low or any(f"{b}{w}" in low for b in ("[", "(", "{", "<", "[ ", "( ", "{ ", "< ") for w in ("at", "@", "dot", ".", "pun", "poi")):
+    if " dot " in low or any(b in low for b in "[({<") and _BRACKETED.search(low):
         return True
     spaced = low.translate(_SEPARATORS) if "," in low or "-" in low else low
     return any(f" {name} " in spaced for name in DIGIT_NAMES)
 
 
+def _in_order(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """By start, the longest first; what overlaps an earlier one is left out."""
+    out, end = [], 0
+    for s, e, new in sorted(found, key=lambda x: (x[0], -x[1])):
+        if s >= end:
+            out.append((s, e, new))
+            end = e
+    return out
+
+
 def _replacements(text: str) -> list[tuple[int, int, str]]:
-    """Disguised stretches ``(start, end, plain)`` in order, without overlap."""
+    """Disguised stretches ``(start, end, plain)`` in order, without overlap.
+
+    Look-alikes, spelled digits and brackets come first; worded addresses are
+    read from the text without those, so that one may mix both.
+    """
     found: list[tuple[int, int, str]] = []
     if _ODD.search(text):
         for m in _ODD.finditer(text):
@@ -121,22 +157,85 @@ def _replacements(text: str) -> list[tuple[int, int, str]]:
                 # separators between names go, the digits stay in place
                 for x, after in zip(names, [*[y.start() for y in names[1:]], m.end()], strict=True):
                     found.append((x.start(), after, DIGIT_NAMES.get(x[0].lower(), x[0])))
+        end = 0
         for m in _BRACKETED.finditer(plain):
-            found.append((m.start(), m.end(), "@" if m[1].lower() in ("at", "@") else "."))
+            start = m.start()
+            while start > end and plain[start - 1] == " ":
+                start -= 1
+            end = m.end()
+            found.append((start, end, "@" if m[1].lower() in ("at", "@") else "."))
         for m in _DIGIT_DOT.finditer(plain):
             found.append((m.start(), m.end(), "."))
-        for m in _WORDED.finditer(plain):
-            for x in _WORD_AT.finditer(plain, m.start(), m.end()):
-                found.append((x.start(), x.end(), "@" if x[1].lower() == "at" else "."))
-    found.sort(key=lambda x: (x[0], -x[1]))
-    out, end = [], 0
-    for s, e, new in found:
-        if s >= end:
-            out.append((s, e, new))
-            end = e
+    first = _in_order(found)
+    done = _segments(text, first)
+    worded = [(*_source(done, s, e), new) for s, e, new in _worded(*done[:2])]
+    return _in_order([*first, *worded]) if worded else first
+
+
+def _worded(text: str, at: list[int]) -> list[tuple[int, int, str]]:
+    """Worded signs and dots of the addresses in a text whose other disguises are undone; ``at`` as in ``deobfuscate``.
+
+    The sign may be "@" or " at ", every dot "." or " dot ". Each sign is looked
+    at once, forwards for the domain and backwards for the local part, up to
+    the end of the address before.
+    """
+    low = text.lower()
+    if " dot " not in low and " at " not in low:
+        return []
+    out, done = [], 0
+    for sign in _SIGN.finditer(text):
+        if sign.start() < done or not (domain := _WORDED_DOMAIN.match(text, sign.end())):
+            continue
+        start = sign.start()
+        while start > done:
+            if _LOCAL.match(text, start - 1):
+                start -= 1
+            elif start < sign.start() and start - 6 >= done and _WORD_DOT.fullmatch(text, start - 5, start) and _LOCAL.match(text, start - 6):
+                start -= 6
+            else:
+                break
+        if start == sign.start():
+            continue
+        end = _domain_end(text, start, sign, domain, at)
+        if end:
+            done = end
+            if sign[0] != "@":
+                out.append((sign.start(), sign.end(), "@"))
+            out += [(x.start(), x.end(), ".") for a, b in ((start, sign.start()), (sign.end(), end)) for x in _WORD_DOT.finditer(text, a, b)]
     return out
 
 
+def _domain_end(text: str, start: int, sign: re.Match, domain: re.Match, at: list[int]) -> int:
+    """Where the domain of a worded address ends, 0 if it is none.
+
+    With a sign of an address besides one " at " and one dot (an "@", another
+    disguise, a local part that is no plain word) any label of 2 to 24 letters
+    may end it, a usual end before others. Without one, or with plain dots
+    only, prose says the same ("look at this dot here", "5pm at home.Then"):
+    then the end must be a usual one.
+    """
+    local, ends = text[start : sign.start()], []
+    previous, worded = sign.end(), 0
+    for dot in [*_SEPARATOR.finditer(text, domain.start(), domain.end()), None]:
+        label = text[previous : dot.start() if dot else domain.end()].lower()
+        if previous > sign.end() and _END.fullmatch(label):
+            ends.append((label, previous + len(label), worded))
+        if dot:
+            worded += len(dot[0]) > 1
+            previous = dot.end()
+    host = _SEPARATOR.split(domain[0], maxsplit=1)[0].lower()
+    usual = [x for x in ends if x[0] in _ENDS or x[0] in _MORE_ENDS or len(x[0]) == 2 and x[0] not in _NO_END]
+    for label, end, n in reversed(usual) if usual else reversed(ends):
+        disguised = bisect_right(at, start) != bisect_right(at, end - 1) or bisect_right(at, start) % 2 == 0
+        if sign[0] == "@" or disguised or n > 1 or n and _ADDRESS_LIKE.search(local):
+            return end
+        if n and label in _ENDS or n and usual and host not in _PROSE_HOST:
+            return end
+        if not n and (label in _ENDS or label in _MORE_ENDS) and host != "www" and (_ADDRESS_LIKE.search(local) or local.lower() not in _PROSE_LOCAL and _END.fullmatch(local)):
+            return end
+    return 0
+
+
 def deobfuscate(text: str) -> tuple[str, list[int], list[int], list[int]]:
     """Normalised text and its segments: starts there, starts and ends in ``text``.
 
@@ -144,9 +243,13 @@ def deobfuscate(text: str) -> tuple[str, list[int], list[int], list[int]]:
     the replaced ones. A position of the normalised text maps back through
     the segment that holds it.
     """
+    return _segments(text, _replacements(text))
+
+
+def _segments(text: str, replacements: list[tuple[int, int, str]]) -> tuple[str, list[int], list[int], list[int]]:
     parts, at, source_start, source_end = [], [0], [0], []
     pos = length = 0
-    for s, e, new in _replacements(text):
+    for s, e, new in replacements:
         for start, end, piece in ((pos, s, text[pos:s]), (s, e, new)):
             parts.append(piece)
             length += len(piece)
@@ -159,13 +262,22 @@ def deobfuscate(text: str) -> tuple[str, list[int], list[int], list[int]]:
     return "".join(parts), at, source_start, source_end
 
 
+def _source(segments: tuple[str, list[int], list[int], list[int]], s: int, e: int) -> tuple[int, int]:
+    """Where a stretch of the normalised text is in the source; replaced stretches count whole."""
+    _, at, source_start, source_end = segments
+    i, j = bisect_right(at, s) - 1, bisect_right(at, e - 1) - 1
+    start = source_start[i] + (s - at[i] if i % 2 == 0 else 0)
+    return start, source_start[j] + (e - at[j]) if j % 2 == 0 else source_end[j]
+
+
 def added(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Spans that only the normalised text shows, as source offsets.
 
     A span must take in at least one replaced stretch, and may not lie within
     a plain span of the same kind.
     """
-    plain, at, source_start, source_end = deobfuscate(text)
+    segments = deobfuscate(text)
+    plain, at = segments[:2]
     if len(at) == 1:
         return []
     out = []
@@ -173,8 +285,7 @@ def added(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, s
         i, j = bisect_right(at, s) - 1, bisect_right(at, e - 1) - 1
         if i == j and i % 2 == 0:
             continue
-        start = source_start[i] + (s - at[i] if i % 2 == 0 else 0)
-        end = source_start[j] + (e - at[j]) if j % 2 == 0 else source_end[j]
+        start, end = _source(segments, s, e)
         # a separator swallowed by the last replaced stretch is not part of it
         while end > start and text[end - 1] in " ,-":
             end -= 1

@@ -259,6 +259,29 @@ def test_clean_text_stays():
         assert pii.redact_text(text) == text
 
 
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        "jane@mail dot com", "jane (at) mail dot com", "jane at mail (dot) com", "jane at mail dot app", "jane at mail dot me", "jane at uni dot ac dot nz", "jane at mail.com",
+        "jane [  at  ] mail [   dot ] com", "jane dot doe@mail dot museum", "jane.doe at mail dot photos", "j\u0430ne at mail dot gallery", "jane AT mail DOT co.uk", "jane {at} mail.example dot org", "jane42 at mail.com",
+    ],
+)
+def test_mixed_disguises(hidden):
+    text = f"ask: {hidden}, soon"
+    assert [text[s:e] for s, e, k in pii.added(text, pii.find(text)) if k == "email"] == [hidden]
+    assert pii.redact_text(text) == "ask: [EMAIL], soon"
+
+
+def test_clean_prose_around_at_and_dot():
+    for text in ("they looked at polka dot dresses", "look at the dot by the door", "available at example.com now", "see us at www.example.org", "we met at 10.30 there", "stare at that dot until it moves", "an error at main.py", "9am at school.Please come", "end at last. Then go", "list [ a ] (at best)"):
+        assert pii.redact_text(text) == text
+
+
+def test_brackets_and_signs_are_linear():
+    for text in (" " * 300_000 + "[at", "[ " * 100_000, "[" + " " * 300_000, " at a" * 60_000, "a dot " * 60_000 + "at", "@a dot " * 50_000, "a (dot) " * 40_000):
+        pii.redact_text(text)
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "@" * 100_000, "a." * 100_000 + " dot x", "+1" * 100_000):
         pii.redact_text(text)

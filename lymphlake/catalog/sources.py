@@ -1,5 +1,6 @@
 """Sources and sinks: tables are written in a format of sequencing, read back and compared."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lymphlake.catalog.registry import query
@@ -55,10 +56,11 @@ def airr_round_trip(spark, d):
 
 @query("rearrangements", sql="SELECT sequence_id, v_call, length(junction) AS junction_length FROM rearrangements WHERE CAST(sequence_id AS BIGINT) % 7 = 0")
 def airr_derive(spark, d):
-    t = view(spark, d, "rearrangements").where(F.col("sequence_id").cast("long") % 7 == 0).select("sequence_id", "v_call", "j_call", "junction")
+    """All rows pass the sink; the SQL lists every seventh of them."""
+    t = view(spark, d, "rearrangements").select("sequence_id", "v_call", "j_call", "junction")
     path = scratch(spark, "airr")
     airr.write_airr(t.withColumn("junction_length", F.length("junction")), path)
-    return airr.read_airr(spark, path).select("sequence_id", "v_call", "junction_length")
+    return airr.read_airr(spark, path).where(F.col("sequence_id").cast("long") % 7 == 0).select("sequence_id", "v_call", "junction_length")
 
 
 @query("germline", sql="SELECT allele, seq FROM germline WHERE locus = 'IGH' AND segment = 'V'")
@@ -117,15 +119,20 @@ def sequential_read_ids(spark, d):
     return sequences.numbered_reads(t).select("event_id", "read_id")
 
 
+def one_allele_each(reads, germline, *by):
+    """``reads`` with ``allele`` and ``seq`` of exactly one allele each, by a hash of ``by`` and the number of alleles."""
+    numbered = germline.select("allele", "seq", (F.row_number().over(Window.orderBy("allele", "seq")) - 1).alias("_place"))
+    return reads.join(numbered, F.pmod(F.xxhash64(*by), F.lit(germline.count())) == F.col("_place")).drop("_place")
+
+
 @query()
 def germline_alignment(spark, d):
     """Reads against their germline and two antibodies: rows only; alignments are tested."""
     from lymphlake.operators.align import identity_divergence
 
     g = view(spark, d, "germline")
-    t = view(spark, d, "rearrangements").where("locus = 'IGH'").select("sequence_id", "junction").withColumn("n", F.pmod(F.xxhash64("junction"), F.lit(189)))
-    alleles = g.select("allele", "seq").withColumn("n", F.pmod(F.xxhash64("allele"), F.lit(189)))
-    reads = t.join(alleles.dropDuplicates(["n"]), "n").select("sequence_id", F.col("allele").alias("v_call"), F.col("junction").alias("seq"))
+    t = view(spark, d, "rearrangements").where("locus = 'IGH'").select("sequence_id", "junction")
+    reads = one_allele_each(t, g, "junction").select("sequence_id", F.col("allele").alias("v_call"), F.col("junction").alias("seq"))
     known = g.orderBy("allele").limit(2).select(F.col("allele").alias("name"), "seq")
     return identity_divergence(reads, g, known)
 
@@ -146,9 +153,8 @@ def germline_assignment(spark, d):
     from lymphlake.operators.align import germline_hits
 
     g = view(spark, d, "germline").select("allele", "seq")
-    u = view(spark, d, "umi_reads").withColumn("n", F.pmod(F.xxhash64("umi", "cell"), F.lit(189)))
-    alleles = g.withColumn("n", F.pmod(F.xxhash64("allele"), F.lit(189))).dropDuplicates(["n"])
-    reads = u.join(alleles, "n").select(F.concat(F.lit("r"), "event_id").alias("id"), F.concat(F.substring("umi", 1, 5), F.substr(alleles["seq"], F.lit(6), F.lit(50))).alias("seq"))
+    u = view(spark, d, "umi_reads").select("event_id", "umi", "cell")
+    reads = one_allele_each(u, g, "umi", "cell").select(F.concat(F.lit("r"), "event_id").alias("id"), F.concat(F.substring("umi", 1, 5), F.substr("seq", F.lit(6), F.lit(50))).alias("seq"))
     return germline_hits(reads, g)
 
 

@@ -191,3 +191,24 @@ def test_germline_hits_find_the_source(spark, sf):
     for r in top:
         assert r["sid"] == r["qid"] and r["strand"] == "plus" and r["identity"] == 100.0
         assert r["qstart"] - r["sstart"] == 4 and r["qstart"] <= 8
+
+
+def test_every_read_meets_one_allele(spark, sf):
+    from lymphlake.catalog.sources import one_allele_each
+    from lymphlake.plans.views import view
+
+    g = view(spark, sf, "germline")
+    reads = spark.range(3000).select(F.col("id").cast("string").alias("name"))
+    got = one_allele_each(reads, g, "name").select("name", "allele").collect()
+    assert len(got) == len({r["name"] for r in got}) == 3000 and len({r["allele"] for r in got}) == g.count()
+
+
+def test_airr_derive_writes_every_row(spark, sf, monkeypatch):
+    from lymphlake.catalog import QUERIES
+    from lymphlake.plans.views import view
+    from lymphlake.sources import airr
+
+    seen, write = [], airr.write_airr
+    monkeypatch.setattr(airr, "write_airr", lambda t, path: seen.append(t.count()) or write(t, path))
+    QUERIES["airr_derive"](spark, sf).count()
+    assert seen == [view(spark, sf, "rearrangements").count()]

@@ -19,6 +19,8 @@ RULES = (
 DAMPING, ITERATIONS = 0.85, 16
 #: A host is blocked when its distrust exceeds this multiple of its trust, and the uniform share times LEAST.
 RATIO, LEAST = 1.0, 0.5
+#: Hosts under which registries give names to anyone; fixed values.
+SHARED = r"^(?:ac|co|com|edu|go|gob|gouv|gov|mil|ne|net|nom|or|org|sch)\.[a-z][a-z]$"
 
 
 def _lower(c: Column) -> Column:
@@ -55,25 +57,26 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> DataFrame:
-    """``src, dst, weight``: links between hosts, summed before the shuffle.
+    """``src, dst, weight``: pages of a host that link to another host, summed before the shuffle.
 
     Absolute and protocol-relative href and src values count by their host,
-    relative ones lead to the page's own host. Besides, a host of three or
-    more labels and the host above it link to each other once for each page,
-    as parts of one site: blog.x.example.com and x.example.com.
+    each host once a page. Links to the own host, relative ones among them,
+    are left out: they say nothing about other hosts and would keep a host's
+    rank from leaving it. Besides, a host of three or more labels and the host
+    above it link to each other once for each page, as parts of one site:
+    blog.example.com and example.com, not example.co.uk and co.uk.
     """
     links = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"""(?i)\b(?:href|src)\s*=\s*["']?([^"'\s>]+)"""), F.lit(1))
     own = F.col(host)
 
     def target(link):
         absolute = F.regexp_extract(link, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)
-        other = link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(?!//)")  # mailto:, javascript:, data:
-        return F.when(absolute != "", _lower(absolute)).when(~other & ~link.startswith("#"), own)
+        return F.when((absolute != "") & (_lower(absolute) != own), _lower(absolute))
 
     above = F.regexp_replace(own, r"^[^.]*\.", "")
-    linked = pages.where(own != "").select(own.alias("src"), F.explode(F.transform(links, target)).alias("dst")).where(F.col("dst").isNotNull())
+    linked = pages.where(own != "").select(own.alias("src"), F.explode(F.array_distinct(F.transform(links, target))).alias("dst")).where(F.col("dst").isNotNull())
     summed = linked.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    parts = pages.where(own.rlike(r"^[^.]+\.[^.]+\.[^.]+\.")).groupBy(own.alias("src"), above.alias("dst")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    parts = pages.where(own.rlike(r"^[^.]+\.[^.]+\.(?:[^.]+\.)*[a-z][^.]*$") & ~above.rlike(SHARED)).groupBy(own.alias("src"), above.alias("dst")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     both = summed.unionByName(parts).unionByName(parts.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     return both.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 

@@ -67,6 +67,21 @@ def test_distrust_runs_against_links(spark):
     assert got == {1: ("block", False, True), 2: ("block", False, True), 3: ("allow", True, False), 4: ("allow", True, False), 5: ("block", False, True)}
 
 
+def test_distrust_leaves_hosts_with_many_relative_links(spark):
+    inner = "".join(f"<a href='/p{i}'>" for i in range(10)) + "<a href=#top>"
+    pages = [(f"http://b0.org/es/{i}", inner) for i in range(20)] + [(f"http://b{i}.org/es/1", inner) for i in range(1, 50)]
+    pages += [("http://spam.info/1", inner + "<a href='http://b0.org/es/1'>")] + [(f"http://n{i}.info/1", "<a href='/x'>") for i in range(949)]
+    got = urlfilter.judge(spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")).collect()
+    verdicts = {r["host"]: r["verdict"] for r in got}
+    assert verdicts["spam.info"] == "block" and verdicts["n1.info"] == "allow"
+
+
+def test_host_edges_are_between_hosts(spark):
+    rows = [("a.net", "<a href='/x'><img src=//B.net/1><a href='http://b.net/2'><a href='http://a.net/'><a href='mailto:x@c.net'>"), ("a.net", "<a href=//b.net>"), ("blog.d.com", None), ("e.co.uk", ""), ("10.0.0.1", "")]
+    got = {(r["src"], r["dst"], r["weight"]) for r in urlfilter.host_edges(spark.createDataFrame(rows, "host string, html string")).collect()}
+    assert got == {("a.net", "b.net", 2.0), ("blog.d.com", "d.com", 1.0), ("d.com", "blog.d.com", 1.0)}
+
+
 # -- op3 --------------------------------------------------------------------
 
 

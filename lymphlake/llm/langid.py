@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from lymphlake.llm.common import id_crc32, pieces
 
-#: Bounds of the training sample: windows a language, bytes a window.
-TRAIN_WINDOWS, WINDOW = 768, 96
+#: Bounds of the training sample: windows a language, bytes a window, and the languages, the most frequent first.
+TRAIN_WINDOWS, WINDOW, LANGUAGES = 768, 96, 256
 HIDDEN, STEPS, BATCH, RATE, SEED = 8, 400, 96, 0.03, 7
 #: Inference cuts texts into segments of so many bytes, and runs so many side by side.
 SEGMENT, ROWS = 256, 512
@@ -210,16 +210,17 @@ def identify_texts(net: Network, data: np.ndarray, offsets: np.ndarray) -> tuple
     return (total / np.maximum(1, sizes)).T, counted.T
 
 
-def learned(docs: DataFrame, windows: int = TRAIN_WINDOWS, length: int = WINDOW, **training) -> Network | None:
+def learned(docs: DataFrame, windows: int = TRAIN_WINDOWS, length: int = WINDOW, languages: int = LANGUAGES, **training) -> Network | None:
     """Train on a bounded sample of labelled texts; None if there is none.
 
     Rows count whose lang and text are not null and whose crc32(doc_id) mod 3
     is not 1. About ``windows`` texts a language are picked by a hash of id
     and text, and a window of ``length`` bytes is cut from each at a place
-    picked by the same hash. The driver holds only these windows.
+    picked by the same hash. Labels beyond the ``languages`` most frequent are
+    not learned. The driver holds only these windows and counts.
     """
     rows = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (id_crc32(F.col("doc_id")) % 3 != 1))
-    counts = dict(rows.groupBy("lang").count().collect())
+    counts = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect())
     if not counts:
         return None
     mark = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(SEED)), F.lit(1 << 30))
@@ -285,12 +286,14 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 1.2) -> DataFrame:
     """Rows of ``docs`` whose language the network tells with a score of at least ``least`` times chance.
 
-    A score near one over the number of languages means that it cannot tell. All columns stay; the texts are judged where they are read, without
-    a join.
+    A score near one over the number of languages means that it cannot tell.
+    Texts that are null, empty or without letters go. If no row is labelled
+    there is no network, so nothing can be rejected and all rows stay. All
+    columns stay; the texts are judged where they are read, without a join.
     """
     net = learned(docs)
     if net is None:
-        return docs.limit(0)
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 4 << 20):

@@ -25,7 +25,7 @@ HASHES = BANDS * ROWS
 #: Signature values per comparison step, and the chance to drop a pair that does reach the threshold.
 STEP, MISS = 16, 1e-6
 #: Members of a bucket that one task compares with so many others at a time.
-CHUNK = 1024
+CHUNK = 512
 #: Pairs that are compared at a time.
 TOGETHER = 1 << 15
 _SEED = np.random.default_rng(20240607)
@@ -186,76 +186,104 @@ def overlaps(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> n
     return total.astype(np.int64)
 
 
-def _chunk_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links across components, from rows sorted by (bucket, lo, hi); one chunk pair is held at a time.
+class _Chunks:
+    """One pair of chunks of a bucket: its rows, and the pairs across components that signatures and sizes leave."""
 
-    Pairs that the signatures leave are counted on their sets (32 bits a
-    shingle; 64 bits confirm later). Components that are linked count as one
-    from then on, so at most one link less than there are components is
-    emitted. A pair that shares several bands is looked at in the first only.
-    """
-    held: list[tuple] = []
-    last = None
-
-    def links() -> pa.RecordBatch | None:
-        sketch = np.frombuffer(b"".join(r[3] for r in held), np.uint32).reshape(-1, HASHES)
-        sets = [np.frombuffer(r[4], np.uint32) for r in held]
-        sizes = np.array([len(x) for x in sets])
-        chunk = np.array([r[2] for r in held])
+    def __init__(self, band: int, lo: int, hi: int, rows: list[tuple]):
+        self.nodes, components, chunk, sketch, sizes = (list(c) for c in zip(*(r[:5] for r in rows), strict=True))
+        self.sketch = np.frombuffer(b"".join(sketch), np.uint32).reshape(-1, HASHES)
+        self.sizes, self.band = np.array(sizes), band
         number: dict[bytes, int] = {}
-        component = np.array([number.setdefault(r[1], len(number)) for r in held])
-        band, lo, hi = last[1:]
-        first, second = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
-        out = []
-        rows = max(1, TOGETHER // max(1, len(second)))
-        for start in range(0, len(first), rows):
-            i, j = (x.ravel() for x in np.meshgrid(first[start : start + rows], second, indexing="ij"))
-            keep = (component[i] != component[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= PERCENT * np.maximum(sizes[i], sizes[j]))
-            if lo == hi:
+        self.component = np.array([number.setdefault(c, len(number)) for c in components])
+        self.first, self.second = (np.flatnonzero(np.array(chunk) == side) for side in (lo, hi))
+        self.same = lo == hi
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions of pairs, some thousands at a time; a pair that shares several bands is met in the first of them only."""
+        rows = max(1, TOGETHER // max(1, len(self.second)))
+        for start in range(0, len(self.first), rows):
+            i, j = (x.ravel() for x in np.meshgrid(self.first[start : start + rows], self.second, indexing="ij"))
+            keep = (self.component[i] != self.component[j]) & (100 * np.minimum(self.sizes[i], self.sizes[j]) >= PERCENT * np.maximum(self.sizes[i], self.sizes[j]))
+            if self.same:
                 keep &= i < j
             i, j = i[keep], j[keep]
-            left = survivors(sketch[i], sketch[j]) if len(i) else np.empty(0, np.int64)
-            i, j = i[left], j[left]
-            if not len(i):
-                continue
-            mine = (sketch[i] == sketch[j]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
-            i, j = i[mine], j[mine]
-            if not len(i):
-                continue
+            if len(i):
+                left = survivors(self.sketch[i], self.sketch[j])
+                i, j = i[left], j[left]
+            if len(i):
+                mine = (self.sketch[i] == self.sketch[j]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == self.band
+                i, j = i[mine], j[mine]
+            if len(i):
+                yield i, j
+
+
+def _by_chunks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows of each (bucket, band, lo, hi) of a sorted stream; one group is held at a time."""
+    held: list[tuple] = []
+    last = None
+    for batch in batches:
+        for bucket, band, lo, hi, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "band", "lo", "hi")), *(batch.column(c).to_pylist() if c != "shingles" else batch.column(c) for c in columns), strict=True):
+            if last != (bucket, band, lo, hi):
+                if held:
+                    yield last, held
+                held, last = [], (bucket, band, lo, hi)
+            held.append(tuple(row))
+    if held:
+        yield last, held
+
+
+_MEMBER = ("node", "component", "chunk", "sketch", "size")
+_PLACE = "bucket long, band int, lo int, hi int, node binary, component binary, chunk int"
+
+
+def _chunk_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of each chunk pair that some pair across components still needs: only their sets travel on."""
+    for (bucket, band, lo, hi), rows in _by_chunks(batches, _MEMBER):
+        found = [np.concatenate(ij) for ij in _Chunks(band, lo, hi, rows).candidates()]
+        if found:
+            wanted = [rows[i] for i in np.unique(np.concatenate(found)).tolist()]
+            n = len(wanted)
+            values = ([bucket] * n, [band] * n, [lo] * n, [hi] * n, *([r[i] for r in wanted] for i in range(3)))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=[x.split()[0] for x in _PLACE.split(", ")])
+
+
+def _chunk_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links across components, confirmed on full sets of 64-bit shingles.
+
+    Components that are linked count as one from then on, so at most one link
+    less than there are components is emitted.
+    """
+    for (_, band, lo, hi), rows in _by_chunks(batches, (*_MEMBER, "shingles")):
+        pairs = _Chunks(band, lo, hi, rows)
+        sets, component, out = [r[5].values.to_numpy() for r in rows], pairs.component, []
+        for i, j in pairs.candidates():
             ui, vi = np.unique(i, return_inverse=True)
             uj, vj = np.unique(j, return_inverse=True)
             shared = overlaps(sets, ui, uj)[vi, vj]
-            linked = 100 * shared >= PERCENT * (sizes[i] + sizes[j] - shared)
+            linked = 100 * shared >= PERCENT * (pairs.sizes[i] + pairs.sizes[j] - shared)
             for x, y in zip(i[linked], j[linked], strict=True):
                 if component[x] != component[y]:
                     component[component == component[y]] = component[x]
-                    out.append(sorted((held[x][0], held[y][0])))
-        if not out:
-            return None
-        return pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.binary()), pa.array([e[1] for e in out], pa.binary())], names=["a", "b"])
-
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("bucket", "band", "lo", "hi", "node", "component", "chunk", "sketch", "short")]
-        for bucket, band, lo, hi, *row in zip(*columns, strict=True):
-            if last != (bucket, band, lo, hi):
-                if held and (out := links()) is not None:
-                    yield out
-                held, last = [], (bucket, band, lo, hi)
-            held.append(tuple(row))
-    if held and (out := links()) is not None:
-        yield out
+                    out.append(sorted((pairs.nodes[x], pairs.nodes[y])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.binary()), pa.array([e[1] for e in out], pa.binary())], names=["a", "b"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of the wanted classes; rows that share an id with them but not their set are left out."""
+    """Shingles of the rows that stand for a class; of a class with several rows a task gives one."""
+    given: set[bytes] = set()
     for batch in pieces(batches, "text"):
-        sets = [shingles(t) for t in batch.column("text").to_pylist()]
-        want = batch.column("class").to_pylist()
-        keep = [i for i, s in enumerate(sets) if _digest(s) == want[i]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([want[i] for i in keep], pa.binary()), pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64())), pa.array([(sets[i] >> np.uint64(32)).astype(np.uint32).tobytes() for i in keep], pa.binary())],
-            names=["class", "shingles", "short"],
-        )
+        classes, copied = batch.column("class").to_pylist(), batch.column("copied").to_pylist()
+        keep = []
+        for i, (c, several) in enumerate(zip(classes, copied, strict=True)):
+            if not several or c not in given:
+                keep.append(i)
+            if several:
+                given.add(c)
+        some = batch.take(pa.array(keep, pa.int64()))
+        sets = [shingles(t).view(np.int64) for t in some.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([some.column("class"), some.column("copied"), pa.array(sets, pa.list_(pa.int64()))], names=["class", "copied", "shingles"])
 
 
 def _digest(shingle_set: np.ndarray) -> bytes | None:
@@ -277,9 +305,11 @@ def link(docs: DataFrame) -> DataFrame:
     classes. Every bucket of a band first links its members to its hub, the
     member that shares most buckets with others; candidates are pruned by the posterior similarity of their
     signatures (16 values a step) and the rest confirmed on full sets. Then
-    only buckets that still hold several components matter: their members are
-    compared across components in chunks of about 1,024, all of them, so no
-    bucket is capped and no pair within a component is ever made.
+    only buckets that still hold several components matter. Members outside a
+    bucket's largest component are compared with all others of it across
+    components, in chunks of about 512, so no bucket is capped and no pair
+    within a component is ever made. Signatures go first; sets travel only for
+    members that a signature leaves.
 
     Null and empty texts: 0 shingles, a component of their own, kept. Repeated
     rows are one class and share ids. Null ids take part in links; a component
@@ -305,16 +335,20 @@ def _grouped(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = written(docs.select("doc_id", "text", _key(F.col("text")).alias("key")).mapInArrow(_sketch, "doc_id long, key binary, n_shingles long, class binary, sketch binary"), "near-sketch")
     best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    classes = written(sketched.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first_id"), F.min(best).alias("best"), F.first("sketch").alias("sketch")), "near-classes")
+    per_class = (F.min("doc_id").alias("first_id"), F.min(best).alias("best"), F.count(F.lit(1)).alias("rows"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size"))
+    classes = written(sketched.where(F.col("class").isNotNull()).groupBy("class").agg(*per_class), "near-classes")
 
     keys = classes.select("class", "sketch").mapInArrow(_bands, "bucket long, band int, node binary")
     shared = written(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.col("bucket").alias("k"), "n"), "near-buckets")
     members = written(keys.join(shared, F.col("bucket") == F.col("k")).drop("k"), "near-members")
     # a text that others were copied from meets most members: its weight is largest
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    sketches = written(weights.join(classes, F.col("node") == F.col("class")).select(F.col("node").alias("c"), "weight", "first_id", "sketch"), "near-open")
-    wanted = sketches.select(F.col("c").alias("class"), F.col("first_id").alias("_want"))
-    sets = written(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_want"))).select("class", "text").mapInArrow(_sets, "class binary, shingles array<long>, short binary"), "near-sets")
+    sketches = written(weights.join(classes, F.col("node") == F.col("class")).select(F.col("node").alias("c"), "weight", "best", "rows", "sketch", "size"), "near-open")
+    # the row that stands for a class is found by id and text digest, so that repeated or missing ids meet only their own text
+    wanted = sketches.select(F.col("c").alias("class"), F.col("best.doc_id").alias("_id"), F.col("best.key").alias("_key"), (F.col("rows") > 1).alias("copied"))
+    stand = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (_key(F.col("text")) == F.col("_key"))).select("class", "copied", "text")
+    found = written(stand.mapInArrow(_sets, "class binary, copied boolean, shingles array<long>"), "near-sets")
+    sets = found.where(~F.col("copied")).unionByName(written(found.where("copied").dropDuplicates(["class"]), "near-copied")).select("class", "shingles")
     weighed = members.join(sketches.select("c", "weight"), F.col("node") == F.col("c"))
     hubs = written(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("hub")).select(F.col("bucket").alias("k"), "hub"), "near-hubs")
 
@@ -323,17 +357,24 @@ def _grouped(docs: DataFrame) -> DataFrame:
     links = _confirmed(written(stars.mapInArrow(_pruned, "a binary, b binary"), "near-stars"), sets, "near-first")
     found = components(links).select(F.col("node").alias("c"), "component")
 
-    placed = written(members.where(F.col("n") > 2).join(found, F.col("node") == F.col("c"), "left").select("bucket", "band", "n", "node", F.coalesce("component", "node").alias("component")), "near-placed")
-    mixed = written(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") != F.col("high")).select(F.col("bucket").alias("k")), "near-mixed")
-    open_ = placed.join(mixed, F.col("bucket") == F.col("k"), "left_semi")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    dealt = open_.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    placed = written(members.where(F.col("n") > 2).join(found, F.col("node") == F.col("c"), "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component")), "near-placed")
+    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
+    in_chunks = lambda n: F.ceil(n / CHUNK).cast("int")
+    mixed = per.where(F.col("main.n") < F.col("n")).select(F.col("bucket").alias("k"), F.col("main.component").alias("main"), in_chunks(F.col("n") - F.col("main.n")).alias("aside"), in_chunks(F.col("main.n")).alias("central"))
+    open_ = placed.join(written(mixed, "near-mixed"), F.col("bucket") == F.col("k"))
+    # chunks of the members aside come first; those of the largest component only meet these
+    own, hashed = F.col("component") == F.col("main"), F.xxhash64("node")
+    chunk = F.when(own, F.col("aside") + F.pmod(hashed, F.col("central"))).otherwise(F.pmod(hashed, F.col("aside"))).cast("int")
+    others = F.sequence(F.lit(0), F.col("aside") + F.when(own, 0).otherwise(F.col("central")) - 1)
+    dealt = open_.select("bucket", "band", "node", "component", chunk.alias("chunk"), F.explode(others).alias("other"))
     dealt = dealt.select("bucket", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "node", "component", "chunk")
-    dealt = _with(dealt, sketches, "node", "sketch").join(sets.select(F.col("class").alias("c"), "short"), F.col("node") == F.col("c")).drop("c")
-    dealt = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    across = written(dealt.mapInArrow(_chunk_links, "a binary, b binary").distinct(), "near-across")
-    if across.take(1):
-        links = links.unionByName(_confirmed(across, sets, "near-second"))
+    sketch = sketches.select("c", "sketch", "size")
+    dealt = dealt.join(sketch, F.col("node") == F.col("c")).drop("c").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "band", "lo", "hi")
+    needed = written(dealt.mapInArrow(_chunk_open, _PLACE), "near-needed")
+    if needed.take(1):
+        full = needed.join(sketch, F.col("node") == F.col("c")).drop("c").join(sets.withColumnRenamed("class", "c"), F.col("node") == F.col("c")).drop("c")
+        full = full.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "band", "lo", "hi")
+        links = links.unionByName(written(full.mapInArrow(_chunk_links, "a binary, b binary").distinct(), "near-second"))
         found = components(links).select(F.col("node").alias("c"), "component")
 
     grouped = classes.select("class", "first_id", "best").join(found, F.col("class") == F.col("c"), "left").select("class", "first_id", "best", F.coalesce("component", "class").alias("component"))
@@ -346,19 +387,26 @@ def _with(left: DataFrame, sketches: DataFrame, key: str, name: str) -> DataFram
     return left.join(sketches.select("c", F.col("sketch").alias(name)), F.col(key) == F.col("c")).drop("c")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, once: bool = False) -> DataFrame:
     """``docs`` without those that are not the first of their near-duplicate group; all columns stay.
 
     Each row is judged by its id and text: of a group stays the row of the
     smallest id, of equal ids the one of the smallest text digest. Rows without
     id come after those with one; of a group without any id one row stays.
-    Rows that repeat both id and text are one document and stay or go together.
+    Rows that repeat both id and text are one document: they stay or go
+    together, or with ``once`` a single one stays, that of the smallest hash of
+    all its columns. Texts without words are no copies of each other and stay.
     """
+    judged = _grouped(docs).where(F.col("class").isNotNull())
     first = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))
-    gone = written(_grouped(docs).where(F.col("class").isNotNull() & ~first).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct(), "near-gone")
-    kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (_key(F.col("text")) == F.col("_key")), "left_anti")
-    # null is no id: its repeated texts are copies, of which the row of the smallest hash stays
-    lone = F.col("doc_id").cast("long").isNull() & F.coalesce(F.col("text").cast("string").rlike(r"\S"), F.lit(False))
-    order = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
-    once = kept.where(lone).groupBy(_key(F.col("text")).alias("_key")).agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*")
-    return kept.where(~lone).unionByName(once)
+    rows = judged.groupBy("doc_id", "key").agg(F.max(~first).alias("_gone"), F.count(F.lit(1)).alias("n"))
+    repeated = (F.col("n") > 1) & (F.lit(once) | F.col("doc_id").isNull())
+    marked = written(rows.where(F.col("_gone") | repeated).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_gone"), "near-marked")
+    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_key(F.col("text")) == F.col("_key"))
+    kept = docs.join(marked, mine, "left_anti")
+    if not marked.where(~F.col("_gone")).take(1):
+        return kept
+    order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    again = docs.join(marked.where(~F.col("_gone")), mine, "left_semi")
+    one = again.groupBy(F.col("doc_id").cast("long").alias("_id"), _key(F.col("text")).alias("_key")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("_row"))
+    return kept.unionByName(one.select("_row.*"))

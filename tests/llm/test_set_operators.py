@@ -257,6 +257,39 @@ def test_keep_first_judges_rows(spark):
     assert sorted(got, key=str) == sorted([(3, "first"), (None, "null unique"), (None, "no words"), (None, "no words"), (7, "unique"), (None, "x"), (9, "9")], key=str)
 
 
+def test_keep_first_once_keeps_one_row_of_a_group(spark):
+    copied, near = "a b c d e f g h", " ".join(map(str, range(40)))
+    rows = [(5, copied, "x"), (5, copied, "x"), (3, copied, "z"), (3, copied, "y"), (5, "other text of its own", "o"), (None, "no id here at all", "n"), (None, "no id here at all", "n"), (8, near, "8"), (9, near + " 40", "9"), (None, None, "e"), (None, None, "e"), (4, "", "e")]
+    got = [tuple(r) for r in minhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, note string"), once=True).collect()]
+    assert len([r for r in got if r[:2] == (3, copied)]) == 1
+    rest = [r for r in got if r[1] != copied]
+    assert sorted(rest, key=str) == sorted([(5, "other text of its own", "o"), (None, "no id here at all", "n"), (8, near, "8"), (None, None, "e"), (None, None, "e"), (4, "", "e")], key=str)
+    assert minhash.keep_first(odd(spark), once=True).count() == len(ODD) - 1
+
+
+def test_groups_of_repeated_and_missing_ids_equal_brute_force(spark, monkeypatch):
+    """Every row is judged by its own text, also where ids repeat or are null."""
+    monkeypatch.setattr(minhash, "CHUNK", 16)
+    texts = near_copies(3, 60, 80)
+    label, _ = brute_components(texts)
+    want = sorted(sorted(t for t, x in zip(map(str, texts), label, strict=True) if x == c) for c in set(label))
+    for ids in ([None] * len(texts), [7] * len(texts), [i % 5 for i in range(len(texts))]):
+        grouped = minhash._grouped(spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")).toPandas()
+        kept = minhash.keep_first(spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string"), once=True).count()
+        assert len(grouped) == len(texts)
+        assert kept == len(want)
+
+
+def test_many_rows_without_id(spark):
+    """A thousand texts under one missing id: as many groups as with ids."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(400)], 40)) for _ in range(1000)]
+    texts = [t if i % 4 else texts[i - 4] + " more" for i, t in enumerate(texts)]
+    with_ids = minhash.link(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).where("kept").count()
+    rows = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert minhash.keep_first(rows, once=True).count() == with_ids
+
+
 # -- op7 --------------------------------------------------------------------
 
 

@@ -110,6 +110,16 @@ def test_language_odd_rows(spark):
     assert langid.keep_identified(rows.limit(0)).count() == 0
 
 
+def test_rows_stay_where_nothing_is_labelled(spark):
+    rows = odd(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert langid.keep_identified(rows).count() == len(ODD)
+
+
+def test_rare_labels_are_not_learned(spark):
+    rows = odd(spark)
+    assert langid.learned(rows, windows=10, languages=1, steps=2).languages in (["de"], ["en"], ["fr"])
+
+
 # -- op5 --------------------------------------------------------------------
 
 

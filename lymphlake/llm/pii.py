@@ -69,6 +69,107 @@ def find(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+class Tape:
+    """A normalised text together with the stretches of its source that were rewritten.
+
+    Segments alternate between copied and rewritten stretches; odd ones are
+    rewritten. ``at`` holds where each begins in ``text``, ``begins`` and
+    ``ends`` where it lies in ``source``.
+    """
+
+    def __init__(self, source: str, edits: list[tuple[int, int, str]] = ()):
+        self.source, self.edits = source, edits
+        parts, self.at, self.begins, self.ends = [], [0], [0], []
+        pos = length = 0
+        for s, e, new in edits:
+            for begin, end, piece in ((pos, s, source[pos:s]), (s, e, new)):
+                parts.append(piece)
+                length += len(piece)
+                self.ends.append(end)
+                self.begins.append(end)
+                self.at.append(length)
+            pos = e
+        parts.append(source[pos:])
+        self.ends.append(len(source))
+        self.text = "".join(parts)
+
+    def span(self, s: int, e: int) -> tuple[int, int]:
+        """Where a stretch of the text lies in the source; rewritten stretches count whole."""
+        i, j = bisect_right(self.at, s) - 1, bisect_right(self.at, e - 1) - 1
+        begin = self.begins[i] + (s - self.at[i] if i % 2 == 0 else 0)
+        return begin, self.begins[j] + (e - self.at[j]) if j % 2 == 0 else self.ends[j]
+
+    def rewritten(self, s: int, e: int) -> bool:
+        """Whether a stretch of the text takes in something that was rewritten."""
+        i, j = bisect_right(self.at, s) - 1, bisect_right(self.at, e - 1) - 1
+        return i != j or i % 2 == 1
+
+    def then(self, edits: list[tuple[int, int, str]]) -> Tape:
+        """The tape behind a further transducer whose edits are in this one's text; they take in the edits they cover."""
+        return Tape(self.source, _in_order([*self.edits, *[(*self.span(s, e), new) for s, e, new in edits]])) if edits else self
+
+
+class Transducer:
+    """A deterministic finite-state transducer over code points.
+
+    ``moves[state]`` maps a code point to the next state, what is written, and
+    whether a new stretch of the offset tape begins. From a place it reads on
+    while there is a move; the last state of ``final`` on the way accepts, and
+    what was read up to there is rewritten stretch by stretch. ``final`` says
+    whether a letter or digit may follow. ``places`` finds where the start
+    state can be left at all.
+    """
+
+    def __init__(self, places: str):
+        self.places = re.compile(places)
+        self.moves: list[dict[str, tuple[int, str, bool]]] = [{}]
+        self.final: dict[int, bool] = {}
+
+    def state(self) -> int:
+        self.moves.append({})
+        return len(self.moves) - 1
+
+    def word(self, start: int, word: str, last: int, written: str, begins: bool) -> None:
+        """A path for ``word`` in any case from ``start`` to ``last``; paths share their beginnings."""
+        for i, c in enumerate(word):
+            first = begins and i == 0
+            if i == len(word) - 1:
+                target = (last, written, first)
+            else:
+                target = self.moves[start].get(c) or (self.state(), "", first)
+            for x in {c, c.upper()}:
+                self.moves[start][x] = target
+            start = target[0]
+
+    def read(self, text: str, at: int) -> tuple[int, list[tuple[int, int, str]]] | None:
+        """End and edits of the longest accepted stretch from a place."""
+        state, begun, written, accepted = 0, [], [], None
+        while at < len(text) and (move := self.moves[state].get(text[at])):
+            state, out, begins = move
+            if begins:
+                begun.append(at)
+                written.append("")
+            written[-1] += out
+            at += 1
+            free = self.final.get(state)
+            if free is not None and (free or at == len(text) or not (text[at].isalnum() or text[at] == "_")):
+                accepted = at, len(begun)
+        if accepted is None:
+            return None
+        end, n = accepted
+        return end, list(zip(begun[:n], [*begun[1:n], end], written, strict=False))
+
+    def edits(self, text: str) -> list[tuple[int, int, str]]:
+        """Edits of all stretches, leftmost first; what is not accepted is copied."""
+        out, m = [], self.places.search(text)
+        while m:
+            found = self.read(text, m.start())
+            if found:
+                out += found[1]
+            m = self.places.search(text, found[0] if found else m.start() + 1)
+        return out
+
+
 # Look-alike letters of other scripts, and names of digits.
 HOMOGLYPHS = dict(zip("аАеЕоОрРсСхХуУіІјЈѕЅһԁԛԝВМНКТЗαΑοΟρΡΕΗΙΚΜΝΤΥΧΖΒνᴏ", "aAeEoOpPcCxXyYiIjJsShdqwBMHKT3aAoOpPEHIKMNTYXZBvo", strict=True))
 _NAMED_DIGITS = (
@@ -81,13 +182,67 @@ DIGIT_NAMES = {name: str(max(0, i - 1)) for line in _NAMED_DIGITS for i, name in
 # Rules instead of tables: full-width ASCII, and the decimal digits of other scripts.
 _TRANSLATE = {ord(a): b for a, b in HOMOGLYPHS.items()} | {0xFF00 + i: chr(0x20 + i) for i in range(1, 95)}
 _TRANSLATE |= {base + i: str(i) for base in (0x0660, 0x06F0, 0x0966, 0x09E6) for i in range(10)}
-_ODD = re.compile("[" + "".join(map(chr, _TRANSLATE)) + "​‌‍⁠﻿­]")
-
+_TRANSLATE |= {ord(c): "" for c in "\u200b\u200c\u200d\u2060\ufeff\u00ad"}
 _NAME = "|".join(sorted(DIGIT_NAMES, key=len, reverse=True))
-_SPELLED = re.compile(rf"(?i)(?<!\w)(?:{_NAME})(?:[\x20,-]+(?:{_NAME}|[0-9]))*(?!\w)")
-_NAMES = re.compile(rf"(?i){_NAME}|[0-9]")
-# A bracket may have any number of spaces inside; those around it are found from its ends, in linear time.
-_BRACKETED = re.compile(r"(?i)[\[({<]\x20*+(at|dot|@|\.|punkt|point|punto)\x20*+[\])}>]\x20*+")
+
+
+def _lookalikes() -> Transducer:
+    """One code point for another, or for none."""
+    machine = Transducer("[" + "".join(map(chr, _TRANSLATE)) + "]")
+    end = machine.state()
+    machine.final[end] = True
+    machine.moves[0] = {chr(c): (end, new, True) for c, new in _TRANSLATE.items()}
+    return machine
+
+
+def _spelled_digits(least: int = 3) -> Transducer:
+    """Runs of digit names, and digits between them, once ``least`` names were read; separators go.
+
+    States count the names up to ``least``; a run starts with a name.
+    """
+    machine = Transducer(rf"(?i)(?<!\w)(?:{_NAME})[\x20,-]")
+    named = [machine.state() for _ in range(least + 1)]  # behind an item, after so many names
+    apart = [machine.state() for _ in range(least + 1)]  # behind a separator
+    for n in range(least + 1):
+        for c in " ,-":
+            machine.moves[named[n]][c] = machine.moves[apart[n]][c] = (apart[n], "", False)
+        for name, digit in DIGIT_NAMES.items():
+            machine.word(apart[n], name, named[min(n + 1, least)], digit, True)
+        for d in "0123456789":
+            machine.moves[apart[n]][d] = (named[n], d, True)
+    for name, digit in DIGIT_NAMES.items():
+        machine.word(0, name, named[1], digit, True)
+    machine.final[named[least]] = False
+    return machine
+
+
+def _bracketed_signs() -> Transducer:
+    """A sign or its name in brackets, with any number of spaces inside and behind."""
+    machine = Transducer(r"[\[({<]")
+    inside, end = machine.state(), machine.state()
+    signs = {"at": "@", "@": "@", "dot": ".", ".": ".", "punkt": ".", "point": ".", "punto": "."}
+    behind = {sign: machine.state() for sign in "@."}
+    machine.moves[0] = {c: (inside, "", True) for c in "[({<"}
+    machine.moves[inside][" "] = (inside, "", False)
+    machine.moves[end][" "] = (end, "", False)
+    for word, sign in signs.items():
+        machine.word(inside, word, behind[sign], sign, False)
+    for state in behind.values():
+        machine.moves[state] |= {" ": (state, "", False)} | {c: (end, "", False) for c in "])}>"}
+    machine.final[end] = True
+    return machine
+
+
+def _dots_between_digits() -> Transducer:
+    """`` dot `` behind a digit and before one; the digits are looked at only."""
+    machine = Transducer(r"(?i)(?<=[0-9])\x20dot\x20(?=[0-9])")
+    end = machine.state()
+    machine.final[end] = True
+    machine.word(0, " dot ", end, ".", True)
+    return machine
+
+
+LOOKALIKES, SPELLED_DIGITS, BRACKETED_SIGNS, DIGIT_DOTS = _lookalikes(), _spelled_digits(), _bracketed_signs(), _dots_between_digits()
 _SIGN = re.compile(r"(?i)@|\x20at\x20")
 _WORDED_DOMAIN = re.compile(r"(?i)[a-z0-9-]++(?:(?:\.|\x20dot\x20)[a-z0-9-]++)+")
 _WORD_DOT = re.compile(r"(?i)\x20dot\x20")
@@ -113,17 +268,15 @@ _PROSE_LOCAL = frozenset(
     "news now online order out page pages posted prices products profile project published read register see seen shop shopping sign site sold source start stay store "
     "them there they today tools try up us use version videos view visit was website we were work worked working works write you".split()
 )
-_DIGIT_DOT = re.compile(r"(?i)(?<=[0-9])\x20dot\x20(?=[0-9])")
 _PLUS = re.compile(r"(?i)(?:\+|(?<![a-z])plus)\x20*$")
 _SEPARATORS = str.maketrans(",-", "  ")
 
 
-def _hinted(text: str) -> bool:
-    """Whether a text can hold spelled digits, brackets or worded dots at all: cheap searches."""
-    low = text.lower()
-    if " dot " in low or any(b in low for b in "[({<") and _BRACKETED.search(low):
-        return True
-    spaced = low.translate(_SEPARATORS) if "," in low or "-" in low else low
+def _named(text: str) -> bool:
+    """Whether a digit's name stands between separators: a cheap search before the machine."""
+    spaced = text.lower()
+    if "," in spaced or "-" in spaced:
+        spaced = spaced.translate(_SEPARATORS)
     return any(f" {name} " in spaced for name in DIGIT_NAMES)
 
 
@@ -137,52 +290,58 @@ def _in_order(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return out
 
 
-def _replacements(text: str) -> list[tuple[int, int, str]]:
-    """Disguised stretches ``(start, end, plain)`` in order, without overlap.
+def _with_plus(text: str, edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Spelled digits with the plus sign or word in front of a run, if there is one."""
+    out, last = [], -1
+    for s, e, new in edits:
+        if s != last and (plus := _PLUS.search(text, max(0, s - 8), s)):
+            out.append((plus.start(), s, "+"))
+        out.append((s, e, new))
+        last = e
+    return out
 
-    Look-alikes, spelled digits and brackets come first; worded addresses are
-    read from the text without those, so that one may mix both.
-    """
-    found: list[tuple[int, int, str]] = []
-    if _ODD.search(text):
-        for m in _ODD.finditer(text):
-            found.append((m.start(), m.end(), _TRANSLATE.get(ord(m[0]), "")))
-    plain = text.translate(_TRANSLATE) if found else text  # the same length: offsets hold
-    if _hinted(plain):
-        for m in _SPELLED.finditer(plain):
-            names = list(_NAMES.finditer(plain, m.start(), m.end()))
-            if sum(len(x[0]) > 1 for x in names) >= 3:
-                if plus := _PLUS.search(plain, max(0, m.start() - 8), m.start()):
-                    found.append((plus.start(), m.start(), "+"))
-                # separators between names go, the digits stay in place
-                for x, after in zip(names, [*[y.start() for y in names[1:]], m.end()], strict=True):
-                    found.append((x.start(), after, DIGIT_NAMES.get(x[0].lower(), x[0])))
-        end = 0
-        for m in _BRACKETED.finditer(plain):
-            start = m.start()
-            while start > end and plain[start - 1] == " ":
-                start -= 1
-            end = m.end()
-            found.append((start, end, "@" if m[1].lower() in ("at", "@") else "."))
-        for m in _DIGIT_DOT.finditer(plain):
-            found.append((m.start(), m.end(), "."))
-    first = _in_order(found)
-    done = _segments(text, first)
-    worded = [(*_source(done, s, e), new) for s, e, new in _worded(*done[:2])]
-    return _in_order([*first, *worded]) if worded else first
+
+def _with_spaces(text: str, edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Bracketed signs with the spaces in front of them."""
+    out, last = [], 0
+    for s, e, new in edits:
+        while s > last and text[s - 1] == " ":
+            s -= 1
+        out.append((s, e, new))
+        last = e
+    return out
 
 
-def _worded(text: str, at: list[int]) -> list[tuple[int, int, str]]:
-    """Worded signs and dots of the addresses in a text whose other disguises are undone; ``at`` as in ``deobfuscate``.
+def deobfuscate(text: str) -> Tape:
+    """The normalised text on its offset tape.
+
+    Five transducers, each reading what the one before wrote: look-alikes,
+    spelled digits, bracketed signs, worded dots between digits, and the
+    worded signs and dots of addresses. Each reads a code point a bounded
+    number of times, so the work is linear.
+    """
+    tape = Tape(text)
+    if not text.isascii():
+        tape = tape.then(LOOKALIKES.edits(text))
+    if _named(tape.text):
+        tape = tape.then(_with_plus(tape.text, SPELLED_DIGITS.edits(tape.text)))
+    if any(c in tape.text for c in "[({<"):
+        tape = tape.then(_with_spaces(tape.text, BRACKETED_SIGNS.edits(tape.text)))
+    low = tape.text.lower()
+    worded = " dot " in low
+    if worded:
+        tape = tape.then(DIGIT_DOTS.edits(tape.text))
+    return tape.then(_worded(tape)) if worded or " at " in low else tape
+
+
+def _worded(tape: Tape) -> list[tuple[int, int, str]]:
+    """Worded signs and dots of the addresses in a text whose other disguises are undone.
 
     The sign may be "@" or " at ", every dot "." or " dot ". Each sign is looked
     at once, forwards for the domain and backwards for the local part, up to
     the end of the address before.
     """
-    low = text.lower()
-    if " dot " not in low and " at " not in low:
-        return []
-    out, done = [], 0
+    text, out, done = tape.text, [], 0
     for sign in _SIGN.finditer(text):
         if sign.start() < done or not (domain := _WORDED_DOMAIN.match(text, sign.end())):
             continue
@@ -196,7 +355,7 @@ def _worded(text: str, at: list[int]) -> list[tuple[int, int, str]]:
                 break
         if start == sign.start():
             continue
-        end = _domain_end(text, start, sign, domain, at)
+        end = _domain_end(tape, start, sign, domain)
         if end:
             done = end
             if sign[0] != "@":
@@ -205,7 +364,7 @@ def _worded(text: str, at: list[int]) -> list[tuple[int, int, str]]:
     return out
 
 
-def _domain_end(text: str, start: int, sign: re.Match, domain: re.Match, at: list[int]) -> int:
+def _domain_end(tape: Tape, start: int, sign: re.Match, domain: re.Match) -> int:
     """Where the domain of a worded address ends, 0 if it is none.
 
     With a sign of an address besides one " at " and one dot (an "@", another
@@ -214,6 +373,7 @@ def _domain_end(text: str, start: int, sign: re.Match, domain: re.Match, at: lis
     only, prose says the same ("look at this dot here", "5pm at home.Then"):
     then the end must be a usual one.
     """
+    text, at = tape.text, tape.at
     local, ends = text[start : sign.start()], []
     previous, worded = sign.end(), 0
     for dot in [*_SEPARATOR.finditer(text, domain.start(), domain.end()), None]:
@@ -236,57 +396,21 @@ def _domain_end(text: str, start: int, sign: re.Match, domain: re.Match, at: lis
     return 0
 
 
-def deobfuscate(text: str) -> tuple[str, list[int], list[int], list[int]]:
-    """Normalised text and its segments: starts there, starts and ends in ``text``.
-
-    Segments alternate between copied and replaced stretches; odd entries are
-    the replaced ones. A position of the normalised text maps back through
-    the segment that holds it.
-    """
-    return _segments(text, _replacements(text))
-
-
-def _segments(text: str, replacements: list[tuple[int, int, str]]) -> tuple[str, list[int], list[int], list[int]]:
-    parts, at, source_start, source_end = [], [0], [0], []
-    pos = length = 0
-    for s, e, new in replacements:
-        for start, end, piece in ((pos, s, text[pos:s]), (s, e, new)):
-            parts.append(piece)
-            length += len(piece)
-            source_end.append(end)
-            source_start.append(end)
-            at.append(length)
-        pos = e
-    parts.append(text[pos:])
-    source_end.append(len(text))
-    return "".join(parts), at, source_start, source_end
-
-
-def _source(segments: tuple[str, list[int], list[int], list[int]], s: int, e: int) -> tuple[int, int]:
-    """Where a stretch of the normalised text is in the source; replaced stretches count whole."""
-    _, at, source_start, source_end = segments
-    i, j = bisect_right(at, s) - 1, bisect_right(at, e - 1) - 1
-    start = source_start[i] + (s - at[i] if i % 2 == 0 else 0)
-    return start, source_start[j] + (e - at[j]) if j % 2 == 0 else source_end[j]
-
-
 def added(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Spans that only the normalised text shows, as source offsets.
 
-    A span must take in at least one replaced stretch, and may not lie within
+    A span must take in at least one rewritten stretch, and may not lie within
     a plain span of the same kind.
     """
-    segments = deobfuscate(text)
-    plain, at = segments[:2]
-    if len(at) == 1:
+    tape = deobfuscate(text)
+    if not tape.edits:
         return []
     out = []
-    for s, e, kind in find(plain):
-        i, j = bisect_right(at, s) - 1, bisect_right(at, e - 1) - 1
-        if i == j and i % 2 == 0:
+    for s, e, kind in find(tape.text):
+        if not tape.rewritten(s, e):
             continue
-        start, end = _source(segments, s, e)
-        # a separator swallowed by the last replaced stretch is not part of it
+        start, end = tape.span(s, e)
+        # a separator swallowed by the last rewritten stretch is not part of it
         while end > start and text[end - 1] in " ,-":
             end -= 1
         if not any(k == kind and a <= start and end <= b for a, b, k in base):

@@ -292,6 +292,27 @@ def test_brackets_and_signs_are_linear():
         pii.redact_text(text)
 
 
+def test_runs_of_spaces_are_linear():
+    import time
+
+    began = time.time()
+    for text in ("one two three" + " " * 1_000_000, "one" + " " * 1_000_000 + "[", "[ at" + " " * 1_000_000, " " * 1_000_000 + "[at]" + " " * 1_000_000, "one " * 200_000, ("[" + " " * 1000) * 1000):
+        pii.redact_text(text)
+    assert time.time() - began < 60
+
+
+def test_transducers_compose_on_the_tape():
+    text = "write j\u0430ne (\u0430t) \u200b m\u200bail [d\u03bft] com or call + \u043ene tw\u043e three four five six seven eight nine"
+    tape = pii.deobfuscate(text)
+    assert tape.text == "write jane@mail.com or call +123456789"
+    for kind, plain in (("email", "jane@mail.com"), ("phone", "+123456789")):
+        s = tape.text.index(plain)
+        start, end = tape.span(s, s + len(plain))
+        assert (start, end, kind) in pii.added(text, pii.find(text))
+        assert text[start:end].startswith("j\u0430ne" if kind == "email" else "+ ")
+    assert pii.SPELLED_DIGITS.edits("one two x") == [] and [e[2] for e in pii.SPELLED_DIGITS.edits("one, TWO-three 4 x")] == list("1234")
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "@" * 100_000, "a." * 100_000 + " dot x", "+1" * 100_000):
         pii.redact_text(text)

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from lymphlake.llm.common import pieces, sha256_hex
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Upper widths of the length buckets; longer pieces use a heap of pairs.
+#: Upper widths of the length buckets; rows of longer pieces lie end to end instead of padded.
 WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
+#: Bytes of long pieces that are merged side by side.
+ROW_BYTES = 1 << 18
 #: Rows of one matrix, and pieces that a worker remembers before it starts anew.
 MATRIX_ROWS, REMEMBERED = 1 << 14, 150_000
 _NONE = np.int32(2**31 - 1)
@@ -131,8 +133,66 @@ class Codec:
             ranks[row[before], at[before] - 1] = self.table.ranks(ids[row[before], at[before] - 1], best[before])
         return out
 
+    def _rows(self, rows: list[bytes]) -> list[tuple[int, ...]]:
+        """The same rounds for long pieces: rows of one flat array, compacted where pairs merged.
+
+        Each round every row merges all places of its minimum-rank pair, from
+        the left, which is what merging its leftmost one again and again
+        gives, as long as no merge makes a pair of smaller rank; a row stops
+        its round behind the first merge that does. So a row takes about as
+        many rounds as it has distinct merges, however long it is.
+        """
+        ids = self.bytes[np.frombuffer(b"".join(rows), np.uint8)]
+        lengths, owner = np.fromiter(map(len, rows), np.int64, len(rows)), np.arange(len(rows))
+        out: list = [None] * len(rows)
+
+        def pair_ranks(at: np.ndarray) -> np.ndarray:
+            """Ranks of the pairs that begin at places; none across the end of a row."""
+            right = np.minimum(at + 1, len(ids) - 1)
+            return np.where(row[at] == row[right], self.table.ranks(ids[at], np.where(at + 1 < len(ids), ids[right], -1)), _NONE)
+
+        row = np.repeat(np.arange(len(rows)), lengths)
+        ranks = pair_ranks(np.arange(len(ids)))
+        while len(owner):
+            starts = np.cumsum(lengths) - lengths
+            best = np.minimum.reduceat(ranks, starts)
+            done = best == _NONE
+            if done.any():
+                for i in np.flatnonzero(done).tolist():
+                    out[owner[i]] = tuple(map(self.ints.__getitem__, ids[starts[i] : starts[i] + lengths[i]].tolist()))
+                keep = np.repeat(~done, lengths)
+                ids, ranks = ids[keep], ranks[keep]
+                owner, lengths, best = owner[~done], lengths[~done], best[~done]
+                row = np.repeat(np.arange(len(owner)), lengths)
+                continue
+            at = np.flatnonzero(ranks == best[row])
+            # of pairs that overlap, every other one from the left
+            run = np.concatenate([[True], np.diff(at) > 1])
+            at = at[(at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0]
+            mine, merged = row[at], best[row[at]]
+            left = np.where((at > 0) & (row[np.maximum(at - 1, 0)] == mine), ids[np.maximum(at - 1, 0)], -1)
+            touching = np.concatenate([[False], (np.diff(at) == 2) & (mine[1:] == mine[:-1])])
+            left[touching] = merged[touching]
+            behind = np.minimum(at + 2, len(ids) - 1)
+            right = np.where((at + 2 < len(ids)) & (row[behind] == mine), ids[behind], -1)
+            early = (self.table.ranks(left, merged) < merged) | (self.table.ranks(merged, right) < merged)
+            if early.any():
+                before = np.cumsum(early) - early
+                first = np.searchsorted(mine, mine)
+                at = at[before == before[first]]
+                mine = row[at]
+            ids[at] = best[mine]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            place = (np.cumsum(keep) - 1)[at]
+            ids, row, ranks = ids[keep], row[keep], ranks[keep]
+            lengths = np.bincount(row, minlength=len(owner))
+            fresh = np.unique(np.concatenate([place, place[place > 0] - 1]))
+            ranks[fresh] = pair_ranks(fresh)
+        return out
+
     def _heap(self, piece: bytes) -> tuple[int, ...]:
-        """The same merges for one long piece, through a heap of (rank, position)."""
+        """The same merges for one piece through a heap of (rank, position): what the tests hold the matrices against."""
         ids, n = self.bytes[np.frombuffer(piece, np.uint8)].tolist(), len(piece)
         after, before, pair = [*range(1, n), -1], list(range(-1, n - 1)), self.table.pairs.get
         heap = [(r, i) for i in range(n - 1) if (r := pair((ids[i] << 32) | ids[i + 1])) is not None]
@@ -165,8 +225,14 @@ class Codec:
                 for (text, _), ids in zip(new[start:stop], self._matrix([b for _, b in new[start:stop]], width), strict=True):
                     self.known[text] = ids
                 start = stop
-        for text, data in new[start:]:
-            self.known[text] = self._heap(data)
+        while start < len(new):
+            stop, size = start, 0
+            while stop < len(new) and (stop == start or size + len(new[stop][1]) <= ROW_BYTES):
+                size += len(new[stop][1])
+                stop += 1
+            for (text, _), ids in zip(new[start:stop], self._rows([b for _, b in new[start:stop]]), strict=True):
+                self.known[text] = ids
+            start = stop
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
         """Ids of each text; each match of the pattern is encoded by itself."""

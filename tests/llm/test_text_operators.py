@@ -151,6 +151,16 @@ def test_matrix_and_heap_agree(vocabulary):
     assert own._matrix(rows, 64) == [own._heap(r) for r in rows]
 
 
+def test_long_rows_and_heap_agree(vocabulary):
+    own = bpe.Codec(*vocabulary)
+    rng = np.random.default_rng(8)
+    alphabets = (b"a", b"ab", b"abcdeting ", bytes(range(256)), "日本語の文字列éß".encode(), b"0123456789", b" ", b"=-")
+    rows = [bytes(rng.choice(list(a), n).astype(np.uint8)) for a in alphabets for n in (1, 2, 3, 129, 500, 3001)]
+    rows += ["".join(rng.choice(["the", "ing", "tion", "er", "q", "Zz"], 800)).encode() for _ in range(20)]
+    assert own._rows(rows) == [own._heap(r) for r in rows]
+    assert own._rows([b"a" * 1_000_000])[0] == own._heap(b"a" * 1_000_000)
+
+
 def test_bpe_query_odd_rows(spark, vocabulary):
     got = {r["doc_id"]: r for r in bpe.digests(odd(spark), *vocabulary).collect()}
     empty = hashlib.sha256(b"").hexdigest()

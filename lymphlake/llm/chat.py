@@ -95,20 +95,17 @@ def format_trees(messages: DataFrame, best: int = 1, trained: tuple[str, ...] =
     body = messages.select(F.struct("tree", "node").alias("k"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = _hop(paths(messages, best).select(F.struct("tree", "node").alias("at"), "leaf", "rank", "up"), body, "at", "k", "inner")
     head = F.concat(F.lit(OPEN), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\\n")), F.lit("\n"))
-    turns = turns.select(F.col("at.tree").alias("tree"), "leaf", "rank", F.struct((-F.col("up")).alias("pos"), head.alias("head"), escaped(F.col("text")).alias("text"), F.col("role").isin(*trained).alias("trained")).alias("t"))
-    whole = turns.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     tail = CLOSE + "\n"
+    turns = turns.select(F.col("at.tree").alias("tree"), "leaf", "rank", (-F.col("up")).alias("pos"), head.alias("head"), escaped(F.col("text")).alias("text"), F.col("role").isin(*trained).alias("trained"))
+    # where a turn's text begins is a running sum over the turns, so spans cost one pass
+    size = F.char_length("head") + F.char_length("text") + len(tail)
+    before = F.sum(size).over(Window.partitionBy("tree", "leaf", "rank").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    begin = F.coalesce(before, F.lit(0)) + F.char_length("head")
+    placed = turns.select("tree", "leaf", "rank", F.struct("pos", "head", "text", "trained", begin.cast("long").alias("start"), (begin + F.char_length("text")).cast("long").alias("end")).alias("t"))
+    whole = placed.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     formatted = F.concat_ws("", F.transform("ts", lambda t: F.concat(t["head"], t["text"], F.lit(tail))))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-
-    def add(acc, t):
-        begin = acc["at"] + F.char_length(t["head"])
-        end = begin + F.char_length(t["text"])
-        span = F.array(F.struct(begin.cast("long").alias("start"), end.cast("long").alias("end")))
-        return F.struct((end + len(tail)).cast("long").alias("at"), F.when(t["trained"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    return whole.select("tree", "leaf", "rank", formatted.alias("formatted"), F.aggregate("ts", start, add, lambda acc: acc["spans"]).alias("loss"))
+    loss = F.transform(F.filter("ts", lambda t: t["trained"]), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end")))
+    return whole.select("tree", "leaf", "rank", formatted.alias("formatted"), loss.alias("loss"))
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:

@@ -11,23 +11,30 @@ from pyspark.sql import functions as F
 
 from lymphlake.plans.tables import written
 
-#: Vectors a shard; edges a node; width of the search beam; slack of the pruning rule.
-SHARD_ROWS, DEGREE, BEAM, ALPHA = 4096, 24, 64, 1.2
+#: Vectors a shard at most, and shards at least, as far as each has FEW vectors; edges a node; width of the search beam; slack of the pruning rule.
+SHARD_ROWS, LEAST_SHARDS, FEW = 32_768, 12, 4096
+DEGREE, BEAM, ALPHA = 24, 64, 1.2
 #: Queries that are searched side by side, and a query block's rows.
 TOGETHER, PRUNED_TOGETHER = 256, 128
 #: Entry nodes of a shard.
 ENTRIES = 256
+INDEX_COLUMNS = ("ids", "vectors", "owners", "edges", "entries")
 INDEX_SCHEMA = "shard int, ids binary, vectors binary, owners binary, edges binary, entries binary"
 HIT_SCHEMA = "query_id long, vec_id long, score double"
 
 
 def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """``vec_id, v``: vectors without null, NaN or infinite components, and not all zero."""
+    """``vec_id, v``: vectors without null, NaN or infinite components, and not all zero, null ids aside."""
     v = F.col(vector_column).cast("array<double>")
     fine = F.col(vector_column).isNotNull() & (F.size(vector_column) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return vectors.where(F.col(id_column).isNotNull() & fine).select(F.col(id_column).cast("long").alias("vec_id"), v.alias("v"))
 
 
+def shard_count(n: int, shard_rows: int = SHARD_ROWS) -> int:
+    """Shards of at most ``shard_rows`` vectors, and enough of them for a small table to keep several tasks busy."""
+    return max(1, -(-n // shard_rows), min(LEAST_SHARDS, -(-n // min(FEW, shard_rows))))
+
+
 def _beam(points: np.ndarray, norms: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Beam search of many queries at once: nodes and squared distances, nearest first, -1 where none.
 
@@ -145,47 +152,54 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alph
 def build_index(vectors: DataFrame, id_column: str, vector_column: str, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> DataFrame:
     """One row a shard, written to the shared folder: ids, vectors, graph.
 
-    Every usable row is indexed; ids are hashed to shards of about
-    ``shard_rows``, so equal vectors spread evenly and a shard always fits a
-    task. Within a shard equal vectors are one node with several ids. For the
-    inner product each vector gets one more component that brings all to the
-    same length, so that nearest by distance is largest by product.
+    Every usable row of the commonest length (of equally common ones the
+    longest) is indexed; vectors of another length take no part. Ids are
+    hashed to shards of at most about ``shard_rows``, so equal vectors spread
+    evenly and a shard always fits a task. Rows that repeat id and vector
+    count once; equal vectors of a shard are one node with several ids. For
+    the inner product each vector gets one more component that brings all to
+    the same length, so that nearest by distance is largest by product.
     """
     rows = _usable(vectors, id_column, vector_column)
-    n, longest = rows.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
-    shards = max(1, -(-n // shard_rows))
-    longest = float(longest or 0.0)
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    per_width = rows.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest"))
+    width, n, longest = per_width.orderBy(F.desc("n"), F.desc("width")).first() or (0, 0, 0.0)
+    shards = shard_count(n, shard_rows)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("vec_id").to_numpy(), kind="stable")
-        ids = table.column("vec_id").to_numpy()[order]
-        lists = table.column("v").combine_chunks()
-        width = np.diff(lists.offsets.to_numpy())
-        if len(set(width)) > 1:
-            raise ValueError("vectors differ in length")
-        v = lists.flatten().to_numpy().reshape(len(ids), -1)[order]
-        _, first, owners = np.unique(v, axis=0, return_index=True, return_inverse=True)
-        nodes = v[first]
+        ids = table.column("vec_id").to_numpy()
+        v = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        nodes, owners = np.unique(v, axis=0, return_inverse=True)
+        listed = np.unique(np.stack([owners.ravel(), ids], axis=1), axis=0)  # by node, then id
         extra = np.sqrt(np.maximum(longest - (nodes * nodes).sum(axis=1), 0.0))
         points = np.concatenate([nodes, extra[:, None]], axis=1).astype(np.float32)
         edges, entries = build_graph(points, degree, beam, alpha)
-        values = [key[0].as_py(), ids.tobytes(), v.tobytes(), owners.astype(np.int32).tobytes(), edges.tobytes(), entries.tobytes()]
+        values = [key[0].as_py(), listed[:, 1].tobytes(), nodes.tobytes(), listed[:, 0].astype(np.int32).tobytes(), edges.tobytes(), entries.tobytes()]
         kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         return pa.table({name: pa.array([x], t) for name, x, t in zip(("shard", "ids", "vectors", "owners", "edges", "entries"), values, kinds, strict=True)})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    dealt = rows.where(F.size("v") == width).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     return written(dealt.groupBy("shard").applyInArrow(run, INDEX_SCHEMA), "graph-index")
 
 
 def search(index: DataFrame, queries: DataFrame, id_column: str, vector_column: str, k: int = 20, beam: int = BEAM, degree: int = DEGREE, block: int = 1024) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found for each query, its own id left out.
 
-    Queries are packed into blocks; every block meets every shard once, in
-    tasks that hold one shard and one block. A beam search per shard proposes
-    nodes, all ids of a node count, and scores are exact products in double
-    precision, added up component by component. Ties go to the smaller id.
+    Queries are packed into blocks. A shard's task reads its index once and
+    then the blocks one after the other, so an index moves once, whatever the
+    number of queries. A beam search per shard proposes nodes, all ids of a
+    node count, and scores are exact products in double precision, added up
+    component by component. Ties go to the smaller id.
+
+    A result lists a ``vec_id`` once, at its best score, also if the index
+    holds several vectors of it. A query id with several vectors is searched
+    with each, and the best of its scores counts. Queries of another length
+    than the index have no result.
     """
-    rows = _usable(queries, id_column, vector_column)
+    rows = _usable(queries, id_column, vector_column).dropDuplicates()
+    shape = index.agg(F.max("shard"), F.max(F.octet_length("vectors") / F.greatest(F.lit(1), F.octet_length("edges") / (4 * degree)))).first()
+    shards, width = (shape[0] or 0) + 1, int((shape[1] or 0) // 8)
+    rows = rows.where(F.size("v") == width)
     blocks = max(1, -(-rows.count() // block))
 
     def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -195,56 +209,70 @@ def search(index: DataFrame, queries: DataFrame, id_column: str, vector_column:
     packed = written(rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).groupBy("block").applyInArrow(pack, "block int, query_ids binary, query_vectors binary"), "graph-queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = None
         for batch in batches:
             for row in range(batch.num_rows):
                 cell = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                yield _search_block(cell, k, beam, degree)
-
-    # the number of pairs is shards times blocks of queries, stated work of a search
-    last = index.agg(F.max("shard")).first()[0]
-    pairs = packed.select("block", F.explode(F.sequence(F.lit(0), F.lit(last or 0))).alias("shard")).repartition("shard", "block")
-    work = pairs.join(index, "shard").join(packed, "block").drop("block", "shard")
-    hits = work.mapInArrow(run, HIT_SCHEMA)
+                if cell["block"] < 0:
+                    shard = _Shard(cell, degree)
+                elif shard is not None and shard.number == cell["shard"]:
+                    yield shard.search(cell["query_ids"], cell["query_vectors"], k, beam)
+
+    # every block goes to every shard, stated work of a search; a shard's index sorts before its blocks
+    none = F.lit(None).cast("binary")
+    work = packed.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "block", "query_ids", "query_vectors", *[none.alias(c) for c in INDEX_COLUMNS])
+    work = index.select("shard", F.lit(-1).alias("block"), none.alias("query_ids"), none.alias("query_vectors"), *INDEX_COLUMNS).unionByName(work)
+    hits = work.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(run, HIT_SCHEMA)
+    best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("vec_id")))
-    return hits.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
-
-
-def _search_block(cell: dict, k: int, beam: int, degree: int) -> pa.RecordBatch:
-    ids, owners = np.frombuffer(cell["ids"], np.int64), np.frombuffer(cell["owners"], np.int32)
-    v = np.frombuffer(cell["vectors"], np.float64).reshape(len(ids), -1)
-    edges = np.frombuffer(cell["edges"], np.int32).reshape(-1, degree)
-    query_ids = np.frombuffer(cell["query_ids"], np.int64)
-    q = np.frombuffer(cell["query_vectors"], np.float64).reshape(len(query_ids), -1)
-    by_owner = np.argsort(owners, kind="stable")  # ids ascend within a node
-    counts = np.bincount(owners, minlength=len(edges))
-    ends = np.cumsum(counts)
-    nodes = v[by_owner[ends - counts]]
-    length = (nodes * nodes).sum(axis=1)
-    points = np.concatenate([nodes, np.sqrt(np.maximum(length.max() - length, 0))[:, None]], axis=1).astype(np.float32)
-    norms = (points * points).sum(axis=1)
-    out: list[tuple[np.ndarray, ...]] = []
-    for start in range(0, len(q), TOGETHER):
-        some = q[start : start + TOGETHER]
-        wide = np.concatenate([some, np.zeros((len(some), 1))], axis=1).astype(np.float32)
-        found, _ = _beam(points, norms, edges, np.frombuffer(cell["entries"], np.int32), wide, beam)
-        # of a node's ids, at most k + 1 can be among the k nearest besides the query's own
-        which, place = np.nonzero(found >= 0)
-        node = found[which, place]
-        many = np.minimum(counts[node], k + 1)
-        which = np.repeat(which, many)
-        at = by_owner[np.repeat(ends[node] - counts[node], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-        score = np.zeros(len(at))
-        for c in range(v.shape[1]):
-            score += some[which, c] * v[at, c]
-        other = ids[at] != query_ids[start + which]
-        which, at, score = which[other], at[other], score[other]
-        order = np.lexsort((ids[at], -score, which))
-        which, at, score = which[order], at[order], score[order]
-        first = np.searchsorted(which, which)
-        keep = np.arange(len(which)) - first < k
-        out.append((query_ids[start + which[keep]], ids[at[keep]], score[keep]))
-    columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
+    return best.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+
+class _Shard:
+    """One shard's arrays, ready to search; ids are listed by node, and ascend within one."""
+
+    def __init__(self, cell: dict, degree: int):
+        self.number = cell["shard"]
+        self.ids, owners = np.frombuffer(cell["ids"], np.int64), np.frombuffer(cell["owners"], np.int32)
+        self.edges, self.entries = np.frombuffer(cell["edges"], np.int32).reshape(-1, degree), np.frombuffer(cell["entries"], np.int32)
+        self.nodes = np.frombuffer(cell["vectors"], np.float64).reshape(len(self.edges), -1)
+        self.counts = np.bincount(owners, minlength=len(self.edges))
+        length = (self.nodes * self.nodes).sum(axis=1)
+        self.points = np.concatenate([self.nodes, np.sqrt(np.maximum(length.max() - length, 0))[:, None]], axis=1).astype(np.float32)
+        self.norms = (self.points * self.points).sum(axis=1)
+
+    def search(self, ids: bytes, vectors: bytes, k: int, beam: int) -> pa.RecordBatch:
+        """The ``k`` best ids of the shard for each query of a block."""
+        query_ids = np.frombuffer(ids, np.int64)
+        q = np.frombuffer(vectors, np.float64).reshape(len(query_ids), -1)
+        ends = np.cumsum(self.counts)
+        out: list[tuple[np.ndarray, ...]] = []
+        for start in range(0, len(q), TOGETHER):
+            some = q[start : start + TOGETHER]
+            wide = np.concatenate([some, np.zeros((len(some), 1))], axis=1).astype(np.float32)
+            found, _ = _beam(self.points, self.norms, self.edges, self.entries, wide, beam)
+            which, place = np.nonzero(found >= 0)
+            node = found[which, place]
+            score = np.zeros(len(node))
+            for c in range(q.shape[1]):
+                score += some[which, c] * self.nodes[node, c]
+            # of a node's ids, at most k + 1 can be among the k nearest besides the query's own
+            many = np.minimum(self.counts[node], k + 1)
+            at = np.repeat(ends[node] - self.counts[node], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            which, near, score = np.repeat(which, many), self.ids[at], np.repeat(score, many)
+            other = near != query_ids[start + which]
+            which, near, score = which[other], near[other], score[other]
+            # an id of several vectors counts with the best one
+            order = np.lexsort((-score, near, which))
+            which, near, score = which[order], near[order], score[order]
+            once = np.concatenate([[True], (which[1:] != which[:-1]) | (near[1:] != near[:-1])])[: len(which)]
+            which, near, score = which[once], near[once], score[once]
+            order = np.lexsort((near, -score, which))
+            which, near, score = which[order], near[order], score[order]
+            keep = np.arange(len(which)) - np.searchsorted(which, which) < k
+            out.append((query_ids[start + which[keep]], near[keep], score[keep]))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
 
 def nearest(vectors: DataFrame, id_column: str, vector_column: str, every: int = 20, k: int = 20) -> DataFrame:
@@ -252,8 +280,9 @@ def nearest(vectors: DataFrame, id_column: str, vector_column: str, every: int =
 
     Vectors that are null, empty, zero or hold a null or non-finite component
     take no part, neither as query nor as candidate; nor do rows without id.
+    Vectors of another length than the commonest one take no part either.
     Fewer than ``k`` candidates: all of them. An empty table gives no row.
-    Repeated rows are candidates of their own, under the same id.
+    Repeated rows count once; candidates are ids, so a result lists an id once.
     """
     index = build_index(vectors, id_column, vector_column)
     return search(index, vectors.where(F.col(id_column) % every == 0), id_column, vector_column, k)

@@ -231,6 +231,22 @@ def test_odd_vectors(spark):
     assert ann.nearest(t.limit(0), "vec_id", "embedding").count() == 0
 
 
+def test_repeated_queries_and_ragged_lengths(spark):
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((300, 6))
+    rows = [(i, v[i].tolist()) for i in range(300)]
+    want = exact(np.arange(300), v, 20)
+    odd_rows = [(0, v[0].tolist()), (20, v[20].tolist()), (20, v[20].tolist()), (7, v[7].tolist()), (40, [1.0]), (1001, [1.0, 2.0]), (1020, [3.0] * 9)]
+    got = ann.nearest(spark.createDataFrame(rows + odd_rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").toPandas()
+    assert sorted(set(got.query_id)) == sorted(want)
+    for q, g in got.groupby("query_id"):
+        assert g.sort_values("rank").vec_id.tolist() == [i for i, _ in want[q]]
+    # an id with several vectors is one candidate, at its best score, and one query
+    both = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [2.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 1.0]), (20, [1.0, 0.0])]
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.nearest(spark.createDataFrame(both, "vec_id long, embedding array<double>"), "vec_id", "embedding").orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1, 2.0), (0, 2, 2, 1.0), (0, 3, 20, 1.0), (20, 1, 1, 2.0), (20, 2, 0, 1.0), (20, 3, 2, 1.0)]
+
+
 def test_many_copies_of_a_vector(spark):
     rng = np.random.default_rng(1)
     v = rng.standard_normal((60, 8))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import io
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -11,6 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 SHARD_BYTES = 24 << 20
 #: A counting task hands on its sums when it holds so many keys; a worker forgets words beyond so many.
 HELD_KEYS, REMEMBERED = 4_000_000, 300_000
+#: Arrays that a worker keeps open: mapped files, or whole copies where the shared folder is not mounted.
+MAPPED, COPIED = 4096, 64
 #: Hash of the end token; no word hashes to it but by the chance of a 64-bit collision.
 END = xxhash.xxh3_64_intdigest(b"\0end of text\0")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -69,15 +72,19 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
-    """One row a shard: sorted keys and counts as bytes, so that Spark moves few, dense rows."""
-    where = shard_of(keys, shards)
-    order = np.argsort(where.astype(np.uint16) if shards < 1 << 16 else where, kind="stable")
+    """One row a shard that occurs: sorted keys and counts as bytes, so that Spark moves few, dense rows, and never more rows than keys."""
+    order, parts = _by_shard(shard_of(keys, shards))
     keys, counts = keys[order], counts[order]
-    ends = np.cumsum(np.bincount(where, minlength=shards))
     small = counts.max(initial=0) < 1 << 32
-    for shard, (a, b) in enumerate(zip(ends - np.diff(ends, prepend=0), ends, strict=True)):
-        if a < b:
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([keys[a:b].tobytes()], pa.binary()), pa.array([counts[a:b].astype(np.uint32 if small else np.uint64).tobytes()], pa.binary()), pa.array([small])], names=["shard", "keys", "counts", "small"])
+    for shard, a, b in parts:
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([keys[a:b].tobytes()], pa.binary()), pa.array([counts[a:b].astype(np.uint32 if small else np.uint64).tobytes()], pa.binary()), pa.array([small])], names=["shard", "keys", "counts", "small"])
+
+
+def _by_shard(where: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order that puts shards together and keeps the rest, and each shard that occurs with its range in that order."""
+    order = np.argsort(where, kind="stable")
+    found, first = np.unique(where[order], return_index=True)
+    return order, list(zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(where)], strict=True))
 
 
 PACKED = "shard int, keys binary, counts binary, small boolean"
@@ -116,81 +123,115 @@ def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return keys, counts
 
 
-def local(path: str) -> str:
-    """The path under which workers map a file of the shared folder."""
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    if "://" in path:
-        raise ValueError(f"{path}: arrays are memory-mapped, so the shared folder must be mounted on every worker")
-    return path
+def _open(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
 
 def _save(folder: str, **arrays: np.ndarray) -> None:
-    """Write arrays under their final names in one step each; a retried task writes the same bytes."""
-    os.makedirs(folder, exist_ok=True)
+    """Write arrays to the shared folder, each under its final name in one step; a retried task writes the same bytes."""
+    system, root = _open(folder)
+    system.create_dir(root, recursive=True)
     for name, values in arrays.items():
-        part = f"{folder}/.{name}-{uuid.uuid4().hex}"
-        with open(part, "wb") as f:
-            np.save(f, values)
-        os.replace(part, f"{folder}/{name}.npy")
+        part, head = f"{root}/.{name}-{uuid.uuid4().hex}", io.BytesIO()
+        np.lib.format.write_array_header_1_0(head, np.lib.format.header_data_from_array_1_0(values))
+        with system.open_output_stream(part) as out:
+            out.write(head.getvalue())
+            if values.size:
+                out.write(pa.py_buffer(np.ascontiguousarray(values)))
+        system.move(part, f"{root}/{name}.npy")
+
+
+def _load(folder: str, name: str) -> tuple[np.ndarray | None, bool]:
+    """An array of the shared folder, memory-mapped where the folder is mounted, and whether it is; None if it was not written."""
+    system, root = _open(folder)
+    path, mounted = f"{root}/{name}.npy", isinstance(system, fs.LocalFileSystem)
+    if system.get_file_info(path).type != fs.FileType.File:
+        return None, mounted
+    if mounted:
+        return np.load(path, mmap_mode="r"), True
+    with system.open_input_file(path) as f:
+        return np.load(io.BytesIO(f.read())), False
 
 
 @dataclass(frozen=True)
 class Model:
-    """Where the arrays lie, and the few numbers that are not arrays."""
+    """Where the arrays lie, and the few numbers that are not arrays.
+
+    A word's id is its place in its shard's sorted array times the number of
+    shards, plus the shard; so ids need no table of offsets, and a context's
+    numbers lie at the word's own place.
+    """
 
     folder: str
     shards: int
-    offsets: tuple[int, ...]  # ids before each shard of words
-    types: int  # V: distinct training tokens, also the id of the text's begin
+    height: int  # words of the fullest shard
+    types: int  # V: distinct training tokens
     tokens: int  # N
-    bigram_types: int
-    discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
-    word_left: float  # mass that the words' discounts leave to the uniform distribution
+    bigram_types: int = 0
+    discounts: tuple[float, float, float] = (0, 0, 0)
+    word_discounts: tuple[float, float, float] = (0, 0, 0)
+    word_left: float = 1.0  # mass that the words' discounts leave to the uniform distribution
+
+    @property
+    def begin(self) -> int:
+        """The id of a text's begin, behind those of all words."""
+        return self.height * self.shards
 
 
 class Arrays:
-    """Memory-mapped arrays of a model: lookups of words, bigrams, contexts."""
+    """Sorted arrays of a model, opened as they are needed: lookups of words, bigrams, contexts."""
 
     def __init__(self, model: Model):
         self.model = model
-        load = lambda i, n: np.load(f"{model.folder}/{i}/{n}.npy", mmap_mode="r")
-        self.words = [(load(i, "words"), load(i, "word_counts")) for i in range(model.shards)]
-        self.bigrams = [(load(i, "bigrams"), load(i, "bigram_counts")) for i in range(model.shards)] if model.bigram_types else []
-        self.contexts = [tuple(load(i, n) for n in ("totals", "backoffs", "continuations")) for i in range(model.shards)] if model.bigram_types else []
-
-    def _found(self, arrays: list, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shard, position (-1 if absent) and count of each key; keys of a shard are looked up in order."""
+        self.held: dict[tuple[int, str], np.ndarray] = {}
+        self.most = MAPPED
+
+    def array(self, shard: int, name: str) -> np.ndarray:
+        found = self.held.get((shard, name))
+        if found is None:
+            if len(self.held) >= self.most:
+                self.held.clear()
+            found, mounted = _load(f"{self.model.folder}/{shard}", name)
+            self.most = MAPPED if mounted else COPIED
+            found = self.held[shard, name] = np.empty(0, np.uint64) if found is None else found
+        return found
+
+    def _found(self, names: tuple[str, str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shard, position (-1 if absent) and count of each of the sorted keys."""
         shard = shard_of(keys, self.model.shards)
         position, count = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        order = np.lexsort((keys, shard)) if len(keys) else np.empty(0, np.int64)
-        ends = np.cumsum(np.bincount(shard, minlength=self.model.shards))
-        for i, (a, b) in enumerate(zip(ends - np.diff(ends, prepend=0), ends, strict=True)):
-            if a < b and len(arrays[i][0]):
+        order, parts = _by_shard(shard)
+        for i, a, b in parts:
+            sorted_keys = self.array(i, names[0])
+            if len(sorted_keys):
                 mine = order[a:b]
-                at = np.minimum(np.searchsorted(arrays[i][0], keys[mine]), len(arrays[i][0]) - 1)
-                hit = arrays[i][0][at] == keys[mine]
+                at = np.minimum(np.searchsorted(sorted_keys, keys[mine]), len(sorted_keys) - 1)
+                hit = sorted_keys[at] == keys[mine]
                 position[mine[hit]] = at[hit]
-                count[mine[hit]] = arrays[i][1][at[hit]]
+                count[mine[hit]] = self.array(i, names[1])[at[hit]]
         return shard, position, count
 
     def word_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1 if unknown) and training counts of word hashes."""
         distinct, inverse = np.unique(hashes, return_inverse=True)
-        shard, position, count = self._found(self.words, distinct)
-        ids = np.where(position >= 0, position + np.array(self.model.offsets)[shard], -1)
+        shard, position, count = self._found(("words", "word_counts"), distinct)
+        ids = np.where(position >= 0, position * self.model.shards + shard, -1)
         return ids[inverse], count[inverse]
 
+    def bigram_counts(self, keys: np.ndarray) -> np.ndarray:
+        distinct, inverse = np.unique(keys, return_inverse=True)
+        return self._found(("bigrams", "bigram_counts"), distinct)[2][inverse]
+
     def context(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Total, back-off mass and continuation count of ids; ids are dealt to shards by remainder."""
+        """Total, back-off mass and continuation count of ids."""
         distinct, inverse = np.unique(ids, return_inverse=True)
         total, left, follows = np.zeros(len(distinct)), np.ones(len(distinct)), np.zeros(len(distinct))
-        for i in range(self.model.shards):
-            mine = np.flatnonzero((distinct % self.model.shards == i) & (distinct >= 0))
-            if len(mine):
+        order, parts = _by_shard(np.where(distinct >= 0, distinct % self.model.shards, -1))
+        for i, a, b in parts:
+            if i >= 0:
+                mine = order[a:b]
                 row = distinct[mine] // self.model.shards
-                total[mine], left[mine], follows[mine] = (self.contexts[i][k][row] for k in range(3))
+                total[mine], left[mine], follows[mine] = (self.array(i, name)[row] for name in ("totals", "backoffs", "continuations"))
         return total[inverse], left[inverse], follows[inverse]
 
 
@@ -221,84 +262,91 @@ def train(docs: DataFrame) -> Model:
     hand on packed sums per shard; the ids of a bigram make one 64-bit key),
     and the sums by context and by word over bigram types. Keys are dealt by
     a hash of the whole bigram, so a frequent word fills no shard. What is
-    counted grows with the input; the driver gets a row of numbers a shard.
-    Null texts count as empty and give one end token.
+    counted grows with the input; Spark adds up what shards report, and the
+    driver gets one row of numbers a job. More ids than 32 bits hold raise an
+    error. Null texts count as empty and give one end token.
     """
-    folder = scratch(docs.sparkSession, "bigrams")
-    root = local(folder)
+    root = scratch(docs.sparkSession, "bigrams")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(12, -(-size // SHARD_BYTES))
 
     def keep_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         words, counts = _merged(table)
         _save(f"{root}/{key[0].as_py()}", words=words, word_counts=counts)
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "types": [len(words)], "tokens": [int(counts.sum())]})
+        return pa.table({"types": [len(words)], "tokens": [int(counts.sum())]})
 
     counted = _counted(docs, lambda texts: token_hashes(texts)[0], shards)
-    sums = {r["shard"]: r for r in counted.groupBy("shard").applyInArrow(keep_words, "shard int, types long, tokens long").collect()}
-    sizes = [sums[i]["types"] if i in sums else 0 for i in range(shards)]
-    offsets = tuple(int(x) for x in np.cumsum([0, *sizes[:-1]]))
-    types, tokens = sum(sizes), sum(r["tokens"] for r in sums.values())
-    for i in range(shards):
-        if i not in sums:
-            _save(f"{root}/{i}", words=np.empty(0, np.uint64), word_counts=np.empty(0, np.int64))
-    words = Model(root, shards, offsets, types, tokens, 0, (0, 0, 0), (0, 0, 0), 1.0)
+    height, types, tokens = counted.groupBy("shard").applyInArrow(keep_words, "types long, tokens long").agg(F.max("types"), F.sum("types"), F.sum("tokens")).first()
+    words = Model(root, shards, height or 0, types or 0, tokens or 0)
     if not tokens:
         return words
+    if words.begin > int(_LOW):
+        raise OverflowError(f"{types} distinct tokens: ids of bigrams hold 32 bits each")
 
     def bigram_keys(texts: list[str | None]) -> np.ndarray:
         hashes, sizes = token_hashes(texts)
-        ids = arrays(words).word_ids(hashes)[0]
-        return bigrams(ids, sizes, types)
+        return bigrams(arrays(words).word_ids(hashes)[0], sizes, words.begin)
 
     def keep_bigrams(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         found, counts = _merged(table)
         _save(f"{root}/{key[0].as_py()}", bigrams=found, bigram_counts=counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64))
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "types": [len(found)], **{f"n{k}": [int((counts == k).sum())] for k in range(1, 5)}})
+        return pa.table({"types": [len(found)], **_counts_of_counts(counts)})
 
-    rows = _counted(docs, bigram_keys, shards).groupBy("shard").applyInArrow(keep_bigrams, "shard int, types long, n1 long, n2 long, n3 long, n4 long").collect()
-    bigram_types = sum(r["types"] for r in rows)
-    discounts = _discounts([sum(r[f"n{k}"] for r in rows) for k in range(1, 5)])
-    present = {r["shard"] for r in rows}
-    for i in set(range(shards)) - present:
-        _save(f"{root}/{i}", bigrams=np.empty(0, np.uint64), bigram_counts=np.empty(0, np.uint32))
+    found = _counted(docs, bigram_keys, shards).groupBy("shard").applyInArrow(keep_bigrams, f"types long, {_COUNTS_OF_COUNTS}")
+    bigram_types, *ones, _ = found.agg(F.sum("types"), *map(F.sum, _NAMES)).first()
+    discounts = _discounts(ones)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per target shard of ids: partial sums over the bigrams of one shard."""
+        """Per target shard of ids: partial sums over the bigrams of one shard; no more rows than sums."""
         for batch in batches:
             for i in batch.column("id").to_pylist():
-                keys, counts = (np.load(f"{root}/{i}/{n}.npy", mmap_mode="r") for n in ("bigrams", "bigram_counts"))
+                (keys, _), (counts, _) = (_load(f"{root}/{i}", n) for n in ("bigrams", "bigram_counts"))
+                if keys is None or not len(keys):
+                    continue
                 first, second = (keys >> np.uint64(32)).astype(np.int64), (keys & _LOW).astype(np.int64)
                 context, where = np.unique(first, return_inverse=True)
-                sums = [np.bincount(where, x, len(context)) for x in (counts, counts == 1, counts == 2, counts >= 3)] if len(keys) else [np.empty(0)] * 4
+                sums = np.stack([np.bincount(where, x, len(context)) for x in (counts, counts == 1, counts == 2, counts >= 3)])
                 word, follows = np.unique(second, return_counts=True)
-                for shard in range(shards):
-                    mine, theirs = context % shards == shard, word % shards == shard
-                    if mine.any() or theirs.any():
-                        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([context[mine].tobytes()], pa.binary()), pa.array([np.stack([s[mine] for s in sums]).tobytes()], pa.binary()), pa.array([word[theirs].tobytes()], pa.binary()), pa.array([follows[theirs].tobytes()], pa.binary())], names=["shard", "context", "sums", "word", "follows"])
+                order, parts = _by_shard(context % shards)
+                for shard, a, b in parts:
+                    mine = order[a:b]
+                    yield _partial(shard, context[mine], sums[:, mine], word[:0], follows[:0])
+                order, parts = _by_shard(word % shards)
+                for shard, a, b in parts:
+                    mine = order[a:b]
+                    yield _partial(shard, context[:0], sums[:, :0], word[mine], follows[mine])
 
     def keep_contexts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        shard = key[0].as_py()
-        n = -(-(types + 1 - shard) // shards)
+        columns = [table.column(c) for c in ("context", "sums", "word", "follows")]
+        parts = [[np.frombuffer(x.as_buffer(), t) for x, t in zip(r, (np.int64, np.float64, np.int64, np.int64), strict=True)] for r in zip(*columns, strict=True)]
+        n = max(int(ids.max(initial=-1)) for p in parts for ids in (p[0], p[2])) // shards + 1
         sums, follows = np.zeros((4, n)), np.zeros(n, np.int64)
-        for r in zip(*(table.column(c) for c in ("context", "sums", "word", "follows")), strict=True):
-            context, part, word, times = (np.frombuffer(x.as_buffer(), t) for x, t in zip(r, (np.int64, np.float64, np.int64, np.int64), strict=True))
+        for context, part, word, times in parts:
             sums[:, context // shards] += part.reshape(4, -1)
             follows[word // shards] += times
         total = sums[0]
         left = np.where(total > 0, (np.array(discounts) @ sums[1:]) / np.maximum(total, 1), 1.0)
-        _save(f"{root}/{shard}", totals=total, backoffs=left, continuations=follows)
-        return pa.table({"shard": pa.array([shard], pa.int32()), **{f"n{k}": [int((follows == k).sum())] for k in range(1, 5)}, "more": [int((follows >= 3).sum())]})
+        _save(f"{root}/{key[0].as_py()}", totals=total, backoffs=left, continuations=follows)
+        return pa.table(_counts_of_counts(follows))
 
     each = docs.sparkSession.range(0, shards, 1, shards).mapInArrow(split, "shard int, context binary, sums binary, word binary, follows binary")
-    rows = each.groupBy("shard").applyInArrow(keep_contexts, "shard int, n1 long, n2 long, n3 long, n4 long, more long").collect()
-    for i in set(range(shards)) - {r["shard"] for r in rows}:
-        n = max(0, -(-(types + 1 - i) // shards))
-        _save(f"{root}/{i}", totals=np.zeros(n), backoffs=np.ones(n), continuations=np.zeros(n, np.int64))
-    word_discounts = _discounts([sum(r[f"n{k}"] for r in rows) for k in range(1, 5)])
-    n1, n2, more = (sum(r[c] for r in rows) for c in ("n1", "n2", "more"))
-    left = (word_discounts[0] * n1 + word_discounts[1] * n2 + word_discounts[2] * more) / bigram_types
-    return Model(root, shards, offsets, types, tokens, bigram_types, discounts, word_discounts, left)
+    *ones, more = each.groupBy("shard").applyInArrow(keep_contexts, _COUNTS_OF_COUNTS).agg(*map(F.sum, _NAMES)).first()
+    word_discounts = _discounts(ones)
+    left = (word_discounts[0] * ones[0] + word_discounts[1] * ones[1] + word_discounts[2] * more) / bigram_types
+    return Model(root, shards, height, types, tokens, bigram_types, discounts, word_discounts, left)
+
+
+_NAMES = ("n1", "n2", "n3", "n4", "more")
+_COUNTS_OF_COUNTS = ", ".join(f"{n} long" for n in _NAMES)
+
+
+def _counts_of_counts(counts: np.ndarray) -> dict[str, list[int]]:
+    """How many keys were counted 1, 2, 3, 4 times, and 3 times or more."""
+    return {**{f"n{k}": [int((counts == k).sum())] for k in range(1, 5)}, "more": [int((counts >= 3).sum())]}
+
+
+def _partial(shard: int, context: np.ndarray, sums: np.ndarray, word: np.ndarray, follows: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (context, sums, word, follows)]], names=["shard", "context", "sums", "word", "follows"])
 
 
 def bigrams(ids: np.ndarray, sizes: np.ndarray, begin: int) -> np.ndarray:
@@ -314,15 +362,14 @@ def log10_probabilities(model: Model, ids: np.ndarray, sizes: np.ndarray) -> np.
     own = arrays(model)
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
-    before[np.cumsum(sizes) - sizes] = model.types
+    before[np.cumsum(sizes) - sizes] = model.begin
     follows = own.context(ids)[2]
     word = (follows - _taken(follows, model.word_discounts)) / model.bigram_types + model.word_left / (model.types + 1)
     total, left, _ = own.context(before)
     both = (ids >= 0) & (before >= 0)
     count = np.zeros(len(ids), np.int64)
     if both.any():
-        distinct, inverse = np.unique((before[both].astype(np.uint64) << np.uint64(32)) | ids[both].astype(np.uint64), return_inverse=True)
-        count[both] = own._found(own.bigrams, distinct)[2][inverse]
+        count[both] = own.bigram_counts((before[both].astype(np.uint64) << np.uint64(32)) | ids[both].astype(np.uint64))
     seen = np.where(total > 0, (count - _taken(count, model.discounts)) / np.maximum(total, 1), 0.0)
     return np.log10(seen + np.where(total > 0, left, 1.0) * word)
 

@@ -158,6 +158,39 @@ def assigned_reads(spark, d):
     return H.assigned(t, H.top_hits(h, "plus"), H.top_hits(h, "minus")).select("read_id", "v_call", "j_call", "status")
 
 
+_J_TOP = "jt AS (SELECT qid, qstart AS js, qend AS je FROM hits WHERE strand = 'minus' QUALIFY row_number() OVER (PARTITION BY qid ORDER BY hit_rank) = 1)"
+_D_HITS = _J_TOP + """, dh AS (SELECT qid, sid, hit_rank, max(CASE WHEN js IS NULL OR e <= js THEN 1 ELSE 0 END) OVER (PARTITION BY qid ORDER BY hit_rank ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT h.*, h.qstart + 1 AS e, js FROM hits h LEFT JOIN jt ON jt.qid = h.qid))"""
+_C_HITS = """ch AS (SELECT qid, sid, hit_rank, max(CASE WHEN je IS NULL OR s >= je THEN 1 ELSE 0 END) OVER (PARTITION BY qid ORDER BY hit_rank ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT h.*, h.qstart + 198 AS s, je FROM hits h LEFT JOIN jt ON jt.qid = h.qid))"""
+
+
+def _bounded(spark, d):
+    """D hits moved near the J hits' starts, C hits near their ends, and the J hits."""
+    h = V(spark, d, "hits")
+    j = H.top_hits(h, "minus")
+    return H.bounded_hits(h.withColumn("qend", F.col("qstart") + 1), j, "D"), H.bounded_hits(h.withColumn("qstart", F.col("qstart") + 198), j, "C"), j
+
+
+@query("hits", ctes_more=_J_TOP + ", " + _C_HITS, sql="SELECT qid, sid, hit_rank FROM ch WHERE k = 1")
+def c_after_j(spark, d):
+    return _bounded(spark, d)[1].select("qid", "sid", "hit_rank")
+
+
+@query(
+    "rearrangements", "hits", ctes_more=_D_HITS + ", " + _C_HITS,
+    sql="""SELECT r.sequence_id AS read_id, v.sid AS v_call, j.sid AS j_call, CASE WHEN v.sid IS NOT NULL AND j.sid IS NOT NULL THEN d.sid END AS d_call, CASE WHEN v.sid IS NOT NULL AND j.sid IS NOT NULL THEN c.sid END AS c_call,
+      CASE WHEN v.sid IS NULL THEN 'noV' WHEN j.sid IS NULL THEN 'noJ' END AS status FROM rearrangements r
+      LEFT JOIN (SELECT * FROM hits WHERE strand = 'plus' QUALIFY row_number() OVER (PARTITION BY qid ORDER BY hit_rank) = 1) v ON v.qid = r.sequence_id
+      LEFT JOIN (SELECT * FROM hits WHERE strand = 'minus' QUALIFY row_number() OVER (PARTITION BY qid ORDER BY hit_rank) = 1) j ON j.qid = r.sequence_id
+      LEFT JOIN (SELECT * FROM dh WHERE k = 1 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY hit_rank) = 1) d ON d.qid = r.sequence_id
+      LEFT JOIN (SELECT * FROM ch WHERE k = 1 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY hit_rank) = 1) c ON c.qid = r.sequence_id""",
+)
+def annotated_reads(spark, d):
+    """Reads with V, J, D and C calls."""
+    t, h = V(spark, d, "rearrangements").select(F.col("sequence_id").alias("read_id")), V(spark, d, "hits")
+    dh, ch, j = _bounded(spark, d)
+    return H.assigned(t, H.top_hits(h, "plus"), j, H.top_hits(dh), H.top_hits(ch)).select("read_id", "v_call", "j_call", "d_call", "c_call", "status")
+
+
 @query(
     "germline",
     sql="""SELECT id, allele, votes FROM (SELECT r.id, g.allele, r.strand, r.p - g.p AS diagonal, count(*) AS votes FROM r JOIN g ON r.k = g.k GROUP BY ALL)
@@ -170,7 +203,7 @@ def assigned_reads(spark, d):
 def seed_votes(spark, d):
     g = V(spark, d, "germline")
     reads = g.select(F.col("allele").alias("id"), F.substr("seq", 1 + F.length("allele") % 3, F.lit(30)).alias("seq"))
-    return H.seed_votes(reads, g, keep=10_000, frequent=1_000_000).select("id", "allele", "votes")
+    return H.seed_votes(reads, g, keep=10_000).select("id", "allele", "votes")
 
 
 @query("germline", sql="""SELECT allele, list_max([i for i in range(0, length(seq), 3) if regexp_matches(substr(seq, i + 1, 3), '^TG[TCN]$')]) AS cys FROM germline""")
@@ -208,6 +241,18 @@ def trim_vdj_germline(spark, d):
     return annotate.trim_vdj(_placed(spark, d), "germline").select("qid", "trimmed", "added5")
 
 
+@query("hits", "germline", sql="SELECT qid, repeat('A', least(lead, 2)) || substr(g, lead + 1) || 'GCAACTACTGGGGCCAG' AS trimmed, least(lead, 2) AS added5 FROM p", ctes_more=_PLACED)
+def trim_vdj_extend(spark, d):
+    return annotate.trim_vdj(_placed(spark, d), "extend").select("qid", "trimmed", "added5")
+
+
+@query("hits", "germline", sql="SELECT qid, lead = 0 AS complete_vdj, CASE WHEN lead > 0 THEN true ELSE false END AS missing_nterm FROM p", ctes_more=_PLACED)
+def complete_vdj(spark, d):
+    """Whether V begins at its first base and J reaches its end; with ``discard`` the others are marked."""
+    rows = annotate.flagged(annotate.cdr3_borders(annotate.trim_vdj(_placed(spark, d), "discard")), "discard")
+    return rows.select("qid", "complete_vdj", annotate.df_flags("discard")["missingNterm"].alias("missing_nterm"))
+
+
 _BORDERS = _PLACED + """, b AS (SELECT *, list_max([i for i in range(0, length(g), 3) if regexp_matches(substr(g, i + 1, 3), '^TG[TCN]$')]) AS cys, length(g) - lead AS v_len FROM p),
  e AS (SELECT *, CAST(v_len - (length(g) - cys) AS INT) AS cdr3_start, CAST(v_len + 4 + 5 - 1 + 3 AS INT) AS cdr3_end FROM b)"""
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lymphlake.catalog.greedy import greedy
 from lymphlake.catalog.registry import query
 from lymphlake.operators import barcodes as B, cells as S
 from lymphlake.plans.views import view
@@ -60,9 +61,17 @@ def cells_with_samples(spark, d):
     return S.with_samples(cells, u.select("cell", F.lit("a").alias("hash_sample")).distinct(), S.feature_counts(u, ["click"]))
 
 
-@query()
+_CHAINS = """SELECT cell_id || '|' || locus || '|' || split_part(v_call, '*', 1) || '|' || split_part(j_call, '*', 1) || '|' || length(junction) AS block, junction AS seq, sequence_id AS id,
+  row_number() OVER (PARTITION BY cell_id, locus, split_part(v_call, '*', 1), split_part(j_call, '*', 1), length(junction) ORDER BY duplicate_count DESC, sequence_id) AS rn FROM rearrangements"""
+
+
+@query(
+    "rearrangements", ctes_more=greedy(_CHAINS, 0.97),
+    sql="""SELECT k.cell_id, k.locus, k.sequence_id, k.status, k.junction, t.duplicate_count, t.n_merged FROM (SELECT g.centroid, CAST(sum(r.duplicate_count) AS BIGINT) AS duplicate_count, CAST(count(*) AS INT) AS n_merged FROM g JOIN rearrangements r ON r.sequence_id = g.id GROUP BY g.centroid) t
+      JOIN rearrangements k ON k.sequence_id = t.centroid""",
+)
 def redundancy_collapse(spark, d):
-    """Merged chains of cells: rows only; totals and order are tested."""
+    """Merged chains of cells."""
     return S.collapse_redundant(view(spark, d, "rearrangements"))
 
 
@@ -73,13 +82,36 @@ def chain_pair_edges(spark, d):
     return S.chain_edges(view(spark, d, "rearrangements").select("cell_id", gene_of(F.col("v_call")).alias("cluster")))
 
 
-@query()
+@query(
+    "rearrangements",
+    ctes_more="""s AS MATERIALIZED (SELECT cell_id, list_sort(list(DISTINCT locus || ':' || junction)) AS own FROM rearrangements WHERE status = 'good' GROUP BY cell_id), o AS (SELECT DISTINCT own FROM s),
+      k AS (SELECT cell_id, unnest(own) AS c FROM s), e AS MATERIALIZED (SELECT DISTINCT a.c AS a, b.c AS b FROM k a JOIN k b ON a.cell_id = b.cell_id AND a.c <> b.c),
+      n AS (SELECT own, b FROM (SELECT own, unnest(own) AS m FROM o) x JOIN e ON e.a = x.m GROUP BY own, b HAVING count(*) = len(own) AND NOT list_contains(own, b)),
+      u AS MATERIALIZED (SELECT o.own, list_sort(list_concat(o.own, coalesce(list(n.b) FILTER (n.b IS NOT NULL), []))) AS whole FROM o LEFT JOIN n ON n.own = o.own GROUP BY o.own),
+      v AS (SELECT whole, unnest(whole) AS m FROM (SELECT DISTINCT whole FROM u)),
+      q AS (SELECT w.whole, coalesce(l.n, 0) = len(w.whole) * (len(w.whole) - 1) AS ok FROM (SELECT DISTINCT whole FROM u) w LEFT JOIN (SELECT v.whole, count(*) AS n FROM v JOIN e ON e.a = v.m JOIN v w ON w.whole = v.whole AND w.m = e.b GROUP BY v.whole) l ON l.whole = w.whole)""",
+    sql="SELECT s.cell_id, CASE WHEN q.ok THEN array_to_string(u.whole, '+') END AS clone FROM s JOIN u ON u.own = s.own JOIN q ON q.whole = u.whole",
+)
 def joint_clones(spark, d):
-    """Clones of cells by heavy and light chains: rows only; cliques are tested."""
+    """Clones of cells by heavy and light chains."""
     t = view(spark, d, "rearrangements").where("status = 'good'")
     return S.joint_clones(t.select("cell_id", F.concat("locus", F.lit(":"), "junction").alias("cluster")))
 
 
+@query(
+    "rearrangements",
+    sql="""SELECT source, c.cell_id, n_chains, n_loci, clone FROM (SELECT source_repertoire AS source, cell_id, count(*) AS n_chains, CASE WHEN source_repertoire = 'src1' THEN count(DISTINCT locus) END AS n_loci FROM rearrangements WHERE source_repertoire IN ('src0', 'src1') GROUP BY source_repertoire, cell_id) c
+      LEFT JOIN (SELECT source_repertoire AS s, cell_id, min(junction) AS clone FROM rearrangements WHERE status = 'good' GROUP BY ALL) k ON k.s = c.source AND k.cell_id = c.cell_id""",
+)
+def cells_with_clones(spark, d):
+    """Cells of two inputs, of which one has a column more, with their clones."""
+    t = view(spark, d, "rearrangements")
+    of = lambda s: t.where(F.col("source_repertoire") == s).groupBy("cell_id")
+    inputs = {"src0": of("src0").agg(F.count(F.lit(1)).alias("n_chains")), "src1": of("src1").agg(F.count(F.lit(1)).alias("n_chains"), F.countDistinct("locus").alias("n_loci"))}
+    clones = t.where("status = 'good'").groupBy(F.col("source_repertoire").alias("source"), "cell_id").agg(F.min("junction").alias("clone"))
+    return S.cells_with_clones(inputs, clones).select("source", "cell_id", "n_chains", "n_loci", "clone")
+
+
 @query("umi_reads", sql="SELECT cell, umi, count(*) AS count FROM umi_reads GROUP BY ALL")
 def umi_stats(spark, d):
     return B.umi_stats(view(spark, d, "umi_reads"))
@@ -94,18 +126,35 @@ def umi_majority(spark, d):
     return B.majority_consensus(view(spark, d, "umi_reads"))
 
 
-@query()
+def _consensus(umi: str) -> str:
+    """Tables up to ``u``: ``cell, umi, n, multi, size, consensus`` of the largest cluster of each molecule of ``umi_reads``."""
+    source = f"SELECT cell, {umi} AS umi, cell || '|' || {umi} AS block, seq, seq AS id, count(*) AS k, row_number() OVER (PARTITION BY cell, {umi} ORDER BY count(*) DESC, seq) AS rn FROM umi_reads GROUP BY cell, {umi}, seq"
+    return greedy(source, 0.95) + """,
+ z AS (SELECT g.block, g.centroid, sum(k) AS size FROM g JOIN gs ON gs.block = g.block AND gs.seq = g.seq GROUP BY ALL),
+ b AS (SELECT block, arg_min(centroid, (-size, centroid)) AS centroid, max(size) AS size, count(*) - 1 AS multi, sum(size) AS n FROM z GROUP BY block),
+ f AS (SELECT block, i, base FROM (SELECT block, i, substr(seq, CAST(i AS INT), 1) AS base, sum(k) AS w FROM (SELECT g.block, g.seq, gs.k, unnest(range(1, length(g.seq) + 1)) AS i FROM g JOIN b ON b.block = g.block AND b.centroid = g.centroid JOIN gs ON gs.block = g.block AND gs.seq = g.seq) GROUP BY ALL)
+   QUALIFY row_number() OVER (PARTITION BY block, i ORDER BY w DESC, base) = 1),
+ u AS MATERIALIZED (SELECT x.cell, x.umi, CAST(b.n AS BIGINT) AS n, b.multi, CAST(b.size AS BIGINT) AS size, s.consensus FROM b JOIN (SELECT DISTINCT block, cell, umi FROM gs) x ON x.block = b.block
+   JOIN (SELECT block, string_agg(base, '' ORDER BY i) AS consensus FROM f GROUP BY block) s ON s.block = b.block WHERE b.n >= 3 AND b.size >= 3)"""
+
+
+_OF_CELL = greedy("""SELECT block, seq, id, row_number() OVER (PARTITION BY block ORDER BY size DESC, id) AS rn FROM (SELECT cell || '|' || length(consensus) AS block, consensus AS seq, max(size) AS size, arg_min(cell || ':' || umi, (-size, cell || ':' || umi)) AS id FROM u GROUP BY ALL)""", 0.99, "h") + """,
+ c AS (SELECT u.cell, h.centroid, count(*) AS duplicate_count, CAST(sum(u.size) AS BIGINT) AS consensus_count, arg_min(u.consensus, (-u.size, u.cell || ':' || u.umi)) AS sequence FROM u JOIN h ON h.block = u.cell || '|' || length(u.consensus) AND h.seq = u.consensus GROUP BY ALL)"""
+_CELL_SQL = "SELECT cell || '.' || row_number() OVER (PARTITION BY cell ORDER BY duplicate_count DESC, consensus_count DESC, centroid) AS sequence_id, cell, sequence, duplicate_count, consensus_count FROM c"
+
+
+@query("umi_reads", ctes_more=_consensus("umi"), sql="SELECT * FROM u")
 def umi_consensus(spark, d):
-    """Largest cluster of each UMI: rows only; lengths, sizes and agreement are tested."""
+    """Largest cluster of each UMI."""
     return B.largest_cluster(view(spark, d, "umi_reads"))
 
 
-@query()
+@query("umi_reads", ctes_more=_consensus("umi") + "," + _OF_CELL, sql=_CELL_SQL)
 def cell_consensus(spark, d):
     return B.cell_consensus(B.largest_cluster(view(spark, d, "umi_reads")).select("cell", "umi", "size", "consensus"))
 
 
-@query()
+@query("umi_reads", ctes_more=_consensus("cell") + "," + _OF_CELL, sql=_CELL_SQL)
 def cells_only_consensus(spark, d):
     """Without UMIs the cell stands for them."""
     t = view(spark, d, "umi_reads").withColumn("umi", F.col("cell"))
@@ -132,6 +181,14 @@ def read_pair_join(spark, d):
     return B.read_pairs(a, b)
 
 
+@query("umi_reads", sql="SELECT 'r' || event_id AS id, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 2 END AS mate FROM umi_reads WHERE event_id % 7 = 0 OR event_id % 11 = 0 AND event_id % 7 <> 0")
+def unpaired_reads(spark, d):
+    u = view(spark, d, "umi_reads")
+    a = u.where("event_id % 11 <> 0 or event_id % 7 = 0").select(F.concat(F.lit("r"), "event_id", F.lit("/1 x=1")).alias("id"), "seq")
+    b = u.where("event_id % 7 <> 0").select(F.concat(F.lit("r"), "event_id", F.lit("/2")).alias("id"), "seq")
+    return B.unpaired_reads(a, b)
+
+
 @query("umi_reads", sql="SELECT 'r' || event_id AS id, seq || repeat('AC', 10) AS merged FROM umi_reads WHERE length(seq) = 31")
 def merge_read_pairs(spark, d):
     """Mates cut from one sequence, so the merge must give it back."""

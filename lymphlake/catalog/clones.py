@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from lymphlake.catalog.greedy import distinct_rows, greedy
 from lymphlake.catalog.registry import query
-from lymphlake.functions.seq import gene_of
+from lymphlake.catalog.scalars import _translated
+from lymphlake.functions.seq import gene_of, translate_nt
 from lymphlake.operators import clones as C, longitudinal as L
 from lymphlake.operators.graph import components
 from lymphlake.plans.views import view
@@ -49,21 +51,23 @@ def dereplicate(spark, d):
 )
 def near_identical_junctions(spark, d):
     """Edges of clone clustering: distinct junctions of a V/J group within 10 % of their places."""
-    from lymphlake.functions.seq import hamming
+    u = view(spark, d, "rearrangements").groupBy(gene_of(F.col("v_call")).alias("v"), gene_of(F.col("j_call")).alias("j"), "junction").agg(F.min("sequence_id").alias("id"))
+    return C.near_identical(u)
 
-    u = view(spark, d, "rearrangements").groupBy(gene_of(F.col("v_call")).alias("v"), gene_of(F.col("j_call")).alias("j"), "junction").agg(F.min("sequence_id").alias("a"))
-    w = u.select(F.col("v").alias("v2"), F.col("j").alias("j2"), F.col("junction").alias("s"), F.col("a").alias("b"))
-    pairs = u.join(w, (F.col("v") == F.col("v2")) & (F.col("j") == F.col("j2")) & (F.length("junction") == F.length("s")) & (F.col("a") < F.col("b")))
-    return pairs.where(hamming(F.col("junction"), F.col("s")) <= 0.1 * F.length("junction")).select("a", "b")
 
+_VJ = "split_part(v_call, '*', 1) || '|' || split_part(j_call, '*', 1) || '|' || length(junction)"
+_V = "split_part(v_call, '*', 1) || '|' || length(junction)"
+_CLUSTER = r"regexp_replace(v_call, '-\d\*.*', '') || '|' || length(junction)"
+_LINEAGE = "CAST(length(junction) AS VARCHAR) || v_call"
 
-@query()
+
+@query("rearrangements", ctes_more=greedy(distinct_rows(_VJ), 0.9), sql=f"SELECT sequence_id, junction, centroid FROM rearrangements JOIN g ON g.block = {_VJ} AND g.seq = junction")
 def clone_clustering(spark, d):
-    """Greedy centroids at 90 %: rows only; the invariants are tested."""
+    """Greedy centroids at 90 % within V gene, J gene and length."""
     return C.clone_clusters(view(spark, d, "rearrangements"))
 
 
-@query()
+@query("rearrangements", ctes_more=greedy(distinct_rows(_CLUSTER), 0.9), sql=f"SELECT sequence_id, junction, centroid FROM rearrangements JOIN g ON g.block = {_CLUSTER} AND g.seq = junction")
 def clone_clustering_by_gene_cluster(spark, d):
     t = view(spark, d, "rearrangements")
     lookup = t.select(F.col("v_call").alias("allele"), F.regexp_replace("v_call", r"-\d\*.*", "").alias("cluster")).distinct()
@@ -99,10 +103,10 @@ def source_breakdown(spark, d):
     return C.source_breakdown(view(spark, d, "rearrangements").withColumn("clone", F.col("junction")), ["src0", "src1", "src2"])
 
 
-@query("rearrangements", ctes_more=_EXACT, sql="""SELECT c.clone_id, x.centroid, r.v_call, r.j_call, length(r.junction) AS junction_length, x.clone_count FROM x JOIN (SELECT centroid, lpad(CAST(row_number() OVER (ORDER BY clone_count DESC, centroid) AS VARCHAR), 5, '0') AS clone_id FROM x) c USING (centroid) JOIN rearrangements r ON r.sequence_id = x.centroid""")
+@query("rearrangements", ctes_more=_EXACT, sql=f"""SELECT c.clone_id, x.centroid, r.v_call, r.j_call, length(r.junction) AS junction_length, {_translated('r.junction')} AS junction_aa, x.clone_count FROM x JOIN (SELECT centroid, lpad(CAST(row_number() OVER (ORDER BY clone_count DESC, centroid) AS VARCHAR), 5, '0') AS clone_id FROM x) c USING (centroid) JOIN rearrangements r ON r.sequence_id = x.centroid""")
 def lineage_table(spark, d):
-    r = view(spark, d, "rearrangements").select(F.col("sequence_id").alias("_s"), "v_call", "j_call", F.length("junction").alias("junction_length"))
-    return C.numbered(_exact(spark, d)).join(r, F.col("centroid") == F.col("_s")).select("clone_id", "centroid", "v_call", "j_call", "junction_length", "clone_count")
+    r = view(spark, d, "rearrangements").select(F.col("sequence_id").alias("_s"), "v_call", "j_call", F.length("junction").alias("junction_length"), translate_nt(F.col("junction")).alias("junction_aa"))
+    return C.numbered(_exact(spark, d)).join(r, F.col("centroid") == F.col("_s")).select("clone_id", "centroid", "v_call", "j_call", "junction_length", "junction_aa", "clone_count")
 
 
 @query("rearrangements", ctes_more=_EXACT, sql="""SELECT sequence_id, status, clone_id, clone_count FROM rearrangements LEFT JOIN (SELECT *, lpad(CAST(row_number() OVER (ORDER BY clone_count DESC, centroid) AS VARCHAR), 5, '0') AS clone_id FROM x) x
@@ -138,6 +142,19 @@ def lineage_representative(spark, d):
     return C.representatives(view(spark, d, "rearrangements").withColumn("clone", F.concat(F.length("junction").cast("string"), F.col("v_call"))))
 
 
+@query(
+    "rearrangements",
+    ctes_more=greedy(distinct_rows(_LINEAGE), 0.97) + f""", k AS (SELECT {_LINEAGE} AS clone, r.*, g.centroid FROM rearrangements r JOIN g ON g.block = {_LINEAGE} AND g.seq = junction),
+      z AS (SELECT clone, arg_min(centroid, (-w, centroid)) AS centroid FROM (SELECT clone, centroid, sum(duplicate_count) AS w FROM k GROUP BY ALL) GROUP BY clone), m AS (SELECT k.* FROM k JOIN z ON z.clone = k.clone AND z.centroid = k.centroid),
+      p AS (SELECT clone, sequence_id, duplicate_count, i AS pos, substr(junction, CAST(i AS INT) + 1, 1) AS aa FROM (SELECT *, unnest(range(0, length(junction))) AS i FROM m)), w AS (SELECT clone, pos, aa, sum(duplicate_count) AS weight FROM p GROUP BY ALL)""",
+    sql="SELECT clone, arg_min(sequence_id, (-score, sequence_id)) AS sequence_id, max(score) AS score FROM (SELECT p.clone, p.sequence_id, CAST(sum(w.weight) AS BIGINT) AS score FROM p JOIN w ON p.clone = w.clone AND p.pos = w.pos AND p.aa = w.aa GROUP BY ALL) GROUP BY clone",
+)
+def largest_cluster_representative(spark, d):
+    """Within each lineage's largest cluster at 97 %, the member that agrees most with its weighted residues."""
+    members = view(spark, d, "rearrangements").withColumn("clone", F.concat(F.length("junction").cast("string"), F.col("v_call")))
+    return C.representatives(C.largest_clusters(members))
+
+
 def _timed(spark, d):
     return view(spark, d, "rearrangements").withColumns({"time_ord": F.col("timepoint") - 1990, "label": F.concat(F.lit("y"), F.col("timepoint").cast("string"))})
 
@@ -216,9 +233,9 @@ def length_order_clustering(spark, d):
     return C.cluster_blocks(t, [gene_of(F.col("v_call")), gene_of(F.col("j_call"))], "sequence_id", "junction", order, 0.9, band=2)
 
 
-@query()
+@query("rearrangements", ctes_more=greedy(distinct_rows(_V), 0.99), sql=f"SELECT sequence_id, junction, centroid FROM rearrangements JOIN g ON g.block = {_V} AND g.seq = junction")
 def abundance_clustering(spark, d):
-    """Dereplicated reads clustered at 99 % within a V gene and length, most abundant first: rows only; the invariants are tested."""
+    """Dereplicated reads clustered at 99 % within a V gene and length, most abundant first."""
     t = view(spark, d, "rearrangements")
     order = [(-F.col("duplicate_count")).alias("a"), F.col("sequence_id").alias("b")]
     return C.cluster_blocks(t, [gene_of(F.col("v_call")), F.length("junction")], "sequence_id", "junction", order, 0.99)

@@ -54,13 +54,12 @@ def airr_round_trip(spark, d):
     return airr.read_airr(spark, path)
 
 
-@query("rearrangements", sql="SELECT sequence_id, v_call, length(junction) AS junction_length FROM rearrangements WHERE CAST(sequence_id AS BIGINT) % 7 = 0")
+@query("rearrangements", sql="SELECT sequence_id, v_call, length(junction) AS junction_length FROM rearrangements")
 def airr_derive(spark, d):
-    """All rows pass the sink; the SQL lists every seventh of them."""
     t = view(spark, d, "rearrangements").select("sequence_id", "v_call", "j_call", "junction")
     path = scratch(spark, "airr")
     airr.write_airr(t.withColumn("junction_length", F.length("junction")), path)
-    return airr.read_airr(spark, path).where(F.col("sequence_id").cast("long") % 7 == 0).select("sequence_id", "v_call", "junction_length")
+    return airr.read_airr(spark, path).select("sequence_id", "v_call", "junction_length")
 
 
 @query("germline", sql="SELECT allele, seq FROM germline WHERE locus = 'IGH' AND segment = 'V'")
@@ -131,7 +130,7 @@ def germline_alignment(spark, d):
     from lymphlake.operators.align import identity_divergence
 
     g = view(spark, d, "germline")
-    t = view(spark, d, "rearrangements").where("locus = 'IGH'").select("sequence_id", "junction")
+    t = view(spark, d, "rearrangements").select("sequence_id", "junction")
     reads = one_allele_each(t, g, "junction").select("sequence_id", F.col("allele").alias("v_call"), F.col("junction").alias("seq"))
     known = g.orderBy("allele").limit(2).select(F.col("allele").alias("name"), "seq")
     return identity_divergence(reads, g, known)

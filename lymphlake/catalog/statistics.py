@@ -57,23 +57,32 @@ def identity_divergence_grid(spark, d):
 
 @query(
     "iddiv", ctes_more=_GRID,
-    sql="""SELECT k.timepoint, k.referent, k.sieved, x.i AS bx, y.i AS by, count(g.bx) AS n FROM (SELECT DISTINCT timepoint, referent, sequence_id % 5 = 0 AS sieved FROM iddiv) k CROSS JOIN (SELECT unnest(range(1, 11)) AS i) x CROSS JOIN (SELECT unnest(range(1, 11)) AS i) y
-      LEFT JOIN (SELECT *, least(10, greatest(1, ceil(germ_div / 6.0))) AS cx, least(10, greatest(1, ceil((identity - 40) / 6.0))) AS cy FROM g) g ON g.timepoint = k.timepoint AND g.referent = k.referent AND (g.sequence_id % 5 = 0) = k.sieved AND g.cx = x.i AND g.cy = y.i GROUP BY ALL""",
+    sql="""SELECT k.timepoint, k.referent, k.sieved, x.i AS bx, y.i AS by, count(g.bx) AS n FROM (SELECT DISTINCT timepoint, referent, sequence_id % 5 = 0 AS sieved FROM iddiv) k CROSS JOIN (SELECT unnest(range(1, 100)) AS i) x CROSS JOIN (SELECT unnest(range(1, 100)) AS i) y
+      LEFT JOIN g ON g.timepoint = k.timepoint AND g.referent = k.referent AND (g.sequence_id % 5 = 0) = k.sieved AND g.bx = x.i AND g.by = y.i GROUP BY ALL""",
 )
 def longitudinal_facets(spark, d):
     t = view(spark, d, "iddiv")
     flagged = T.flagged_points(t, t.where("sequence_id % 5 = 0").select("sequence_id"), "sieved")
-    return T.grid_histogram(flagged, "timepoint", "referent", "sieved", bins=10)
+    return T.grid_histogram(flagged, "timepoint", "referent", "sieved")
 
 
 @query(
     "iddiv", ctes_more="w AS (SELECT germ_div AS x, identity AS y, count(*) AS w FROM iddiv WHERE germ_div BETWEEN 0 AND 60 AND identity BETWEEN 40 AND 100 GROUP BY ALL)",
-    sql="""SELECT gx.i AS gx, gy.i AS gy, sum(w * exp(-(pow((x - gx.i * 2.5) / 0.25, 2) + pow((y - 40 - gy.i * 2.5) / 0.25, 2)) / 2)) / ((SELECT sum(w) FROM w) * 2 * pi() * 0.0625) AS density
-      FROM w JOIN (SELECT unnest(range(0, 25)) AS i) gx ON abs(x - gx.i * 2.5) <= 4 JOIN (SELECT unnest(range(0, 25)) AS i) gy ON abs(y - 40 - gy.i * 2.5) <= 4 GROUP BY ALL""", rounded=("density",))
+    sql="""SELECT gx.i AS gx, gy.i AS gy, sum(w * exp(-(pow((x - gx.i * 60 / 99.0) / 0.25, 2) + pow((y - 40 - gy.i * 60 / 99.0) / 0.25, 2)) / 2)) / ((SELECT sum(w) FROM w) * 2 * pi() * 0.0625) AS density
+      FROM w JOIN (SELECT unnest(range(0, 100)) AS i) gx ON abs(x - gx.i * 60 / 99.0) <= 4 JOIN (SELECT unnest(range(0, 100)) AS i) gy ON abs(y - 40 - gy.i * 60 / 99.0) <= 4 GROUP BY ALL""", rounded=("density",))
 def kernel_density(spark, d):
     return T.kernel_density(view(spark, d, "iddiv"))
 
 
+@query(
+    "iddiv", ctes_more="w AS (SELECT timepoint, referent, germ_div AS x, identity AS y, count(*) AS w FROM iddiv WHERE germ_div BETWEEN 0 AND 60 AND identity BETWEEN 40 AND 100 GROUP BY ALL), t AS (SELECT timepoint, referent, sum(w) AS total FROM w GROUP BY ALL)",
+    sql="""SELECT w.timepoint, w.referent, gx.i AS gx, gy.i AS gy, sum(w * exp(-(pow((x - gx.i * 60 / 99.0) / 0.25, 2) + pow((y - 40 - gy.i * 60 / 99.0) / 0.25, 2)) / 2)) / (any_value(t.total) * 2 * pi() * 0.0625) AS density
+      FROM w JOIN t ON t.timepoint = w.timepoint AND t.referent = w.referent JOIN (SELECT unnest(range(0, 100)) AS i) gx ON abs(x - gx.i * 60 / 99.0) <= 4 JOIN (SELECT unnest(range(0, 100)) AS i) gy ON abs(y - 40 - gy.i * 60 / 99.0) <= 4 GROUP BY ALL""", rounded=("density",))
+def longitudinal_density(spark, d):
+    """Densities per time point and antibody."""
+    return T.kernel_density(view(spark, d, "iddiv"), "timepoint", "referent")
+
+
 @query("mcmc_log", ctes_more="o AS (SELECT rate, sample FROM (SELECT *, row_number() OVER (ORDER BY sample) AS i, count(*) OVER () AS n FROM mcmc_log) WHERE i > CAST(floor(n * 0.1) AS BIGINT)), s AS (SELECT rate AS lo, lead(rate, CAST(round((SELECT count(*) FROM o) * 0.95) AS INT) - 1) OVER (ORDER BY rate, sample) AS hi FROM o)",
     sql="SELECT (SELECT count(*) FROM o) AS n, (SELECT avg(rate) FROM o) AS mean, (SELECT median(rate) FROM o) AS median, (SELECT stddev_samp(rate) / sqrt(count(*)) FROM o) AS se, lo AS hpd_low, hi AS hpd_high FROM s WHERE hi IS NOT NULL ORDER BY round(hi - lo, 12), lo LIMIT 1", rounded=("mean", "median", "se", "hpd_low", "hpd_high"))
 def posterior_summary(spark, d):

@@ -22,18 +22,25 @@ def codons(seq: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(seq, i * 3 + 1, F.lit(3)))).when(n == 0, F.array().cast("array<string>"))
 
 
-def _lookup() -> Column:
-    return F.create_map(*[F.lit(x) for pair in CODONS.items() for x in pair])
+def _amino(codon: Column) -> Column:
+    """The codon's letter in ``CODE``, X if it is none: its place in the list of all codons."""
+    at = F.instr(F.lit(" ".join(CODONS)), codon)
+    return F.when(at > 0, F.substr(F.lit(CODE), ((at + 3) / 4).cast("int"), F.lit(1))).otherwise("X")
 
 
 def translate_nt(seq: Column) -> Column:
     """Amino acids of a nucleotide sequence: stop is *, a codon that is not four-letter DNA is X."""
-    return F.array_join(F.transform(codons(F.upper(seq)), lambda c: F.coalesce(F.element_at(_lookup(), c), F.lit("X"))), "")
+    return F.array_join(F.transform(codons(F.upper(seq)), lambda c: _amino(c)), "")
 
 
 def translate_gapped(seq: Column) -> Column:
     """As :func:`translate_nt`, but a codon of three gaps is a gap."""
-    return F.array_join(F.transform(codons(F.upper(seq)), lambda c: F.when(c == "---", "-").otherwise(F.coalesce(F.element_at(_lookup(), c), F.lit("X")))), "")
+    return F.array_join(F.transform(codons(F.upper(seq)), lambda c: F.when(c == "---", "-").otherwise(_amino(c))), "")
+
+
+def has_stop(seq: Column) -> Column:
+    """Whether the translation has a stop: one scan over whole codons, no array."""
+    return F.upper(seq).rlike(r"^(?:...)*?T(?:AA|AG|GA)")
 
 
 def translate_strict(seq: Column) -> Column:

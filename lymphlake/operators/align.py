@@ -77,13 +77,32 @@ def aligned(pairs: DataFrame, a: str, b: str) -> DataFrame:
 HIT_SCHEMA = "qid string, sid string, identity double, alignment int, mismatches int, gaps int, qstart int, qend int, sstart int, send int, score double, strand string"
 
 
-def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 10, least: float = 20.0) -> DataFrame:
+# Word sizes by segment, and the constant segment's identity.
+WORD_SIZES = {"V": 7, "D": 5, "J": 5, "C": 5}
+IDENTITIES = {"C": 100.0}
+
+
+def segment_hits(reads: DataFrame, germline: DataFrame, segment: str, evalue: float = 1e-3, keep: int = 10) -> DataFrame:
+    """:func:`germline_hits` with the word size and identity rule of a segment and hits up to an expected number by chance.
+
+    A score s by chance is expected m n exp(-s ln 3) / 3 times among m bases
+    of a read and n of the library (uniform bases, match 1, mismatch -1).
+    """
+    n = germline.agg(F.sum(F.length("seq"))).first()[0] or 0
+    hits = germline_hits(reads, germline, WORD_SIZES[segment], keep, 1.0, IDENTITIES.get(segment, 0.0))
+    sizes = reads.select(F.col("id").alias("_i"), F.length("seq").alias("_m"))
+    expected = F.col("_m") * n * F.exp(-F.log(F.lit(3.0)) * F.col("score")) / 3
+    return hits.join(sizes, F.col("qid") == F.col("_i")).where(expected <= evalue).drop("_i", "_m")
+
+
+def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 10, least: float = 20.0, least_identity: float = 0.0) -> DataFrame:
     """Hits of each read in a germline library, best first: the columns of a hit table and ``hit_rank``.
 
     ``reads`` has ``id, seq``, ``germline`` ``allele, seq``. Alleles that share
     most k-mers on a diagonal are aligned with the read (its reverse
     complement on the minus strand); a score is a match more and three less
-    for a mismatch or gap; hits under ``least`` are dropped. Subject ends come
+    for a mismatch or gap; hits under ``least``, or under ``least_identity``
+    percent, are dropped. Subject ends come
     in falling order on the minus strand; query ends refer to the read as given.
     """
     from pyspark.sql import Window
@@ -122,7 +141,7 @@ def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in HIT_SCHEMA.split(", ")])
 
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("identity"), "sid"))
-    return rows.mapInArrow(run, HIT_SCHEMA).where(F.col("score") >= least).withColumn("hit_rank", rank)
+    return rows.mapInArrow(run, HIT_SCHEMA).where((F.col("score") >= least) & (F.col("identity") >= least_identity)).withColumn("hit_rank", rank)
 
 
 def identity_divergence(reads: DataFrame, germline: DataFrame, antibodies: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lymphlake.functions.seq import degap, gene_of, revcomp, translate_nt
+from lymphlake.functions.seq import degap, gene_of, has_stop, revcomp, translate_nt
 
 # Motifs of the conserved positions.
 CYS, CYS_LAMBDA, CYS_HV1C = "TG[TCN]", "TGCTGC", "TATGC"
@@ -97,7 +97,7 @@ def flagged(df: DataFrame, nterm: str = "truncate") -> DataFrame:
         {
             "junction_length": F.length("junction"),
             "vj_in_frame": F.length("junction") % 3 == 0,
-            "stop_codon": translate_nt(framed).contains("*"),
+            "stop_codon": has_stop(framed),
             "indels": (F.length("junction") % 3 == 0) & ((F.pmod(v_frame + shift, F.lit(3)) != F.pmod(j_frame, F.lit(3))) | uneven),
         }
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,17 +47,33 @@ def read_pairs(r1: DataFrame, r2: DataFrame) -> DataFrame:
     return a.join(b, F.col("id") == F.col("_id")).drop("_id")
 
 
+def unpaired_reads(r1: DataFrame, r2: DataFrame) -> DataFrame:
+    """``id, mate``: reads of either file whose mate is missing; one row means that the files do not belong together."""
+    name = F.regexp_replace(F.split_part("id", F.lit(" "), F.lit(1)), "/[12]$", "")
+    sides = r1.select(name.alias("id"), F.lit(1).alias("mate")).unionByName(r2.select(name.alias("id"), F.lit(2).alias("mate")))
+    return sides.groupBy("id").agg(F.min("mate").alias("mate"), F.max("mate").alias("_last")).where(F.col("mate") == F.col("_last")).select("id", "mate")
+
+
 def merge_pairs(pairs: DataFrame, least_length: int = 350, least_overlap: int = 10, most_diffs: int = 100, most_percent: float = 25.0) -> DataFrame:
     """``id, merged``: mates joined over their best overlap, null when none fits the limits."""
 
     def merge(a: str, b: str) -> str | None:
-        best = None
-        for n in range(min(len(a), len(b)), least_overlap - 1, -1):
-            diffs = sum(x != y for x, y in zip(a[-n:], b[:n], strict=True))
-            if diffs <= most_diffs and diffs * 100 <= most_percent * n and (best is None or diffs * best[1] < best[0] * n):
-                best = (diffs, n)
-        out = None if best is None else a + b[best[1] :]
-        return out if out and len(out) >= least_length else None
+        x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
+        most = min(len(x), len(y))
+        if most < least_overlap:
+            return None
+        # differences of every overlap at once: a sheared matrix of all places, one row an overlap
+        sizes = np.arange(most, least_overlap - 1, -1)
+        columns = np.arange(most)
+        inside = columns < sizes[:, None]
+        left = x[np.minimum(len(x) - sizes[:, None] + columns, len(x) - 1)]
+        diffs = ((left != y[columns]) & inside).sum(axis=1)
+        fits = np.flatnonzero((diffs <= most_diffs) & (diffs * 100 <= most_percent * sizes))
+        if not len(fits):
+            return None
+        n = int(sizes[fits[(diffs[fits] / sizes[fits]).argmin()]])  # the longest of equally good ones
+        out = a + b[n:]
+        return out if len(out) >= least_length else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lymphlake.plans.tables import written
+
 PRODUCTIVE = ("good", "unique")
 LOCI = ("IGH", "IGK", "IGL")
 #: All statuses of a cell, in report order; fixed values.
@@ -113,49 +115,68 @@ def chain_edges(chains: DataFrame) -> DataFrame:
     return cells.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n_cells"))
 
 
-def joint_clones(chains: DataFrame, edges: DataFrame | None = None, largest: int = 400) -> DataFrame:
+def cells_with_clones(inputs: dict[str, DataFrame], clones: DataFrame) -> DataFrame:
+    """Cell tables of several inputs one under the other, with ``source`` and each cell's ``clone``; cells without one have null.
+
+    ``clones`` has ``source, cell_id, clone``. Columns that an input lacks are null.
+    """
+    out = None
+    for source, cells in inputs.items():
+        mine = cells.withColumn("source", F.lit(source))
+        out = mine if out is None else out.unionByName(mine, allowMissingColumns=True)
+    found = clones.select(F.col("source").alias("_s"), F.col("cell_id").alias("_c"), "clone")
+    return out.join(found, (F.col("source") == F.col("_s")) & (F.col("cell_id") == F.col("_c")), "left").drop("_s", "_c")
+
+
+def joint_clones(chains: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """``cell_id, clone``: clones of cells by heavy and light chains together.
 
     ``chains`` has ``cell_id, cluster``. Clusters seen in one cell are linked;
     a cell belongs to the only maximal clique that holds its whole chain set,
     a lone cluster is its own clone, any other cell stays without (null).
-    Cliques are enumerated per connected component, which is small; in a
-    component of more than ``largest`` clusters the component itself is the
-    clone, since cliques there cost too much.
+
+    No clique is enumerated. A chain set is a clique itself; the maximal one
+    around it is unique exactly if the clusters linked to all of its members
+    are linked to each other, and consists of the set and of these. The common
+    neighbours come from those of the member with the fewest links. Sets with
+    the same whole are checked once, and only if each cluster has links
+    enough; links are counted from the end that has fewer.
     """
-    from lymphlake.operators.graph import components
-
-    edges = chain_edges(chains) if edges is None else edges
-    label = components(edges.select(F.col("a"), F.col("b")))
-    sets = chains.select("cell_id", "cluster").distinct().groupBy("cell_id").agg(F.array_sort(F.collect_list("cluster")).alias("own"))
-    grouped = edges.join(label.select(F.col("node").alias("_n"), "component"), F.col("a") == F.col("_n")).groupBy("component").agg(F.collect_list(F.struct("a", "b")).alias("edges"))
-
-    def cliques(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            rows = []
-            for component, links in zip(batch.column("component").to_pylist(), batch.column("edges").to_pylist(), strict=True):
-                near: dict[str, set] = {}
-                for e in links:
-                    near.setdefault(e["a"], set()).add(e["b"])
-                    near.setdefault(e["b"], set()).add(e["a"])
-                found = [set(near)] if len(near) > largest else maximal_cliques(near)
-                rows += [(component, sorted(c)) for c in sorted(map(sorted, found))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["component", "members"])
-
-    found = grouped.mapInArrow(cliques, "component string, members array<string>")
-    by_first = found.select(F.explode("members").alias("_f"), "members")
-    placed = sets.join(by_first, F.element_at("own", 1) == F.col("_f"), "left").where(F.col("members").isNull() | (F.size(F.array_except("own", "members")) == 0))
-    only = placed.groupBy("cell_id", "own").agg(F.count("members").alias("n"), F.min("members").alias("members"))
-    out = only.select("cell_id", F.when(F.col("n") == 1, F.array_join("members", "+")).alias("clone"))
-    lone = sets.where(F.size("own") == 1).join(label.select(F.col("node").alias("_n")), F.element_at("own", 1) == F.col("_n"), "left_anti").select("cell_id", F.element_at("own", 1).alias("_lone"))
-    full = sets.select("cell_id").join(out.withColumnRenamed("cell_id", "_c"), F.col("cell_id") == F.col("_c"), "left").drop("_c")
-    return full.join(lone.withColumnRenamed("cell_id", "_l"), F.col("cell_id") == F.col("_l"), "left").select("cell_id", F.coalesce("_lone", "clone").alias("clone"))
+    edges = written(chain_edges(chains) if edges is None else edges, "cell-edges").select("a", "b")
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degree = written(both.groupBy(F.col("a").alias("n")).agg(F.count(F.lit(1)).alias("degree")), "cell-degrees")
+    sets = written(chains.select("cell_id", "cluster").distinct().groupBy("cell_id").agg(F.array_sort(F.collect_list("cluster")).alias("own")), "cell-sets")
+    owns = written(sets.select("own").distinct().withColumn("o", F.monotonically_increasing_id()), "cell-chains")
+
+    members = owns.select("o", F.size("own").alias("size"), F.explode("own").alias("m")).join(degree, F.col("m") == F.col("n"), "left").select("o", "size", "m", F.coalesce("degree", F.lit(0)).alias("degree"))
+    members = written(members, "cell-members")
+    fewest = members.groupBy("o", "size").agg(F.min(F.struct("degree", "m"))["m"].alias("lead"))
+    near = fewest.join(both, F.col("lead") == F.col("a")).select("o", "size", "lead", F.col("b").alias("n"))
+    near = near.join(members.select(F.col("o").alias("_o"), "m"), (F.col("o") == F.col("_o")) & (F.col("n") == F.col("m")), "left_anti")
+    rest = near.where("size > 1").join(members.select(F.col("o").alias("_o"), "m"), (F.col("o") == F.col("_o")) & (F.col("m") != F.col("lead")))
+    linked = rest.join(both, (F.col("m") == F.col("a")) & (F.col("n") == F.col("b"))).groupBy("o", "size", "n").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") == F.col("size") - 1)
+    common = near.where("size = 1").select("o", "n").unionByName(linked.select("o", "n")).join(degree.withColumnRenamed("n", "_n"), F.col("n") == F.col("_n")).select("o", "n", "degree")
+    whole = written(common.unionByName(members.select("o", F.col("m").alias("n"), "degree")), "cell-wholes")
+
+    # equal wholes are told by their size and two hashes, so that none has to be gathered before it is known to be a clique
+    marks = [F.bit_xor(F.xxhash64("n")).alias("h1"), F.bit_xor(F.xxhash64("n", F.lit(1))).alias("h2")]
+    shapes = whole.groupBy("o").agg(F.count(F.lit(1)).alias("c"), F.min("degree").alias("least"), *marks).where(F.col("least") >= F.col("c") - 1)
+    shapes = written(shapes, "cell-shapes")
+    first = shapes.groupBy(*[F.col(x).alias(f"_{x}") for x in ("c", "h1", "h2")]).agg(F.min("o").alias("kind"))
+    kinds = written(shapes.join(first, (F.col("c") == F.col("_c")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).select("o", "c", "kind"), "cell-kinds")
+    once = whole.join(kinds.where("o = kind").select(F.col("o").alias("_o"), "c"), F.col("o") == F.col("_o")).select("o", "c", "n", "degree")
+    from_fewer = both.join(degree.select(F.col("n").alias("_a"), F.col("degree").alias("da")), F.col("a") == F.col("_a")).join(degree.select(F.col("n").alias("_b"), F.col("degree").alias("db")), F.col("b") == F.col("_b"))
+    from_fewer = from_fewer.where(F.struct("da", "a") < F.struct(F.col("db").alias("da"), F.col("b").alias("a"))).select("a", "b")
+    inside = once.join(from_fewer, F.col("n") == F.col("a")).select("o", "b").join(once.select(F.col("o").alias("_o"), "n"), (F.col("o") == F.col("_o")) & (F.col("b") == F.col("n")), "left_semi")
+    links = inside.groupBy(F.col("o").alias("_o")).agg(F.count(F.lit(1)).alias("links"))
+    full = kinds.where("o = kind").join(links, F.col("o") == F.col("_o"), "left").where(F.coalesce("links", F.lit(0)) * 2 == F.col("c") * (F.col("c") - 1)).select(F.col("o").alias("_k"))
+    named = once.join(full, F.col("o") == F.col("_k"), "left_semi").groupBy(F.col("o").alias("_k")).agg(F.array_join(F.array_sort(F.collect_list("n")), "+").alias("clone"))
+    found = owns.join(kinds.select(F.col("o").alias("_o"), "kind"), F.col("o") == F.col("_o"), "left").join(named, F.col("kind") == F.col("_k"), "left").select(F.col("own").alias("_own"), "clone")
+    return sets.join(found, F.col("own") == F.col("_own"), "left").select("cell_id", "clone")
 
 
 def maximal_cliques(near: dict) -> list[set]:
-    """Maximal cliques of a small graph, each once (recursion with a pivot)."""
+    """Maximal cliques of a small graph, each once (recursion with a pivot): what tests hold :func:`joint_clones` against."""
     out: list[set] = []
 
     def grow(clique: set, open_: set, done: set) -> None:

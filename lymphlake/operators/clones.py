@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lymphlake.functions.seq import gene_of
+from lymphlake.functions.seq import gene_of, hamming
+from lymphlake.operators.order import ranked
 from lymphlake.plans.tables import written
 
 
@@ -138,18 +140,12 @@ def exact_clones(table: DataFrame) -> DataFrame:
 def numbered(clones: DataFrame, size: str = "clone_count", centroid: str = "centroid", first: int = 1) -> DataFrame:
     """Adds ``clone_id``: rank by size, then centroid, as five digits.
 
-    The rank is over clones, not rows; it is taken in two steps, so that the
-    global order needs no single task: counts of each size come first, and
-    within a size the rank runs in that size's own partition. The clones are
-    written first, so that the reads are aggregated once.
+    The clones are written first, so that the reads are aggregated once. The
+    order is cut into ranges of (size, centroid), so a size that most clones
+    share fills no task.
     """
-    clones = written(clones, "clones")
-    sizes = clones.groupBy(F.col(size).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_size")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("_size", before.alias("_before"))
-    within = F.row_number().over(Window.partitionBy(size).orderBy(centroid))
-    out = clones.join(offsets, F.col(size) == F.col("_size")).withColumn("_rank", F.col("_before") + within + first - 1)
-    return out.withColumn("clone_id", F.lpad(F.col("_rank").cast("string"), 5, "0")).drop("_size", "_before", "_rank")
+    out = ranked(written(clones, "clones"), [F.desc(size), F.asc(centroid)], "_rank", first)
+    return out.withColumn("clone_id", F.lpad(F.col("_rank").cast("string"), 5, "0")).drop("_rank")
 
 
 def numbered_keeping(clones: DataFrame, old: DataFrame, size: str = "clone_count") -> DataFrame:
@@ -207,6 +203,41 @@ def clone_filter(clones: DataFrame, least: int) -> DataFrame:
     return clones.where(F.col("clone_count") >= least)
 
 
+def largest_clusters(members: DataFrame, least: float = 0.97, weight: str = "duplicate_count") -> DataFrame:
+    """The members of each clone's largest cluster, by summed ``weight``; ties go to the smaller centroid.
+
+    Distinct sequences of a clone and length are clustered greedily at
+    ``least``, the most abundant first.
+    """
+    order = [(-F.col(weight)).alias("a"), F.col("sequence_id").alias("b")]
+    found = cluster_blocks(members, [F.col("clone"), F.length("junction")], "sequence_id", "junction", order, least)
+    named = members.join(found.select(F.col("sequence_id").alias("_s"), F.col("centroid").alias("_c")), F.col("sequence_id") == F.col("_s")).drop("_s")
+    sizes = named.groupBy("clone", "_c").agg(F.sum(weight).alias("w"))
+    best = sizes.groupBy(F.col("clone").alias("_k")).agg(F.min(F.struct((-F.col("w")).alias("w"), F.col("_c").alias("c")))["c"].alias("_best"))
+    return named.join(best, (F.col("clone") == F.col("_k")) & (F.col("_c") == F.col("_best"))).drop("_k", "_c", "_best")
+
+
+def near_identical(table: DataFrame, most: float = 0.1) -> DataFrame:
+    """``a, b``: pairs of distinct junctions of one V and J gene and length that differ in at most ``most`` of their places.
+
+    ``table`` has ``v, j, junction, id``. A junction of n places is cut into
+    floor(most n) + 1 pieces; a pair within the limit agrees in one of them, so
+    the join is on pieces and loses no pair. A pair that agrees in several is
+    kept at the first.
+    """
+    n = F.length("junction")
+    cuts = F.floor(n * most + 1e-9).cast("int") + 1
+    edge = lambda i: F.floor(i * n / cuts).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), cuts - 1), lambda i: F.substr("junction", edge(i) + 1, edge(i + 1) - edge(i)))
+    rows = table.select("v", "j", "id", "junction", cut.alias("pieces"))
+    one = rows.select("v", "j", F.length("junction").alias("n"), F.col("id").alias("a"), F.col("junction").alias("x"), F.col("pieces").alias("p"), F.posexplode("pieces").alias("at", "piece"))
+    two = one.select(*[F.col(c).alias(f"_{c}") for c in ("v", "j", "n", "at", "piece")], F.col("a").alias("b"), F.col("x").alias("y"), F.col("p").alias("q"))
+    same = [F.col(c) == F.col(f"_{c}") for c in ("v", "j", "n", "at", "piece")]
+    pairs = one.join(two, reduce(lambda x, y: x & y, same) & (F.col("a") < F.col("b")))
+    first = F.array_position(F.transform(F.arrays_zip("p", "q"), lambda z: z["p"] == z["q"]), F.lit(True)) - 1
+    return pairs.where((first == F.col("at")) & (hamming(F.col("x"), F.col("y")) <= most * F.col("n") + 1e-9)).select("a", "b")
+
+
 def representatives(members: DataFrame, weight: str = "duplicate_count") -> DataFrame:
     """``clone, sequence_id, score``: the member of each clone that agrees most with the weighted residues of its places.
 

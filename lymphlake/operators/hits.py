@@ -84,21 +84,28 @@ def with_germline(top: DataFrame, germline: DataFrame) -> DataFrame:
     return top.join(germline.select(F.col("allele").alias("_a"), F.col("seq").alias("germline_seq")), F.col("sid") == F.col("_a")).drop("_a")
 
 
-def assigned(reads: DataFrame, v: DataFrame, j: DataFrame) -> DataFrame:
-    """Reads with their V and J calls; ``status`` is noV, noJ or null."""
+def assigned(reads: DataFrame, v: DataFrame, j: DataFrame, d: DataFrame | None = None, c: DataFrame | None = None) -> DataFrame:
+    """Reads with their V and J calls, and those of D and C if given; ``status`` is noV, noJ or null.
+
+    Each of the tables has one hit a read. D and C hits are used of reads with
+    V and J only, as the others are not annotated any further.
+    """
     v = v.select(F.col("qid").alias("_v"), F.col("sid").alias("v_call"), F.col("identity").alias("v_identity"))
     j = j.select(F.col("qid").alias("_j"), F.col("sid").alias("j_call"))
     out = reads.join(v, F.col("read_id") == F.col("_v"), "left").join(j, F.col("read_id") == F.col("_j"), "left").drop("_v", "_j")
+    for name, hits in (("d_call", d), ("c_call", c)):
+        if hits is not None:
+            out = out.join(hits.select(F.col("qid").alias("_q"), F.col("sid").alias("_call")), F.col("read_id") == F.col("_q"), "left")
+            out = out.withColumn(name, F.when(F.col("v_call").isNotNull() & F.col("j_call").isNotNull(), F.col("_call"))).drop("_q", "_call")
     return out.withColumn("status", F.when(F.col("v_call").isNull(), "noV").when(F.col("j_call").isNull(), "noJ"))
 
 
-def seed_votes(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 10, step: int = 1, frequent: int = 200) -> DataFrame:
+def seed_votes(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 10, step: int = 1) -> DataFrame:
     """``id, allele, diagonal, strand, votes``: the ``keep`` best alleles by shared k-mers on one diagonal.
 
-    k-mers of both strands of the reads meet the library's k-mers in an equi
-    join; those of more than ``frequent`` places of the library are left out,
-    as word frequency masks do. Votes are summed per (read, allele, diagonal)
-    before the shuffle, so only sums travel.
+    k-mers of both strands of the reads meet all of the library's k-mers in an
+    equi join. Votes are summed per (read, allele, diagonal) before the
+    shuffle, so only sums travel.
     """
     from lymphlake.functions.seq import revcomp
 
@@ -107,8 +114,6 @@ def seed_votes(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 1
         return df.select(*names, F.explode(at).alias("at"), seq.alias("_s")).select(*names, "at", F.substr("_s", F.col("at") + 1, F.lit(k)).alias("kmer"))
 
     library = kmers(germline, F.upper("seq"), 1, "allele").withColumnRenamed("at", "place")
-    rare = library.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= frequent).select(F.col("kmer").alias("_k"))
-    library = library.join(rare, F.col("kmer") == F.col("_k"), "left_semi")
     strands = reads.select("id", F.explode(F.array(F.struct(F.lit("plus").alias("strand"), F.upper("seq").alias("s")), F.struct(F.lit("minus").alias("strand"), revcomp(F.upper("seq")).alias("s")))).alias("o"))
     own = kmers(strands.select("id", "o.strand", "o.s"), F.col("s"), step, "id", "strand")
     votes = own.join(library.withColumnRenamed("kmer", "_w"), F.col("kmer") == F.col("_w")).groupBy("id", "allele", "strand", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.count(F.lit(1)).alias("votes"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lymphlake.operators.order import ranked
+
 
 def histogram(table: DataFrame, value: Column, width: float) -> DataFrame:
     """``bin, n``: counts in bins of ``width``, empty bins between the first and last kept.
@@ -65,13 +69,13 @@ def grid_histogram(points: DataFrame, *by: str, bins: int = 99) -> DataFrame:
     return spine.join(counts, on, "left").select(*[F.col(f"_{b}").alias(b) for b in by], F.col("_x").alias("bx"), F.col("_y").alias("by"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def kernel_density(points: DataFrame, grid: int = 25, h: float = 1.0) -> DataFrame:
-    """``gx, gy, density``: Gaussian kernel density on a grid over the same limits.
+def kernel_density(points: DataFrame, *by: str, grid: int = 100, h: float = 1.0) -> DataFrame:
+    """``gx, gy, density`` (per key of ``by``): Gaussian kernel density on a grid over the same limits.
 
     Equal points are summed first. A point meets only grid nodes within four
     bandwidths, which bounds its fan-out by the grid and not by the data.
     """
-    counted = points.where(F.col("germ_div").between(0, 60) & F.col("identity").between(40, 100)).groupBy("germ_div", "identity").agg(F.count(F.lit(1)).alias("w"))
+    counted = points.where(F.col("germ_div").between(0, 60) & F.col("identity").between(40, 100)).groupBy(*by, "germ_div", "identity").agg(F.count(F.lit(1)).alias("w"))
     step = 60.0 / (grid - 1)
     sd = h / 4.0
 
@@ -81,9 +85,10 @@ def kernel_density(points: DataFrame, grid: int = 25, h: float = 1.0) -> DataFra
 
     rows = counted.withColumn("gx", F.explode(near(F.col("germ_div"), 0))).withColumn("gy", F.explode(near(F.col("identity"), 40)))
     zx, zy = (F.col("germ_div") - F.col("gx") * step) / sd, (F.col("identity") - 40 - F.col("gy") * step) / sd
-    sums = rows.groupBy("gx", "gy").agg(F.sum(F.col("w") * F.exp(-(zx * zx + zy * zy) / 2)).alias("s"))
-    total = counted.agg(F.sum("w").alias("total"))
-    return sums.join(total, how="cross").select(F.col("gx").cast("int").alias("gx"), F.col("gy").cast("int").alias("gy"), (F.col("s") / (F.col("total") * 2 * 3.141592653589793 * sd * sd)).alias("density"))
+    sums = rows.groupBy(*by, "gx", "gy").agg(F.sum(F.col("w") * F.exp(-(zx * zx + zy * zy) / 2)).alias("s"))
+    total = counted.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.sum("w").alias("total"))
+    both = sums.join(total, reduce(lambda x, y: x & y, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])) if by else sums.join(total, how="cross")
+    return both.select(*by, F.col("gx").cast("int").alias("gx"), F.col("gy").cast("int").alias("gy"), (F.col("s") / (F.col("total") * 2 * 3.141592653589793 * sd * sd)).alias("density"))
 
 
 def flagged_points(points: DataFrame, listed: DataFrame, flag: str) -> DataFrame:
@@ -106,17 +111,20 @@ def quality_by_position(reads: DataFrame) -> DataFrame:
 def posterior_summary(log: DataFrame, burn_in: float = 10.0, mass: float = 0.95) -> DataFrame:
     """``n, mean, median, se, hpd_low, hpd_high`` of a rate after dropping the first ``burn_in`` percent of samples.
 
-    The shortest interval that holds ``mass`` of the sorted values. A log has
-    one row a kept sample of one run; it is a single series, so its order is global.
+    The shortest interval that holds ``mass`` of the sorted values. Samples
+    and rates are ranked by ranges; an interval is a join of ranks.
     """
     n = log.count()
     skip = int(n * burn_in / 100)
-    rows = log.withColumn("_n", F.row_number().over(Window.orderBy("sample"))).where(F.col("_n") > skip)
-    k = max(1, int((n - skip) * mass + 0.5))
-    by_rate = Window.orderBy("rate", "sample")
-    spans = rows.withColumn("_end", F.lead("rate", k - 1).over(by_rate))
-    best = spans.where(F.col("_end").isNotNull()).agg(F.min(F.struct(F.round(F.col("_end") - F.col("rate"), 12).alias("w"), F.col("rate").alias("lo"), F.col("_end").alias("hi"))).alias("s"))
-    agg = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("rate").alias("mean"), F.percentile("rate", 0.5).alias("median"), (F.stddev_samp("rate") / F.sqrt(F.count(F.lit(1)))).alias("se"))
+    rows = ranked(log, [F.asc("sample"), F.asc("rate")], "_n").where(F.col("_n") > skip).drop("_n")
+    left = n - skip
+    k = max(1, int(left * mass + 0.5))
+    by_rate = ranked(rows, [F.asc("rate"), F.asc("sample")], "_r").select("rate", "_r")
+    ends = by_rate.select(F.col("rate").alias("_end"), (F.col("_r") - (k - 1)).alias("_e"))
+    spans = by_rate.join(ends, F.col("_r") == F.col("_e"))
+    best = spans.agg(F.min(F.struct(F.round(F.col("_end") - F.col("rate"), 12).alias("w"), F.col("rate").alias("lo"), F.col("_end").alias("hi"))).alias("s"))
+    middle = F.col("_r").isin((left + 1) // 2, left // 2 + 1)
+    agg = by_rate.agg(F.count(F.lit(1)).alias("n"), F.avg("rate").alias("mean"), F.avg(F.when(middle, F.col("rate"))).alias("median"), (F.stddev_samp("rate") / F.sqrt(F.count(F.lit(1)))).alias("se"))
     return agg.join(best, how="cross").select("n", "mean", "median", "se", F.col("s.lo").alias("hpd_low"), F.col("s.hi").alias("hpd_high"))
 
 
@@ -127,16 +135,8 @@ def per_timepoint(table: DataFrame, n: int, seed: int = 0) -> DataFrame:
     return table.withColumn("_n", rank).where(F.col("_n") <= n).drop("_n")
 
 
-def shuffled_batches(table: DataFrame, size: int = 250, seed: int = 0, parts: int = 64) -> DataFrame:
-    """Adds ``batch``: rows in the order of an md5 of id and seed, dealt to batches of exactly ``size``.
-
-    The order is cut into ``parts`` hash ranges whose sizes are counted first;
-    a row's place is its range's offset and its rank within the range, so no
-    task sees all rows.
-    """
+def shuffled_batches(table: DataFrame, size: int = 250, seed: int = 0) -> DataFrame:
+    """Adds ``batch``: rows in the order of an md5 of id and seed, dealt to batches of exactly ``size``; no task sees all rows."""
     key = F.md5(F.concat_ws(":", F.col("sequence_id").cast("string"), F.lit(str(seed))))
-    rows = table.withColumn("_key", key).withColumn("_part", F.floor(F.conv(F.substring("_key", 1, 4), 16, 10).cast("long") * parts / 65536))
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_key", "sequence_id"))
-    return rows.join(offsets, F.col("_part") == F.col("_p")).withColumn("batch", F.floor((F.col("_before") + rank - 1) / size).cast("int")).drop("_key", "_part", "_p", "_before")
+    rows = ranked(table.withColumn("_key", key), [F.asc("_key"), F.asc("sequence_id")], "_place", 0)
+    return rows.withColumn("batch", F.floor(F.col("_place") / size).cast("int")).drop("_key", "_place")

@@ -16,13 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where a session has none (tests, a laptop) a local folder is set.
+    Only where a session has none and runs locally (tests, a laptop) a local
+    folder is set; on a cluster that would be no shared folder, so it is an error.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -17,14 +17,15 @@ READ_SCHEMA = "id string, description string, seq string, qual string, source_fi
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``id, description, seq, source_file``: one row a record, gzip by file name; wrapped lines are joined.
 
-    ``>`` is the line separator, so a file is split between records like any
-    other text and never read as a whole.
+    A line end with ``>`` behind it is the separator, so a file is split
+    between records like any other text and never read as a whole, and a ``>``
+    within a definition line belongs to it.
     """
-    rows = spark.read.option("lineSep", ">").text(paths)
-    head = F.trim(F.split_part("value", F.lit("\n"), F.lit(1)))
+    rows = spark.read.option("lineSep", "\n>").text(paths).withColumn("value", F.regexp_replace("value", r"^\s*>", ""))
+    head = F.trim(F.translate(F.split_part("value", F.lit("\n"), F.lit(1)), "\r", ""))
     seq = F.regexp_replace(F.substr("value", F.locate("\n", F.col("value")) + 1), r"\s+", "")
     name = F.col("_metadata.file_path")
-    return rows.where(F.trim("value") != "").select(F.split_part(head, F.lit(" "), F.lit(1)).alias("id"), head.alias("description"), F.when(F.locate("\n", F.col("value")) > 0, seq).otherwise("").alias("seq"), F.element_at(F.split(name, "/"), -1).alias("source_file"))
+    return rows.where(F.regexp_replace("value", r"\s+", "") != "").select(F.split_part(head, F.lit(" "), F.lit(1)).alias("id"), head.alias("description"), F.when(F.locate("\n", F.col("value")) > 0, seq).otherwise("").alias("seq"), F.element_at(F.split(name, "/"), -1).alias("source_file"))
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -166,11 +167,7 @@ def read_lookup(description: Column) -> Column:
 
 
 def numbered_reads(reads: DataFrame, order: str = "id") -> DataFrame:
-    """Adds ``read_id``, an eight-digit counter in the order of ``order``: counts of ranges first, then ranks within them."""
-    from pyspark.sql import Window
-
-    rows = reads.withColumn("_part", F.substring(F.col(order).cast("string"), 1, 6))
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(order))
-    return rows.join(offsets, F.col("_part") == F.col("_p")).withColumn("read_id", F.lpad((F.col("_before") + rank).cast("string"), 8, "0")).drop("_part", "_p", "_before")
+    """Adds ``read_id``, an eight-digit counter in the order of ``order``; see :func:`ranked`, so equal beginnings of ids do not matter."""
+    from lymphlake.operators.order import ranked
+
+    return ranked(reads, [F.asc(order)], "_rank").withColumn("read_id", F.lpad(F.col("_rank").cast("string"), 8, "0")).drop("_rank")

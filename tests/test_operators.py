@@ -212,3 +212,83 @@ def test_airr_derive_writes_every_row(spark, sf, monkeypatch):
     monkeypatch.setattr(airr, "write_airr", lambda t, path: seen.append(t.count()) or write(t, path))
     QUERIES["airr_derive"](spark, sf).count()
     assert seen == [view(spark, sf, "rearrangements").count()]
+
+
+def test_ranks_with_one_size_and_one_prefix(spark):
+    from lymphlake.operators.order import ranked
+
+    t = spark.range(5000).select(F.concat(F.lit("instrument:1:"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("id"), F.lit(1).alias("clone_count"))
+    t = t.repartition(7).withColumn("centroid", F.col("id"))
+    reads = {r["id"]: int(r["read_id"]) for r in sequences.numbered_reads(t).collect()}
+    assert [reads[k] for k in sorted(reads)] == list(range(1, 5001))
+    ids = {r["centroid"]: int(r["clone_id"]) for r in clones.numbered(t, first=3).collect()}
+    assert [ids[k] for k in sorted(ids)] == list(range(3, 5003))
+    assert ranked(t.limit(0), [F.asc("id")]).count() == 0
+    same = ranked(spark.range(100).select(F.lit("x").alias("v")), [F.asc("v")])
+    assert sorted(r["rank"] for r in same.collect()) == list(range(1, 101))
+
+
+@pytest.mark.parametrize(("seed", "nodes", "size"), [(0, 12, 3), (1, 30, 4), (2, 8, 5), (3, 60, 2)])
+def test_joint_clones_equal_the_cliques(spark, seed, nodes, size):
+    rng = np.random.default_rng(seed)
+    sets = {f"c{i}": {f"n{x}" for x in rng.integers(0, nodes, rng.integers(1, size + 1))} for i in range(60)}
+    near = {}
+    for own in sets.values():
+        for x in own:
+            near.setdefault(x, set()).update(own - {x})
+    cliques = cells.maximal_cliques(near)
+    want = {}
+    for cell, own in sets.items():
+        holding = [c for c in cliques if own <= c]
+        want[cell] = "+".join(sorted(holding[0])) if len(holding) == 1 else None
+    rows = [(c, x) for c, own in sets.items() for x in own]
+    got = {r["cell_id"]: r["clone"] for r in cells.joint_clones(spark.createDataFrame(rows, "cell_id string, cluster string")).collect()}
+    assert got == want
+
+
+def test_joint_clones_of_a_wide_graph(spark):
+    """More clusters in one component than any task would enumerate cliques for."""
+    rows = [(f"c{i}", x) for i in range(900) for x in (f"H{i}", f"L{i // 2}", f"L{(i + 1) // 2}")]
+    got = {r["cell_id"]: r["clone"] for r in cells.joint_clones(spark.createDataFrame(rows, "cell_id string, cluster string").distinct()).collect()}
+    assert len(got) == 900
+    assert got["c3"] == "H3+L1+L2" and got["c2"] == "H2+L1"
+
+
+def test_definition_lines_with_angle_brackets(spark, tmp_path):
+    (tmp_path / "b.fa").write_bytes(b">r1 note=a>b\r\nAC\r\nGT\r\n>r2 x > y\nTT\n\n>r3\n")
+    got = {r["id"]: (r["description"], r["seq"]) for r in sequences.read_fasta(spark, str(tmp_path / "b.fa")).collect()}
+    assert got == {"r1": ("r1 note=a>b", "ACGT"), "r2": ("r2 x > y", "TT"), "r3": ("r3", "")}
+
+
+def test_pieces_lose_no_near_identical_pair(spark):
+    rng = np.random.default_rng(4)
+    base = ["".join(rng.choice(list("ACGT"), 33)) for _ in range(4)]
+    seqs = sorted({b[:i] + "ACGT"[rng.integers(4)] + b[i + 1 : j] + "ACGT"[rng.integers(4)] + b[j + 1 :] for b in base for i in range(0, 30, 3) for j in (31, 32)} | set(base) | {"AC", "AG", ""})
+    rows = [("v", "j", s, f"{k:03}") for k, s in enumerate(seqs)]
+    got = {(r["a"], r["b"]) for r in clones.near_identical(spark.createDataFrame(rows, "v string, j string, junction string, id string")).collect()}
+    want = {(a, b) for _, _, x, a in rows for _, _, y, b in rows if a < b and len(x) == len(y) and sum(p != q for p, q in zip(x, y, strict=True)) <= 0.1 * len(x) + 1e-9}
+    assert got == want and want
+
+
+def test_constant_segment_hits_are_exact(spark):
+    c = "ACGGTTCAGCATTGACCGATAGGCTTAACG"
+    germline = spark.createDataFrame([("IGHG1*01", c)], "allele string, seq string")
+    reads = spark.createDataFrame([("same", "TT" + c), ("other", "TT" + c[:14] + "T" + c[15:]), ("short", c[:6])], "id string, seq string")
+    got = {r["qid"]: r["identity"] for r in align.segment_hits(reads, germline, "C").collect()}
+    assert got["same"] == 100.0 and "short" not in got and set(got.values()) == {100.0}
+
+
+def test_optional_modules():
+    import __spark_entry__
+
+    assert __spark_entry__._optional("lymphlake.llm_absent", ("lymphlake.llm_absent",)) is None
+    with pytest.raises(ModuleNotFoundError):
+        __spark_entry__._optional("lymphlake.llm_absent", ("lymphlake.llm",))
+
+
+def test_stop_codons_in_long_sequences(spark):
+    from lymphlake.functions.seq import has_stop, translate_nt
+
+    rows = [("GCA" * 20_000 + "TAA",), ("GCA" * 20_000 + "GTA",), ("ATAAGC",), ("taa",), ("",), (None,)]
+    got = spark.createDataFrame(rows, "s string").select(has_stop(F.col("s")).alias("a"), translate_nt(F.col("s")).contains("*").alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got] == [True, False, False, True, False, None]

@@ -403,7 +403,8 @@ def keep_first(docs: DataFrame, once: bool = False) -> DataFrame:
     repeated = (F.col("n") > 1) & (F.lit(once) | F.col("doc_id").isNull())
     marked = written(rows.where(F.col("_gone") | repeated).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_gone"), "near-marked")
     mine = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_key(F.col("text")) == F.col("_key"))
-    kept = docs.join(marked, mine, "left_anti")
+    # a join by shuffle at every size: what goes grows with the documents
+    kept = docs.join(marked.hint("merge"), mine, "left_anti")
     if not marked.where(~F.col("_gone")).take(1):
         return kept
     order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -38,7 +38,6 @@ class PairTable:
                 a, b = vocabulary.get(token[:i]), vocabulary.get(token[i:])
                 if a is not None and b is not None:
                     pairs[(a << 32) | b] = rank
-        self.pairs = pairs
         self.bits = max(4, (4 * len(pairs)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.full(1 << self.bits, _NONE, np.int32)
@@ -55,6 +54,12 @@ class PairTable:
             left = left[self.keys[at] != key[left]]
             slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The table as a dict, for one pair at a time; workers do not need it."""
+        used = self.keys >= 0
+        return dict(zip(self.keys[used].tolist(), self.values[used].tolist(), strict=True))
+
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 

@@ -229,7 +229,8 @@ def near_identical(table: DataFrame, most: float = 0.1) -> DataFrame:
     cuts = F.floor(n * most + 1e-9).cast("int") + 1
     edge = lambda i: F.floor(i * n / cuts).cast("int")
     cut = F.transform(F.sequence(F.lit(0), cuts - 1), lambda i: F.substr("junction", edge(i) + 1, edge(i + 1) - edge(i)))
-    rows = table.select("v", "j", "id", "junction", cut.alias("pieces"))
+    # written once: both sides read it, and the filter that Spark derives for the pieces stays behind the aggregate
+    rows = written(table.select("v", "j", "id", "junction"), "junctions").select("v", "j", "id", "junction", cut.alias("pieces"))
     one = rows.select("v", "j", F.length("junction").alias("n"), F.col("id").alias("a"), F.col("junction").alias("x"), F.col("pieces").alias("p"), F.posexplode("pieces").alias("at", "piece"))
     two = one.select(*[F.col(c).alias(f"_{c}") for c in ("v", "j", "n", "at", "piece")], F.col("a").alias("b"), F.col("x").alias("y"), F.col("p").alias("q"))
     same = [F.col(c) == F.col(f"_{c}") for c in ("v", "j", "n", "at", "piece")]

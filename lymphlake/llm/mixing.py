@@ -61,8 +61,8 @@ def fair_mix(docs: DataFrame, size: str | None = None, seed: int = 0, weights: t
 
     No task holds a source: its documents are dealt to hash slots of about
     ``max(slot_rows, sqrt(n))`` rows, running sums are taken within slots and
-    over the slots' totals. The same is done over bins of the finish time, so
-    that only the bin in which the budget ends is sorted as a whole.
+    over the slots' totals. All copies are then range-sorted by finish time
+    and the order is cut at the budget.
 
     Null text: size 0, nothing taken. Null source: a source of its own, last.
     Null ids are shuffled as the empty text. Repeated rows are separate
@@ -99,7 +99,7 @@ def _queued(base: DataFrame, kept: list[str], targets: DataFrame, share: float,
 
     times = run.select("_source", "_key", "_size", F.explode(F.array(*[F.struct(F.lit(e).alias("copy"), finish(e).alias("finish")) for e in range(passes)])).alias("_c")).where(F.col("_c.finish").isNotNull() & (F.col("_size") > 0))
     times = times.select("_source", "_key", "_size", "_c.copy", "_c.finish")
-    edge = _budget_edge(times, summed.agg(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("rows")), share)
+    edge = _budget_edge(times, summed.agg(F.sum("_size").alias("n")), share)
     if edge is None:
         copies = F.lit(0)
     else:
@@ -120,21 +120,26 @@ def _queued(base: DataFrame, kept: list[str], targets: DataFrame, share: float,
 
 
 def _budget_edge(times: DataFrame, whole: DataFrame, share: float):
-    """The last copy that is taken: one row, found by bins of the finish time."""
-    n, rows = whole.first()
+    """The last copy that is taken: all copies are range-sorted by finish time and cut where their words reach the budget.
+
+    Spark samples the order and deals the copies to ranges; each is sorted by
+    itself. The ranges' sums, one row each, tell which ranges are taken whole
+    and in which one the budget ends; that range is cut at its running sum.
+    """
+    n = whole.first()["n"]
     if not n:
         return None
-    bins = max(1024, int(rows**0.5))
-    binned = times.withColumn("_bin", F.least(F.floor(F.col("finish") * bins), F.lit(4 * bins)).cast("long"))
-    sums = binned.groupBy("_bin").agg(F.sum("_size").alias("n"))
-    upto = sums.select("_bin", (F.sum("n").over(Window.orderBy("_bin")) - F.col("n")).alias("before"))
+    order = ("finish", "copy", F.col("_source").asc_nulls_last(), "_key", "_size")
+    queue = written(times.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id()), "mix-queue")
+    sums = queue.groupBy("_range").agg(F.sum("_size").alias("n"))
+    upto = sums.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("before"))
     budget = n * share
-    cut = upto.where(F.col("before") <= budget).orderBy(F.desc("_bin")).first()
-    inside = binned.where(F.col("_bin") == cut["_bin"])
-    inside = inside.withColumn("_sum", F.sum("_size").over(Window.orderBy("finish", "copy", F.col("_source").asc_nulls_last(), "_key", "_size").rowsBetween(Window.unboundedPreceding, 0)))
+    cut = upto.where(F.col("before") <= budget).orderBy(F.desc("_range")).first()
+    inside = queue.where(F.col("_range") == cut["_range"])
+    inside = inside.withColumn("_sum", F.sum("_size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
     taken = inside.where(F.col("_sum") + cut["before"] - F.col("_size") / 2 <= budget)
     row = F.struct("finish", "copy", F.col("_source").isNull().alias("none"), F.coalesce(F.col("_source").cast("string"), F.lit("")).alias("source"), F.col("_key").alias("key"), F.col("_size").alias("size"))
     last = taken.agg(F.max(row).alias("last")).first()["last"]
-    if last is None:  # the bin's first copy does not fit: all earlier bins are in
-        last = binned.where(F.col("_bin") < cut["_bin"]).agg(F.max(row).alias("last")).first()["last"]
+    if last is None:  # the range's first copy does not fit: all earlier ranges are in
+        last = queue.where(F.col("_range") < cut["_range"]).agg(F.max(row).alias("last")).first()["last"]
     return last

@@ -195,7 +195,7 @@ def timepoint_union(spark, d):
 
 
 _PAIRS = """u AS (SELECT v_call || j_call AS cluster, junction AS seq, min(sequence_id) AS id FROM rearrangements GROUP BY ALL),
- q AS (SELECT a.cluster, a.id AS a, b.id AS b, 1 - hamming(a.seq, b.seq) / CAST(length(a.seq) AS DOUBLE) AS identity FROM u a JOIN u b ON a.cluster = b.cluster AND a.id < b.id AND length(a.seq) = length(b.seq))"""
+ q AS (SELECT a.cluster, a.id AS a, b.id AS b, 1 - CASE WHEN length(a.seq) = length(b.seq) THEN hamming(a.seq, b.seq) ELSE levenshtein(a.seq, b.seq) END / CAST(greatest(length(a.seq), length(b.seq)) AS DOUBLE) AS identity FROM u a JOIN u b ON a.cluster = b.cluster AND a.id < b.id)"""
 
 
 def _pairs(spark, d):

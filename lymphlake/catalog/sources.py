@@ -138,23 +138,23 @@ def germline_alignment(spark, d):
 
 @query()
 def antibody_sieve(spark, d):
-    """Known-antibody sieve on heavy chain junctions: rows only; that natives attract their kin is tested."""
+    """Known-antibody sieve on all distinct junctions; the three natives are the donor's antibodies here. Rows only; that natives attract their kin is tested."""
     from lymphlake.operators.align import sieve
 
-    t = view(spark, d, "rearrangements").where("locus = 'IGH'").groupBy(F.col("junction").alias("seq")).agg(F.min("sequence_id").alias("id"))
+    t = view(spark, d, "rearrangements").groupBy(F.col("junction").alias("seq")).agg(F.min("sequence_id").alias("id"))
     natives = t.orderBy("seq").limit(3).select(F.concat(F.lit("native"), "id").alias("id"), "seq")
-    return sieve(t.select("id", "seq"), natives, ("germline", "TGT" + "ACGT" * 7), batch=60, rounds=4)
+    return sieve(t.select("id", "seq"), natives, ("germline", "TGT" + "ACGT" * 7))
 
 
 @query()
 def germline_assignment(spark, d):
-    """Seed votes and alignment of reads cut from alleles: rows only; that the source allele wins is tested."""
-    from lymphlake.operators.align import germline_hits
+    """Seed votes and alignment of reads cut from alleles, by the rules of V segments, the only ones in this library: rows only; that the source allele wins is tested."""
+    from lymphlake.operators.align import segment_hits
 
-    g = view(spark, d, "germline").select("allele", "seq")
+    g = view(spark, d, "germline").where("segment = 'V'").select("allele", "seq")
     u = view(spark, d, "umi_reads").select("event_id", "umi", "cell")
     reads = one_allele_each(u, g, "umi", "cell").select(F.concat(F.lit("r"), "event_id").alias("id"), F.concat(F.substring("umi", 1, 5), F.substr("seq", F.lit(6), F.lit(50))).alias("seq"))
-    return germline_hits(reads, g)
+    return segment_hits(reads, g, "V")
 
 
 @query("umi_reads", sql="SELECT n, count(*) AS reads, sum(e) / count(*) AS mean_error FROM (SELECT length(seq) AS n, length(seq) * pow(10, -(1 + event_id % 20) / 10.0) AS e FROM umi_reads) GROUP BY n", rounded=("mean_error",))

@@ -9,35 +9,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MATCH, MISMATCH, GAP = 1, -1, -2
+MATCH, MISMATCH = 1, -1
+_NONE = -(10**8)
 
 
-def align_pair(a: str, b: str) -> tuple[str, str]:
+def align_pair(a: str, b: str, gap_open: int = 0, gap_extend: int = 2) -> tuple[str, str]:
     """Global alignment of two sequences; gaps at the ends are free.
 
-    Row by row; the running maximum over gaps in the row is a cumulative
-    maximum, so each row is a few numpy operations.
+    A gap of n places costs ``gap_open + n * gap_extend``. Row by row; gaps
+    along the row are a cumulative maximum, so each row is a few numpy
+    operations.
     """
     x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
     n, m = len(x), len(y)
-    score = np.zeros((n + 1, m + 1), np.int32)
-    ramp = np.arange(m + 1) * GAP
+    score, down, along = np.zeros((n + 1, m + 1), np.int32), np.full((n + 1, m + 1), _NONE, np.int32), np.full((n + 1, m + 1), _NONE, np.int32)
+    ramp = np.arange(m + 1) * gap_extend
+    first = gap_open + gap_extend
     for i in range(1, n + 1):
-        best = np.maximum(score[i - 1, 1:] + GAP, score[i - 1, :-1] + np.where(y == x[i - 1], MATCH, MISMATCH))
-        row = np.concatenate([[0], best])
-        score[i] = np.maximum.accumulate(row - ramp) + ramp
+        down[i, 1:] = np.maximum(down[i - 1, 1:] - gap_extend, score[i - 1, 1:] - first)
+        row = np.zeros(m + 1, np.int32)
+        row[1:] = np.maximum(down[i, 1:], score[i - 1, :-1] + np.where(y == x[i - 1], MATCH, MISMATCH))
+        along[i, 1:] = np.maximum.accumulate(row + ramp)[:-1] - ramp[1:] - gap_open
+        score[i] = np.maximum(row, along[i])
     i, j = (n, int(score[n].argmax())) if score[n].max() >= score[:, m].max() else (int(score[:, m].argmax()), m)
     out_a, out_b = [a[i:][::-1] + "-" * (m - j)], ["-" * (n - i) + b[j:][::-1]]
+    gap = None  # the matrix that the path runs in: None, down or along
     while i > 0 and j > 0:
-        if score[i, j] == score[i - 1, j - 1] + (MATCH if x[i - 1] == y[j - 1] else MISMATCH):
-            i, j = i - 1, j - 1
-            out_a.append(a[i])
-            out_b.append(b[j])
-        elif score[i, j] == score[i - 1, j] + GAP:
+        if gap is None:
+            if score[i, j] == score[i - 1, j - 1] + (MATCH if x[i - 1] == y[j - 1] else MISMATCH):
+                i, j = i - 1, j - 1
+                out_a.append(a[i])
+                out_b.append(b[j])
+                continue
+            gap = "down" if score[i, j] == down[i, j] else "along"
+        if gap == "down":
+            gap = None if down[i, j] == score[i - 1, j] - first else gap
             i -= 1
             out_a.append(a[i])
             out_b.append("-")
         else:
+            gap = None if along[i, j] == score[i, j - 1] - first else gap
             j -= 1
             out_a.append("-")
             out_b.append(b[j])
@@ -77,33 +88,35 @@ def aligned(pairs: DataFrame, a: str, b: str) -> DataFrame:
 HIT_SCHEMA = "qid string, sid string, identity double, alignment int, mismatches int, gaps int, qstart int, qend int, sstart int, send int, score double, strand string"
 
 
-# Word sizes by segment, and the constant segment's identity.
+# Word sizes by segment, the constant segment's identity, and what a mismatch, a gap and each of its places cost.
 WORD_SIZES = {"V": 7, "D": 5, "J": 5, "C": 5}
 IDENTITIES = {"C": 100.0}
+COSTS = (1, 5, 2)
 
 
 def segment_hits(reads: DataFrame, germline: DataFrame, segment: str, evalue: float = 1e-3, keep: int = 10) -> DataFrame:
-    """:func:`germline_hits` with the word size and identity rule of a segment and hits up to an expected number by chance.
+    """:func:`germline_hits` with the word size, costs and identity rule of a segment and hits up to an expected number by chance.
 
     A score s by chance is expected m n exp(-s ln 3) / 3 times among m bases
     of a read and n of the library (uniform bases, match 1, mismatch -1).
     """
     n = germline.agg(F.sum(F.length("seq"))).first()[0] or 0
-    hits = germline_hits(reads, germline, WORD_SIZES[segment], keep, 1.0, IDENTITIES.get(segment, 0.0))
+    hits = germline_hits(reads, germline, WORD_SIZES[segment], keep, 1.0, IDENTITIES.get(segment, 0.0), COSTS)
     sizes = reads.select(F.col("id").alias("_i"), F.length("seq").alias("_m"))
     expected = F.col("_m") * n * F.exp(-F.log(F.lit(3.0)) * F.col("score")) / 3
     return hits.join(sizes, F.col("qid") == F.col("_i")).where(expected <= evalue).drop("_i", "_m")
 
 
-def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 10, least: float = 20.0, least_identity: float = 0.0) -> DataFrame:
+def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int = 10, least: float = 20.0, least_identity: float = 0.0, costs: tuple[int, int, int] | None = None) -> DataFrame:
     """Hits of each read in a germline library, best first: the columns of a hit table and ``hit_rank``.
 
     ``reads`` has ``id, seq``, ``germline`` ``allele, seq``. Alleles that share
     most k-mers on a diagonal are aligned with the read (its reverse
     complement on the minus strand); a score is a match more and three less
-    for a mismatch or gap; hits under ``least``, or under ``least_identity``
-    percent, are dropped. Subject ends come
-    in falling order on the minus strand; query ends refer to the read as given.
+    for a mismatch or a gap's place, or what ``costs`` take for a mismatch, a
+    gap and each of its places; hits under ``least``, or under
+    ``least_identity`` percent, are dropped. Subject ends come in falling
+    order on the minus strand; query ends refer to the read as given.
     """
     from pyspark.sql import Window
 
@@ -114,18 +127,22 @@ def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int
     rows = votes.join(reads.select(F.col("id").alias("_i"), F.upper("seq").alias("read")), F.col("id") == F.col("_i")).join(germline.select(F.col("allele").alias("_a"), F.upper("seq").alias("gene")), F.col("allele") == F.col("_a"))
     rows = rows.select("id", "allele", "strand", F.when(F.col("strand") == "plus", F.col("read")).otherwise(revcomp(F.col("read"))).alias("read"), "gene")
 
+    mismatch, opened, place = costs or (3, 0, 3)
+    gaps_of_path = {} if costs is None else {"gap_open": opened, "gap_extend": place}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for name, allele, strand, read, gene in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, b = (np.frombuffer(x.encode(), np.uint8) for x in align_pair(read, gene))
+                a, b = (np.frombuffer(x.encode(), np.uint8) for x in align_pair(read, gene, **gaps_of_path))
                 both = np.flatnonzero((a != 45) & (b != 45))
                 if not len(both):
                     continue
                 part = slice(both[0], both[-1] + 1)
                 same, gap = a[part] == b[part], (a[part] == 45) | (b[part] == 45)
-                # the best stretch: a match counts 1, anything else -3
-                gain = np.cumsum(np.where(same, 1, -3))
+                # the best stretch of the path
+                opens = gap & ~np.concatenate([[False], gap[:-1]])
+                gain = np.cumsum(np.where(same, 1, np.where(gap, -place, -mismatch)) - opened * opens)
                 low = np.minimum.accumulate(np.concatenate([[0], gain[:-1]]))
                 end = int((gain - low).argmax())
                 begin = int(np.concatenate([[0], gain[:-1]])[: end + 1].argmin())
@@ -186,12 +203,12 @@ def neighbour_joining(names: list[str], distance: np.ndarray) -> list[tuple[str
 def near_antibodies(names: list[str], seqs: list[str], natives: set[str], root: str) -> set[str]:
     """Leaves of the smallest subtree that holds all natives, in a tree by k-mer distance that is rooted on ``root``."""
     grams = [{s[i : i + 6] for i in range(max(1, len(s) - 5))} for s in seqs]
-    n = len(seqs)
-    d = np.zeros((n, n))
-    for i in range(n):
-        for j in range(i + 1, n):
-            d[i, j] = d[j, i] = 1 - len(grams[i] & grams[j]) / max(1, len(grams[i] | grams[j]))
-    merges = neighbour_joining(names, d)
+    column = {g: i for i, g in enumerate(sorted(set().union(*grams)))}
+    has = np.zeros((len(seqs), len(column)), np.float32)
+    for i, found in enumerate(grams):
+        has[i, [column[g] for g in found]] = 1
+    both, sizes = has @ has.T, has.sum(axis=1)
+    merges = neighbour_joining(names, 1 - both / np.maximum(1, sizes[:, None] + sizes[None, :] - both))
     near: dict = {}
     for i, (a, b) in enumerate(merges):
         for x in (a, b) if i + 1 < len(merges) else ():
@@ -226,7 +243,7 @@ def near_antibodies(names: list[str], seqs: list[str], natives: set[str], root:
     return best - {root}
 
 
-def sieve(reads: DataFrame, natives: DataFrame, germline: tuple[str, str], batch: int = 250, rounds: int = 15, enough: float = 0.95, seed: int = 0) -> DataFrame:
+def sieve(reads: DataFrame, natives: DataFrame, germline: tuple[str, str], batch: int = 250, rounds: int = 15, enough: float = 0.95, seed: int = 0, most_natives: int = 500) -> DataFrame:
     """Reads that stay with the known antibodies: repeated trees over shuffled batches.
 
     ``reads`` and ``natives`` have ``id, seq``. Each round deals the reads to
@@ -234,10 +251,14 @@ def sieve(reads: DataFrame, natives: DataFrame, germline: tuple[str, str], batch
     and keeps the leaves of the smallest subtree with all natives. It stops
     when a round keeps ``enough`` of its reads. A round is written to the
     shared folder; a batch is small, so a task holds one tree at a time.
+    Every tree holds all natives, so more than ``most_natives`` are an error.
     """
     from lymphlake.plans.tables import written
 
-    known = [(r["id"], r["seq"]) for r in natives.select("id", "seq").orderBy("id").collect()]  # a donor's antibodies: tens
+    known = [(r["id"], r["seq"]) for r in natives.select("id", "seq").limit(most_natives + 1).collect()]
+    if len(known) > most_natives:
+        raise ValueError(f"more than {most_natives} known antibodies")
+    known.sort()
 
     def keep(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ids, seqs = table.column("id").to_pylist(), table.column("seq").to_pylist()

@@ -54,16 +54,19 @@ def replicate_correlation(table: DataFrame, replicates: list[str]) -> DataFrame:
 
 
 def pair_identity(members: DataFrame) -> DataFrame:
-    """``cluster, a, b, identity`` for all pairs of distinct sequences of a cluster, of one length; a is before b.
+    """``cluster, a, b, identity`` for all pairs of distinct sequences of a cluster; a is before b.
 
+    Sequences of one length are compared place by place, others by edit
+    distance over the longer length; of an empty sequence with itself there is no pair.
     ``members`` has ``cluster, id, seq``. A stated product within clusters:
     meant for the representatives of a branch, of which there are few. Equal
     sequences are one; the smallest id stands for them.
     """
     one = members.groupBy("cluster", "seq").agg(F.min("id").alias("id"))
     other = one.select(F.col("cluster").alias("_c"), F.col("id").alias("b"), F.col("seq").alias("_s"))
-    pairs = one.join(other, (F.col("cluster") == F.col("_c")) & (F.col("id") < F.col("b")) & (F.length("seq") == F.length("_s")))
-    return pairs.select("cluster", F.col("id").alias("a"), "b", (1 - hamming(F.col("seq"), F.col("_s")) / F.length("seq")).alias("identity"))
+    pairs = one.join(other, (F.col("cluster") == F.col("_c")) & (F.col("id") < F.col("b")))
+    apart = F.when(F.length("seq") == F.length("_s"), hamming(F.col("seq"), F.col("_s"))).otherwise(F.levenshtein("seq", "_s"))
+    return pairs.select("cluster", F.col("id").alias("a"), "b", (1 - apart / F.greatest(F.length("seq"), F.length("_s"))).alias("identity"))
 
 
 def medoids(pairs: DataFrame) -> DataFrame:

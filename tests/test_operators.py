@@ -59,6 +59,66 @@ def test_alignment():
     assert align.banded_identity("ACGTACGT", "ACGACGT", 1) == pytest.approx(1.0)
 
 
+def _path_score(a, b, gap_open, gap_extend):
+    """Score of an alignment with free gaps at the ends."""
+    both = [i for i in range(len(a)) if a[i] != "-" and b[i] != "-"]
+    if not both:
+        return 0
+    total, side = 0, None
+    for x, y in zip(a[both[0] : both[-1] + 1], b[both[0] : both[-1] + 1], strict=True):
+        now = "a" if x == "-" else "b" if y == "-" else None
+        total -= (gap_open if now != side else 0) + gap_extend if now else (-1 if x == y else 1)
+        side = now
+    return total
+
+
+def _best_score(a, b, gap_open, gap_extend):
+    """The same, over all alignments, by plain recursion."""
+    from functools import cache
+
+    @cache
+    def best(i, j, side):
+        if i == len(a) or j == len(b):
+            return 0
+        pair = best(i + 1, j + 1, None) + (1 if a[i] == b[j] else -1)
+        cost = lambda s: (gap_open if s != side else 0) + gap_extend
+        return max(pair, best(i + 1, j, "b") - cost("b"), best(i, j + 1, "a") - cost("a"))
+
+    return max([0, *(best(i, 0, None) for i in range(len(a))), *(best(0, j, None) for j in range(len(b)))])
+
+
+@pytest.mark.parametrize("costs", [(0, 2), (5, 2), (1, 1)])
+def test_alignment_is_the_best_one(costs):
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        x = "".join(rng.choice(list("ACGT"), rng.integers(1, 14)))
+        y = x[: rng.integers(0, 5)] + "".join(rng.choice(list("ACGT"), rng.integers(1, 5))) + x[rng.integers(0, len(x)) :]
+        a, b = align.align_pair(x, y, *costs)
+        assert len(a) == len(b) and a.replace("-", "") == x and b.replace("-", "") == y
+        assert _path_score(a, b, *costs) == _best_score(x, y, *costs)
+
+
+def test_one_long_gap_costs_less_than_two():
+    left, right = "ACGTTGCAACGGTCATGCCA", "GGATCCTTAGACCAGTATTC"
+    a, b = align.align_pair(left + "TTTTT" + right, left + right, 5, 2)
+    assert b.strip("-").count("-") == 5 and "-----" in b and a == left + "TTTTT" + right
+
+
+def test_pair_identity_of_unequal_lengths(spark):
+    from lymphlake.operators import longitudinal
+
+    rows = [("c", "1", "ACGT"), ("c", "2", "ACGA"), ("c", "3", "ACGTT"), ("c", "4", "ACGT"), ("d", "5", "ACGT"), ("c", "6", "")]
+    members = spark.createDataFrame(rows, "cluster string, id string, seq string")
+    got = {(r["a"], r["b"]): r["identity"] for r in longitudinal.pair_identity(members).collect()}
+    assert got == {("1", "2"): 0.75, ("1", "3"): 0.8, ("2", "3"): pytest.approx(0.6), ("1", "6"): 0.0, ("2", "6"): 0.0, ("3", "6"): 0.0}
+
+
+def test_too_many_natives(spark):
+    seqs = spark.createDataFrame([(str(i), "ACGT" * 5) for i in range(4)], "id string, seq string")
+    with pytest.raises(ValueError, match="known antibodies"):
+        align.sieve(seqs, seqs, ("g", "ACGT"), most_natives=3)
+
+
 def test_neighbour_joining_finds_the_clade():
     rng = np.random.default_rng(1)
     base, other = ("".join(rng.choice(list("ACGT"), 60)) for _ in range(2))

@@ -194,12 +194,13 @@ def timepoint_union(spark, d):
     return L.union_timepoints(view(spark, d, "rearrangements")).select("sequence_id")
 
 
-_PAIRS = """u AS (SELECT v_call || j_call AS cluster, junction AS seq, min(sequence_id) AS id FROM rearrangements GROUP BY ALL),
+_PAIRS = """u AS (SELECT split_part(v_call, '-', 1) AS cluster, junction AS seq, min(sequence_id) AS id FROM rearrangements GROUP BY ALL),
  q AS (SELECT a.cluster, a.id AS a, b.id AS b, 1 - CASE WHEN length(a.seq) = length(b.seq) THEN hamming(a.seq, b.seq) ELSE levenshtein(a.seq, b.seq) END / CAST(greatest(length(a.seq), length(b.seq)) AS DOUBLE) AS identity FROM u a JOIN u b ON a.cluster = b.cluster AND a.id < b.id)"""
 
 
 def _pairs(spark, d):
-    return L.pair_identity(view(spark, d, "rearrangements").select(F.concat("v_call", "j_call").alias("cluster"), F.col("sequence_id").alias("id"), F.col("junction").alias("seq")))
+    """Junctions of a V family, of several lengths."""
+    return L.pair_identity(view(spark, d, "rearrangements").select(F.split_part("v_call", F.lit("-"), F.lit(1)).alias("cluster"), F.col("sequence_id").alias("id"), F.col("junction").alias("seq")))
 
 
 @query("rearrangements", ctes_more=_PAIRS, sql="SELECT * FROM q")

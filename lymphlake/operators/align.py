@@ -72,6 +72,11 @@ def banded_identity(a: str, b: str, band: int) -> float:
     return int(best.max()) / max(1, min(len(x), len(y)))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over all shuffle partitions: few bytes, but much work each, so they must not be coalesced by size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def aligned(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """``pairs`` with ``a_aln, b_aln``. Equal pairs should be made distinct before: the alignment is the costly step."""
     schema = pairs.selectExpr("*", "cast(null as string) a_aln", "cast(null as string) b_aln").schema
@@ -82,7 +87,7 @@ def aligned(pairs: DataFrame, a: str, b: str) -> DataFrame:
             rows = [(None, None) if p is None or q is None else align_pair(p, q) for p, q in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=names)
 
-    return pairs.mapInArrow(run, schema)
+    return spread(pairs).mapInArrow(run, schema)
 
 
 HIT_SCHEMA = "qid string, sid string, identity double, alignment int, mismatches int, gaps int, qstart int, qend int, sstart int, send int, score double, strand string"
@@ -116,15 +121,17 @@ def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int
     for a mismatch or a gap's place, or what ``costs`` take for a mismatch, a
     gap and each of its places; hits under ``least``, or under
     ``least_identity`` percent, are dropped. Subject ends come in falling
-    order on the minus strand; query ends refer to the read as given.
+    order on the minus strand; query ends refer to the read as given. Equal
+    reads are searched and aligned once.
     """
     from pyspark.sql import Window
 
     from lymphlake.functions.seq import revcomp
     from lymphlake.operators.hits import seed_votes
 
-    votes = seed_votes(reads, germline, k, keep)
-    rows = votes.join(reads.select(F.col("id").alias("_i"), F.upper("seq").alias("read")), F.col("id") == F.col("_i")).join(germline.select(F.col("allele").alias("_a"), F.upper("seq").alias("gene")), F.col("allele") == F.col("_a"))
+    once = reads.groupBy(F.upper("seq").alias("seq")).agg(F.min("id").alias("id"))
+    votes = seed_votes(once, germline, k, keep)
+    rows = votes.join(once.select(F.col("id").alias("_i"), F.col("seq").alias("read")), F.col("id") == F.col("_i")).join(germline.select(F.col("allele").alias("_a"), F.upper("seq").alias("gene")), F.col("allele") == F.col("_a"))
     rows = rows.select("id", "allele", "strand", F.when(F.col("strand") == "plus", F.col("read")).otherwise(revcomp(F.col("read"))).alias("read"), "gene")
 
     mismatch, opened, place = costs or (3, 0, 3)
@@ -158,7 +165,9 @@ def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in HIT_SCHEMA.split(", ")])
 
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), F.desc("identity"), "sid"))
-    return rows.mapInArrow(run, HIT_SCHEMA).where((F.col("score") >= least) & (F.col("identity") >= least_identity)).withColumn("hit_rank", rank)
+    hits = spread(rows).mapInArrow(run, HIT_SCHEMA).where((F.col("score") >= least) & (F.col("identity") >= least_identity)).withColumn("hit_rank", rank)
+    equal = reads.select(F.col("id").alias("_of"), F.upper("seq").alias("_s")).join(once, F.col("_s") == F.col("seq")).select("_of", F.col("id").alias("_first"))
+    return hits.join(equal, F.col("qid") == F.col("_first")).select(F.col("_of").alias("qid"), *hits.columns[1:])
 
 
 def identity_divergence(reads: DataFrame, germline: DataFrame, antibodies: DataFrame) -> DataFrame:

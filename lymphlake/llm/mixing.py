@@ -47,7 +47,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     )
 
 
-def fair_mix(docs: DataFrame, size: str | None = None, seed: int = 0, weights: tuple = WEIGHTS, share: float = SHARE, passes: int = PASSES, slot_rows: int = 128) -> DataFrame:
+def fair_mix(docs: DataFrame, size: str | None = None, seed: int = 0, weights: tuple = WEIGHTS, share: float = SHARE, passes: int = PASSES, slot_rows: int = 128, range_rows: int = 1 << 20) -> DataFrame:
     """Take documents until the mix is full; every column of ``docs`` stays.
 
     ``docs`` needs ``doc_id, text, source``, or ``doc_id, source`` and a
@@ -62,7 +62,9 @@ def fair_mix(docs: DataFrame, size: str | None = None, seed: int = 0, weights: t
     No task holds a source: its documents are dealt to hash slots of about
     ``max(slot_rows, sqrt(n))`` rows, running sums are taken within slots and
     over the slots' totals. All copies are then range-sorted by finish time
-    and the order is cut at the budget.
+    and the order is cut at the budget; the range of the cut is sorted into
+    ranges again until one task's running sum covers at most ``range_rows``
+    copies.
 
     Null text: size 0, nothing taken. Null source: a source of its own, last.
     Null ids are shuffled as the empty text. Repeated rows are separate
@@ -75,10 +77,10 @@ def fair_mix(docs: DataFrame, size: str | None = None, seed: int = 0, weights: t
         (F.coalesce(F.col(size), F.lit(0)).cast("long") if size else n_words(F.col("text"))).alias("_size"),
         F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))).alias("_key"),
     )
-    return _queued(base, kept, source_targets(base.select(F.col("_source").alias("source"), F.col("_size").alias("size")), weights, share, passes), share, passes, slot_rows)
+    return _queued(base, kept, source_targets(base.select(F.col("_source").alias("source"), F.col("_size").alias("size")), weights, share, passes), share, passes, slot_rows, range_rows)
 
 
-def _queued(base: DataFrame, kept: list[str], targets: DataFrame, share: float, passes: int, slot_rows: int) -> DataFrame:
+def _queued(base: DataFrame, kept: list[str], targets: DataFrame, share: float, passes: int, slot_rows: int, range_rows: int) -> DataFrame:
     per = written(targets, "mix-sources").select(F.col("source").alias("_of"), *[F.col(c).alias(f"_{c}") for c in ("source_size", "n_docs", "target")])
     slots = F.ceil(F.col("_n_docs") / F.greatest(F.lit(float(slot_rows)), F.sqrt(F.col("_n_docs"))))
     unit = F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") / float(2**32)
@@ -99,7 +101,7 @@ def _queued(base: DataFrame, kept: list[str], targets: DataFrame, share: float,
 
     times = run.select("_source", "_key", "_size", F.explode(F.array(*[F.struct(F.lit(e).alias("copy"), finish(e).alias("finish")) for e in range(passes)])).alias("_c")).where(F.col("_c.finish").isNotNull() & (F.col("_size") > 0))
     times = times.select("_source", "_key", "_size", "_c.copy", "_c.finish")
-    edge = _budget_edge(times, summed.agg(F.sum("_size").alias("n")), share)
+    edge = _budget_edge(times, summed.agg(F.sum("_size").alias("n")), share, range_rows)
     if edge is None:
         copies = F.lit(0)
     else:
@@ -119,27 +121,35 @@ def _queued(base: DataFrame, kept: list[str], targets: DataFrame, share: float,
     )
 
 
-def _budget_edge(times: DataFrame, whole: DataFrame, share: float):
+def _budget_edge(times: DataFrame, whole: DataFrame, share: float, range_rows: int):
     """The last copy that is taken: all copies are range-sorted by finish time and cut where their words reach the budget.
 
     Spark samples the order and deals the copies to ranges; each is sorted by
     itself. The ranges' sums, one row each, tell which ranges are taken whole
-    and in which one the budget ends; that range is cut at its running sum.
+    and in which one the budget ends. While that range has more than
+    ``range_rows`` copies it is range-sorted again by itself; then it is cut
+    at its running sum.
     """
     n = whole.first()["n"]
     if not n:
         return None
-    order = ("finish", "copy", F.col("_source").asc_nulls_last(), "_key", "_size")
-    queue = written(times.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id()), "mix-queue")
-    sums = queue.groupBy("_range").agg(F.sum("_size").alias("n"))
-    upto = sums.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("before"))
     budget = n * share
-    cut = upto.where(F.col("before") <= budget).orderBy(F.desc("_range")).first()
-    inside = queue.where(F.col("_range") == cut["_range"])
-    inside = inside.withColumn("_sum", F.sum("_size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-    taken = inside.where(F.col("_sum") + cut["before"] - F.col("_size") / 2 <= budget)
+    order = ("finish", "copy", F.col("_source").asc_nulls_last(), "_key", "_size")
     row = F.struct("finish", "copy", F.col("_source").isNull().alias("none"), F.coalesce(F.col("_source").cast("string"), F.lit("")).alias("source"), F.col("_key").alias("key"), F.col("_size").alias("size"))
-    last = taken.agg(F.max(row).alias("last")).first()["last"]
-    if last is None:  # the range's first copy does not fit: all earlier ranges are in
-        last = queue.where(F.col("_range") < cut["_range"]).agg(F.max(row).alias("last")).first()["last"]
+    inside, before, rows, earlier = times, 0, None, []
+    while rows is None or rows > range_rows:
+        ranges = inside.repartitionByRange(*order) if rows is None else inside.repartitionByRange(4 * -(-rows // range_rows), *order)
+        queue = written(ranges.sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id()), "mix-queue")
+        sums = queue.groupBy("_range").agg(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("rows"))
+        upto = sums.select("_range", "rows", (F.sum("n").over(Window.orderBy("_range")) - F.col("n") + before).alias("before"))
+        cut = upto.where(F.col("before") <= budget).orderBy(F.desc("_range")).first()
+        earlier.append(queue.where(F.col("_range") < cut["_range"]))
+        inside, before = queue.where(F.col("_range") == cut["_range"]).drop("_range"), cut["before"]
+        if rows == cut["rows"]:  # copies that no order tells apart
+            break
+        rows = cut["rows"]
+    upto = F.sum("_size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) + before
+    last = inside.withColumn("_sum", upto).where(F.col("_sum") - F.col("_size") / 2 <= budget).agg(F.max(row).alias("last")).first()["last"]
+    while last is None and earlier:  # the range's first copy does not fit: all earlier ranges are in
+        last = earlier.pop().agg(F.max(row).alias("last")).first()["last"]
     return last

@@ -450,6 +450,12 @@ def test_mix_comes_near_its_targets(spark):
     assert abs(once.taken.sum() - 1.5 * once["size"].sum()) <= once["size"].max()
 
 
+def test_mix_cut_in_ranges_of_ranges(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    whole, fine = (mixing.fair_mix(docs, range_rows=n).select("doc_id", "taken").toPandas() for n in (1 << 20, 5))
+    assert dict(zip(whole.doc_id, whole.taken, strict=True)) == dict(zip(fine.doc_id, fine.taken, strict=True))
+
+
 def test_mix_odd_rows(spark):
     got = mixing.fair_mix(odd(spark))
     rows = got.collect()

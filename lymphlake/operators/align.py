@@ -170,19 +170,25 @@ def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int
     return hits.join(equal, F.col("qid") == F.col("_first")).select(F.col("_of").alias("qid"), *hits.columns[1:])
 
 
-def identity_divergence(reads: DataFrame, germline: DataFrame, antibodies: DataFrame) -> DataFrame:
+def identity_divergence(reads: DataFrame, germline: DataFrame, antibodies: DataFrame, most_antibodies: int = 500) -> DataFrame:
     """``sequence_id, referent, identity, coverage``: each read against its germline and every known antibody.
 
     ``reads`` has ``sequence_id, v_call, seq``, ``germline`` ``allele, seq``,
-    ``antibodies`` ``name, seq`` (a list of a donor's antibodies, stated work).
+    ``antibodies`` ``name, seq``: a donor's antibodies, a list that every read
+    is held against; more than ``most_antibodies`` are an error.
     Distinct (seq, target) pairs are aligned once and joined back.
     """
     from lymphlake.functions.seq import identity
 
     own = reads.join(germline.select(F.col("allele").alias("_a"), F.col("seq").alias("target")), F.split_part("v_call", F.lit(","), F.lit(1)) == F.col("_a")).select("sequence_id", "seq", F.lit("germline").alias("referent"), "target")
-    known = antibodies.agg(F.collect_list(F.struct("name", "seq")).alias("_k"))
-    others = reads.join(known, how="cross").select("sequence_id", "seq", F.explode("_k").alias("k")).select("sequence_id", "seq", F.col("k.name").alias("referent"), F.col("k.seq").alias("target"))
-    rows = own.unionByName(others)
+    known = antibodies.select("name", "seq").limit(most_antibodies + 1).collect()
+    if len(known) > most_antibodies:
+        raise ValueError(f"more than {most_antibodies} known antibodies")
+    rows = own
+    if known:
+        listed = F.array(*[F.struct(F.lit(r["name"]).alias("name"), F.lit(r["seq"]).alias("seq")) for r in known])
+        others = reads.select("sequence_id", "seq", F.explode(listed).alias("k"))
+        rows = own.unionByName(others.select("sequence_id", "seq", F.col("k.name").alias("referent"), F.col("k.seq").alias("target")))
     found = aligned(rows.select(F.col("seq").alias("_s"), F.col("target").alias("_t")).distinct(), "_s", "_t")
     found = found.select("_s", "_t", identity(F.col("a_aln"), F.col("b_aln"), internal_gaps=True).alias("i"))
     return rows.join(found, (F.col("seq") == F.col("_s")) & (F.col("target") == F.col("_t"))).select("sequence_id", "referent", F.round(F.col("i.identity") * 100, 4).alias("identity"), F.round(F.col("i.aligned") / F.length("target") * 100, 4).alias("coverage"))

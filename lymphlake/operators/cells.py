@@ -13,16 +13,19 @@ LOCI = ("IGH", "IGK", "IGL")
 CELL_STATUSES = ("canonical_pair", "heavy_only", "light_only", "possible_inclusion", "multi_light", "multi_heavy", "probable_multiplet", "none_productive")
 
 
-def demultiplex(reads: DataFrame, oligos: DataFrame) -> DataFrame:
+def demultiplex(reads: DataFrame, oligos: DataFrame, most_oligos: int = 1000) -> DataFrame:
     """``cell, hash_sample, n_umis``: sample of each cell by the oligos that its UMIs' reads contain.
 
-    ``oligos`` has ``place, oligo, sample``: one row an oligo of the kit, held
-    as one array value (at most a few hundred). The first oligo by place that
-    a read contains names it. No sample is unknown, several are ambiguous.
+    ``oligos`` has ``place, oligo, sample``: one row an oligo of the kit; more
+    than ``most_oligos`` are an error. The first oligo by place that a read
+    contains names it. No sample is unknown, several are ambiguous.
     """
-    kit = oligos.agg(F.sort_array(F.collect_list(F.struct("place", "oligo", "sample"))).alias("_kit"))
-    hit = F.element_at(F.filter("_kit", lambda o: F.contains(F.col("seq"), o["oligo"])), 1)["sample"]
-    named = reads.join(kit, how="cross").select("cell", "umi", F.when(F.size(F.filter("_kit", lambda o: F.contains(F.col("seq"), o["oligo"]))) > 0, hit).alias("sample"))
+    kit = oligos.select("place", "oligo", "sample").orderBy("place", "oligo", "sample").limit(most_oligos + 1).collect()
+    if len(kit) > most_oligos:
+        raise ValueError(f"more than {most_oligos} oligos")
+    pieces = F.array(*[F.struct(F.lit(r["oligo"]).alias("oligo"), F.lit(r["sample"]).alias("sample")) for r in kit])
+    first = F.get(F.filter(pieces, lambda o: F.contains(F.col("seq"), o["oligo"])), F.lit(0))["sample"] if kit else F.lit(None).cast("string")
+    named = reads.select("cell", "umi", first.alias("sample"))
     per = named.groupBy("cell").agg(F.countDistinct("sample").alias("n"), F.min("sample").alias("one"), F.countDistinct(F.when(F.col("sample").isNotNull(), F.col("umi"))).alias("n_umis"))
     return per.select("cell", F.when(F.col("n") > 1, "ambiguous").when(F.col("n") == 1, F.col("one")).otherwise("unknown").alias("hash_sample"), "n_umis")
 

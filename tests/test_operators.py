@@ -352,3 +352,15 @@ def test_stop_codons_in_long_sequences(spark):
     rows = [("GCA" * 20_000 + "TAA",), ("GCA" * 20_000 + "GTA",), ("ATAAGC",), ("taa",), ("",), (None,)]
     got = spark.createDataFrame(rows, "s string").select(has_stop(F.col("s")).alias("a"), translate_nt(F.col("s")).contains("*").alias("b")).collect()
     assert [r["a"] for r in got] == [r["b"] for r in got] == [True, False, False, True, False, None]
+
+
+def test_demultiplex_kit(spark):
+    from lymphlake.operators.cells import demultiplex
+
+    reads = spark.createDataFrame([("a", "u1", "AACC"), ("a", "u2", "GG"), ("b", "u1", "AACC"), ("b", "u2", "TTTT"), ("c", "u1", None)], "cell string, umi string, seq string")
+    kit = spark.createDataFrame([(2, "CC", "s2"), (1, "AA", "s1"), (3, "TT", "s3")], "place int, oligo string, sample string")
+    got = {r["cell"]: (r["hash_sample"], r["n_umis"]) for r in demultiplex(reads, kit).collect()}
+    assert got == {"a": ("s1", 1), "b": ("ambiguous", 2), "c": ("unknown", 0)}
+    assert {r["hash_sample"] for r in demultiplex(reads, kit.limit(0)).collect()} == {"unknown"}
+    with pytest.raises(ValueError):
+        demultiplex(reads, kit, most_oligos=2)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -31,7 +32,8 @@ def n_words(text: Column) -> Column:
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``most`` bytes a piece.
 
-    A single longer value still forms a piece of its own, uncut.
+    A single longer value still forms a piece of its own, uncut. Between
+    batches and at the end of a task the worker gives back what is free.
     """
     for batch in batches:
         if batch.num_rows == 0:
@@ -44,3 +46,17 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20)
                 start, held = i, 0
             held += int(n)
         yield batch.slice(start)
+        del batch
+        give_back()
+
+
+def give_back() -> None:
+    """Return free memory of Arrow's pool and of the C library to the system.
+
+    Spark keeps workers for the tasks of later stages, several an executor, so
+    what one of them once needed would stay with it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphlake.llm import ann, bpe, chat, kneser_ney, langid, media, minhash, mixing, pii, urlfilter
+from lymphlake.llm import ann, bpe, chat, decontaminate, kneser_ney, langid, media, merkle, minhash, mixing, pii, urlfilter
 from lymphlake.plans.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -57,7 +57,15 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_mix(docs, size="_n").select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_rnn, op2_host_trust, op3_media_columns, op4_graph_search, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op8_kneser_ney, op9_pii, op10_fair_mix)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.document_manifest(table(spark, sf_dir, "documents")))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_rnn, op2_host_trust, op3_media_columns, op4_graph_search, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op8_kneser_ney, op9_pii, op10_fair_mix, op11_merkle_manifest, op12_decontaminate)}
 
 ORACLES = {
     # all pairs that share a shingle, exact set sizes, then smallest reachable ids
@@ -92,5 +100,58 @@ g AS (SELECT doc_id, source, k, size, cum, count(*) AS copies FROM f
       WHERE upto - size / 2.0 <= (SELECT 1.5 * sum(size) FROM d) GROUP BY ALL)
 SELECT c.doc_id, c.size, CAST(c.source_size AS BIGINT) AS source_size, c.target, CAST(c.size * coalesce(g.copies, 0) AS BIGINT) AS taken
 FROM c LEFT JOIN g ON c.doc_id IS NOT DISTINCT FROM g.doc_id AND c.source IS NOT DISTINCT FROM g.source AND c.cum = g.cum AND c.size = g.size
+""",
+    # the tree level by level, then each leaf's siblings of all levels
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+d AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, coalesce(CAST(doc_id AS VARCHAR), '') AS k FROM documents),
+f AS (
+  SELECT doc_id, lang, low, k, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') ||
+         coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail, coalesce(strlen(low) || ':' || low, '-') AS low_tail FROM d),
+l AS MATERIALIZED (
+  SELECT doc_id, lang, sha256(head || tail) AS leaf, CASE WHEN xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 3 = 0
+                                                          THEN sha256(head || low_tail) ELSE sha256(head || tail) END AS altered
+  FROM (SELECT f.*, t, CASE WHEN k = '' THEN [] ELSE list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT)) END AS bytes FROM f, crc)),
+p AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM l),
+up AS (
+  SELECT 0 AS level, g, pos, n, leaf AS digest FROM p UNION ALL
+  SELECT level + 1, g, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY level, g, pos // 8, n),
+subs AS (SELECT g, digest, g AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, n, digest FROM subs UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 8, n),
+steps AS (
+  SELECT p.doc_id, p.g, p.pos AS leaf_pos, up.level, coalesce(string_agg(up.digest, '' ORDER BY up.pos) FILTER (up.pos < p.pos // CAST(8 ** up.level AS BIGINT)), '') AS l,
+         coalesce(string_agg(up.digest, '' ORDER BY up.pos) FILTER (up.pos > p.pos // CAST(8 ** up.level AS BIGINT)), '') AS r
+  FROM p JOIN up ON up.g = p.g AND up.n > 1 AND up.pos // 8 = p.pos // CAST(8 ** (up.level + 1) AS BIGINT) GROUP BY p.doc_id, p.g, p.pos, up.level
+  UNION ALL
+  SELECT p.doc_id, p.g, p.pos, 100 + top.level, coalesce(string_agg(top.digest, '' ORDER BY top.pos) FILTER (top.pos < p.g // CAST(8 ** top.level AS BIGINT)), ''),
+         coalesce(string_agg(top.digest, '' ORDER BY top.pos) FILTER (top.pos > p.g // CAST(8 ** top.level AS BIGINT)), '')
+  FROM p JOIN top ON top.n > 1 AND top.pos // 8 = p.g // CAST(8 ** (top.level + 1) AS BIGINT) GROUP BY p.doc_id, p.g, p.pos, top.level),
+way AS MATERIALIZED (SELECT g, leaf_pos, list([l, r] ORDER BY level) AS path, sha256(string_agg(l || r, '' ORDER BY level)) AS proof FROM steps GROUP BY g, leaf_pos),
+fold AS (
+  SELECT p.g, p.pos, 1 AS i, p.altered AS node, way.path FROM p LEFT JOIN way ON way.g = p.g AND way.leaf_pos = p.pos UNION ALL
+  SELECT g, pos, i + 1, sha256(path[i][1] || node || path[i][2]), path FROM fold WHERE i <= coalesce(len(path), 0))
+SELECT p.doc_id, p.leaf, subs.digest AS subroot, (SELECT digest FROM top WHERE n = 1) AS root, coalesce(way.proof, sha256('')) AS proof_sha256,
+       fold.node AS folded_root, fold.node = (SELECT digest FROM top WHERE n = 1) AS verified
+FROM p JOIN subs ON subs.g = p.g LEFT JOIN way ON way.g = p.g AND way.leaf_pos = p.pos
+JOIN fold ON fold.g = p.g AND fold.pos = p.pos AND fold.i = coalesce(len(fold.path), 0) + 1
+""",
+    # all document windows of the lengths that item windows have, looked up among them
+    "op12_decontaminate": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+v AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+o AS (SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM v) WHERE len(w) >= n)),
+h AS MATERIALIZED (SELECT o.row, o.n, o.i, v.item_id FROM o JOIN v ON v.t = o.t AND v.n = o.n),
+c AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT row, i, n FROM h)) GROUP BY row),
+s AS (SELECT row, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256 FROM (SELECT DISTINCT row, item_id FROM h) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (row) LEFT JOIN s USING (row)
 """,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphlake.llm import ann, bpe, chat, decontaminate, kneser_ney, langid, media, merkle, minhash, mixing, pii, urlfilter
+from lymphlake.llm import ann, bpe, chat, decontaminate, kneser_ney, langid, media, merkle, minhash, mixing, pii, search, urlfilter
 from lymphlake.plans.tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -65,7 +65,11 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_rnn, op2_host_trust, op3_media_columns, op4_graph_search, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op8_kneser_ney, op9_pii, op10_fair_mix, op11_merkle_manifest, op12_decontaminate)}
+def op13_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_rnn, op2_host_trust, op3_media_columns, op4_graph_search, op5_byte_bpe, op6_near_duplicates, op7_chat_format, op8_kneser_ney, op9_pii, op10_fair_mix, op11_merkle_manifest, op12_decontaminate, op13_term_pipeline)}
 
 ORACLES = {
     # all pairs that share a shingle, exact set sizes, then smallest reachable ids
@@ -153,5 +157,17 @@ c AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i
 s AS (SELECT row, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256 FROM (SELECT DISTINCT row, item_id FROM h) GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN c USING (row) LEFT JOIN s USING (row)
+""",
+    # every item with every document that shares a term
+    "op13_term_pipeline": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM benchmark),
+t AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+p AS MATERIALIZED (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+i AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, t GROUP BY term, n_docs),
+s AS (SELECT q.item_id, p.row, p.doc_id, CAST(sum(i.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + ((50 * n * n_docs) // l))))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN i USING (term), t GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, row) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
 """,
 }

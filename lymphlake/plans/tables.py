@@ -35,6 +35,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of a small table's file, about.
+FILE_ROWS = 1024
+
+
+def few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have at most about ``rows`` rows, in no more partitions than these are worth; large tables keep theirs."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again.
 

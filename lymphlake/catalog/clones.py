@@ -20,7 +20,7 @@ def _exact(spark, d):
     return C.exact_clones(junction_sane(clone_input(view(spark, d, "rearrangements"))))
 
 
-@query("rearrangements", ctes_more=_EXACT, sql="SELECT *, lpad(CAST(row_number() OVER (ORDER BY clone_count DESC, centroid) AS VARCHAR), 5, '0') AS clone_id FROM x")
+@query("rearrangements", ctes_more=_EXACT, sql="SELECT *, printf('%05d', row_number() OVER (ORDER BY clone_count DESC, centroid)) AS clone_id FROM x")
 def clone_ranking(spark, d):
     """Largest clones, and in how many samples and time points they were seen."""
     return C.numbered(_exact(spark, d))
@@ -28,13 +28,13 @@ def clone_ranking(spark, d):
 
 @query(
     "rearrangements", ctes_more=_EXACT,
-    sql="""SELECT centroid, clone_count, CASE WHEN CAST(centroid AS BIGINT) % 5 = 0 THEN lpad(CAST(CAST(centroid AS BIGINT) % 90000 AS VARCHAR), 5, '0')
-      ELSE lpad(CAST((SELECT max(CAST(centroid AS BIGINT) % 90000) FROM x WHERE CAST(centroid AS BIGINT) % 5 = 0) + row_number() OVER (PARTITION BY CAST(centroid AS BIGINT) % 5 = 0 ORDER BY clone_count DESC, centroid) AS VARCHAR), 5, '0') END AS clone_id FROM x""",
+    sql="""SELECT centroid, clone_count, CASE WHEN CAST(centroid AS BIGINT) % 5 = 0 THEN printf('%05d', CAST(centroid AS BIGINT) % 90000)
+      ELSE printf('%05d', (SELECT max(CAST(centroid AS BIGINT) % 90000) FROM x WHERE CAST(centroid AS BIGINT) % 5 = 0) + row_number() OVER (PARTITION BY CAST(centroid AS BIGINT) % 5 = 0 ORDER BY clone_count DESC, centroid)) END AS clone_id FROM x""",
 )
 def clone_ids_kept(spark, d):
     x = _exact(spark, d).select("centroid", "clone_count")
     n = F.col("centroid").cast("long")
-    old = x.where(n % 5 == 0).select("centroid", F.lpad((n % 90000).cast("string"), 5, "0").alias("clone_id"))
+    old = x.where(n % 5 == 0).select("centroid", F.format_string("%05d", n % 90000).alias("clone_id"))
     return C.numbered_keeping(x, old).select("centroid", "clone_count", "clone_id")
 
 
@@ -103,13 +103,13 @@ def source_breakdown(spark, d):
     return C.source_breakdown(view(spark, d, "rearrangements").withColumn("clone", F.col("junction")), ["src0", "src1", "src2"])
 
 
-@query("rearrangements", ctes_more=_EXACT, sql=f"""SELECT c.clone_id, x.centroid, r.v_call, r.j_call, length(r.junction) AS junction_length, {_translated('r.junction')} AS junction_aa, x.clone_count FROM x JOIN (SELECT centroid, lpad(CAST(row_number() OVER (ORDER BY clone_count DESC, centroid) AS VARCHAR), 5, '0') AS clone_id FROM x) c USING (centroid) JOIN rearrangements r ON r.sequence_id = x.centroid""")
+@query("rearrangements", ctes_more=_EXACT, sql=f"""SELECT c.clone_id, x.centroid, r.v_call, r.j_call, length(r.junction) AS junction_length, {_translated('r.junction')} AS junction_aa, x.clone_count FROM x JOIN (SELECT centroid, printf('%05d', row_number() OVER (ORDER BY clone_count DESC, centroid)) AS clone_id FROM x) c USING (centroid) JOIN rearrangements r ON r.sequence_id = x.centroid""")
 def lineage_table(spark, d):
     r = view(spark, d, "rearrangements").select(F.col("sequence_id").alias("_s"), "v_call", "j_call", F.length("junction").alias("junction_length"), translate_nt(F.col("junction")).alias("junction_aa"))
     return C.numbered(_exact(spark, d)).join(r, F.col("centroid") == F.col("_s")).select("clone_id", "centroid", "v_call", "j_call", "junction_length", "junction_aa", "clone_count")
 
 
-@query("rearrangements", ctes_more=_EXACT, sql="""SELECT sequence_id, status, clone_id, clone_count FROM rearrangements LEFT JOIN (SELECT *, lpad(CAST(row_number() OVER (ORDER BY clone_count DESC, centroid) AS VARCHAR), 5, '0') AS clone_id FROM x) x
+@query("rearrangements", ctes_more=_EXACT, sql="""SELECT sequence_id, status, clone_id, clone_count FROM rearrangements LEFT JOIN (SELECT *, printf('%05d', row_number() OVER (ORDER BY clone_count DESC, centroid)) AS clone_id FROM x) x
   ON status = 'good' AND length(rearrangements.junction) >= 15 AND x.junction = rearrangements.junction AND x.v_gene = split_part(v_call, '*', 1) AND x.j_gene = split_part(j_call, '*', 1)""")
 def clone_write_back(spark, d):
     from lymphlake.operators.rules import clone_input, junction_sane

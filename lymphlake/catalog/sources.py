@@ -34,7 +34,7 @@ def folder_source(spark, d):
     """Files of a folder with the part of their path that names the source."""
     path = scratch(spark, "folder")
     to_fasta(view(spark, d, "rearrangements"), attributes=("source_repertoire",)).withColumn("s", F.regexp_extract("value", "source_repertoire=(\\w+)", 1)).write.partitionBy("s").text(path)
-    return spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''").groupBy(F.col("s").alias("source_repertoire")).agg(F.count(F.lit(1)).alias("n"))
+    return sequences.read_fasta(spark, path, source=r"/s=(\w+)/").groupBy(F.col("source_file").alias("source_repertoire")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("rearrangements", sql="SELECT sequence_id, CASE WHEN duplicate_count % 3 = 0 THEN 7 ELSE duplicate_count END AS duplicate_count, CASE WHEN duplicate_count % 3 <> 0 AND duplicate_count % 2 = 0 THEN 3 END AS consensus_count, CASE WHEN duplicate_count % 3 <> 0 THEN cell_id END AS cell_id FROM rearrangements")
@@ -112,7 +112,7 @@ def id_list(spark, d):
     return sequences.read_fasta(spark, path).select("id")
 
 
-@query("umi_reads", sql="SELECT event_id, lpad(CAST(row_number() OVER (ORDER BY id) AS VARCHAR), 8, '0') AS read_id FROM (SELECT event_id, lpad(CAST(event_id AS VARCHAR), 9, '0') AS id FROM umi_reads)")
+@query("umi_reads", sql="SELECT event_id, printf('%08d', row_number() OVER (ORDER BY id)) AS read_id FROM (SELECT event_id, lpad(CAST(event_id AS VARCHAR), 9, '0') AS id FROM umi_reads)")
 def sequential_read_ids(spark, d):
     t = view(spark, d, "umi_reads").select("event_id", F.lpad(F.col("event_id").cast("string"), 9, "0").alias("id"))
     return sequences.numbered_reads(t).select("event_id", "read_id")

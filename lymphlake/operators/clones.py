@@ -138,14 +138,14 @@ def exact_clones(table: DataFrame) -> DataFrame:
 
 
 def numbered(clones: DataFrame, size: str = "clone_count", centroid: str = "centroid", first: int = 1) -> DataFrame:
-    """Adds ``clone_id``: rank by size, then centroid, as five digits.
+    """Adds ``clone_id``: rank by size, then centroid, as five digits or, from 100,000 on, more.
 
     The clones are written first, so that the reads are aggregated once. The
     order is cut into ranges of (size, centroid), so a size that most clones
     share fills no task.
     """
     out = ranked(written(clones, "clones"), [F.desc(size), F.asc(centroid)], "_rank", first)
-    return out.withColumn("clone_id", F.lpad(F.col("_rank").cast("string"), 5, "0")).drop("_rank")
+    return out.withColumn("clone_id", F.format_string("%05d", "_rank")).drop("_rank")
 
 
 def numbered_keeping(clones: DataFrame, old: DataFrame, size: str = "clone_count") -> DataFrame:

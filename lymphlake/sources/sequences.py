@@ -25,7 +25,7 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     head = F.trim(F.translate(F.split_part("value", F.lit("\n"), F.lit(1)), "\r", ""))
     seq = F.regexp_replace(F.substr("value", F.locate("\n", F.col("value")) + 1), r"\s+", "")
     name = F.col("_metadata.file_path")
-    return rows.where(F.regexp_replace("value", r"\s+", "") != "").select(F.split_part(head, F.lit(" "), F.lit(1)).alias("id"), head.alias("description"), F.when(F.locate("\n", F.col("value")) > 0, seq).otherwise("").alias("seq"), F.element_at(F.split(name, "/"), -1).alias("source_file"))
+    return rows.where(F.regexp_replace("value", r"\s+", "") != "").select(F.split_part(head, F.lit(" "), F.lit(1)).alias("id"), head.alias("description"), F.when(F.locate("\n", F.col("value")) > 0, seq).otherwise("").alias("seq"), (F.regexp_extract(name, source, 1) if source else F.element_at(F.split(name, "/"), -1)).alias("source_file"))
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -167,7 +167,7 @@ def read_lookup(description: Column) -> Column:
 
 
 def numbered_reads(reads: DataFrame, order: str = "id") -> DataFrame:
-    """Adds ``read_id``, an eight-digit counter in the order of ``order``; see :func:`ranked`, so equal beginnings of ids do not matter."""
+    """Adds ``read_id``, a counter of at least eight digits in the order of ``order``; see :func:`ranked`, so equal beginnings of ids do not matter."""
     from lymphlake.operators.order import ranked
 
-    return ranked(reads, [F.asc(order)], "_rank").withColumn("read_id", F.lpad(F.col("_rank").cast("string"), 8, "0")).drop("_rank")
+    return ranked(reads, [F.asc(order)], "_rank").withColumn("read_id", F.format_string("%08d", "_rank")).drop("_rank")

@@ -23,7 +23,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from lymphlake.llm.common import pieces
 from lymphlake.llm.decontaminate import words
-from lymphlake.plans.tables import scratch, written
+from lymphlake.plans.tables import few_files, written
 
 #: A term in the bytes of a text whose A-Z are lower-cased; the same as a word of ``decontaminate.words``.
 _TERM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -167,7 +167,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, owners: tuple = OWNER
     spark = docs.sparkSession
     wanted = items.select(F.col("item_id"), F.explode_outer(words(F.col("text").cast("string"))).alias("term")).where(F.col("term").isNotNull()).distinct()
     wanted = written(wanted, "search-wanted")
-    terms = written(wanted.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id()), "search-terms")
+    terms = written(few_files(wanted.select("term").distinct(), wanted.count()).withColumn("term_id", F.monotonically_increasing_id()), "search-terms")
     n_terms = terms.count()
     ends = spark.createDataFrame([("", -1)], "term string, term_id long")
     counted = _counted(docs.select("doc_id", "text"))
@@ -178,38 +178,37 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, owners: tuple = OWNER
     share = postings.where(F.col("term_id") >= 0).select("row", "doc_id", "term_id", F.expr(f"(1000000000L * tf) div (1000L * tf + 20L * (50L + ((50L * n * {n_docs}L) div {length}L)))").alias("share"))
     stats = share.groupBy("term_id").agg(F.count(F.lit(1)).alias("df"), F.max("share").alias("best"))
     stats = stats.withColumn("w", F.floor(1000.0 * F.log((F.lit(2 * n_docs + 2)) / (2 * F.col("df") + 1))).cast("long")).where(F.col("w") > 0)
-    stats = written(stats.select("term_id", "df", "w", (F.col("w") * F.col("best")).alias("most")), "search-stats")
+    stats = written(few_files(stats.select("term_id", "df", "w", (F.col("w") * F.col("best")).alias("most")), n_terms), "search-stats")
     # weights are integers of a narrow range, so their running sum is one small table
     heavier = F.sum("df").over(Window.orderBy(F.desc("w")).rowsBetween(Window.unboundedPreceding, Window.currentRow)) / F.sum("df").over(Window.partitionBy())
     own = stats.groupBy("w").agg(F.sum("df").alias("df")).withColumn("upto", heavier)
     owner = sum([(F.col("upto") > s).cast("int") for s in owners[:-1]], F.lit(0))
-    stats = written(stats.join(own.select("w", owner.alias("owner")), "w"), "search-owned")
+    stats = written(few_files(stats.join(own.select("w", owner.alias("owner")), "w"), n_terms), "search-owned")
 
     listed = wanted.join(terms, "term").join(stats, "term_id").groupBy("item_id").agg(F.collect_list(F.struct("term_id", "owner", "most")).alias("terms"))
-    listed = written(listed.withColumn("item", F.monotonically_increasing_id()), "search-items")
+    listed = written(few_files(listed, n_terms).withColumn("item", F.monotonically_increasing_id()), "search-items")
     n_items = listed.count()
     blocks = -(-n_items // block) or 1
     listed = listed.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
     routes = listed.select("block", F.explode("terms").alias("t")).select("block", "t.term_id").distinct().join(stats.select("term_id", "owner", "w"), "term_id")
     shards = -(-whole["rows"] // shard) or 1
-    path = scratch(spark, "search-routed")
     routed = share.where(F.col("share") > 0).join(_few(routes, n_terms * blocks), "term_id")
     routed = routed.select(F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), "block", "row", "doc_id", "term_id", (F.col("w") * F.col("share")).alias("more"), "owner")
-    routed.write.partitionBy("owner").parquet(path)
-    routed = spark.read.schema(routed.schema)
+    # each file has an owner's postings together, so that the visits to the others skip them
+    routed = written(routed.sortWithinPartitions("owner"), "search-routed")
 
     own_items = listed.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("item", "terms"))).alias("i"))
     flat = F.flatten(F.transform("i", lambda x, at: F.transform(x["terms"], lambda t: F.struct(at.cast("int").alias("of"), t["term_id"].alias("term_id"), t["owner"].alias("owner"), t["most"].alias("most")))))
     own_items = own_items.select("block", F.col("i.item").alias("items"), flat.alias("t"))
     own_items = own_items.select("block", "items", F.col("t.of").alias("term_of"), F.col("t.term_id").alias("terms"), F.col("t.owner").alias("owners"), F.col("t.most").alias("most"))
     none = [F.array().cast(kind).alias(c) for c, kind in (("held_by", "array<int>"), ("docs", "array<long>"), ("doc_ids", "array<long>"), ("scores", "array<long>"), ("levels", "array<struct<item:long,level:int,n:long>>"))]
-    pairs = routed.parquet(path).select("shard", "block").distinct()
+    pairs = written(few_files(routed.select("shard", "block").distinct(), shards * blocks), "search-pairs")
     bundles = pairs.join(_few(own_items, n_terms * blocks + n_items), "block").select("shard", "block", "items", "term_of", "terms", "owners", "most", *none)
     floors = listed.select("item", "block", F.lit(0).cast("long").alias("floor"))
     for p in range(len(owners)):
         by_block = floors.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("item", "floor"))).alias("f")).select("block", F.col("f.floor").alias("floors"))
         left = bundles.join(_few(by_block, n_items), "block").select(*bundles.columns, "floors")
-        right = routed.parquet(path).where(F.col("owner") == p).drop("owner")
+        right = routed.where(F.col("owner") == p).drop("owner")
         visit = partial(_visit, p, p == len(owners) - 1, k)
         bundles = written(left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(visit, from_arrow_schema(_BUNDLE)), f"search-owner-{p}")
         if p < len(owners) - 1:
@@ -217,7 +216,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, owners: tuple = OWNER
             upto = reached.withColumn("n", F.sum("n").over(Window.partitionBy("item").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)))
             level = upto.where(F.col("n") >= k).groupBy("item").agg(F.max("level").alias("level"))
             found = level.select("item", level_floor(F.col("level")).alias("floor"))
-            floors = written(listed.select("item", "block").join(found, "item", "left").select("item", "block", F.coalesce("floor", F.lit(0)).cast("long").alias("floor")), "search-floors")
+            floors = written(few_files(listed.select("item", "block").join(found, "item", "left").select("item", "block", F.coalesce("floor", F.lit(0)).cast("long").alias("floor")), n_items), "search-floors")
     best = bundles.select("items", F.inline_outer(F.arrays_zip("held_by", "docs", "doc_ids", "scores"))).where(F.col("docs").isNotNull())
     best = best.select(F.element_at("items", F.col("held_by") + 1).alias("item"), "docs", F.col("doc_ids").alias("doc_id"), F.col("scores").alias("score"))
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "docs"))

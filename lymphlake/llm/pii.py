@@ -384,14 +384,16 @@ def _domain_end(tape: Tape, start: int, sign: re.Match, domain: re.Match) -> int
             worded += len(dot[0]) > 1
             previous = dot.end()
     host = _SEPARATOR.split(domain[0], maxsplit=1)[0].lower()
+    like = bool(_ADDRESS_LIKE.search(local))
+    plain = like or local.lower() not in _PROSE_LOCAL and bool(_END.fullmatch(local))
     usual = [x for x in ends if x[0] in _ENDS or x[0] in _MORE_ENDS or len(x[0]) == 2 and x[0] not in _NO_END]
     for label, end, n in reversed(usual) if usual else reversed(ends):
         disguised = bisect_right(at, start) != bisect_right(at, end - 1) or bisect_right(at, start) % 2 == 0
-        if sign[0] == "@" or disguised or n > 1 or n and _ADDRESS_LIKE.search(local):
+        if sign[0] == "@" or disguised or n > 1 or n and like:
             return end
-        if n and label in _ENDS or n and usual and host not in _PROSE_HOST:
+        if n and usual and host not in _PROSE_HOST:
             return end
-        if not n and (label in _ENDS or label in _MORE_ENDS) and host != "www" and (_ADDRESS_LIKE.search(local) or local.lower() not in _PROSE_LOCAL and _END.fullmatch(local)):
+        if not n and (label in _ENDS or label in _MORE_ENDS) and host != "www" and plain:
             return end
     return 0
 

@@ -223,10 +223,10 @@ def learned(docs: DataFrame, windows: int = TRAIN_WINDOWS, length: int = WINDOW,
     counts = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect())
     if not counts:
         return None
-    mark = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(SEED)), F.lit(1 << 30))
+    mark = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text", F.lit(SEED)), F.lit(1 << 30))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, windows / n)])
     picked = rows.where(mark < share[F.col("lang")] * (1 << 30))
-    place = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.greatest(F.lit(1), F.length("text") - length // 2)).cast("int") + 1
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED + 1)), F.greatest(F.lit(1), F.length("text") - length // 2)).cast("int") + 1
     sample = picked.select("lang", mark.alias("m"), F.substring("text", place, F.lit(length)).alias("window"))
     most = 4 * windows * len(counts)
     got = sorted(tuple(r) for r in sample.orderBy("m", "window").limit(most).collect())

@@ -65,6 +65,29 @@ def clone_input_filter(spark, d):
     return R.junction_sane(R.clone_input(V(spark, d, "rearrangements"), "good"), 29).select("sequence_id")
 
 
+_CELL_STATUS = "CASE CAST(substr(cell_id, 5) AS INT) % 7 WHEN 0 THEN 'canonical_pair' WHEN 1 THEN 'heavy_only' WHEN 2 THEN 'multi_light' WHEN 3 THEN 'none_productive' WHEN 4 THEN 'probable_multiplet' WHEN 5 THEN 'possible_inclusion' END"
+_SINGLE = " AND cell_status NOT LIKE '%multi%' AND cell_status NOT LIKE '%none%'"
+_MODES = (("all", "junction <> ''"), ("good", "status = 'good'"), ("unique", "centroid = sequence_id"), ("paired", "cell_status = 'canonical_pair'"))
+
+
+@query(
+    "rearrangements",
+    ctes_more=f"t AS (SELECT *, {_CELL_STATUS} AS cell_status, min(sequence_id) OVER (PARTITION BY junction) AS centroid FROM rearrangements)",
+    sql=" UNION ALL ".join(f"SELECT '{m}' AS which, {c} AS single_cell, count(*) AS n, min(sequence_id) AS first_id FROM t WHERE {rule}{_SINGLE if c == 'true' and m != 'paired' else ''}" for m, rule in _MODES for c in ("false", "true")),
+)
+def clone_input_modes(spark, d):
+    """What each filter of clone input keeps, in bulk and of single cells."""
+    first = V(spark, d, "rearrangements").groupBy(F.col("junction").alias("_j")).agg(F.min("sequence_id").alias("centroid"))
+    t = V(spark, d, "rearrangements").withColumn("cell_status", F.expr(_CELL_STATUS)).join(first, F.col("junction") == F.col("_j"))
+    out = None
+    for which, _ in _MODES:
+        for cells in (False, True):
+            n = R.clone_input(t, which, cells).agg(F.count(F.lit(1)).alias("n"), F.min("sequence_id").alias("first_id"))
+            n = n.select(F.lit(which).alias("which"), F.lit(cells).alias("single_cell"), "n", "first_id")
+            out = n if out is None else out.unionByName(n)
+    return out
+
+
 @query("hits", "umi_reads", sql="SELECT event_id, CASE WHEN event_id % 2 = 0 THEN substr(seq, 5) ELSE reverse(translate(substr(seq, 1, 20), 'ACGT', 'TGCA')) END AS rest FROM umi_reads WHERE event_id % 2 = 0 OR 20 > 22")
 def v_remainder(spark, d):
     t = V(spark, d, "umi_reads").select("event_id", "seq", F.when(F.col("event_id") % 2 == 0, "plus").otherwise("minus").alias("strand"), F.lit(21).alias("qstart"), F.lit(4).alias("qend"))

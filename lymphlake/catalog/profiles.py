@@ -1,8 +1,10 @@
 """Substitution profile queries."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lymphlake.catalog.registry import query
+from lymphlake.catalog.scalars import _translated
 from lymphlake.functions.seq import AMINO_ACIDS
 from lymphlake.operators import profiles as P
 from lymphlake.plans.views import view
@@ -102,3 +104,56 @@ def letter_profiles(spark, d):
     from lymphlake.functions.seq import letter_profile
 
     return view(spark, d, "aligned_residues").select("pos", "aa").distinct().select("pos", "aa", F.aggregate(letter_profile(F.col("aa")), F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
+#: Reads of ``umi_reads`` with an allele by their number, two bases changed, and every other one without its first codon.
+_MADE = f"""a AS (SELECT allele, seq, row_number() OVER (ORDER BY allele) - 1 AS place FROM germline),
+ m AS (SELECT allele, event_id, a.seq AS gene, 11 + event_id % 20 AS p, 36 + event_id % 25 AS q, substr('ACGT', 1 + CAST(event_id % 4 AS INT), 1) AS b FROM umi_reads JOIN a ON event_id % (SELECT count(*) FROM a) = place),
+ n AS (SELECT *, substr(gene, 1, CAST(p - 1 AS INT)) || b || substr(gene, CAST(p + 1 AS INT), CAST(q - p - 1 AS INT)) || b || substr(gene, CAST(q + 1 AS INT)) AS seq FROM m),
+ made AS (SELECT allele AS vgene, CAST(1 + event_id % 3 AS INT) AS prof, event_id AS read_id, CAST(pos AS INT) AS pos, CASE WHEN pos = 1 AND event_id % 2 = 1 THEN '-' ELSE substr(t, CAST(pos AS INT), 1) END AS aa, substr(u, CAST(pos AS INT), 1) AS germ_aa
+   FROM (SELECT *, unnest(range(1, length(u) + 1)) AS pos FROM (SELECT *, {_translated("seq")} AS t, {_translated("gene")} AS u FROM n)))"""
+_FEW = 3
+
+
+def _made_residues(spark, d):
+    g = view(spark, d, "germline").select(F.col("allele").alias("vgene"), "seq")
+    placed = g.withColumn("place", F.row_number().over(Window.orderBy("vgene")) - 1)
+    n, p, q = F.col("event_id"), (11 + F.col("event_id") % 20).cast("int"), (36 + F.col("event_id") % 25).cast("int")
+    base = F.substr(F.lit("ACGT"), (1 + n % 4).cast("int"), F.lit(1))
+    seq = F.concat(F.substr("seq", F.lit(1), p - 1), base, F.substr("seq", p + 1, q - p - 1), base, F.substr("seq", q + 1))
+    reads = view(spark, d, "umi_reads").select("event_id").join(placed, n % g.count() == F.col("place"))
+    reads = reads.select("vgene", (1 + n % 3).cast("int").alias("prof"), n.alias("read_id"), F.substr(seq, F.when(n % 2 == 1, 4).otherwise(1)).alias("seq"))
+    return P.residues_from_reads(reads, g)
+
+
+@query("umi_reads", "germline", ctes_more=_MADE, sql="SELECT * FROM made")
+def residues_from_reads(spark, d):
+    """Residues of reads by places of their germline."""
+    return _made_residues(spark, d)
+
+
+_MADE_LONG = _MADE + ", " + _LONG.replace("aligned_residues", "made").replace(f">= {LEAST}", f">= {_FEW}").replace("s.pos > 1 AND", "s.pos > 0 AND").replace(" s AS", " s AS").replace(" a AS (SELECT unnest", " aas AS (SELECT unnest").replace("a.aa, CASE", "aas.aa, CASE").replace("CROSS JOIN a LEFT", "CROSS JOIN aas LEFT").replace("c.aa = a.aa", "c.aa = aas.aa")
+
+
+@query("umi_reads", "germline", ctes_more=_MADE_LONG, sql="SELECT vgene, prof, pos, germ, freq, aa, p FROM l")
+def profile_from_reads(spark, d):
+    """Substitution profiles from reads."""
+    return P.long_form(P.build_profiles(_made_residues(spark, d), _FEW)).withColumn("germ", F.array_join("germ", ","))
+
+
+@query(
+    "umi_reads", "germline", ctes_more=_MADE_LONG + ", r AS (SELECT vgene, pos, aa, avg(1 - freq * p) AS mean FROM l WHERE freq IS NOT NULL AND aa <> germ GROUP BY ALL)",
+    sql="SELECT DISTINCT m.vgene, m.read_id, m.pos, m.germ_aa || m.pos || m.aa AS sub FROM made m JOIN r ON r.vgene = m.vgene AND r.pos = m.pos AND r.aa = m.aa WHERE r.mean >= 0.9 AND m.aa NOT IN ('-', 'X')",
+)
+def rare_substitutions_from_reads(spark, d):
+    """Rare substitutions scored on reads."""
+    residues = _made_residues(spark, d)
+    return P.rare_substitutions(residues, P.rarity(P.build_profiles(residues, _FEW)), 0.9)
+
+
+@query("umi_reads", "germline", ctes_more=_MADE, sql="SELECT read_id, count(*) AS n_mutations FROM made WHERE aa NOT IN ('-', 'X') AND aa <> germ_aa GROUP BY read_id")
+def mutated_reads(spark, d):
+    """Reads that differ from their germline."""
+    from lymphlake.operators.rules import mutated
+
+    return mutated(_made_residues(spark, d))

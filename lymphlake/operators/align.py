@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MATCH, MISMATCH = 1, -1
+from lymphlake.operators.batch_align import MATCH, MISMATCH, align_batch
+
 _NONE = -(10**8)
 
 
 def align_pair(a: str, b: str, gap_open: int = 0, gap_extend: int = 2) -> tuple[str, str]:
-    """Global alignment of two sequences; gaps at the ends are free.
+    """Global alignment of two sequences; gaps at the ends are free. One pair at a time: what tests hold ``align_batch`` against.
 
     A gap of n places costs ``gap_open + n * gap_extend``. Row by row; gaps
     along the row are a cumulative maximum, so each row is a few numpy
@@ -84,7 +85,11 @@ def aligned(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(None, None) if p is None or q is None else align_pair(p, q) for p, q in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist(), strict=True)]
+            left, right = batch.column(a).to_pylist(), batch.column(b).to_pylist()
+            full = [i for i, (p, q) in enumerate(zip(left, right, strict=True)) if p is not None and q is not None]
+            rows: list = [(None, None)] * len(left)
+            for i, found in zip(full, align_batch([left[i] for i in full], [right[i] for i in full]), strict=True):
+                rows[i] = found
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=names)
 
     return spread(pairs).mapInArrow(run, schema)
@@ -140,8 +145,10 @@ def germline_hits(reads: DataFrame, germline: DataFrame, k: int = 11, keep: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for name, allele, strand, read, gene in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, b = (np.frombuffer(x.encode(), np.uint8) for x in align_pair(read, gene, **gaps_of_path))
+            columns = [c.to_pylist() for c in batch.columns]
+            paths = align_batch(columns[3], columns[4], **gaps_of_path)
+            for name, allele, strand, read, path in zip(*columns[:4], paths, strict=True):
+                a, b = (np.frombuffer(x.encode(), np.uint8) for x in path)
                 both = np.flatnonzero((a != 45) & (b != 45))
                 if not len(both):
                     continue

@@ -101,11 +101,52 @@ def majority_consensus(reads: DataFrame, least: int = 3) -> DataFrame:
     return joined.join(n, (F.col("cell") == F.col("_c")) & (F.col("umi") == F.col("_u"))).select("cell", "umi", "n", "consensus")
 
 
-def largest_cluster(reads: DataFrame, least: int = 3, identity: float = 0.95) -> DataFrame:
+def star_consensus(centre: str, members: list[str], weights: list[int], plain: float = 0.9) -> str:
+    """Column majority of members aligned to their centre; columns that are mostly gaps go.
+
+    A member of the centre's length that agrees in ``plain`` of its places needs no gaps.
+    A member votes where it reaches: its ends do not vote for gaps. What most
+    of the weight has inserted behind a place is taken over, by the heaviest
+    insertion. Ties go to the first letter, and to a letter rather than a gap.
+    """
+    from lymphlake.operators.batch_align import align_batch
+
+    columns, inserted, total = [Counter() for _ in centre], [Counter() for _ in range(len(centre) + 1)], sum(weights)
+    different = [m for m in members if len(m) != len(centre) or sum(a == b for a, b in zip(m, centre, strict=True)) < plain * len(centre) - 1e-9]
+    paths = dict(zip(different, align_batch(different, [centre] * len(different), 1, 1), strict=True))
+    for member, weight in zip(members, weights, strict=True):
+        own, other = paths.get(member, (member, centre))
+        begin, end = len(own) - len(own.lstrip("-")), len(own.rstrip("-"))
+        place, more = 0, ""
+        for i, (base, at) in enumerate(zip(own, other, strict=True)):
+            if at == "-":
+                more += base
+                continue
+            if more:
+                inserted[place][more] += weight
+                more = ""
+            if begin <= i < end:
+                columns[place][base] += weight
+            place += 1
+        if more:
+            inserted[place][more] += weight
+    out = []
+    for place in range(len(centre) + 1):
+        if sum(inserted[place].values()) * 2 > total:
+            out.append(min(inserted[place], key=lambda s: (-inserted[place][s], s)))
+        if place < len(centre) and columns[place]:
+            best = min(columns[place], key=lambda b: (-columns[place][b], b == "-", b))
+            out.append("" if best == "-" else best)
+    return "".join(out)
+
+
+def largest_cluster(reads: DataFrame, least: int = 3, identity: float = 0.95, band: int = 2) -> DataFrame:
     """``cell, umi, n, multi, size, consensus`` of the UMI's largest cluster of similar reads.
 
     Distinct sequences with their counts, most frequent first, are clustered
-    greedily; the others clusters are counted in ``multi``. A single read
+    greedily, with up to ``band`` gaps; the other clusters are counted in
+    ``multi``. The largest one is aligned to its centroid (:func:`star_consensus`),
+    so that reads with an insertion or deletion vote too. A single read
     passes as it is if ``least`` is 1. The groups hold distinct sequences, not
     reads: copies are counted before the shuffle.
     """
@@ -118,24 +159,20 @@ def largest_cluster(reads: DataFrame, least: int = 3, identity: float = 0.95) ->
         for batch in batches:
             out = []
             for seqs in batch.column("seqs").to_pylist():
-                names = greedy_centroids([(s["seq"], s["seq"]) for s in seqs], identity)
+                names = greedy_centroids([(s["seq"], s["seq"]) for s in seqs], identity, band)
                 sizes: Counter = Counter()
                 for s, c in zip(seqs, names, strict=True):
                     sizes[c] -= s["k"]
                 best = min(sizes, key=lambda c: (-sizes[c], c))
-                columns = [Counter() for _ in best]
-                for s, c in zip(seqs, names, strict=True):
-                    if c == best:
-                        for place, base in zip(columns, s["seq"], strict=True):
-                            place[base] -= s["k"]
-                out.append((len(sizes) - 1, sizes[best], "".join(min(p, key=lambda b: (-p[b], b)) for p in columns)))
+                mine = [s for s, c in zip(seqs, names, strict=True) if c == best]
+                out.append((len(sizes) - 1, sizes[best], star_consensus(best, [s["seq"] for s in mine], [-s["k"] for s in mine], identity)))
             yield pa.RecordBatch.from_arrays([batch.column("cell"), batch.column("umi"), batch.column("n"), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.string())], names=["cell", "umi", "n", "multi", "size", "consensus"])
 
     return groups.mapInArrow(run, "cell string, umi string, n long, multi long, size long, consensus string").where(F.col("size") >= least)
 
 
-def cell_consensus(umis: DataFrame, least_umis: int = 1, identity: float = 0.99) -> DataFrame:
-    """``sequence_id, cell, sequence, duplicate_count, consensus_count``: all clusters of a cell's UMI consensuses.
+def cell_consensus(umis: DataFrame, least_umis: int = 1, identity: float = 0.99, band: int = 2) -> DataFrame:
+    """``sequence_id, cell, sequence, duplicate_count, consensus_count``: all clusters of a cell's UMI consensuses, with up to ``band`` gaps.
 
     ``umis`` has ``cell, umi, size, consensus``. Clusters of fewer than
     ``least_umis`` UMIs are dropped; ids are cell.n by size; duplicate_count
@@ -145,7 +182,7 @@ def cell_consensus(umis: DataFrame, least_umis: int = 1, identity: float = 0.99)
 
     rows = umis.withColumn("_id", F.concat_ws(":", "cell", "umi"))
     order = [(-F.col("size")).alias("a"), F.col("_id").alias("b")]
-    found = cluster_blocks(rows, [F.col("cell"), F.length("consensus")], "_id", "consensus", order, identity).select(F.col("_id").alias("_i"), "centroid")
+    found = cluster_blocks(rows, [F.col("cell")], "_id", "consensus", order, identity, band).select(F.col("_id").alias("_i"), "centroid")
     joined = rows.join(found, F.col("_id") == F.col("_i"))
     groups = joined.groupBy("cell", "centroid").agg(F.count(F.lit(1)).alias("duplicate_count"), F.sum("size").alias("consensus_count"), F.min_by("consensus", F.struct((-F.col("size")).alias("a"), "_id")).alias("sequence")).where(F.col("duplicate_count") >= least_umis)
     n = F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("duplicate_count"), F.desc("consensus_count"), "centroid"))

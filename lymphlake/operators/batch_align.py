@@ -109,3 +109,18 @@ def align_batch(a: list[str], b: list[str], gap_open: int = 0, gap_extend: int =
             )
         start = stop
     return out
+
+
+def banded_identities(rows: np.ndarray, codes: np.ndarray, band: int) -> np.ndarray:
+    """Of each row (sequences of one length) with a sequence: matches of the best alignment with at most ``band`` gaps to either side, over the shorter length."""
+    width = 2 * band + 1
+    best = np.zeros((len(rows), width), np.int32)
+    shifted = np.zeros_like(best)
+    for i in range(rows.shape[1]):
+        j = i + np.arange(width) - band
+        ok = (j >= 0) & (j < len(codes))
+        shifted[:, :-1] = best[:, 1:]
+        same = np.zeros_like(best)
+        same[:, ok] = rows[:, i : i + 1] == codes[j[ok]]
+        best = np.maximum.accumulate(np.maximum(best + same, shifted), axis=1)
+    return best.max(axis=1) / max(1, min(rows.shape[1], len(codes)))

@@ -42,12 +42,12 @@ def collapse_redundant(table: DataFrame, least: float = 0.97) -> DataFrame:
     and id; a chain joins the first kept one of the same V and J gene whose
     junction of equal length agrees in at least ``least`` of its places. Done
     per cell: a cell has a few chains, and a fold over its sorted array keeps
-    the list of kept ones.
+    the list of kept ones. Rows without a cell are no cell: each stays as it is.
     """
     from lymphlake.functions.seq import gene_of, hamming
 
     chain = F.struct((-F.col("duplicate_count")).alias("order"), F.col("sequence_id").alias("sequence_id"), gene_of(F.col("v_call")).alias("v"), gene_of(F.col("j_call")).alias("j"), F.col("junction").alias("junction"), F.col("status").alias("status"), F.col("duplicate_count").alias("total"), F.lit(1).alias("n"))
-    cells = table.groupBy("cell_id", "locus").agg(F.sort_array(F.collect_list(chain)).alias("chains"))
+    cells = table.where(F.col("cell_id").isNotNull()).groupBy("cell_id", "locus").agg(F.sort_array(F.collect_list(chain)).alias("chains"))
     none = F.slice("chains", 1, 0)
 
     def same(k: Column, c: Column) -> Column:
@@ -59,11 +59,13 @@ def collapse_redundant(table: DataFrame, least: float = 0.97) -> DataFrame:
         return F.when(F.size(F.filter(kept, lambda k: same(k, c))) > 0, joined).otherwise(F.concat(kept, F.array(c)))
 
     kept = cells.select("cell_id", "locus", F.explode(F.aggregate("chains", none, add)).alias("k"))
-    return kept.select("cell_id", "locus", "k.sequence_id", "k.status", "k.junction", F.col("k.total").alias("duplicate_count"), F.col("k.n").alias("n_merged"))
+    kept = kept.select("cell_id", "locus", "k.sequence_id", "k.status", "k.junction", F.col("k.total").alias("duplicate_count"), F.col("k.n").alias("n_merged"))
+    alone = table.where(F.col("cell_id").isNull()).select("cell_id", "locus", "sequence_id", "status", "junction", "duplicate_count", F.lit(1).alias("n_merged"))
+    return kept.unionByName(alone)
 
 
 def chain_summary(table: DataFrame) -> DataFrame:
-    """One row a cell: productive and all chains per locus, junctions, and the cell's status."""
+    """One row a cell: productive and all chains per locus, junctions, and the cell's status. Rows without a cell are left out."""
     good = F.col("status").isin(*PRODUCTIVE)
     counted = F.col("status").isin("good", "indel", "stop", "nonproductive", "unique")
     aggs = []
@@ -74,7 +76,7 @@ def chain_summary(table: DataFrame) -> DataFrame:
             F.count(F.when(here & counted, 1)).alias(f"t_{locus}"),
             F.array_join(F.array_sort(F.collect_list(F.when(here & good, F.col("junction")))), ";").alias(f"junctions_{locus}"),
         ]
-    cells = table.groupBy("cell_id").agg(*aggs)
+    cells = table.where(F.col("cell_id").isNotNull()).groupBy("cell_id").agg(*aggs)
     return cells.withColumn("cell_status", cell_status({x: F.col(f"p_{x}") for x in LOCI}, {x: F.col(f"t_{x}") for x in LOCI}))
 
 
@@ -111,9 +113,9 @@ def chain_edges(chains: DataFrame) -> DataFrame:
     """``a, b, n_cells``: pairs of chain clusters seen in one cell, the smaller first, with the number of such cells.
 
     The pairs of a cell are made from its array of distinct clusters, so the
-    shuffle is by cell and no cell is joined with itself.
+    shuffle is by cell and no cell is joined with itself. Rows without a cell are left out.
     """
-    cells = chains.select("cell_id", "cluster").distinct().groupBy("cell_id").agg(F.array_sort(F.collect_list("cluster")).alias("c"))
+    cells = chains.where(F.col("cell_id").isNotNull()).select("cell_id", "cluster").distinct().groupBy("cell_id").agg(F.array_sort(F.collect_list("cluster")).alias("c"))
     pairs = F.flatten(F.transform("c", lambda x: F.transform(F.filter("c", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
     return cells.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n_cells"))
 
@@ -137,6 +139,7 @@ def joint_clones(chains: DataFrame, edges: DataFrame | None = None) -> DataFrame
     ``chains`` has ``cell_id, cluster``. Clusters seen in one cell are linked;
     a cell belongs to the only maximal clique that holds its whole chain set,
     a lone cluster is its own clone, any other cell stays without (null).
+    Rows without a cell are left out.
 
     No clique is enumerated. A chain set is a clique itself; the maximal one
     around it is unique exactly if the clusters linked to all of its members
@@ -145,6 +148,7 @@ def joint_clones(chains: DataFrame, edges: DataFrame | None = None) -> DataFrame
     the same whole are checked once, and only if each cluster has links
     enough; links are counted from the end that has fewer.
     """
+    chains = chains.where(F.col("cell_id").isNotNull())
     edges = written(chain_edges(chains) if edges is None else edges, "cell-edges").select("a", "b")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = written(both.groupBy(F.col("a").alias("n")).agg(F.count(F.lit(1)).alias("degree")), "cell-degrees")

@@ -30,9 +30,9 @@ def greedy_centroids(block: list[tuple[str, str]], least: float, band: int = 0)
 
     A sequence joins the first centroid that it matches in ``least`` of the
     places; with ``band`` 0 lengths must be equal and places are compared one
-    by one, else a banded alignment allows that many gaps.
+    by one, else a banded alignment with all centroids at once allows that many gaps.
     """
-    from lymphlake.operators.align import banded_identity
+    from lymphlake.operators.batch_align import banded_identities
 
     centroids: list[str] = []
     by_length: dict[int, tuple[np.ndarray, list[int]]] = {}
@@ -47,21 +47,21 @@ def greedy_centroids(block: list[tuple[str, str]], least: float, band: int = 0)
                 hit = np.flatnonzero(same >= least - 1e-9)
                 found = centroids[known[1][hit[0]]] if len(hit) else None
         else:
-            for i, other in enumerate(by_length.get(-1, (None, []))[1]):
-                if abs(len(other) - len(seq)) <= band and banded_identity(other, seq, band) >= least - 1e-9:
-                    found = centroids[i]
-                    break
+            near = []  # the first centroid within the band, over the lengths that it allows
+            for n in range(len(codes) - band, len(codes) + band + 1):
+                rows, places = by_length.get(n, (None, []))
+                if places:
+                    hit = np.flatnonzero(banded_identities(rows[: len(places)], codes, band) >= least - 1e-9)
+                    near += [places[hit[0]]] if len(hit) else []
+            found = centroids[min(near)] if near else None
         if found is None:
             found = name
             centroids.append(name)
-            if band == 0:
-                rows, places = by_length.get(len(codes), (np.empty((8, len(codes)), np.uint8), []))
-                if len(places) == len(rows):
-                    rows = np.concatenate([rows, np.empty_like(rows)])
-                rows[len(places)] = codes
-                by_length[len(codes)] = (rows, [*places, len(centroids) - 1])
-            else:
-                by_length.setdefault(-1, (None, []))[1].append(seq)
+            rows, places = by_length.get(len(codes), (np.empty((8, len(codes)), np.uint8), []))
+            if len(places) == len(rows):
+                rows = np.concatenate([rows, np.empty_like(rows)])
+            rows[len(places)] = codes
+            by_length[len(codes)] = (rows, [*places, len(centroids) - 1])
         out.append(found)
     return out
 

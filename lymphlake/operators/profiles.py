@@ -5,7 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lymphlake.functions.seq import AMINO_ACIDS, jsd, shannon, sub_label
+from lymphlake.functions.seq import AMINO_ACIDS, jsd, letters, shannon, sub_label, translate_gapped, translate_nt
+from lymphlake.operators.align import aligned
+
+
+def residues_from_reads(reads: DataFrame, germline: DataFrame) -> DataFrame:
+    """``vgene, prof, read_id, pos, aa, germ_aa`` of reads, by places of their germline.
+
+    ``reads`` has ``vgene, prof, read_id, seq``, ``germline`` ``vgene, seq`` (from
+    the first base of a codon): nucleotides. Each read is aligned to its
+    germline, ends free; what it has inserted is dropped, and a codon counts
+    only if the read has all of its bases: three gaps are a gap, one or two an
+    X. Equal pairs are aligned once. Genes that the library lacks and reads
+    without a sequence have no residues.
+    """
+    genes = germline.select(F.col("vgene").alias("_v"), F.upper("seq").alias("_g"))
+    rows = reads.select("vgene", "prof", "read_id", F.upper("seq").alias("_s")).join(genes, F.col("vgene") == F.col("_v"))
+    pairs = aligned(rows.select(F.col("_s").alias("s"), F.col("_g").alias("g")).where(F.length("s") > 0).distinct(), "s", "g")
+    at_germline = F.array_join(F.zip_with(letters(F.col("a_aln")), letters(F.col("b_aln")), lambda x, y: F.when(y != "-", x)), "")
+    pairs = pairs.select("s", "g", translate_gapped(at_germline).alias("aa"), translate_nt(F.col("g")).alias("germ"))
+    found = rows.join(pairs, (F.col("_s") == F.col("s")) & (F.col("_g") == F.col("g"))).where(F.length("aa") > 0)
+    places = found.select("vgene", "prof", "read_id", "germ", F.posexplode(letters(F.col("aa"))).alias("_i", "aa"))
+    return places.select("vgene", "prof", "read_id", (F.col("_i") + 1).alias("pos"), "aa", F.substr("germ", F.col("_i") + 1, F.lit(1)).alias("germ_aa"))
 
 
 def build_profiles(residues: DataFrame, least: int = 300, mask: int = 0) -> DataFrame:

@@ -83,14 +83,18 @@ def statistic_subset(table: DataFrame, subset: str, ids: DataFrame | None = None
     return table.where(keep[subset])
 
 
-def clone_input(table: DataFrame, which: str = "good") -> DataFrame:
-    """Rows that clones are made of: ``all`` (a junction), ``good``, ``unique`` (own centroid) or ``paired`` cells."""
+def clone_input(table: DataFrame, which: str = "good", single_cell: bool = False) -> DataFrame:
+    """Rows that clones are made of: ``all`` (a junction), ``good``, ``unique`` (own centroid) or ``paired`` cells.
+
+    With ``single_cell`` rows of cells whose status speaks of several cells or
+    of none (``multi``, ``none`` in it) go first, and so do rows without a cell
+    status; ``paired`` asks for a canonical pair instead and for nothing else.
+    """
     keep = {"all": F.col("junction") != "", "good": F.col("status") == "good"}
-    if which == "unique":
-        return table.where(F.col("centroid") == F.col("sequence_id"))
     if which == "paired":
         return table.where(F.col("cell_status") == "canonical_pair")
-    return table.where(keep[which])
+    rows = table.where(~F.col("cell_status").rlike("multi|none")) if single_cell else table
+    return rows.where(F.col("centroid") == F.col("sequence_id")) if which == "unique" else rows.where(keep[which])
 
 
 def junction_sane(table: DataFrame, least: int = 15) -> DataFrame:

@@ -14,9 +14,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 READ_SCHEMA = "id string, description string, seq string, qual string, source_file string"
 
 
-def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_fasta(spark: SparkSession, paths: str | list[str], source: str | None = None) -> DataFrame:
     """``id, description, seq, source_file``: one row a record, gzip by file name; wrapped lines are joined.
 
+    ``source_file`` is the file's name, or what the first group of the pattern
+    ``source`` finds in its whole path.
+
     A line end with ``>`` behind it is the separator, so a file is split
     between records like any other text and never read as a whole, and a ``>``
     within a definition line belongs to it.

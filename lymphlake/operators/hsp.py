@@ -18,8 +18,8 @@ from lymphlake.functions.seq import revcomp
 from lymphlake.operators.align import COSTS, HIT_SCHEMA, IDENTITIES, WORD_SIZES, spread
 from lymphlake.operators.hits import seed_votes
 
-#: How far an ungapped extension may fall below its best before it ends.
-X_DROP = 10
+#: How far an ungapped extension, and a chain in one gap, may fall below their best before they end.
+X_DROP, GAP_DROP = 10, 50
 
 
 def _words(df: DataFrame, seq: Column, k: int, *names: str) -> DataFrame:
@@ -121,8 +121,9 @@ def local_hits(read: bytes, gene: bytes, stretches: list[tuple[int, int, int]],
             fits = (over < b - a) & (q1[:i] < b) & (q1[:i] - d[:i] < b - k)
             apart = np.abs(d[:i] - k)
             between = np.minimum(np.maximum(a - q1[:i], 0), np.maximum((a - k) - (q1[:i] - d[:i]), 0))
-            gain = score[:i] + sums[i][-1] - sums[i][np.minimum(over, b - a)] - np.where(apart > 0, opened + place * apart, 0) - mismatch * between
-            gain[~fits] = -(10**9)
+            cost = np.where(apart > 0, opened + place * apart, 0) + mismatch * between
+            gain = score[:i] + sums[i][-1] - sums[i][np.minimum(over, b - a)] - cost
+            gain[~fits | (cost > GAP_DROP)] = -(10**9)
             j = int(gain.argmax())
             if gain[j] > score[i]:
                 score[i], back[i], cut[i] = gain[j], j, over[j]

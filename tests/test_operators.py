@@ -1,11 +1,13 @@
 """Invariants and small cases of the operators that have no SQL."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lymphlake.catalog import QUERIES
-from lymphlake.operators import align, barcodes, cells, clones, graph, hits, rules
+from lymphlake.operators import align, barcodes, batch_align, cells, clones, graph, hits, hsp, profiles, rearrange, rules
 from lymphlake.plans.views import view
 from lymphlake.sources import airr, sequences
 
@@ -364,3 +366,99 @@ def test_demultiplex_kit(spark):
     assert {r["hash_sample"] for r in demultiplex(reads, kit.limit(0)).collect()} == {"unknown"}
     with pytest.raises(ValueError):
         demultiplex(reads, kit, most_oligos=2)
+
+
+def test_ids_are_not_shortened(spark):
+    rows = spark.range(120_000).select(F.col("id").cast("string").alias("centroid"), (F.col("id") % 7).alias("clone_count"))
+    got = clones.numbered(rows).agg(F.countDistinct("clone_id"), F.max(F.length("clone_id")), F.min(F.length("clone_id"))).first()
+    assert tuple(got) == (120_000, 6, 5)
+
+
+def test_rows_without_a_cell_make_no_cell(spark):
+    cell = [("c", "IGH", f"s{i}", "IGHV1-1*01", "IGHJ1*01", "A" * 39 + "CG"[i], "good", 5 - i) for i in range(2)]
+    bulk = [(None, "IGH", f"b{i}", "IGHV1-1*01", "IGHJ1*01", "A" * 40, "good", 1) for i in range(10_000)]
+    t = spark.createDataFrame(cell + bulk, "cell_id string, locus string, sequence_id string, v_call string, j_call string, junction string, status string, duplicate_count long")
+    assert [r["cell_id"] for r in cells.chain_summary(t).collect()] == ["c"]
+    kept = cells.collapse_redundant(t)
+    assert kept.count() == 10_001 and kept.where("cell_id IS NULL AND n_merged = 1 AND duplicate_count = 1").count() == 10_000
+    chains = t.select("cell_id", F.concat("sequence_id", "junction").alias("cluster"))
+    assert cells.chain_edges(chains).count() == 1
+    assert [(r["cell_id"], r["clone"].count("+")) for r in cells.joint_clones(chains).collect()] == [("c", 1)]
+
+
+def _mutate(deal, seq, p=0.1):
+    out = []
+    for c in seq:
+        u = deal.random()
+        out.append("" if u < p / 3 else c + deal.choice("ACGT") if u < 2 * p / 3 else deal.choice("ACGT") if u < p else c)
+    return "".join(out)
+
+
+@pytest.mark.parametrize("costs", [{}, {"gap_open": 5, "gap_extend": 2}])
+def test_batched_alignments_equal_single_ones(costs):
+    deal = random.Random(4)
+    a = ["".join(deal.choice("ACGT") for _ in range(deal.choice([0, 1, 3, 20, 70]))) for _ in range(300)]
+    b = [_mutate(deal, s)[deal.randrange(3) :] if deal.random() < 0.7 else "".join(deal.choice("AC") for _ in range(deal.randrange(30))) for s in a]
+    assert batch_align.align_batch(a, b, cells=4000, **costs) == [align.align_pair(x, y, **costs) for x, y in zip(a, b, strict=True)]
+    rows = np.array([list(b"ACGTACGTAC"), list(b"TTTTACGTAC")], np.uint8)
+    for seq in ("ACGTACGTAC", "ACGTCGTAC", "GGGGGGGGGGG"):
+        got = batch_align.banded_identities(rows, np.frombuffer(seq.encode(), np.uint8), 2)
+        assert got == pytest.approx([align.banded_identity(bytes(r).decode(), seq, 2) for r in rows])
+
+
+def test_long_insertions_give_two_hits(spark):
+    deal = random.Random(9)
+    genes = {f"IGHV{i}-1*01": "".join(deal.choice("ACGT") for _ in range(280)) for i in range(1, 6)}
+    germline = spark.createDataFrame(list(genes.items()), "allele string, seq string")
+    turn = str.maketrans("ACGT", "TGCA")
+    reads, want = [], {}
+    for n, (allele, gene) in enumerate(genes.items()):
+        insertion = "".join(deal.choice("ACGT") for _ in range(30))
+        made = gene[:120] + insertion + gene[120:]
+        reads += [(f"i{n}", made), (f"m{n}", made.translate(turn)[::-1]), (f"s{n}", gene[:100] + gene[103:]), (f"x{n}", gene[20:])]
+        want |= {f"i{n}": (allele, "plus", 1, 280, 1, 310), f"m{n}": (allele, "minus", 280, 1, 1, 310), f"s{n}": (allele, "plus", 1, 280, 1, 277), f"x{n}": (allele, "plus", 21, 280, 1, 260)}
+    table = spark.createDataFrame([*reads, ("none", None), ("empty", ""), ("short", "ACG"), ("again", reads[0][1])], "id string, seq string")
+    want["again"] = want["i0"]
+    found = hsp.local_hit_table(table, germline)
+    per = {(r["qid"], r["sid"]): r["n"] for r in found.groupBy("qid", "sid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert all(per[q, w[0]] == (2 if q[0] in "ima" else 1) for q, w in want.items())
+    got = {r["qid"]: (r["sid"], r["strand"], r["sstart"], r["send"], r["qstart"], r["qend"]) for r in hits.merged_hits(found).collect()}
+    for q, w in want.items():
+        if w[1] == "plus":
+            assert got[q] == w
+        else:
+            assert got[q][:2] == w[:2] and got[q][4:] == w[4:]
+    deletion = found.where("qid = 's0' AND hit_rank = 1").first()
+    assert (deletion["gaps"], deletion["mismatches"], deletion["alignment"]) == (3, 0, 280)
+
+
+def test_reads_without_segments_keep_their_status(spark):
+    v = spark.createDataFrame([("IGHV1-1*01", "CAGGTGCAGCTGGTGCAGTCTGGGGCTGAGGTGAAGAAGCCTGGGTCCTCGGTGTATTACTGTGCGAGA")], "allele string, seq string")
+    j = spark.createDataFrame([("IGHJ4*01", "ACTACTTTGACTACTGGGGCCAAGGAACCCTGGTCACCGTCTCCTCAG")], "allele string, seq string")
+    seqs = [("a", v.first()["seq"] + "GGG" + j.first()["seq"]), ("b", v.first()["seq"]), ("c", "TTTTTTTTTTTTTTTTTTTT"), ("d", None), ("e", v.first()["seq"] + "T" * 40)]
+    got = {r["sequence_id"]: r for r in rearrange.rearranged(spark.createDataFrame(seqs, "id string, seq string"), v, j).collect()}
+    assert [got[x]["status"] for x in "bcde"] == ["noJ", "noV", "noV", "noJ"]
+    assert got["a"]["junction"] == "TGTGCGAGAGGGACTACTTTGACTACTGG" and got["a"]["v_call"] == "IGHV1-1*01" and got["a"]["j_call"] == "IGHJ4*01"
+
+
+def test_reads_with_gaps_keep_germline_places(spark):
+    gene = "ATGGCTAGCTTCGGATCCAAACTGGTTCACGACTACTGCAAGGAA"
+    reads = [("g", 1, 1, gene), ("g", 1, 2, gene[:18] + gene[21:]), ("g", 1, 3, gene[:18] + "TTTT" + gene[18:]), ("g", 1, 4, gene[:20] + gene[21:]), ("g", 1, 5, gene[6:]), ("g", 1, 6, None), ("h", 1, 7, gene)]
+    got = profiles.residues_from_reads(spark.createDataFrame(reads, "vgene string, prof int, read_id long, seq string"), spark.createDataFrame([("g", gene)], "vgene string, seq string")).orderBy("read_id", "pos").collect()
+    aa = {i: "".join(r["aa"] for r in got if r["read_id"] == i) for i in range(1, 8)}
+    assert aa[1] == aa[3] == "MASFGSKLVHDYCKE" and aa[5] == "--SFGSKLVHDYCKE" and aa[6] == aa[7] == ""
+    assert aa[2].count("-") + aa[2].count("X") in (1, 2) and sorted(set(aa[4])).count("X") == 1 and aa[4].replace("X", "") == aa[1][:6] + aa[1][7:]
+    assert {r["germ_aa"] for r in got if r["pos"] == 1} == {"M"}
+
+
+def test_consensus_across_deletions(spark):
+    deal = random.Random(2)
+    true = "".join(deal.choice("ACGT") for _ in range(120))
+    reads = []
+    for i in range(60):
+        at = deal.randrange(5, 115)
+        reads.append(true[:at] + true[at + 1 :] if i % 5 == 0 else true[:at] + deal.choice("ACGT") + true[at + 1 :])
+    rows = [("c", "u", r) for r in reads] + [("c", "v", true[:40] + true[41:])] * 2 + [("c", "v", true)] * 3
+    got = {r["umi"]: (r["n"], r["multi"], r["consensus"]) for r in barcodes.largest_cluster(spark.createDataFrame(rows, "cell string, umi string, seq string")).collect()}
+    assert got == {"u": (60, 0, true), "v": (5, 0, true)}
+    assert barcodes.star_consensus(true[:50] + true[51:], [true[:50] + true[51:], true], [1, 3]) == true

@@ -66,18 +66,75 @@ def greedy_centroids(block: list[tuple[str, str]], least: float, band: int = 0)
     return out
 
 
-def cluster_blocks(table: DataFrame, keys: list[Column], id_column: str, seq_column: str, order: list[Column], least: float, band: int = 0) -> DataFrame:
+#: Distinct sequences of a block that one task clusters; larger blocks are clustered by rounds over all tasks.
+BLOCK_ROWS = 4096
+
+
+def greedy_rounds(rows: DataFrame, least: float) -> DataFrame:
+    """``block, seq, centroid`` of greedy clusters without gaps: what :func:`greedy_centroids` gives for each block, over many tasks.
+
+    ``rows`` has ``block, seq, first`` (its place in the order: a struct that
+    ends in ``_id``); a block's sequences have one length. Sequences of n
+    places that agree in ``least`` of them agree in one of floor((1 - least) n)
+    + 1 pieces, so they share a bucket. A sequence that is the first open one
+    in all of its buckets has no earlier neighbour that could be a centroid,
+    and is one. The new centroids meet the open members of their buckets:
+    those near one are no centroids and leave. In the end each of these gets
+    the first centroid that it is near to. Only centroids meet members, so a
+    dense group costs its size, and no bucket is capped. A round at least
+    settles the first open sequence of every block.
+    """
+    n = F.length("seq")
+    cuts = F.floor(n * (1 - least) + 1e-9).cast("int") + 1
+    edge = lambda i: F.floor(i * n / cuts).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), cuts - 1), lambda i: F.struct(i.alias("at"), F.substr("seq", edge(i) + 1, edge(i + 1) - edge(i)).alias("piece")))
+    all_rows = written(rows.select("block", "seq", "first", F.xxhash64("block", "seq").alias("k")), "greedy-rows")
+    buckets = written(all_rows.select("block", "seq", "first", F.explode_outer(pieces).alias("p")).select("block", "seq", "first", F.xxhash64("block", "p").alias("bucket")), "greedy-buckets")
+    same = (F.col("block") == F.col("_b")) & (hamming(F.col("seq"), F.col("_s")) <= (1 - least) * F.length("seq") + 1e-9)
+
+    def near(members: DataFrame, centres: DataFrame) -> DataFrame:
+        """Members with the centroids of their buckets that they are near to."""
+        c = buckets.join(centres, ["block", "seq"], "left_semi").select(F.col("bucket").alias("_k"), F.col("block").alias("_b"), F.col("seq").alias("_s"), F.col("first").alias("_f"))
+        return members.join(c, F.col("bucket") == F.col("_k")).where(same)
+
+    open_, centres = buckets, None
+    while open_.take(1):
+        heads = open_.groupBy("bucket").agg(F.min("first").alias("head"))
+        leads = open_.join(heads.withColumnRenamed("bucket", "_k"), F.col("bucket") == F.col("_k")).groupBy("block", "seq").agg(F.min((F.col("first") == F.col("head")).cast("int")).alias("leads"))
+        new = written(leads.where("leads = 1").select("block", "seq"), "greedy-centroids")
+        centres = new if centres is None else centres.unionByName(new)
+        gone = near(open_, new).select("block", "seq").distinct()  # the centroids themselves among them
+        open_ = written(open_.join(gone, ["block", "seq"], "left_anti"), "greedy-open")
+    if centres is None:
+        return rows.select("block", "seq", F.lit(None).cast("string").alias("centroid"))
+    best = near(buckets, centres).groupBy("block", "seq").agg(F.min("_f").alias("best"))
+    own = centres.withColumn("_own", F.lit(True))
+    return best.join(all_rows.select("block", "seq", "first"), ["block", "seq"]).join(own, ["block", "seq"], "left").select("block", "seq", F.when(F.col("_own"), F.col("first._id")).otherwise(F.col("best._id")).alias("centroid"))
+
+
+def cluster_blocks(table: DataFrame, keys: list[Column], id_column: str, seq_column: str, order: list[Column], least: float, band: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``sequence, id, centroid`` per block of ``keys``, greedy in ``order``; see :func:`greedy_centroids`.
 
     Equal sequences of a block are clustered once: only distinct ones enter
     the blocks, and the result is joined back, so copies never fill a task.
     The keys should split losslessly: for band 0 the length belongs to them.
+    Rows without a sequence are left out. A block of up to ``block_rows`` distinct sequences is clustered in one
+    task; without gaps larger ones go through :func:`greedy_rounds`, with the
+    same result.
     """
     named = {f"_k{i}": k for i, k in enumerate(keys)}
-    rows = table.select(*[k.alias(n) for n, k in named.items()], F.col(id_column).alias("_id"), F.col(seq_column).alias("_seq"), F.struct(*order).alias("_order"))
+    rows = table.select(*[k.alias(n) for n, k in named.items()], F.col(id_column).alias("_id"), F.col(seq_column).alias("_seq"), F.struct(*order).alias("_order")).where(F.col("_seq").isNotNull())
     names = list(named)
     distinct = rows.groupBy(*names, "_seq").agg(F.min(F.struct("_order", "_id")).alias("_first"))
-    ordered = distinct.select(F.hash(*names).alias("_h"), F.struct(*names).alias("_block"), "_seq", "_first")
+    ordered = distinct.select(F.struct(*names).alias("_block"), "_seq", "_first")
+    large = None
+    if band == 0:
+        ordered = written(ordered, "blocks")
+        sizes = written(ordered.groupBy(F.col("_block").alias("_large")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows).select("_large"), "blocks-large")
+        if sizes.take(1):
+            is_large = F.col("_block") == F.col("_large")
+            large = greedy_rounds(ordered.join(sizes, is_large, "left_semi").select(F.to_json("_block").alias("block"), F.col("_seq").alias("seq"), F.col("_first").alias("first")), least)
+            ordered = ordered.join(sizes, is_large, "left_anti")
     dealt = ordered.repartition("_block").sortWithinPartitions("_block", "_first").select(F.to_json("_block").alias("_block"), "_seq", F.col("_first._id").alias("_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,6 +155,8 @@ def cluster_blocks(table: DataFrame, keys: list[Column], id_column: str, seq_col
             yield flush()
 
     found = dealt.mapInArrow(run, "_b string, _s string, centroid string")
+    if large is not None:
+        found = found.unionAll(large)
     mine = rows.withColumn("_m", F.to_json(F.struct(*names)))
     return mine.join(found, (F.col("_m") == F.col("_b")) & (F.col("_seq") == F.col("_s"))).select(F.col("_id").alias(id_column), F.col("_seq").alias(seq_column), "centroid")
 

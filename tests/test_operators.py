@@ -462,3 +462,19 @@ def test_consensus_across_deletions(spark):
     got = {r["umi"]: (r["n"], r["multi"], r["consensus"]) for r in barcodes.largest_cluster(spark.createDataFrame(rows, "cell string, umi string, seq string")).collect()}
     assert got == {"u": (60, 0, true), "v": (5, 0, true)}
     assert barcodes.star_consensus(true[:50] + true[51:], [true[:50] + true[51:], true], [1, 3]) == true
+
+
+def test_greedy_rounds_equal_one_task(spark):
+    deal = random.Random(5)
+    base = ["".join(deal.choice("ACGT") for _ in range(30)) for _ in range(3)]
+    rows = [("n0", None, 3, 0), ("e0", "", 3, 0), ("e1", "", 4, 0)]
+    for i in range(150):
+        seq = list(deal.choice(base))
+        for _ in range(deal.randrange(7)):
+            seq[deal.randrange(30)] = deal.choice("ACGT")
+        rows.append((f"s{i:03d}", "".join(seq), deal.randrange(1, 50), i % 2))
+    t = spark.createDataFrame(rows, "id string, seq string, n long, g int")
+    order = [(-F.col("n")).alias("a"), F.col("id").alias("b")]
+    one, many = (clones.cluster_blocks(t, [F.col("g"), F.length("seq")], "id", "seq", order, 0.9, block_rows=n).collect() for n in (4096, 0))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) == 152
+    assert len({r["centroid"] for r in one}) > 6

@@ -197,3 +197,24 @@ def merge_read_pairs(spark, d):
     whole = F.concat("seq", F.repeat(F.lit("AC"), F.lit(10)))
     pairs = view(spark, d, "umi_reads").select(F.concat(F.lit("r"), "event_id").alias("id"), F.substring(whole, 1, 31).alias("seq1"), revcomp(F.substr(whole, F.lit(12))).alias("seq2"))
     return B.merge_pairs(pairs, least_length=20, least_overlap=20, most_diffs=0)
+
+
+#: In place p of the merged read the first mate has another base, of low quality.
+_MATES = """w AS (SELECT event_id, seq || repeat('AC', 10) AS whole, 13 + event_id % 17 AS p FROM umi_reads),
+ c AS (SELECT event_id, whole, i, CASE WHEN i = p THEN 5 ELSE 30 + i % 7 END AS a, 12 + i % 9 AS b, i = p AS differs FROM (SELECT *, unnest(range(1, 52)) AS i FROM w)),
+ e AS (SELECT *, pow(10, -greatest(a, b) / 10.0) AS x, pow(10, -least(a, b) / 10.0) AS y FROM c),
+ q AS (SELECT *, CASE WHEN i < 12 THEN a WHEN i > 31 THEN b ELSE least(41, floor(-10 * log10(CASE WHEN differs THEN x * (1 - y / 3) / (x + y - 4 * x * y / 3) ELSE x * y / 3 / (1 - x - y + 4 * x * y / 3) END) + 0.5)) END AS m FROM e)"""
+
+
+@query("umi_reads", ctes_more=_MATES, sql="SELECT 'r' || event_id AS id, any_value(whole) AS merged, string_agg(chr(CAST(33 + m AS INT)), '' ORDER BY i) AS qual FROM q GROUP BY event_id")
+def merge_pairs_by_quality(spark, d):
+    """Mates of which the first has a wrong base of low quality: the merge gives the sequence back."""
+    from lymphlake.functions.seq import revcomp
+
+    n, p = F.col("event_id"), (13 + F.col("event_id") % 17).cast("int")
+    whole = F.concat("seq", F.repeat(F.lit("AC"), F.lit(10)))
+    wrong = F.concat(F.substr(whole, F.lit(1), p - 1), F.translate(F.substr(whole, p, F.lit(1)), "ACGT", "CATG"), F.substr(whole, p + 1, 31 - p))
+    marks = lambda of, low, high: F.array_join(F.transform(F.sequence(F.lit(low), F.lit(high)), lambda i: F.char(33 + of(i))), "")
+    qual1, qual2 = marks(lambda i: F.when(i == p, 5).otherwise(30 + i % 7), 1, 31), marks(lambda i: 12 + i % 9, 12, 51)
+    pairs = view(spark, d, "umi_reads").select(F.concat(F.lit("r"), n).alias("id"), wrong.alias("seq1"), revcomp(F.substr(whole, F.lit(12))).alias("seq2"), qual1.alias("qual1"), F.reverse(qual2).alias("qual2"))
+    return B.merge_pairs(pairs, least_length=20, least_overlap=20)

@@ -41,9 +41,10 @@ def whitelisted(reads: DataFrame, whitelist: DataFrame, column: str = "cell") ->
 
 
 def read_pairs(r1: DataFrame, r2: DataFrame) -> DataFrame:
-    """``id, seq1, seq2``: mates joined by id without /1 and /2; unmatched reads are left out."""
+    """``id, seq1, seq2``, and ``qual1, qual2`` if both have qualities: mates joined by id without /1 and /2; unmatched reads are left out."""
     name = F.regexp_replace(F.split_part("id", F.lit(" "), F.lit(1)), "/[12]$", "")
-    a, b = r1.select(name.alias("id"), F.col("seq").alias("seq1")), r2.select(name.alias("_id"), F.col("seq").alias("seq2"))
+    marks = [c for c in ("qual",) if c in r1.columns and c in r2.columns]
+    a, b = (r.select(name.alias(key), *[F.col(c).alias(f"{c}{i}") for c in ("seq", *marks)]) for i, key, r in ((1, "id", r1), (2, "_id", r2)))
     return a.join(b, F.col("id") == F.col("_id")).drop("_id")
 
 
@@ -54,33 +55,75 @@ def unpaired_reads(r1: DataFrame, r2: DataFrame) -> DataFrame:
     return sides.groupBy("id").agg(F.min("mate").alias("mate"), F.max("mate").alias("_last")).where(F.col("mate") == F.col("_last")).select("id", "mate")
 
 
+def _error(qual: np.ndarray) -> np.ndarray:
+    return np.power(10.0, -qual / 10)
+
+
+def combined_quality(same: np.ndarray, q1: np.ndarray, q2: np.ndarray, most: int = 41) -> np.ndarray:
+    """Quality of a base that two reads report, by the chance that it is wrong (published posterior rule for overlapping reads)."""
+    good, bad = _error(np.maximum(q1, q2)), _error(np.minimum(q1, q2))
+    agreed = good * bad / 3 / (1 - good - bad + 4 * good * bad / 3)
+    differed = good * (1 - bad / 3) / (good + bad - 4 * good * bad / 3)
+    return np.clip(np.floor(-10 * np.log10(np.where(same, agreed, differed)) + 0.5), 0, most).astype(np.int64)
+
+
+def merge_batch(x: np.ndarray, y: np.ndarray, qx: np.ndarray | None, qy: np.ndarray | None, least_length: int, least_overlap: int, most_diffs: int, most_percent: float) -> list[tuple[bytes | None, bytes | None]]:
+    """Merged bases and qualities of pairs of one shape (rows of ``x`` and ``y``, mates in one direction).
+
+    Every overlap is tried on all pairs at once; the one of the smallest share
+    of differences wins, of equally good ones the longest. Where mates differ
+    the base of better quality stays, the first mate's if they are equal.
+    """
+    count, best, size = len(x), np.full(len(x), np.inf), np.zeros(len(x), np.int64)
+    for n in range(min(x.shape[1], y.shape[1]), max(least_overlap, 1) - 1, -1):
+        diffs = (x[:, x.shape[1] - n :] != y[:, :n]).sum(axis=1)
+        better = (diffs <= most_diffs) & (diffs * 100 <= most_percent * n) & (diffs / n < best)
+        best[better], size[better] = diffs[better] / n, n
+    out: list[tuple[bytes | None, bytes | None]] = [(None, None)] * count
+    for n in np.unique(size[size > 0]).tolist():
+        if x.shape[1] + y.shape[1] - n < least_length:
+            continue
+        rows = np.flatnonzero(size == n)
+        head, left, right, tail = x[rows, : x.shape[1] - n], x[rows, x.shape[1] - n :], y[rows, :n], y[rows, n:]
+        if qx is None or qy is None:
+            made, marks = np.concatenate([head, left, tail], axis=1), [None] * len(rows)
+        else:
+            q1, q2 = qx[rows, x.shape[1] - n :].astype(np.int64) - 33, qy[rows, :n].astype(np.int64) - 33
+            made = np.concatenate([head, np.where(q2 > q1, right, left), tail], axis=1)
+            middle = (combined_quality(left == right, q1, q2) + 33).astype(np.uint8)
+            marks = [r.tobytes() for r in np.concatenate([qx[rows, : x.shape[1] - n], middle, qy[rows, n:]], axis=1)]
+        for row, bases, mark in zip(rows.tolist(), made, marks, strict=True):
+            out[row] = (bases.tobytes(), mark)
+    return out
+
+
 def merge_pairs(pairs: DataFrame, least_length: int = 350, least_overlap: int = 10, most_diffs: int = 100, most_percent: float = 25.0) -> DataFrame:
-    """``id, merged``: mates joined over their best overlap, null when none fits the limits."""
-
-    def merge(a: str, b: str) -> str | None:
-        x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
-        most = min(len(x), len(y))
-        if most < least_overlap:
-            return None
-        # differences of every overlap at once: a sheared matrix of all places, one row an overlap
-        sizes = np.arange(most, least_overlap - 1, -1)
-        columns = np.arange(most)
-        inside = columns < sizes[:, None]
-        left = x[np.minimum(len(x) - sizes[:, None] + columns, len(x) - 1)]
-        diffs = ((left != y[columns]) & inside).sum(axis=1)
-        fits = np.flatnonzero((diffs <= most_diffs) & (diffs * 100 <= most_percent * sizes))
-        if not len(fits):
-            return None
-        n = int(sizes[fits[(diffs[fits] / sizes[fits]).argmin()]])  # the longest of equally good ones
-        out = a + b[n:]
-        return out if len(out) >= least_length else None
+    """``id, merged``, and ``qual`` if the pairs have ``qual1, qual2``: mates joined over their best overlap, null when none fits the limits.
+
+    Pairs are dealt with in batches of one shape; see :func:`merge_batch`. A
+    null mate, or qualities of another length than the bases, give null.
+    """
+    marked = {"qual1", "qual2"} <= set(pairs.columns)
+    names = ["seq1", "seq2", *(["qual1", "qual2"] if marked else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [merge(a, b) for a, b in zip(batch.column("seq1").to_pylist(), batch.column("seq2").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.string())], names=["id", "merged"])
-
-    return pairs.select("id", "seq1", revcomp(F.col("seq2")).alias("seq2")).mapInArrow(run, "id string, merged string")
+            columns = [[None if v is None else v.encode() for v in batch.column(c).to_pylist()] for c in names]
+            shapes: dict[tuple[int, int], list[int]] = {}
+            for i, row in enumerate(zip(*columns, strict=True)):
+                if all(v is not None for v in row) and (not marked or (len(row[0]), len(row[1])) == (len(row[2]), len(row[3]))):
+                    shapes.setdefault((len(row[0]), len(row[1])), []).append(i)
+            found: list = [(None, None)] * batch.num_rows
+            for shape, rows in shapes.items():
+                part = [np.frombuffer(b"".join(c[i] for i in rows), np.uint8).reshape(len(rows), shape[k % 2]) for k, c in enumerate(columns)]
+                for i, made in zip(rows, merge_batch(*part, *([] if marked else [None, None]), least_length, least_overlap, most_diffs, most_percent), strict=True):
+                    found[i] = made
+            out = [pa.array([None if v is None else v.decode() for v in c], pa.string()) for c in zip(*found, strict=True)] or [pa.array([], pa.string())] * 2
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *out[: 1 + marked]], names=["id", "merged", "qual"][: 2 + marked])
+
+    turned = [F.reverse("qual2").alias("qual2")] if marked else []
+    rows = pairs.select("id", "seq1", revcomp(F.col("seq2")).alias("seq2"), *(["qual1"] if marked else []), *turned)
+    return rows.mapInArrow(run, "id string, merged string" + (", qual string" if marked else ""))
 
 
 def umi_stats(reads: DataFrame) -> DataFrame:

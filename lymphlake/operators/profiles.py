@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lymphlake.functions.seq import AMINO_ACIDS, jsd, letters, shannon, sub_label, translate_gapped, translate_nt
 from lymphlake.operators.align import aligned
+from lymphlake.plans.tables import written
 
 
 def residues_from_reads(reads: DataFrame, germline: DataFrame) -> DataFrame:
@@ -75,11 +78,69 @@ def entropy(profiles: DataFrame) -> DataFrame:
     return rows.groupBy("vgene").agg((F.sum(F.col("freq") * shannon(F.col("profile"))) / F.sum("freq")).alias("entropy"))
 
 
+def _divergences(f1: np.ndarray, x: np.ndarray, f2: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weighted base-2 Jensen-Shannon divergences of one profile with many: ``f1`` positions, ``x`` positions x residues, ``f2`` and ``y`` with a first axis more; NaN marks a missing position."""
+
+    def entropy(p: np.ndarray) -> np.ndarray:
+        return -(p * np.log2(np.where(p > 0, p, 1.0))).sum(axis=-1)
+
+    both = ~np.isnan(f1) & ~np.isnan(f2)
+    weight = np.where(both, (np.nan_to_num(f1) + np.nan_to_num(f2)) / 2, 0.0)
+    jsd = entropy((x + y) / 2) - (entropy(x) + entropy(y)) / 2
+    total = weight.sum(axis=1)
+    return np.where(both.any(axis=1) & (total > 0), (weight * jsd).sum(axis=1) / np.where(total > 0, total, 1.0), np.nan)
+
+
+def _dense(table: pa.Table, width: int) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
+    """Freqs (NaN where missing) and normalised residues of a block's profiles by position."""
+    n = table.num_rows
+    freq, shares = np.full((n, width), np.nan), np.zeros((n, width, len(AMINO_ACIDS)))
+    for i, (pos, f, p) in enumerate(zip(table.column("pos").to_pylist(), table.column("freq").to_pylist(), table.column("profile").to_pylist(), strict=True)):
+        freq[i, pos] = f
+        shares[i, pos] = p
+    total = shares.sum(axis=2, keepdims=True)
+    shares = np.where(total > 0, shares / np.where(total > 0, total, 1.0), 1.0 / len(AMINO_ACIDS))
+    return table.column("vgene").to_pylist(), table.column("prof").to_pylist(), freq, shares
+
+
+def _block_divergences(left: DataFrame, right: DataFrame, block: int = 64) -> DataFrame:
+    """``v1, p1, v2, p2, d`` of all pairs of profiles that share a position: blocks of about ``block`` profiles meet, a pair of blocks in a task.
+
+    Each profile is one row and is sent once to every block of the other side.
+    """
+
+    def packed(profiles: DataFrame) -> DataFrame:
+        one = profiles.where(F.col("freq").isNotNull()).groupBy("vgene", "prof").agg(F.array_sort(F.collect_list(F.struct("pos", "freq", "profile"))).alias("all"))
+        return written(one.select("vgene", F.col("prof").cast("long").alias("prof"), F.col("all.pos").alias("pos"), F.col("all.freq").alias("freq"), F.col("all.profile").alias("profile")), "profiles")
+
+    def dealt(one: DataFrame, own: str, other: str, blocks: int, others: int) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))
+        return one.select(F.pmod(F.xxhash64("vgene", "prof"), F.lit(blocks)).alias(own), each.alias(other), "vgene", "prof", "pos", "freq", "profile")
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        kinds = [("v1", pa.string()), ("p1", pa.int64()), ("v2", pa.string()), ("p2", pa.int64()), ("d", pa.float64())]
+        if not a.num_rows or not b.num_rows:
+            return pa.schema(kinds).empty_table()
+        width = 1 + max(max(p) for t in (a, b) for p in t.column("pos").to_pylist())
+        v1, p1, f1, x = _dense(a, width)
+        v2, p2, f2, y = _dense(b, width)
+        d = np.array([_divergences(f1[i], x[i], f2, y) for i in range(len(v1))])
+        i, j = np.nonzero(~np.isnan(d))
+        columns = [[v1[k] for k in i], [p1[k] for k in i], [v2[k] for k in j], [p2[k] for k in j], d[i, j]]
+        return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
+
+    one = packed(left)
+    two = packed(right)  # a table of its own even for equal sides: a cogroup needs columns that are told apart
+    counts = [max(1, -(-p.count() // block)) for p in (one, two)]
+    a, b = dealt(one, "b1", "b2", *counts), dealt(two, "b2", "b1", *counts[::-1])
+    return a.groupBy("b1", "b2").cogroup(b.groupBy("b1", "b2")).applyInArrow(compare, "v1 string, p1 long, v2 string, p2 long, d double")
+
+
 def compare_profiles(left: DataFrame, right: DataFrame, indels: DataFrame | None = None) -> DataFrame:
     """``v1, v2, jsd``: freq-weighted Jensen-Shannon divergence of all gene pairs, averaged over pairs of profiles.
 
-    Positions meet by number in an equi join; genes times genes is the stated
-    product. With ``indels (gene, ins, dels)`` the positions that only one gene
+    Genes times genes is the stated product, dealt with block by block
+    (:func:`_block_divergences`); pairs without a common position are left out. With ``indels (gene, ins, dels)`` the positions that only one gene
     of a pair has are left out and the others renumbered first; a pair with a
     gene that is not listed has null.
     """
@@ -98,7 +159,7 @@ def compare_profiles(left: DataFrame, right: DataFrame, indels: DataFrame | None
         b = b.join(pairs, F.col("v2") == F.col("g2")).withColumn("pos2", renumbered("pos2", F.col("cut2"))).where(F.col("pos2").isNotNull()).select("v2", "p2", "pos2", "f2", "y", F.col("g1").alias("from"))
         rows = a.join(b, (F.col("pos") == F.col("pos2")) & (F.col("to") == F.col("v2")) & (F.col("from") == F.col("v1")))
     else:
-        rows = a.join(b, F.col("pos") == F.col("pos2"))
+        return _block_divergences(left, right).groupBy("v1", "v2").agg(F.avg("d").alias("jsd"))
     weight = (F.col("f1") + F.col("f2")) / 2
     per = rows.groupBy("v1", "v2", "p1", "p2").agg((F.sum(weight * jsd(F.col("x"), F.col("y"))) / F.sum(weight)).alias("d"))
     return per.groupBy("v1", "v2").agg(F.avg("d").alias("jsd"))

@@ -227,6 +227,10 @@ def test_merge_pairs(spark):
     pairs = spark.createDataFrame([("x", a[:15]), ("y", "A" * 15)], "id string, seq1 string").withColumn("seq2", F.reverse(F.translate(F.lit(a[5:]), "ACGT", "TGCA")))
     got = {r["id"]: r["merged"] for r in barcodes.merge_pairs(pairs, least_length=10, least_overlap=8, most_diffs=0).collect()}
     assert got == {"x": a, "y": None}
+    # of bases that differ the better one stays; null mates and qualities of another length give null
+    marks = spark.createDataFrame([("x", a[:14] + "T", "I" * 14 + "#", "I" * 15), ("z", a[:15], "I" * 15, "I" * 3), ("n", None, None, "I" * 15)], "id string, seq1 string, qual1 string, qual2 string").withColumn("seq2", F.reverse(F.translate(F.lit(a[5:]), "ACGT", "TGCA")))
+    got = {r["id"]: (r["merged"], r["qual"]) for r in barcodes.merge_pairs(marks, least_length=10, least_overlap=8).collect()}
+    assert got["z"] == got["n"] == (None, None) and got["x"][0] == a and len(got["x"][1]) == 20 and got["x"][1][5] == "J" and got["x"][1][14] < "J"
 
 
 def test_running_clones_follow_the_batch(spark, sf, tmp_path):

@@ -37,8 +37,12 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class _WordHashes(dict):
+    """Hashes of words; only short words are remembered, so that so many of them are bounded in bytes."""
+
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = value
         return value
 
 
@@ -115,12 +119,24 @@ def _counted(docs: DataFrame, keys_of, shards: int) -> DataFrame:
 
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of one shard's packed rows, two at a time, so that memory stays near the shard's size."""
-    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    """Sums of one shard's packed rows.
+
+    Sums of like size are added first, so a key is sorted about log2(rows)
+    times, and what is held stays near twice the shard's size.
+    """
+    runs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add() -> None:
+        (k2, c2), (k1, c1) = runs.pop(), runs.pop()
+        runs.append(_summed(np.concatenate([k1, k2]), np.concatenate([c1, c2])))
+
     for k, c, small in zip(table.column("keys"), table.column("counts"), table.column("small").to_pylist(), strict=True):
-        more = np.frombuffer(k.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), np.uint32 if small else np.uint64).astype(np.int64)
-        keys, counts = _summed(np.concatenate([keys, more[0]]), np.concatenate([counts, more[1]]))
-    return keys, counts
+        runs.append((np.frombuffer(k.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), np.uint32 if small else np.uint64).astype(np.int64)))
+        while len(runs) > 1 and len(runs[-2][0]) <= 2 * len(runs[-1][0]):
+            add()
+    while len(runs) > 1:
+        add()
+    return runs[0] if runs else (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
 def _open(folder: str) -> tuple[fs.FileSystem, str]:

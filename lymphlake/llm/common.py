@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but these six code points.
@@ -25,8 +25,23 @@ def id_crc32(doc_id: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    """Number of words of a text, 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Number of words of a text, 0 for null.
+
+    Each word becomes one letter and all else goes; counting matches would
+    copy the text for each of them.
+    """
+    letters = F.regexp_replace(F.regexp_replace(text, WORD, "w"), r"[\x20\x09-\x0D]+", "")
+    return F.coalesce(F.length(letters), F.lit(0)).cast("long")
+
+
+def map_text(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``docs`` behind ``run``, which sees two columns: ``rest``, all others as one struct, and ``text``.
+
+    So names of any kind pass, those with dots among them.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    boxed = docs.select(F.struct(*(rest or [F.lit(0).alias("none")])).alias("rest"), "text")
+    return boxed.mapInArrow(run, boxed.schema).select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

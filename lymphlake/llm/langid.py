@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lymphlake.llm.common import id_crc32, pieces
+from lymphlake.llm.common import id_crc32, map_text, pieces
 
 #: Bounds of the training sample: windows a language, bytes a window, and the languages, the most frequent first.
 TRAIN_WINDOWS, WINDOW, LANGUAGES = 768, 96, 256
@@ -302,4 +302,4 @@ def keep_identified(docs: DataFrame, least: float = 1.2) -> DataFrame:
             p, _ = identify_texts(net, np.frombuffer(b"".join(texts) or b"\0", np.uint8), offsets)
             yield batch.filter(pa.array((p.max(axis=1) >= min(1.0, least / len(net.languages)) - 1e-9) & (np.diff(offsets) > 0)))
 
-    return docs.where(F.col("text").rlike(r"\p{L}")).mapInArrow(run, docs.schema)
+    return map_text(docs.where(F.col("text").rlike(r"\p{L}")), run)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lymphlake.llm.common import pieces, sha256_hex
+from lymphlake.llm.common import map_text, pieces, sha256_hex
 
 #: Order in which spans of one start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -474,7 +474,7 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in ``text``; a column ``n_chars`` follows the new text. Null stays null."""
-    out = docs.mapInArrow(_redacted, docs.schema)
+    out = map_text(docs, _redacted)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out

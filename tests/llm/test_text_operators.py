@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -103,6 +104,11 @@ def test_language_odd_rows(spark):
     assert by[4]["n_positions"] == 15003
     assert by[5]["held_out"] == (zlib.crc32(b"5") % 3 == 1)
     assert langid.learned(rows.limit(0)) is None
+    # rows without an id, or with one id, are picked by their texts
+    learns = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1)
+    for doc_id in (F.lit(None), F.lit(learns)):
+        found = langid.learned(rows.withColumn("doc_id", doc_id.cast("long")).withColumn("lang", F.lit("en")), windows=10, steps=1)
+        assert found is not None and found.languages == ["en"]
     assert langid.identify(rows.limit(0), None).count() == 0
     assert {r["lang_pred"] for r in langid.identify(rows, None).collect()} == {"und"}
     kept = langid.keep_identified(rows)
@@ -328,6 +334,18 @@ def test_long_runs_are_linear():
         pii.redact_text(text)
 
 
+def test_long_domains_and_locals_are_linear():
+    began = time.time()
+    pii.redact_text("a" * 1_000_000 + " at x." + "de." * 300_000)
+    assert time.time() - began < 6
+
+
+def test_prose_hosts_are_no_addresses():
+    for text in ("call me at home dot com today", "meet at home dot com"):
+        assert pii.added(text, pii.find(text)) == []
+    assert pii.added("write jane at mailer dot com", [])
+
+
 def test_pii_odd_rows(spark):
     got = pii.find_pii(odd(spark)).collect()
     assert len(got) == len(ODD) and all(r["spans"] == "" for r in got if r["doc_id"] in (1, 2, 3))

@@ -20,8 +20,10 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 #: Bytes of long pieces that are merged side by side.
 ROW_BYTES = 1 << 18
-#: Rows of one matrix, and pieces that a worker remembers before it starts anew.
-MATRIX_ROWS, REMEMBERED = 1 << 14, 150_000
+#: Rows of one matrix.
+MATRIX_ROWS = 1 << 14
+#: Bytes of pieces and ids, about, that a worker remembers before it starts anew, and those of the longest piece remembered.
+REMEMBERED, LONGEST = 32 << 20, 64
 _NONE = np.int32(2**31 - 1)
 
 
@@ -97,6 +99,7 @@ class Codec:
         self.bytes = np.array([self.vocabulary[bytes([i])] for i in range(256)], np.int32)
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def _matrix(self, rows: list[bytes], width: int) -> list[tuple[int, ...]]:
         """Every row merges its leftmost pair of minimum rank each round; finished rows leave the matrix."""
@@ -217,42 +220,48 @@ class Codec:
                 heappush(heap, (r, before[i]))
         return tuple(i for i in ids if i >= 0)
 
-    def learn(self, texts: set[str]) -> None:
-        """Encode pieces not met before, in length buckets."""
+    def learn(self, texts: set[str]) -> dict[str, tuple[int, ...]]:
+        """Encode pieces not met before, in length buckets, and remember the short ones."""
         new = [(t, t.encode("utf-8", "surrogatepass")) for t in texts if t not in self.known]
         new.sort(key=lambda x: len(x[1]))
+        fresh: dict[str, tuple[int, ...]] = {}
         start = 0
         for width in WIDTHS:
             while start < len(new) and len(new[start][1]) <= width:
                 stop = start
                 while stop < len(new) and len(new[stop][1]) <= width and stop - start < MATRIX_ROWS:
                     stop += 1
-                for (text, _), ids in zip(new[start:stop], self._matrix([b for _, b in new[start:stop]], width), strict=True):
-                    self.known[text] = ids
+                fresh.update(zip((t for t, _ in new[start:stop]), self._matrix([b for _, b in new[start:stop]], width), strict=True))
                 start = stop
         while start < len(new):
             stop, size = start, 0
             while stop < len(new) and (stop == start or size + len(new[stop][1]) <= ROW_BYTES):
                 size += len(new[stop][1])
                 stop += 1
-            for (text, _), ids in zip(new[start:stop], self._rows([b for _, b in new[start:stop]]), strict=True):
-                self.known[text] = ids
+            fresh.update(zip((t for t, _ in new[start:stop]), self._rows([b for _, b in new[start:stop]]), strict=True))
             start = stop
+        for text, data in new:
+            if len(data) > LONGEST:
+                break
+            self.known[text] = fresh[text]
+            self.held += 200 + 4 * len(data) + 8 * len(fresh[text])  # the objects and their place in the dict
+        return fresh
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
         """Ids of each text; each match of the pattern is encoded by itself."""
-        if len(self.known) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.known.clear()
+            self.held = 0
         cut = [self.split(t) for t in texts]
         unseen: set[str] = set()
         for c in cut:
             unseen.update(c)
-        self.learn(unseen)
+        fresh = self.learn(unseen)
         known = self.known
         for c in cut:
             ids: list[int] = []
             for piece in c:
-                ids += known[piece]
+                ids += known[piece] if piece in known else fresh[piece]
             yield ids
 
     def decode(self, ids: list[int]) -> bytes:
@@ -277,7 +286,7 @@ def encode(docs: DataFrame, path: str, pattern: str, columns: list[str] | None =
     and fails if they do not give the text back. Null text counts as empty: no
     ids, no bytes. Input columns named ``ids`` or ``decoded`` are replaced.
     Special tokens do not exist: their strings are ordinary text. Memory per
-    worker is bounded by pieces of batches and a vocabulary of remembered pieces.
+    worker is bounded by pieces of batches and the bytes of remembered short pieces.
     """
     added = ["ids", "decoded"] if decoded else ["ids"]
     kept = [c for c in (docs.columns if columns is None else columns) if c not in added]

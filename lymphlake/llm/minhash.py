@@ -35,8 +35,12 @@ _P = _SEED.integers(1, 2**62, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64
 
 
 class _WordHashes(dict):
+    """Hashes of words; only short words are remembered, so that so many of them are bounded in bytes."""
+
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = value
         return value
 
 
@@ -399,15 +403,17 @@ def keep_first(docs: DataFrame, once: bool = False) -> DataFrame:
     """
     judged = _grouped(docs).where(F.col("class").isNotNull())
     first = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))
-    rows = judged.groupBy("doc_id", "key").agg(F.max(~first).alias("_gone"), F.count(F.lit(1)).alias("n"))
+    rows = judged.groupBy("doc_id", "key").agg(F.max(~first).alias("gone"), F.count(F.lit(1)).alias("n"))
     repeated = (F.col("n") > 1) & (F.lit(once) | F.col("doc_id").isNull())
-    marked = written(rows.where(F.col("_gone") | repeated).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_gone"), "near-marked")
-    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (_key(F.col("text")) == F.col("_key"))
+    marked = written(rows.where(F.col("gone") | repeated).select(F.col("doc_id").alias("of_id"), F.col("key").alias("of_key"), "gone"), "near-marked")
+    # rows travel whole in one column, so that no name of theirs can clash
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), _key(F.col("text")).alias("key"))
+    mine = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))
     # a join by shuffle at every size: what goes grows with the documents
-    kept = docs.join(marked.hint("merge"), mine, "left_anti")
-    if not marked.where(~F.col("_gone")).take(1):
+    kept = whole.join(marked.hint("merge"), mine, "left_anti").select("row.*")
+    if not marked.where(~F.col("gone")).take(1):
         return kept
-    order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
-    again = docs.join(marked.where(~F.col("_gone")), mine, "left_semi")
-    one = again.groupBy(F.col("doc_id").cast("long").alias("_id"), _key(F.col("text")).alias("_key")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("_row"))
-    return kept.unionByName(one.select("_row.*"))
+    order = F.xxhash64(*[F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    again = whole.join(marked.where(~F.col("gone")), mine, "left_semi")
+    one = again.groupBy("id", "key").agg(F.min_by("row", order).alias("row"))
+    return kept.unionByName(one.select("row.*"))

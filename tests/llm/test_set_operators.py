@@ -486,3 +486,19 @@ def test_pipeline_stages(spark, sf):
     assert counts.max() <= 2 and set(counts.index) <= set(seen["personal_data"].doc_id)
     assert len(seen["tokens"]) == len(seen["mix"]) and (seen["tokens"].n_tokens > 0).all()
     assert json.dumps([n for n, _ in corpus_pipeline.STAGES])
+
+
+def test_stages_keep_odd_rows_and_clashing_columns(spark, sf):
+    names = ("size", "taken", "target", "source_size", "_copy", "_id", "_key", "_row", "row", "key", "id", "a.b")
+    rows = [*ODD, (20, "word " * 100_000, "en", "s"), (21, None, None, None)]
+    wide = spark.createDataFrame([(*r, 7, *[f"{n}-{i}" for n in names]) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    given = {tuple(r[5:]) for r in wide.collect()}
+    for docs in (wide, wide.limit(0), wide.where("text IS NULL")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, sf)
+            assert out.columns == wide.columns and [t for _, t in out.dtypes] == [t for _, t in wide.dtypes], name
+            assert {tuple(r[5:]) for r in out.collect()} <= given, name
+        assert corpus_pipeline.tokens(spark, docs, sf).count() == docs.count()
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.personal_data):
+        assert len({r[5] for r in stage(spark, wide, sf).collect()}) >= 8
+    assert {r["size"] for r in corpus_pipeline.mix(spark, wide, sf).collect()} <= {f"size-{i}" for i in range(len(rows))}

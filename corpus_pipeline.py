@@ -49,9 +49,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is a source of its own. Texts without words have no size, so
     the mix takes none of them. Repeated rows are documents of their own.
     """
-    mixed = mixing.fair_mix(docs)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # travels whole, so that no name can clash
+    mixed = mixing.fair_mix(docs.select(row.alias("row"), "doc_id", "source", mixing.n_words(F.col("text")).alias("words")), size="words")
     copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(docs.columns)
+    return mixed.select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lymphlake.llm.common import id_crc32
 from lymphlake.operators.order import ranked
-from lymphlake.plans.tables import written
+from lymphlake.plans.tables import few_files, written
 
 #: Children of a node.
 FAN = 8
@@ -48,11 +48,12 @@ def _siblings(nodes: DataFrame, fan: int) -> DataFrame:
 def tree(nodes: DataFrame, fan: int = FAN) -> list[DataFrame]:
     """The levels of every group's tree, leaves first: ``group, pos, n, digest`` (``n``: nodes of the group on that level).
 
-    ``nodes`` is such a table of leaves, written. The last level has one node
-    a group, its root. Groups that end earlier keep their root as it is.
+    ``nodes`` is such a table of leaves. The last level has one node a group,
+    its root. Groups that end earlier keep their root as it is.
     """
     levels = [nodes]
-    most = nodes.agg(F.max("n")).first()[0] or 1
+    most, rows, groups = nodes.agg(F.max("n"), F.count(F.lit(1)), F.sum((F.col("pos") == 0).cast("long"))).first()
+    most = most or 1
     while most > 1:
         parents = _siblings(levels[-1].select("group", "pos", "n", "digest"), fan).where(F.col("pos") % fan == 0)
         parents = parents.select(
@@ -61,7 +62,8 @@ def tree(nodes: DataFrame, fan: int = FAN) -> list[DataFrame]:
             F.ceil(F.col("n") / fan).alias("n"),
             F.when(F.col("n") > 1, digest(F.col("digest"), F.col("right"))).otherwise(F.col("digest")).alias("digest"),
         )
-        levels.append(written(parents, "merkle-level"))
+        rows = (rows or 0) // fan + groups  # at most
+        levels.append(written(few_files(parents, rows), "merkle-level"))
         most = -(-most // fan)
     return levels
 
@@ -105,11 +107,10 @@ def manifest(leaves: DataFrame, order: list[str], fan: int = FAN) -> DataFrame:
     same way. ``path`` lists from the leaf to the root what stands left and
     right of it in its run. An empty table gives an empty result.
     """
-    level0 = written(_placed(leaves, [*order, "digest"]), "merkle-leaves")
-    levels = tree(level0, fan)
+    # written: behind the join by group the windows would take its partitions, and a large group would be one task
+    levels = tree(written(_placed(leaves, [*order, "digest"]), "merkle-leaves"), fan)
     groups = levels[-1].select(F.lit("").alias("group"), F.col("group").alias("of"), "digest")
-    top0 = written(_placed(groups, ["of"]), "merkle-groups")
-    top = tree(top0, fan)
+    top = tree(written(_placed(groups, ["of"]), "merkle-groups"), fan)
     end = top[-1].select("group", F.col("digest").alias("root"), F.array().cast("array<struct<left:string,right:string>>").alias("path"))
     roots = paths(top, end, fan).select(F.col("of").alias("group"), F.col("digest").alias("subroot"), "root", "path")
     return paths(levels, written(roots, "merkle-roots"), fan).select(*leaves.columns, "subroot", "root", "path")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,27 +42,26 @@ def collapse_redundant(table: DataFrame, least: float = 0.97) -> DataFrame:
 
     Within a cell and locus, chains stand by duplicate_count (largest first)
     and id; a chain joins the first kept one of the same V and J gene whose
-    junction of equal length agrees in at least ``least`` of its places. Done
-    per cell: a cell has a few chains, and a fold over its sorted array keeps
-    the list of kept ones. Rows without a cell are no cell: each stays as it is.
+    junction of equal length agrees in at least ``least`` of its places. Equal
+    junctions of the same genes always go together, so they are summed before
+    the cells meet, and only distinct ones are clustered
+    (:func:`clones.cluster_blocks`): a cell with many copies costs its distinct
+    chains. Rows without a cell, gene or junction are like no other: each stays as it is.
     """
-    from lymphlake.functions.seq import gene_of, hamming
-
-    chain = F.struct((-F.col("duplicate_count")).alias("order"), F.col("sequence_id").alias("sequence_id"), gene_of(F.col("v_call")).alias("v"), gene_of(F.col("j_call")).alias("j"), F.col("junction").alias("junction"), F.col("status").alias("status"), F.col("duplicate_count").alias("total"), F.lit(1).alias("n"))
-    cells = table.where(F.col("cell_id").isNotNull()).groupBy("cell_id", "locus").agg(F.sort_array(F.collect_list(chain)).alias("chains"))
-    none = F.slice("chains", 1, 0)
-
-    def same(k: Column, c: Column) -> Column:
-        return (k["v"] == c["v"]) & (k["j"] == c["j"]) & (F.length(k["junction"]) == F.length(c["junction"])) & (hamming(k["junction"], c["junction"]) <= (1 - least) * F.length(c["junction"]) + 1e-9)
-
-    def add(kept: Column, c: Column) -> Column:
-        first = F.element_at(F.filter(F.transform(kept, lambda k: F.when(same(k, c), k["sequence_id"])), lambda x: x.isNotNull()), 1)
-        joined = F.transform(kept, lambda k: F.when(k["sequence_id"] == first, k.withField("total", k["total"] + c["total"]).withField("n", k["n"] + 1)).otherwise(k))
-        return F.when(F.size(F.filter(kept, lambda k: same(k, c))) > 0, joined).otherwise(F.concat(kept, F.array(c)))
-
-    kept = cells.select("cell_id", "locus", F.explode(F.aggregate("chains", none, add)).alias("k"))
-    kept = kept.select("cell_id", "locus", "k.sequence_id", "k.status", "k.junction", F.col("k.total").alias("duplicate_count"), F.col("k.n").alias("n_merged"))
-    alone = table.where(F.col("cell_id").isNull()).select("cell_id", "locus", "sequence_id", "status", "junction", "duplicate_count", F.lit(1).alias("n_merged"))
+    from lymphlake.functions.seq import gene_of
+    from lymphlake.operators.clones import cluster_blocks
+
+    keys = ("cell_id", "locus", "v", "j", "junction")
+    chains = table.select("cell_id", "locus", gene_of(F.col("v_call")).alias("v"), gene_of(F.col("j_call")).alias("j"), "junction", "sequence_id", "status", "duplicate_count")
+    whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in ("cell_id", "v", "j", "junction")])
+    first = F.min(F.struct((-F.col("duplicate_count")).alias("order"), "sequence_id", "status")).alias("first")
+    equal = chains.where(whole).groupBy(*keys).agg(first, F.sum("duplicate_count").alias("total"), F.count(F.lit(1)).alias("n"))
+    equal = written(equal.withColumn("k", F.monotonically_increasing_id().cast("string")), "cell-chains")
+    block = [F.col("cell_id"), F.col("locus"), F.col("v"), F.col("j"), F.length("junction")]
+    found = cluster_blocks(equal, block, "k", "junction", [F.col("first.order").alias("a"), F.col("first.sequence_id").alias("b")], least)
+    sums = equal.select(F.col("k").alias("_k"), "total", "n").join(found.select("k", "centroid"), F.col("_k") == F.col("k")).groupBy("centroid").agg(F.sum("total").alias("duplicate_count"), F.sum("n").cast("int").alias("n_merged"))
+    kept = equal.join(sums, F.col("k") == F.col("centroid")).select("cell_id", "locus", "first.sequence_id", "first.status", "junction", "duplicate_count", "n_merged")
+    alone = chains.where(~whole).select("cell_id", "locus", "sequence_id", "status", "junction", "duplicate_count", F.lit(1).alias("n_merged"))
     return kept.unionByName(alone)
 
 

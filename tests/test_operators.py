@@ -165,6 +165,17 @@ def test_redundant_chains(spark):
     assert got == {"a": (8, 2), "d": (2, 1)}
 
 
+def test_copies_of_a_chain_are_summed_before_the_cells_meet(spark):
+    """No cell is gathered, copies of any number follow their chain, and one without a count adds nothing."""
+    n = F.col("id")
+    junction = F.concat(F.repeat(F.lit("A"), 39), F.substr(F.lit("ACGT"), (1 + n % 4).cast("int"), F.lit(1)))
+    t = spark.range(4_000).select(F.lit("c").alias("cell_id"), F.lit("IGH").alias("locus"), F.format_string("s%05d", n).alias("sequence_id"), F.lit("IGHV1-1*01").alias("v_call"), F.lit("IGHJ1*01").alias("j_call"), F.when(n == 7, F.lit("C" * 40)).when(n > 7, junction).otherwise(F.repeat(F.lit("A"), 40)).alias("junction"), F.lit("good").alias("status"), F.when(n == 3, None).when(n == 2, 9).otherwise(1).cast("long").alias("duplicate_count"))
+    kept = cells.collapse_redundant(t)
+    assert "collect_list" not in kept._jdf.queryExecution().toString()
+    assert sum(r["duplicate_count"] for r in kept.collect()) == 4_000 - 1 + 8
+    assert {r["n_merged"] for r in kept.collect()} == {1, 3_999}
+
+
 def test_umi_consensus(spark):
     rows = [("c", "u", "ACGTACGTACGTACGTACGT")] * 3 + [("c", "u", "ACGTACGTACGTACGTACGA"), ("c", "u", "TTTTTTTTTTTTTTTTTTTT"), ("c", "w", "ACGT")]
     got = barcodes.largest_cluster(spark.createDataFrame(rows, "cell string, umi string, seq string")).collect()

@@ -22,41 +22,115 @@ from lymphlake.operators.hits import seed_votes
 X_DROP, GAP_DROP = 10, 50
 
 
-def _words(df: DataFrame, seq: Column, k: int, *names: str) -> DataFrame:
-    at = F.when(F.length(seq) >= k, F.sequence(F.lit(0), F.length(seq) - k))
-    return df.select(*names, seq.alias("_s"), F.explode_outer(at).alias("at")).where(F.col("at").isNotNull()).select(*names, "at", F.substr("_s", F.col("at") + 1, F.lit(k)).alias("word"))
-
-
 def _turned(strand: Column, seq: Column) -> Column:
     return F.when(strand == "plus", F.upper(seq)).otherwise(revcomp(F.upper(seq)))
 
 
-def seed_stretches(reads: DataFrame, germline: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+#: Bytes of places that are compared at once, few enough for a core's cache, and pairs at once.
+BLOCK_PLACES, BLOCK_PAIRS = 1 << 19, 64
+
+
+def _letters(seqs: list[str], dtype: type) -> np.ndarray:
+    """One row a sequence, ends padded by 0, which no sequence holds."""
+    return np.array(seqs).view(np.uint32).reshape(len(seqs), -1).astype(dtype)
+
+
+def shared_runs(reads: list[str], genes: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(pair, qstart, diagonal, length)`` of the longest runs of equal places of reads with their alleles, of at least ``k`` places, in that order.
+
+    All diagonals of some pairs are compared at once; long pairs are cut into ranges of diagonals.
+    """
+    dtype = np.uint8 if all(map(str.isascii, reads)) and all(map(str.isascii, genes)) else np.uint32
+    x, y = _letters(reads, dtype), _letters(genes, dtype)
+    n, wide = x.shape
+    x = np.concatenate([x, np.zeros((n, 1), dtype)], axis=1)
+    x[x == 0] = np.iinfo(dtype).max  # the ends of reads equal no place, so no run goes on in the next row
+    padded = np.zeros((n, y.shape[1] + 2 * wide + 1), dtype)
+    padded[:, wide : wide + y.shape[1]] = y
+    lowest, highest = k - y.shape[1], wide - k
+    each = max(1, BLOCK_PLACES // (n * (wide + 1)))
+    found = []
+    for low in range(lowest, highest + 1, each):
+        many = min(each, highest + 1 - low)
+        others = np.lib.stride_tricks.as_strided(padded[:, wide - low :], (n, many, wide + 1), (padded.strides[0], -padded.itemsize, padded.itemsize))
+        word, size = (x[:, None, :] == others).ravel(), 1
+        while size < k:  # words of ``size`` equal places from each place on
+            step = min(size, k - size)
+            word, size = word[:-step] & word[step:], size + step
+        at = np.flatnonzero(word)
+        if len(at):
+            breaks = np.flatnonzero(np.diff(at) != 1)
+            begin, end = at[np.concatenate([[0], breaks + 1])], at[np.concatenate([breaks, [len(at) - 1]])]
+            row, qstart = np.divmod(begin, wide + 1)
+            found.append((row // many, qstart, row % many + low, end - begin + k))
+    if not found:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    pair, qstart, diagonal, length = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((diagonal, qstart, pair))
+    return pair[order], qstart[order], diagonal[order], length[order]
+
+
+def packed_stretches(pairs: DataFrame, germline: DataFrame, k: int) -> DataFrame:
+    """``pairs`` (``id, allele, strand, seq`` and any other columns) with ``gene`` and ``all``: their stretches ``(qstart, diagonal, length)`` in order.
+
+    Pairs without one are left out. A pair's stretches are found in its own
+    row, on all diagonals of many pairs at once, so that no word travels.
+    """
+    library = germline.select(F.col("allele").alias("_a"), F.upper("seq").alias("gene")).where(F.length("gene") >= k)
+    rows = pairs.where(F.length("seq") >= k).withColumn("_turned", _turned(F.col("strand"), F.col("seq"))).join(library, F.col("allele") == F.col("_a")).drop("_a")
+    names = [c for c in rows.columns if c != "_turned"]
+    stretch = pa.struct([("qstart", pa.int32()), ("diagonal", pa.int32()), ("length", pa.int32())])
+    kind = "array<struct<qstart:int,diagonal:int,length:int>>"
+    schema = rows.select(*names, F.lit(None).cast(kind).alias("all")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reads, genes = batch.column("_turned").to_pylist(), batch.column("gene").to_pylist()
+            keep, sizes, parts = [], [], []
+            order = sorted(range(len(reads)), key=lambda i: len(reads[i]))
+            for at in range(0, len(order), BLOCK_PAIRS):
+                own = order[at : at + BLOCK_PAIRS]
+                pair, *values = shared_runs([reads[i] for i in own], [genes[i] for i in own], k)
+                n = np.bincount(pair, minlength=len(own))
+                some = np.flatnonzero(n)
+                keep += [own[i] for i in some]
+                sizes.append(n[some])
+                parts.append(values)
+            if keep:
+                values = [pa.array(np.concatenate(c).astype(np.int32)) for c in zip(*parts, strict=True)]
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(values, fields=list(stretch)))
+                kept = batch.take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in names), lists], names=[*names, "all"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def seed_stretches(reads: DataFrame | None, germline: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """``id, allele, strand, diagonal, qstart, length``: the longest runs of shared words on one diagonal, of at least ``k`` places.
 
-    ``pairs`` has ``id, allele, strand``: what is looked at. On the minus
-    strand places are those of the reverse complement. Places count from 0.
+    ``pairs`` has ``id, allele, strand``: what is looked at; with ``seq`` as well
+    (``reads`` None) nothing has to be joined. On the minus strand places are
+    those of the reverse complement. Places count from 0.
     """
-    turned = pairs.select("id", "allele", "strand").join(reads.select(F.col("id").alias("_i"), "seq"), F.col("id") == F.col("_i"))
-    own = _words(turned, _turned(F.col("strand"), F.col("seq")), k, "id", "allele", "strand")
-    library = _words(germline, F.upper("seq"), k, "allele").select(F.col("allele").alias("_a"), F.col("at").alias("place"), F.col("word").alias("_w"))
-    seeds = own.join(library, (F.col("allele") == F.col("_a")) & (F.col("word") == F.col("_w"))).select("id", "allele", "strand", (F.col("at") - F.col("place")).alias("diagonal"), "at")
-    run = F.col("at") - F.row_number().over(Window.partitionBy("id", "allele", "strand", "diagonal").orderBy("at"))
-    runs = seeds.withColumn("_run", run).groupBy("id", "allele", "strand", "diagonal", "_run")
-    return runs.agg(F.min("at").alias("qstart"), (F.count(F.lit(1)) + k - 1).cast("int").alias("length")).drop("_run")
+    if reads is not None:
+        pairs = pairs.select("id", "allele", "strand").join(reads.select(F.col("id").alias("_i"), "seq"), F.col("id") == F.col("_i")).drop("_i")
+    found = packed_stretches(pairs.select("id", "allele", "strand", "seq"), germline, k).select("id", "allele", "strand", F.explode("all").alias("s"))
+    return found.select("id", "allele", "strand", "s.diagonal", "s.qstart", "s.length")
 
 
 def seed_chains(stretches: DataFrame, costs: tuple[int, int, int] = COSTS) -> DataFrame:
     """``id, allele, strand, score, stretches``: the best chain of exact stretches of each pair, and how many stretches it was found among.
 
+    ``stretches`` has one row a stretch, or one a pair with all of them
+    (:func:`packed_stretches`), which needs no shuffle.
     In a chain each stretch lies behind the one before in the read and in the
     allele; where they overlap, the later one gives the overlap up. Between two
     diagonals a gap is paid for, and places that no stretch covers, in the
     read or the allele, whichever are fewer, count as mismatches.
     """
+    rows = stretches if "all" in stretches.columns else stretches.groupBy("id", "allele", "strand").agg(F.array_sort(F.collect_list(F.struct("qstart", "diagonal", "length"))).alias("all"))
     mismatch, opened, place = costs
-    s = F.struct("qstart", "diagonal", "length")
-    rows = stretches.groupBy("id", "allele", "strand").agg(F.array_sort(F.collect_list(s)).alias("all"))
 
     def ends(x: Column) -> tuple[Column, Column, Column, Column]:
         return x["qstart"], x["qstart"] + x["length"], x["qstart"] - x["diagonal"], x["qstart"] - x["diagonal"] + x["length"]
@@ -173,10 +247,8 @@ def local_hit_table(reads: DataFrame, germline: DataFrame, segment: str = "V", e
     """
     once = reads.where(F.length("seq") > 0).groupBy(F.upper("seq").alias("seq")).agg(F.min("id").alias("id"))
     k = WORD_SIZES[segment]
-    pairs = seed_votes(once, germline, k, keep).select("id", "allele", "strand")
-    found = seed_stretches(once, germline, pairs, k).groupBy("id", "allele", "strand").agg(F.collect_list(F.struct("qstart", "diagonal", "length")).alias("stretches"))
-    rows = found.join(once.select(F.col("id").alias("_i"), F.col("seq").alias("read")), F.col("id") == F.col("_i")).join(germline.select(F.col("allele").alias("_a"), F.upper("seq").alias("gene")), F.col("allele") == F.col("_a"))
-    rows = rows.select("id", "allele", "strand", _turned(F.col("strand"), F.col("read")).alias("read"), "gene", "stretches")
+    pairs = seed_votes(once, germline, k, keep).select("id", "allele", "strand").join(once.select(F.col("id").alias("_i"), "seq"), F.col("id") == F.col("_i")).drop("_i")
+    rows = packed_stretches(spread(pairs), germline, k).select("id", "allele", "strand", _turned(F.col("strand"), F.col("seq")).alias("read"), "gene", F.col("all").alias("stretches"))
     library = germline.agg(F.sum(F.length("seq"))).first()[0] or 0
     kinds = (pa.string(), pa.string(), pa.float64(), *[pa.int32()] * 7, pa.float64(), pa.string())
     names = [x.split()[0] for x in HIT_SCHEMA.split(", ")]
@@ -196,7 +268,7 @@ def local_hit_table(reads: DataFrame, germline: DataFrame, segment: str = "V", e
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     best = F.max("score").over(Window.partitionBy("qid", "sid"))
-    hits = spread(rows).mapInArrow(run, HIT_SCHEMA).where(F.col("identity") >= IDENTITIES.get(segment, 0.0)).withColumn("_best", best)
+    hits = rows.mapInArrow(run, HIT_SCHEMA).where(F.col("identity") >= IDENTITIES.get(segment, 0.0)).withColumn("_best", best)
     ranked = hits.withColumn("_identity", F.max("identity").over(Window.partitionBy("qid", "sid")))
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("_best"), F.desc("_identity"), "sid", F.desc("score"), "qstart"))
     ranked = ranked.withColumn("hit_rank", rank).drop("_best", "_identity")

@@ -493,3 +493,30 @@ def test_greedy_rounds_equal_one_task(spark):
     one, many = (clones.cluster_blocks(t, [F.col("g"), F.length("seq")], "id", "seq", order, 0.9, block_rows=n).collect() for n in (4096, 0))
     assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and len(one) == 152
     assert len({r["centroid"] for r in one}) > 6
+
+
+def test_stretches_are_found_in_the_row_of_a_pair(spark):
+    """All runs of equal places on every diagonal, of pairs of any lengths, without a word shuffled; chains of packed ones are those of flat ones."""
+    deal = random.Random(5)
+    genes = {f"g{i}": "".join(deal.choice("ACGTN") for _ in range(n)) for i, n in enumerate((3, 5, 40, 300))}
+    reads = [(f"r{i}", "".join(deal.choice("acgtN") for _ in range(n))) for i, n in enumerate((0, 4, 5, 60, 700))] + [("whole", genes["g3"]), ("empty", None)]
+    pairs = [(i, a, "plus", s) for i, s in reads for a in genes] + [("turned", "g3", "minus", genes["g3"].translate(str.maketrans("ACGT", "TGCA"))[::-1])]
+    want = set()
+    for i, a, strand, s in pairs:
+        x, y = (s or "").upper() if strand == "plus" else genes["g3"], genes[a]
+        for d in range(-len(y), len(x) + 1):
+            begin = None
+            for q in range(max(0, d), min(len(x), len(y) + d) + 1):
+                same = q < min(len(x), len(y) + d) and x[q] == y[q - d]
+                begin = q if same and begin is None else begin
+                if not same and begin is not None:
+                    want |= {(i, a, strand, d, begin, q - begin)} if q - begin >= 5 else set()
+                    begin = None
+    library = spark.createDataFrame(list(genes.items()), "allele string, seq string")
+    rows = spark.createDataFrame(pairs, "id string, allele string, strand string, seq string")
+    found = hsp.seed_stretches(rows.select("id", "seq").distinct(), library, rows, 5)
+    assert "Window" not in found._jdf.queryExecution().toString()
+    got = [tuple(r) for r in found.collect()]
+    assert set(got) == want and len(got) == len(want) and ("turned", "g3", "minus", 0, 0, 300) in want
+    packed = hsp.seed_chains(hsp.packed_stretches(rows, library, 5))
+    assert sorted(packed.collect()) == sorted(hsp.seed_chains(found).collect())

@@ -303,11 +303,19 @@ def representatives(members: DataFrame, weight: str = "duplicate_count") -> Data
 
     Members of a clone have one length. Each place's residues are weighted by
     abundance; a member's score is the sum over its places; ties go to the
-    smaller id. Weights are summed per (clone, place, residue) before the shuffle.
+    smaller id. Equal members of a clone have one score, so they are summed
+    before the shuffle and only distinct ones are taken apart. The weights of a
+    clone, at most its length times the letters, are one row, which meets its
+    distinct members whole: no place of a member is shuffled to be scored.
     """
-    places = members.select("clone", "sequence_id", F.col(weight).alias("w"), F.posexplode(F.split("junction", "")).alias("pos", "aa"))
-    weights = places.groupBy("clone", "pos", "aa").agg(F.sum("w").alias("weight"))
-    w = weights.select(F.col("clone").alias("_c"), F.col("pos").alias("_p"), F.col("aa").alias("_a"), "weight")
-    scored = places.join(w, (F.col("clone") == F.col("_c")) & (F.col("pos") == F.col("_p")) & (F.col("aa") == F.col("_a"))).groupBy("clone", "sequence_id").agg(F.sum("weight").alias("score"))
+    distinct = members.where(F.col("clone").isNotNull() & F.col("junction").isNotNull()).groupBy("clone", "junction").agg(F.min("sequence_id").alias("sequence_id"), F.sum(weight).alias("w"))
+    distinct = written(distinct, "clone-members")
+    letters = F.split("junction", "")
+    weights = distinct.select("clone", "w", F.posexplode(letters).alias("pos", "aa")).groupBy("clone", "pos", "aa").agg(F.sum("w").alias("weight"))
+    places = weights.groupBy("clone", "pos").agg(F.map_from_entries(F.collect_list(F.struct("aa", "weight"))).alias("of"))
+    profile = places.groupBy(F.col("clone").alias("_c")).agg(F.map_from_entries(F.collect_list(F.struct("pos", "of"))).alias("of"))
+    parts = F.filter(F.transform(letters, lambda aa, i: F.col("of")[i][aa]), lambda x: x.isNotNull())
+    score = F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0).cast(weights.schema["weight"].dataType), lambda a, x: a + x))
+    scored = distinct.join(profile, F.col("clone") == F.col("_c")).select("clone", "sequence_id", score.alias("score"))
     best = scored.groupBy("clone").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("sequence_id").alias("i"))).alias("b"))
     return best.select("clone", F.col("b.i").alias("sequence_id"), (-F.col("b.s")).alias("score"))

@@ -520,3 +520,11 @@ def test_stretches_are_found_in_the_row_of_a_pair(spark):
     assert set(got) == want and len(got) == len(want) and ("turned", "g3", "minus", 0, 0, 300) in want
     packed = hsp.seed_chains(hsp.packed_stretches(rows, library, 5))
     assert sorted(packed.collect()) == sorted(hsp.seed_chains(found).collect())
+
+
+def test_representatives_of_many_copies(spark):
+    """Equal members are summed before places are taken apart; the first id of the best sequence stands for its copies."""
+    rows = [("k", f"s{i:03}", "ACGT" if i % 2 else "ACGA", 1) for i in range(100)] + [("k", "t", "ACGT", 5), ("m", "u", "", 2), ("m", "v", None, 9), (None, "w", "A", 1)]
+    found = clones.representatives(spark.createDataFrame(rows, "clone string, sequence_id string, junction string, duplicate_count long"))
+    assert sorted(map(tuple, found.collect())) == [("k", "s001", 3 * 105 + 55), ("m", "u", 2)]
+    assert found._jdf.queryExecution().analyzed().toString().count("Generate posexplode") == 1  # the weights; members are scored whole

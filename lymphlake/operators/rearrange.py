@@ -26,9 +26,18 @@ def rearranged(reads: DataFrame, v: DataFrame, j: DataFrame, d: DataFrame | None
     what follows V, D before J and C behind it. Each segment's hits are
     written, so that a lost executor costs one search. Reads without V (``noV``)
     or J (``noJ``) keep the calls that they have; their other columns are null.
-    Null and empty reads have no V. Repeated ids are reads of their own only if
-    their sequences are told apart by the caller.
+    Null and empty reads have no V. What a read gets depends on its sequence
+    only, so equal reads are annotated once, and a read meets its row by sequence.
     """
+    rows = reads.select(F.col("id").alias("sequence_id"), F.upper("seq").alias("_s"))
+    once = written(rows.where(F.length("_s") > 0).select(F.col("_s").alias("seq")).distinct().withColumn("id", F.monotonically_increasing_id().cast("string")), "reads-once")
+    found = written(_rearranged(once, v, j, d, c, nterm).join(once, F.col("sequence_id") == F.col("id")).select("seq", *COLUMNS), "reads-found")
+    none = {"status": F.coalesce("status", F.lit("noV"))}
+    return rows.join(found, F.col("_s") == F.col("seq"), "left").withColumns(none).select("sequence_id", *COLUMNS)
+
+
+def _rearranged(reads: DataFrame, v: DataFrame, j: DataFrame, d: DataFrame | None, c: DataFrame | None, nterm: str) -> DataFrame:
+    """:func:`rearranged` of distinct reads with ids of their own."""
     v_hits = written(local_hit_table(reads, v, "V"), "hits-v")
     best = merged_hits(v_hits).select(F.col("qid"), F.col("sid").alias("v_sid"), F.col("strand").alias("v_strand"), "n_parts", *[F.col(x).alias(f"v_{x}") for x in ("qstart", "qend", "sstart", "send")])
     best = best.join(top_hits(v_hits).select(F.col("qid").alias("_q"), F.col("identity").alias("v_identity")), F.col("qid") == F.col("_q")).drop("_q")

@@ -528,3 +528,14 @@ def test_representatives_of_many_copies(spark):
     found = clones.representatives(spark.createDataFrame(rows, "clone string, sequence_id string, junction string, duplicate_count long"))
     assert sorted(map(tuple, found.collect())) == [("k", "s001", 3 * 105 + 55), ("m", "u", 2)]
     assert found._jdf.queryExecution().analyzed().toString().count("Generate posexplode") == 1  # the weights; members are scored whole
+
+
+def test_equal_reads_are_annotated_once(spark):
+    """Copies, turned ones and repeated ids each get the row of their own sequence."""
+    v = spark.createDataFrame([("IGHV1-1*01", "CAGGTGCAGCTGGTGCAGTCTGGGGCTGAGGTGAAGAAGCCTGGGTCCTCGGTGTATTACTGTGCGAGA")], "allele string, seq string")
+    j = spark.createDataFrame([("IGHJ4*01", "ACTACTTTGACTACTGGGGCCAAGGAACCCTGGTCACCGTCTCCTCAG")], "allele string, seq string")
+    whole = v.first()["seq"] + "GGG" + j.first()["seq"]
+    seqs = [("a", whole), ("b", whole.lower()), ("a", v.first()["seq"]), ("a", None)]
+    got = rearrange.rearranged(spark.createDataFrame(seqs, "id string, seq string"), v, j).collect()
+    assert sorted((r["sequence_id"], r["status"], r["v_call"] is not None, r["junction"] is not None) for r in got) == [("a", "noJ", True, False), ("a", "noV", False, False), *[(x, got_status, True, True) for x, got_status in sorted((r["sequence_id"], r["status"]) for r in got if r["j_call"])]]
+    assert len(got) == 4

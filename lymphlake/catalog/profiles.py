@@ -91,7 +91,7 @@ def logo_heights(spark, d):
 
 @query("aligned_residues", sql="SELECT vgene, draw, read_id FROM (SELECT DISTINCT vgene, read_id FROM aligned_residues), (SELECT unnest([1, 2, 3]) AS draw) QUALIFY row_number() OVER (PARTITION BY vgene, draw ORDER BY md5(read_id || ':' || draw || ':0'), read_id) <= 50")
 def random_sub_profiles(spark, d):
-    return P.sub_profiles(view(spark, d, "aligned_residues").select("vgene", "read_id").distinct(), 3, 50)
+    return P.sub_profiles(view(spark, d, "aligned_residues").select("vgene", "read_id"), 3, 50)
 
 
 @query("aligned_residues", ctes_more="b AS (SELECT vgene, pos, aa FROM (SELECT vgene, pos, aa, count(*) AS k FROM aligned_residues GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY vgene, pos ORDER BY k DESC, aa) = 1)", sql="SELECT vgene, string_agg(aa, '' ORDER BY pos) AS consensus FROM b GROUP BY vgene")

@@ -199,15 +199,31 @@ def logo_heights(profiles: DataFrame) -> DataFrame:
 
 
 def sub_profiles(reads: DataFrame, draws: int, n: int, seed: int = 0) -> DataFrame:
-    """``vgene, draw, read_id``: ``draws`` samples of ``n`` reads of each gene without replacement.
+    """``vgene, draw, read_id``: ``draws`` samples of ``n`` of each gene's distinct reads without replacement.
 
-    The order of a draw is the md5 of id, draw and seed. The window is cut to
-    n rows before the shuffle (a group limit), so a hot gene does not fill a task.
+    The order of a draw is the md5 of id, draw and seed. Its first n are below
+    a bound that follows from the gene's number of reads, since an md5 is even:
+    only rows below it are made distinct and sorted. A gene that has fewer than
+    n of them in a draw takes a bound eight times as high, up to all of its rows.
     """
     rows = reads.select("vgene", "read_id").withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    order = F.md5(F.concat_ws(":", F.col("read_id").cast("string"), F.col("draw").cast("string"), F.lit(str(seed))))
-    rank = F.row_number().over(Window.partitionBy("vgene", "draw").orderBy(order, "read_id"))
-    return rows.withColumn("_n", rank).where(F.col("_n") <= n).drop("_n")
+    rows = rows.withColumn("_md5", F.md5(F.concat_ws(":", F.col("read_id").cast("string"), F.col("draw").cast("string"), F.lit(str(seed)))))
+    place = F.conv(F.substring("_md5", 1, 8), 16, 10).cast("double") / 2.0**32
+    rank = F.row_number().over(Window.partitionBy("vgene", "draw").orderBy("_md5", "read_id"))
+    genes = reads.groupBy(F.col("vgene").alias("_v")).agg(F.approx_count_distinct("read_id").alias("_reads"))
+    bounds = written(genes.select("_v", F.least(F.lit(1.0), (4 * n + 100) / F.greatest(F.col("_reads"), F.lit(1))).alias("_bound")), "draw-bounds")
+    out = None
+    while True:
+        below = rows.join(bounds, F.col("vgene").eqNullSafe(F.col("_v"))).where(place < F.col("_bound")).select("vgene", "draw", "read_id", "_md5").distinct()
+        found = written(below.withColumn("_n", rank).where(F.col("_n") <= n).select("vgene", "draw", "read_id"), "draws")
+        full = found.groupBy("vgene", "draw").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == n).groupBy("vgene").agg(F.count(F.lit(1)).alias("_full")).where(F.col("_full") == draws).select(F.col("vgene").alias("_g"))
+        short = bounds.where(F.col("_bound") < 1.0).join(full, F.col("_v").eqNullSafe(F.col("_g")), "left_anti")
+        short = written(short.select("_v", F.least(F.lit(1.0), F.col("_bound") * 8).alias("_bound")), "draw-bounds")
+        done = found.join(short.select(F.col("_v").alias("_s")), F.col("vgene").eqNullSafe(F.col("_s")), "left_anti")
+        out = done if out is None else out.unionByName(done)
+        if not short.take(1):
+            return out.select("vgene", "read_id", "draw")
+        bounds = short
 
 
 def group_consensus(residues: DataFrame, group: str, pos: str, aa: str) -> DataFrame:

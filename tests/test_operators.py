@@ -539,3 +539,18 @@ def test_equal_reads_are_annotated_once(spark):
     got = rearrange.rearranged(spark.createDataFrame(seqs, "id string, seq string"), v, j).collect()
     assert sorted((r["sequence_id"], r["status"], r["v_call"] is not None, r["junction"] is not None) for r in got) == [("a", "noJ", True, False), ("a", "noV", False, False), *[(x, got_status, True, True) for x, got_status in sorted((r["sequence_id"], r["status"]) for r in got if r["j_call"])]]
     assert len(got) == 4
+
+
+def test_draws_sort_only_rows_below_a_bound(spark):
+    """The draws are the first by md5 of all distinct reads, for genes large, small and null; most rows are never sorted."""
+    rows = spark.range(40_000).select(F.when(F.col("id") % 100 == 0, "few").when(F.col("id") % 100 == 1, None).otherwise("many").alias("vgene"), (F.col("id") % 30_000).alias("read_id"))
+    import hashlib
+
+    want = set()
+    for gene, ids in ((r["vgene"], r["ids"]) for r in rows.groupBy("vgene").agg(F.collect_set("read_id").alias("ids")).collect()):
+        for draw in (1, 2):
+            want |= {(gene, i, draw) for _, i in sorted((hashlib.md5(f"{i}:{draw}:0".encode()).hexdigest(), i) for i in ids)[:400]}
+    found = profiles.sub_profiles(rows, 2, 400)
+    got = [tuple(r) for r in found.collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert "Window" not in found._jdf.queryExecution().toString()  # the window ran on the rows below the bound only

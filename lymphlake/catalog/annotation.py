@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lymphlake.catalog.registry import query
 from lymphlake.catalog.scalars import _translated
 from lymphlake.operators import annotate, hits as H, rules as R
+from lymphlake.plans.tables import dealt
 from lymphlake.plans.views import view
 
 V = view
@@ -160,8 +161,8 @@ def double_j_choice(spark, d):
       FROM hits h LEFT JOIN (SELECT DISTINCT qid, 203 AS js FROM hits WHERE CAST(qid AS BIGINT) % 3 = 0) j ON h.qid = j.qid) WHERE k = 1""",
 )
 def d_before_j(spark, d):
-    t = V(spark, d, "hits")
-    j = t.where(F.col("qid").cast("long") % 3 == 0).select("qid", F.lit(203).alias("qstart"), F.lit(250).alias("qend")).distinct()
+    t = view(spark, d, "hits", sorted_rows=True)
+    j = V(spark, d, "hits").where(F.col("qid").cast("long") % 3 == 0).select("qid", F.lit(203).alias("qstart"), F.lit(250).alias("qend")).distinct()
     return H.bounded_hits(t, j, "D").select("qid", "sid", "hit_rank")
 
 
@@ -188,8 +189,8 @@ _C_HITS = """ch AS (SELECT qid, sid, hit_rank, max(CASE WHEN je IS NULL OR s >=
 
 def _bounded(spark, d):
     """D hits moved near the J hits' starts, C hits near their ends, and the J hits."""
-    h = V(spark, d, "hits")
-    j = H.top_hits(h, "minus")
+    h = view(spark, d, "hits", sorted_rows=True)
+    j = H.top_hits(dealt(h, h.count(), "qid"), "minus")
     return H.bounded_hits(h.withColumn("qend", F.col("qstart") + 1), j, "D"), H.bounded_hits(h.withColumn("qstart", F.col("qstart") + 198), j, "C"), j
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lymphlake.functions.seq import gene_of
+from lymphlake.plans.tables import dealt
 
 def _per_read() -> WindowSpec:
     return Window.partitionBy("qid").orderBy("hit_rank")
@@ -20,13 +21,18 @@ def top_hits(hits: DataFrame, strand: str | None = None) -> DataFrame:
 def bounded_hits(hits: DataFrame, j_top: DataFrame, segment: str) -> DataFrame:
     """D hits that end before J starts, or C hits that start after J ends, up to the first kept hit of a read.
 
-    Reads without a J hit are not bounded. Once a hit is kept, the later ones
-    of its read stay as they are.
+    Reads without a J hit are not bounded; ``j_top`` has one a read. Once a hit
+    is kept, the later ones of its read stay as they are. A read's bound goes
+    before its hits in one window, so the rows are dealt and sorted once. They
+    are dealt to as many tasks as their number asks for.
     """
-    bound = j_top.select(F.col("qid").alias("_q"), F.col("qstart").alias("_js"), F.col("qend").alias("_je"))
+    bound = j_top.where(F.col("qid").isNotNull()).select("qid", F.col("qstart").alias("_js"), F.col("qend").alias("_je"), F.lit(0).alias("_hit"))
+    rows = dealt(hits.withColumn("_hit", F.lit(1)).unionByName(bound, allowMissingColumns=True), hits.count(), "qid")
+    order = Window.partitionBy("qid").orderBy("_hit", "hit_rank").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({c: F.max(c).over(order) for c in ("_js", "_je")})
     fits = F.coalesce(F.col("qend") <= F.col("_js"), F.lit(True)) if segment == "D" else F.coalesce(F.col("qstart") >= F.col("_je"), F.lit(True))
-    kept = F.max(fits.cast("int")).over(_per_read().rowsBetween(Window.unboundedPreceding, 0)) == 1
-    return hits.join(bound, F.col("qid") == F.col("_q"), "left").withColumn("_keep", kept).where("_keep").select(hits.columns)
+    kept = F.max(F.when(F.col("_hit") == 1, fits.cast("int"))).over(order) == 1
+    return rows.withColumn("_keep", kept).where("_keep AND _hit = 1").select(hits.columns)
 
 
 def tied_calls(hits: DataFrame, slack: float = 3.0) -> DataFrame:

@@ -44,6 +44,16 @@ def few_files(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, -(-rows // FILE_ROWS)))
 
 
+#: Rows that a task sorts, about.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, known to have about ``rows`` rows, dealt by ``keys`` to as many tasks as keep what one sorts the same at any size; a small table is left as it is."""
+    tasks = -(-rows // TASK_ROWS)
+    return df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), *keys) if tasks > 1 else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again.
 

@@ -554,3 +554,22 @@ def test_draws_sort_only_rows_below_a_bound(spark):
     got = [tuple(r) for r in found.collect()]
     assert set(got) == want and len(got) == len(want)
     assert "Window" not in found._jdf.queryExecution().toString()  # the window ran on the rows below the bound only
+
+
+def test_bounds_and_hits_are_sorted_together(spark):
+    """A read's bound goes before its hits: no join, and hits without a read or a bound stay."""
+    rows = [("a", "x", 1, 5, 30), ("a", "y", 2, 1, 10), ("a", "z", 3, 9, 99), ("b", "x", 1, 5, 99), (None, "x", 1, 5, 99), ("c", "x", 1, 2, 30)]
+    table = spark.createDataFrame(rows, "qid string, sid string, hit_rank int, qstart int, qend int")
+    j = spark.createDataFrame([("a", 20, 25), ("c", 20, 25), (None, 20, 25), ("other", 1, 2)], "qid string, qstart int, qend int")
+    found = hits.bounded_hits(table, j, "D")
+    assert "Join" not in found._jdf.queryExecution().toString() and found.columns == table.columns
+    assert sorted((r["qid"] or "", r["sid"]) for r in found.collect()) == [("", "x"), ("a", "y"), ("a", "z"), ("b", "x")]
+    assert sorted((r["qid"] or "", r["sid"]) for r in hits.bounded_hits(table, j, "C").collect()) == [("", "x"), ("b", "x")]
+
+
+def test_what_a_task_sorts_does_not_grow(spark):
+    from lymphlake.plans.tables import TASK_ROWS, dealt
+
+    rows = spark.range(10)
+    assert dealt(rows, TASK_ROWS, "id") is rows
+    assert dealt(rows, 200 * TASK_ROWS, "id").rdd.getNumPartitions() == 200

@@ -7,6 +7,7 @@ from lymphlake.catalog.registry import query
 from lymphlake.catalog.scalars import _translated
 from lymphlake.functions.seq import AMINO_ACIDS
 from lymphlake.operators import profiles as P
+from lymphlake.plans.tables import written
 from lymphlake.plans.views import view
 
 LEAST = 100
@@ -116,7 +117,7 @@ _FEW = 3
 
 
 def _made_residues(spark, d):
-    g = view(spark, d, "germline").select(F.col("allele").alias("vgene"), "seq")
+    g = written(view(spark, d, "germline").select(F.col("allele").alias("vgene"), "seq"), "germline")  # small: the planner sees its size
     placed = g.withColumn("place", F.row_number().over(Window.orderBy("vgene")) - 1)
     n, p, q = F.col("event_id"), (11 + F.col("event_id") % 20).cast("int"), (36 + F.col("event_id") % 25).cast("int")
     base = F.substr(F.lit("ACGT"), (1 + n % 4).cast("int"), F.lit(1))

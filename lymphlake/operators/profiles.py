@@ -26,7 +26,7 @@ def residues_from_reads(reads: DataFrame, germline: DataFrame) -> DataFrame:
     rows = reads.select("vgene", "prof", "read_id", F.upper("seq").alias("_s")).join(genes, F.col("vgene") == F.col("_v"))
     pairs = aligned(rows.select(F.col("_s").alias("s"), F.col("_g").alias("g")).where(F.length("s") > 0).distinct(), "s", "g")
     at_germline = F.array_join(F.zip_with(letters(F.col("a_aln")), letters(F.col("b_aln")), lambda x, y: F.when(y != "-", x)), "")
-    pairs = pairs.select("s", "g", translate_gapped(at_germline).alias("aa"), translate_nt(F.col("g")).alias("germ"))
+    pairs = written(pairs.select("s", "g", translate_gapped(at_germline).alias("aa"), translate_nt(F.col("g")).alias("germ")), "aligned-pairs")  # a table of known size, for all that read the residues
     found = rows.join(pairs, (F.col("_s") == F.col("s")) & (F.col("_g") == F.col("g"))).where(F.length("aa") > 0)
     places = found.select("vgene", "prof", "read_id", "germ", F.posexplode(letters(F.col("aa"))).alias("_i", "aa"))
     return places.select("vgene", "prof", "read_id", (F.col("_i") + 1).alias("pos"), "aa", F.substr("germ", F.col("_i") + 1, F.lit(1)).alias("germ_aa"))
@@ -175,10 +175,11 @@ def jsd_matrix(profiles: DataFrame, genes: list[str]) -> DataFrame:
 def rare_substitutions(residues: DataFrame, table: DataFrame, least: float = 0.995) -> DataFrame:
     """``vgene, read_id, pos, sub``: residues whose rarity reaches ``least``; genes without a profile have none.
 
-    The rarity table has a few thousand rows a gene set at most; the planner
-    decides by its size whether to broadcast it.
+    The rarity table has a few thousand rows a gene set at most; it is written,
+    so that the planner decides by its size whether to broadcast it, and no
+    residue is dealt by a place that all reads share.
     """
-    rare = table.where(F.col("mean") >= least).select(F.col("vgene").alias("_v"), F.col("pos").alias("_p"), F.col("aa").alias("_a"))
+    rare = written(table.where(F.col("mean") >= least).select(F.col("vgene").alias("_v"), F.col("pos").alias("_p"), F.col("aa").alias("_a")), "rare")
     rows = residues.where(~F.col("aa").isin("-", "X")).join(rare, (F.col("vgene") == F.col("_v")) & (F.col("pos") == F.col("_p")) & (F.col("aa") == F.col("_a")))
     return rows.select("vgene", "read_id", "pos", sub_label(F.col("germ_aa"), F.col("pos"), F.col("aa")).alias("sub")).distinct()
 

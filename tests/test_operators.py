@@ -573,3 +573,9 @@ def test_what_a_task_sorts_does_not_grow(spark):
     rows = spark.range(10)
     assert dealt(rows, TASK_ROWS, "id") is rows
     assert dealt(rows, 200 * TASK_ROWS, "id").rdd.getNumPartitions() == 200
+
+
+def test_residues_meet_a_written_rarity_table(spark, sf):
+    """The table of rare residues and the aligned pairs are small files, so their sizes are known when reads meet them."""
+    plan = QUERIES["rare_substitutions_from_reads"](spark, sf)._jdf.queryExecution()
+    assert "avg(" not in plan.analyzed().toString() and "SortMergeJoin" not in plan.executedPlan().toString()
